@@ -132,6 +132,11 @@ def elapsed_micros(start, end) -> Column:
 
 
 def add_days(ts, days) -> Column:
-    """``ts`` + fractional ``days``, rounded to the microsecond (half even)."""
-    us = F.rint(_c(days) * F.lit(86400e6)).cast("bigint")
-    return F.timestamp_add("MICROSECOND", us, _c(ts))
+    """``ts`` + fractional ``days`` rounded to the whole second (half even).
+
+    The original keeps microseconds, but below a second a projected date is
+    floating-point noise of the rate (it changes with the summation order
+    of the regression), so dates are projected to the second.
+    """
+    secs = F.rint(_c(days) * F.lit(86400.0)).cast("bigint")
+    return F.timestamp_add("SECOND", secs, _c(ts))

@@ -23,6 +23,7 @@ from supplyscope import config as K
 from supplyscope.functions.bands import alert_band, alert_band2
 from supplyscope.functions.scalars import add_days, round_to
 from supplyscope.operators.reshape import unpivot_supplies
+from supplyscope.operators.sequencing import order_series
 from supplyscope.operators.series import STEP, days_between, ema_weight, step_table
 
 KEYS = ["ip", "modelo", "consumible"]
@@ -120,7 +121,7 @@ def with_alerts(forecast: DataFrame, critical: float = K.ALERT_CRITICAL_DAYS,
     return forecast.withColumn("alerta", alert_band("dias_restantes", critical, medium, low))
 
 
-def forecast_linear(clean: DataFrame, supplies: list[str] | None = None) -> DataFrame:
+def forecast_linear(clean: DataFrame, supplies: list[str] | None = None, mode: str | None = None) -> DataFrame:
     """Linear forecast of a log filtered on status but neither deduped nor
     parsed (levels still text, see :func:`clean_history` with
     ``dedupe=False`` and raw levels).  NULL ip/model groups are kept; the
@@ -132,10 +133,12 @@ def forecast_linear(clean: DataFrame, supplies: list[str] | None = None) -> Data
     long = long.withColumn("_y", pct_to_double("valor"))
     valid = F.col("fecha").isNotNull() & F.col("valor").isNotNull() & F.col("_y").isNotNull()
     long = long.withColumn("_v", valid)
+    # x = days since the series' first valid reading, as the original
+    # regresses on; the window shares the aggregate's exchange.
+    seq_df, _ = order_series(long, KEYS + ["_v"], ["fecha", "seq"], carry=["fecha"], mode=mode)
     order_key = F.when(F.col("_v"), F.struct(F.col("fecha"), F.col("seq")))
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    x = days_between(epoch, F.col("fecha"))
-    agg = long.groupBy(*KEYS).agg(
+    x = days_between(F.col("_first_fecha"), F.col("fecha"))
+    agg = seq_df.groupBy(*KEYS).agg(
         F.min_by("nombre", F.col("seq")).alias("nombre"),
         F.count("valor").alias("_nraw"),
         F.sum(F.when(F.col("_v"), 1).otherwise(0)).alias("n"),

@@ -127,7 +127,7 @@ def _blocked_sequence(df: DataFrame, plan: SeriesPlan, carry: list[str]) -> Data
         F.lag("_last").over(sw).alias("_plast"),
         F.min_by("_bfirst", F.col(plan.block_col)).over(whole).alias("_sfirst"),
     )
-    j = local.join(summ, on=pk, how="inner")
+    j = _join_keys(local, summ, pk)
     cols = [c for c in df.columns]
     out = j.select(*cols, (F.col("_lrn") + F.col("_off")).cast("int").alias("_rn"), F.col("_n"),
                    *[F.when(F.col("_lrn") == 1, F.col(f"_plast.{c}")).otherwise(F.col(f"_lprev_{c}"))
@@ -136,6 +136,18 @@ def _blocked_sequence(df: DataFrame, plan: SeriesPlan, carry: list[str]) -> Data
     return out
 
 
+def _join_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner equi-join on ``keys`` where NULL keys match (series may have a
+    NULL key part); the right side's key columns are dropped."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        e = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, "inner").drop(*[f"_r_{k}" for k in keys])
+
+
 def running_count(df: DataFrame, plan: SeriesPlan, flag: str) -> DataFrame:
     """Add ``_cum_<flag>`` (number of rows with ``flag`` true up to and
     including this row, in series order) and ``_tot_<flag>`` (series total).
@@ -158,6 +170,6 @@ def running_count(df: DataFrame, plan: SeriesPlan, flag: str) -> DataFrame:
                        F.coalesce(F.sum("_fc").over(sw.rowsBetween(Window.unboundedPreceding, -1)),
                                   F.lit(0)).alias("_foff"),
                        F.sum("_fc").over(Window.partitionBy(*plan.keys)).alias("_ftot"))
-    j = local.join(summ, on=pk, how="inner")
+    j = _join_keys(local, summ, pk)
     return j.select(*df.columns, (F.col("_lcum") + F.col("_foff")).cast("int").alias(f"_cum_{flag}"),
                     F.col("_ftot").cast("int").alias(f"_tot_{flag}"))
