@@ -16,6 +16,13 @@ from pyspark.sql import functions as F
 # "nan" and "Infinity", which the original parser rejects or maps to NaN.
 NUMBER_RE = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
+# Characters Python's str.strip() removes in ASCII text (and Java's \s).
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+# Characters a decimal literal may consist of; with ``try_cast`` rejecting
+# malformed arrangements this accepts exactly the strings of NUMBER_RE.
+_NUMBER_CHARS = "0123456789.+-eE"
+
 # Timestamp text written by the poller ("%Y-%m-%d %H:%M:%S").
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -27,16 +34,22 @@ def _c(c) -> Column:
 
 
 def strip_ws(c) -> Column:
-    """Python ``str.strip()``: remove leading/trailing whitespace (not only
-    spaces, which is all ``trim`` removes)."""
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    """Python ``str.strip()``: remove leading/trailing whitespace (tabs and
+    newlines too, not only the spaces plain ``trim`` removes)."""
+    return F.trim(_c(c), F.lit(WHITESPACE))
 
 
 def parse_number(c) -> Column:
     """Text -> finite double, NULL when the (stripped) text is not a plain
-    decimal number or overflows to infinity."""
+    decimal number (``NUMBER_RE``) or overflows to infinity.
+
+    A character check plus ``try_cast`` instead of a regex: the cast rejects
+    malformed arrangements, the check rejects what Spark's cast accepts but
+    a plain decimal is not (``5d``, ``NaN``, ``Infinity``).
+    """
     t = strip_ws(c)
-    x = F.when(t.rlike(NUMBER_RE), t.try_cast("double"))
+    plain = (F.translate(t, _NUMBER_CHARS, "") == F.lit("")) & (t != F.lit(""))
+    x = F.when(plain, t.try_cast("double"))
     return F.when(F.abs(x) < F.lit(float("inf")), x)
 
 

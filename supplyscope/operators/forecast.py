@@ -45,19 +45,46 @@ def _long_readings(clean: DataFrame, supplies: list[str] | None, drop_null_keys:
     return long
 
 
+def probe_log(raw: DataFrame, strip_status: bool = True) -> dict:
+    """Cheap key-only probe of a raw log (ip, status and stamp columns), one
+    small job returning scalars.
+
+    ``bound``: (largest row count of one ip, total rows) -- rows per ip bound
+    every series size from above.  ``ties``: whether two different stamp
+    texts of one ip parse to the same instant, the only way a deduped series
+    can hold timestamp ties.
+    """
+    from supplyscope.functions.scalars import parse_ts
+    from supplyscope.operators.history import filter_status
+
+    ok = filter_status(raw.select("ip", "estado", "marca_de_tiempo"), strip=strip_status)
+    texts = ok.groupBy("ip", "marca_de_tiempo").agg(F.count(F.lit(1)).alias("c"))
+    per_ts = (texts.withColumn("fecha", parse_ts("marca_de_tiempo"))
+              .groupBy("ip", "fecha").agg(F.count(F.lit(1)).alias("texts"), F.sum("c").alias("rows")))
+    per_ip = per_ts.groupBy("ip").agg(
+        F.sum("rows").alias("n"),
+        F.max(F.when(F.col("fecha").isNotNull(), F.col("texts"))).alias("mt"))
+    row = per_ip.agg(F.max("n").alias("mx"), F.sum("n").alias("tot"), F.max("mt").alias("mt")).first()
+    return {"bound": (int(row["mx"] or 0), int(row["tot"] or 0)), "ties": (row["mt"] or 0) > 1}
+
+
 def forecast_ema(clean: DataFrame, supplies: list[str] | None = None, span: int = K.EMA_SPAN,
-                 max_days: float = K.MAX_FORECAST_DAYS, mode: str | None = None) -> DataFrame:
+                 max_days: float = K.MAX_FORECAST_DAYS, mode: str | None = None,
+                 bound=None, ties: bool = True) -> DataFrame:
     """EMA forecast of every series of a clean wide log (see
     :func:`supplyscope.operators.history.clean_history`).
 
     One row per (ip, modelo, supply) that has at least one level; groups
-    with a NULL ip or model are dropped.
+    with a NULL ip or model are dropped.  ``bound``/``ties`` come from
+    :func:`probe_log` of the raw log: with ``ties=False`` the positional
+    pairing branch is provably empty and left out of the plan.
     """
     long = _long_readings(clean, supplies, drop_null_keys=True)
     long = long.withColumn("_valid", F.col("fecha").isNotNull() & F.col("valor").isNotNull())
     # Invalid rows form their own window partitions: they count for the
     # series' existence and name, never for its steps.
-    steps, _ = step_table(long, KEYS + ["_valid"], ts="fecha", tie="seq", val="valor", mode=mode)
+    steps, _ = step_table(long, KEYS + ["_valid"], ts="fecha", tie="seq", val="valor", mode=mode,
+                          bound=bound)
 
     v = F.col("_valid")
     m_all, n_all = F.col(f"_tot_{STEP}"), F.col("_n")
@@ -74,6 +101,8 @@ def forecast_ema(clean: DataFrame, supplies: list[str] | None = None, span: int
         F.max(F.when(v, m_all < n_all - 1)).alias("_ties"),
     ).filter(F.col("_nval") > 0)
 
+    if not ties:
+        return _ema_branches(agg.withColumn("_slope_t", F.lit(None).cast("double")), span, max_days)
     # Series with timestamp ties pair x and y by position (equi-join).
     tied = steps.filter(v & (m_all < n_all - 1))
     xs = tied.filter(F.col(STEP)).select(*KEYS, F.col(f"_cum_{STEP}").alias("_pos"), F.col("days").alias("x"))
@@ -121,7 +150,8 @@ def with_alerts(forecast: DataFrame, critical: float = K.ALERT_CRITICAL_DAYS,
     return forecast.withColumn("alerta", alert_band("dias_restantes", critical, medium, low))
 
 
-def forecast_linear(clean: DataFrame, supplies: list[str] | None = None, mode: str | None = None) -> DataFrame:
+def forecast_linear(clean: DataFrame, supplies: list[str] | None = None, mode: str | None = None,
+                    bound=None) -> DataFrame:
     """Linear forecast of a log filtered on status but neither deduped nor
     parsed (levels still text, see :func:`clean_history` with
     ``dedupe=False`` and raw levels).  NULL ip/model groups are kept; the
@@ -135,7 +165,7 @@ def forecast_linear(clean: DataFrame, supplies: list[str] | None = None, mode: s
     long = long.withColumn("_v", valid)
     # x = days since the series' first valid reading, as the original
     # regresses on; the window shares the aggregate's exchange.
-    seq_df, _ = order_series(long, KEYS + ["_v"], ["fecha", "seq"], carry=["fecha"], mode=mode)
+    seq_df, _ = order_series(long, KEYS + ["_v"], ["fecha", "seq"], carry=["fecha"], mode=mode, bound=bound)
     order_key = F.when(F.col("_v"), F.struct(F.col("fecha"), F.col("seq")))
     x = days_between(F.col("_first_fecha"), F.col("fecha"))
     agg = seq_df.groupBy(*KEYS).agg(

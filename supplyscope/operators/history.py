@@ -22,16 +22,18 @@ def filter_status(df: DataFrame, status: str = K.VALID_STATUS, strip: bool = Tru
 
 
 def dedupe_first(df: DataFrame, keys: list[str], tie: str = "seq") -> DataFrame:
-    """One row per ``keys``: the row with the smallest ``tie``.
+    """One row per ``keys``: the row with the smallest (non-NULL) ``tie``.
 
-    Written as an aggregation (``min_by`` over a struct of the row), so a hot
-    key is reduced map-side before the shuffle instead of landing whole in
-    one task as a ``row_number`` window would.
+    Written as an aggregation -- ``min`` of a struct led by ``tie`` -- so a
+    hot key (a group of copies holding a large share of all rows) is reduced
+    map-side before the shuffle instead of landing whole in one task as a
+    ``row_number`` window would; the struct minimum runs in the object hash
+    aggregate, without sorting.
     """
-    others = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in others])
-    return (df.groupBy(*keys).agg(F.min_by(row, F.col(tie)).alias("_row"))
-            .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
+    others = [c for c in df.columns if c not in keys and c != tie]
+    row = F.struct(F.col(tie).alias(tie), *[F.col(c) for c in others])
+    return (df.groupBy(*keys).agg(F.min(row).alias("_row"))
+            .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in [tie] + others])
             .select(*df.columns))
 
 

@@ -53,13 +53,22 @@ class SeriesPlan:
         return self.keys + ([self.block_col] if self.blocked else [])
 
 
-def _choose_mode(df: DataFrame, keys: list[str], mode: str | None, block_rows: int) -> tuple[bool, int]:
+def _choose_mode(df: DataFrame, keys: list[str], mode: str | None, block_rows: int,
+                 bound: DataFrame | tuple[int, int] | None = None) -> tuple[bool, int]:
     spark = df.sparkSession
     mode = mode or conf_str(spark, K.SERIES_SKEW_MODE_CONF, "auto")
     if mode == "off":
         return False, 0
-    sizes = df.groupBy(*keys).count()
-    row = sizes.agg(F.max("count").alias("mx"), F.sum("count").alias("tot")).first()
+    # ``bound``: upper bounds of series sizes -- a DataFrame with a ``count``
+    # column, or an already probed (largest, total) pair -- e.g. rows per
+    # device of the raw log: a key-only scan instead of re-running the whole
+    # upstream pipeline just to size the series.
+    if isinstance(bound, tuple):
+        mx, total = bound
+        row = {"mx": mx, "tot": total}
+    else:
+        sizes = bound if bound is not None else df.groupBy(*keys).count()
+        row = sizes.agg(F.max("count").alias("mx"), F.sum("count").alias("tot")).first()
     total = int(row["tot"] or 0)
     if mode == "force":
         return True, total
@@ -70,7 +79,8 @@ def _choose_mode(df: DataFrame, keys: list[str], mode: str | None, block_rows: i
 
 def order_series(df: DataFrame, keys: list[str], order: list[str], carry: list[str] = (),
                  mode: str | None = None, block_rows: int | None = None,
-                 blocks: int | None = None) -> tuple[DataFrame, SeriesPlan]:
+                 blocks: int | None = None,
+                 bound: DataFrame | tuple[int, int] | None = None) -> tuple[DataFrame, SeriesPlan]:
     """Add ``_rn`` (1-based position by ``order`` within the series),
     ``_n`` (series size), ``_prev_<c>`` (previous row's ``c``, NULL on the
     first row) and ``_first_<c>`` (first row's ``c``) for each ``c`` in
@@ -79,7 +89,7 @@ def order_series(df: DataFrame, keys: list[str], order: list[str], carry: list[s
     keys, order, carry = list(keys), list(order), list(carry)
     spark = df.sparkSession
     block_rows = block_rows or conf_int(spark, K.SERIES_BLOCK_ROWS_CONF, K.SERIES_BLOCK_ROWS_DEFAULT)
-    blocked, total = _choose_mode(df, keys, mode, block_rows)
+    blocked, total = _choose_mode(df, keys, mode, block_rows, bound)
     ordering = [F.col(c).asc_nulls_first() for c in order]
 
     if not blocked:

@@ -29,7 +29,7 @@ def ema_alpha(span: int) -> float:
 
 
 def step_table(df: DataFrame, keys: list[str], ts: str = "ts", tie: str = "seq", val: str = "pct",
-               mode: str | None = None) -> tuple[DataFrame, SeriesPlan]:
+               mode: str | None = None, bound=None) -> tuple[DataFrame, SeriesPlan]:
     """Add the step columns of every row of every series.
 
     ``days``        elapsed days since the first row of the series
@@ -41,7 +41,7 @@ def step_table(df: DataFrame, keys: list[str], ts: str = "ts", tie: str = "seq",
                     count of step rows; ``_prev_<val>`` previous level.
     Rows must have non-NULL ``ts`` and ``val``.
     """
-    s, plan = order_series(df, keys, [ts, tie], carry=[ts, val], mode=mode)
+    s, plan = order_series(df, keys, [ts, tie], carry=[ts, val], mode=mode, bound=bound)
     t0 = F.col(f"_first_{ts}")
     days = days_between(t0, F.col(ts))
     prev_days = days_between(t0, F.col(f"_prev_{ts}"))
