@@ -16,11 +16,10 @@ from supplyscope import config as K
 from supplyscope.functions import bands, scalars as S
 from supplyscope.operators import history as H
 from supplyscope.operators import merge as M
-from supplyscope.operators.forecast import (forecast_ema, forecast_linear, probe_log,
-                                            with_alerts, with_alerts2)
 from supplyscope.operators.reshape import unpivot_supplies
 from supplyscope.operators.sequencing import order_series
 from supplyscope.operators.series import STEP, ema_weight, step_table
+from supplyscope.plans import forecast_jobs as FJ
 from supplyscope.plans import refresh as R
 from supplyscope.plans import report as P
 from supplyscope.sources import fixtures as X
@@ -298,33 +297,20 @@ def project_date(spark, d):
 
 
 # ------------------------------------------------------------- forecasts
-def _ema(spark, d):
-    raw = X.history_raw(spark, d)
-    probe = probe_log(raw)
-    return forecast_ema(H.clean_history(raw), bound=probe["bound"], ties=probe["ties"])
-
-
 def forecast_ema_q(spark, d):
-    return _ema(spark, d)
+    return FJ.fleet_forecast_ema(X.history_raw(spark, d), alerts=False)
 
 
 def forecast_ema_alerts(spark, d):
-    return with_alerts(_ema(spark, d))
-
-
-def _linear(spark, d):
-    raw = X.history_raw(spark, d)
-    ok = H.filter_status(raw, strip=False)
-    bound = ok.select("ip").groupBy("ip").count()
-    return forecast_linear(ok.withColumn("fecha", S.parse_ts("marca_de_tiempo")), bound=bound)
+    return FJ.fleet_forecast_ema(X.history_raw(spark, d))
 
 
 def forecast_linear_q(spark, d):
-    return _linear(spark, d)
+    return FJ.fleet_forecast_linear(X.history_raw(spark, d), alerts=False)
 
 
 def forecast_linear_alerts(spark, d):
-    return with_alerts2(_linear(spark, d))
+    return FJ.fleet_forecast_linear(X.history_raw(spark, d))
 
 
 # ------------------------------------------------------------- streaming
