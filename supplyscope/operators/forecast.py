@@ -45,27 +45,32 @@ def _long_readings(clean: DataFrame, supplies: list[str] | None, drop_null_keys:
     return long
 
 
-def probe_log(raw: DataFrame, strip_status: bool = True) -> dict:
+def probe_log(raw: DataFrame, strip_status: bool = True, ties: bool = True) -> dict:
     """Cheap key-only probe of a raw log (ip, status and stamp columns), one
     small job returning scalars.
 
     ``bound``: (largest row count of one ip, total rows) -- rows per ip bound
     every series size from above.  ``ties``: whether two different stamp
-    texts of one ip parse to the same instant, the only way a deduped series
-    can hold timestamp ties.
+    texts of one ip parse to the same instant (``min(text) != max(text)``
+    per ip and instant), the only way a deduped series can hold timestamp
+    ties; skipped (reported True) with ``ties=False``.
     """
     from supplyscope.functions.scalars import parse_ts
     from supplyscope.operators.history import filter_status
 
     ok = filter_status(raw.select("ip", "estado", "marca_de_tiempo"), strip=strip_status)
-    texts = ok.groupBy("ip", "marca_de_tiempo").agg(F.count(F.lit(1)).alias("c"))
-    per_ts = (texts.withColumn("fecha", parse_ts("marca_de_tiempo"))
-              .groupBy("ip", "fecha").agg(F.count(F.lit(1)).alias("texts"), F.sum("c").alias("rows")))
-    per_ip = per_ts.groupBy("ip").agg(
-        F.sum("rows").alias("n"),
-        F.max(F.when(F.col("fecha").isNotNull(), F.col("texts"))).alias("mt"))
-    row = per_ip.agg(F.max("n").alias("mx"), F.sum("n").alias("tot"), F.max("mt").alias("mt")).first()
-    return {"bound": (int(row["mx"] or 0), int(row["tot"] or 0)), "ties": (row["mt"] or 0) > 1}
+    if ties:
+        per_ts = (ok.withColumn("fecha", parse_ts("marca_de_tiempo"))
+                  .groupBy("ip", "fecha").agg(F.count(F.lit(1)).alias("c"),
+                                              F.min("marca_de_tiempo").alias("lo"),
+                                              F.max("marca_de_tiempo").alias("hi")))
+        tie = F.col("fecha").isNotNull() & (F.col("lo") != F.col("hi"))
+        per_ip = per_ts.groupBy("ip").agg(F.sum("c").alias("n"),
+                                          F.max(F.when(tie, 1).otherwise(0)).alias("t"))
+    else:
+        per_ip = ok.groupBy("ip").agg(F.count(F.lit(1)).alias("n"), F.lit(1).alias("t"))
+    row = per_ip.agg(F.max("n").alias("mx"), F.sum("n").alias("tot"), F.max("t").alias("t")).first()
+    return {"bound": (int(row["mx"] or 0), int(row["tot"] or 0)), "ties": (row["t"] or 0) > 0}
 
 
 def forecast_ema(clean: DataFrame, supplies: list[str] | None = None, span: int = K.EMA_SPAN,

@@ -42,7 +42,7 @@ def fleet_forecast_ema(raw: DataFrame, alerts: bool = True, **kw) -> DataFrame:
 def fleet_forecast_linear(raw: DataFrame, alerts: bool = True, **kw) -> DataFrame:
     """Linear forecast (+ two-level alert) of a raw history log: exact
     status filter, no dedupe, levels parsed per series."""
-    probe = probe_log(raw, strip_status=False)
+    probe = probe_log(raw, strip_status=False, ties=False)
     hot = _hot(raw, probe["bound"])
     ok = H.filter_status(raw, strip=False)
     src = ok if hot else ok.repartition("ip")
