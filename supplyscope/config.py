@@ -87,6 +87,7 @@ GAUGE_MAP: dict[str, tuple[str, ...]] = {
     "Color Admin": ("Toner Negro", "Toner Cian", "Toner Magenta", "Toner Amarillo"),
     "HP Planta - 2": ("Toner Negro", "Kit Alim."),
     "Color Planta": ("Toner Amarillo", "Toner Magenta", "Toner Cian", "Toner Negro", "Kit Alim."),
+    "Impresora CLX-6260": ("Toner Negro", "Toner Cian", "Toner Magenta", "Toner Amarillo"),
 }
 
 # Status rule per class: OK when any of these supplies has a non-empty gauge.
@@ -96,6 +97,7 @@ OK_RULE: dict[str, tuple[str, ...]] = {
     "Color Admin": ("Toner Negro",),
     "HP Planta - 2": ("Toner Negro", "Kit Alim."),
     "Color Planta": ("Toner Amarillo",),
+    "Impresora CLX-6260": ("Toner Negro", "Toner Cian", "Toner Magenta", "Toner Amarillo"),
 }
 
 # Failed clean-percentage value per class: mono classes blank, colour "0%".
@@ -105,6 +107,7 @@ CLEAN_FAILURE: dict[str, str] = {
     "Color Admin": "0%",
     "HP Planta - 2": "",
     "Color Planta": "0%",
+    "Impresora CLX-6260": "",
 }
 
 # --------------------------------------------------------------------------

@@ -149,6 +149,15 @@ def _ema_branches(agg: DataFrame, span: int, max_days: float) -> DataFrame:
     return out.select(*OUT_COLS)
 
 
+def order_forecast(forecast: DataFrame) -> DataFrame:
+    """Report order: device key, then the fixed supply order (a global sort,
+    use only for presentation)."""
+    ix = None
+    for i, name in enumerate(K.supply_names()):
+        ix = F.when(F.col("consumible") == name, F.lit(i)) if ix is None else ix.when(F.col("consumible") == name, F.lit(i))
+    return forecast.orderBy(F.col("ip").asc_nulls_last(), F.col("modelo").asc_nulls_last(), ix)
+
+
 def with_alerts(forecast: DataFrame, critical: float = K.ALERT_CRITICAL_DAYS,
                 medium: float = K.ALERT_MEDIUM_DAYS, low: float = K.ALERT_LOW_STOCK_DAYS) -> DataFrame:
     """Add the five-level ``alerta`` band of the (rounded) days left."""

@@ -66,9 +66,10 @@ def sort_history(df: DataFrame, tie: str = "seq") -> DataFrame:
     return df.orderBy(F.col("fecha").desc_nulls_last(), F.col(tie).asc())
 
 
-def history_batch(df: DataFrame) -> DataFrame:
-    """Project a refreshed device table to the log columns it has, in log order."""
-    cols = [c for c in K.HISTORY_COLUMNS.values() if c in df.columns]
+def history_batch(df: DataFrame, keep: tuple[str, ...] = ("seq",)) -> DataFrame:
+    """Project a refreshed device table to the log columns it has, in log
+    order (plus an ingest sequence ``seq`` when present)."""
+    cols = [c for c in keep if c in df.columns] + [c for c in K.HISTORY_COLUMNS.values() if c in df.columns]
     return df.select(*cols)
 
 

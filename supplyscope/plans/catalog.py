@@ -55,6 +55,11 @@ def gauges_to_supplies(spark, d):
     return G.gauges_to_supplies(X.gauge_pages(spark, d), "nav")
 
 
+def gauges_pivot(spark, d):
+    pages = X.gauge_pages(spark, d)
+    return G.pivot_gauges(G.label_gauges(G.extract_gauges(pages, "nav"), pages))
+
+
 # ------------------------------------------------- projections / filters
 def trim_columns(spark, d):
     h = X.history_raw(spark, d)
@@ -333,6 +338,7 @@ def queries() -> dict[str, Query]:
         "scan_all_classes": scan_all_classes,
         "extract_gauges": extract_gauges,
         "gauges_to_supplies": gauges_to_supplies,
+        "gauges_pivot": gauges_pivot,
         "trim_columns": trim_columns,
         "filter_valid_key": filter_valid_key,
         "filter_ok_trim": filter_ok_trim,

@@ -430,6 +430,19 @@ def _gauges_sql() -> str:
     ) + f"SELECT *, {status_sql('outcome', rule_sql('device_class', present))} AS estado FROM g_w"
 
 
+def _gauges_pivot_sql() -> str:
+    gm = " UNION ALL ".join(f"SELECT {q(c)} AS device_class, {i} AS gauge_ix, {q(s)} AS consumible"
+                            for c, sup in K.GAUGE_MAP.items() for i, s in enumerate(sup))
+    cols = ", ".join(f"max(CASE WHEN consumible = {q(d)} THEN text END) AS {c}" for d, c in SUPPLIES)
+    return _with(
+        f"e AS (SELECT page_id, device_class, regexp_extract_all(html, {q(NAV_PATTERN)}, 2) AS l FROM gauge_pages)",
+        "e2 AS (SELECT page_id, device_class, generate_subscripts(l, 1) - 1 AS gauge_ix, unnest(l) AS raw FROM e)",
+        f"gm AS ({gm})",
+        f"lab AS (SELECT e2.page_id, e2.device_class, gm.consumible, {strip('raw')} AS text FROM e2 "
+        "JOIN gm ON e2.device_class = gm.device_class AND e2.gauge_ix = gm.gauge_ix)",
+    ) + f"SELECT page_id, device_class, {cols} FROM lab GROUP BY page_id, device_class"
+
+
 def oracle_sql() -> dict[str, str]:
     hist_cols = ", ".join(K.HISTORY_COLUMNS.values())
     cells = _cells("history_raw", "seq")
@@ -445,6 +458,7 @@ def oracle_sql() -> dict[str, str]:
             "e2 AS (SELECT page_id, generate_subscripts(l, 1) AS k, unnest(l) AS raw FROM e)",
         ) + f"SELECT page_id, CAST(k - 1 AS INTEGER) AS gauge_ix, {strip('raw')} AS text FROM e2",
         "gauges_to_supplies": _gauges_sql(),
+        "gauges_pivot": _gauges_pivot_sql(),
         "trim_columns": _with() + f"SELECT {trim_sel} FROM history_raw",
         "filter_valid_key": _with() + (
             f"SELECT {pcl}, {fmt_ip('ip')} AS ip, modelo, toner_negro, ui_negro, estado, marca_de_tiempo "

@@ -23,6 +23,25 @@ DEFAULT_CONF = {
 }
 
 
+def recommended_cluster_conf(total_input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings a cluster run of these jobs should start from (the library
+    never hard-codes them): AQE with skew-join splitting, partitions sized to
+    ~256 MB of input so shuffle blocks fit executor memory, and an initial
+    shuffle width AQE can coalesce down but never has to split up."""
+    target = 256 * 1024 * 1024
+    initial = max(cores * 3, -(-total_input_bytes // target))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "supplyscope", extra: dict | None = None) -> SparkSession:
     """Local session for tests and benchmarks (a cluster job gets its own)."""

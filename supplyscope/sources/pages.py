@@ -64,6 +64,25 @@ def gauge_map_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def label_gauges(gauges: DataFrame, page_classes: DataFrame, class_col: str = "device_class") -> DataFrame:
+    """Long gauge rows -> ``(page_id, device_class, gauge_ix, consumible, text)``.
+
+    The lookup side is the fixed gauge map (one row per class and position,
+    a size bound independent of the data), so it is broadcast explicitly.
+    Gauges a class does not read are dropped.
+    """
+    gm = F.broadcast(gauge_map_df(gauges.sparkSession))
+    g = gauges.join(page_classes.select("page_id", class_col), "page_id")
+    return g.join(gm, [class_col, "gauge_ix"], "inner").select("page_id", class_col, "gauge_ix", "consumible", "text")
+
+
+def pivot_gauges(labelled: DataFrame, class_col: str = "device_class") -> DataFrame:
+    """Labelled gauge rows -> one wide row per page (explicit pivot values)."""
+    from supplyscope.operators.reshape import pivot_supplies
+
+    return pivot_supplies(labelled, ["page_id", class_col], value_col="text")
+
+
 def gauges_to_supplies(pages: DataFrame, pattern: str = "nav", class_col: str = "device_class",
                        variant: str = "v13") -> DataFrame:
     """Pages -> one poll row per page: supply columns, outcome and status.
