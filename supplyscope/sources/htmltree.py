@@ -1,0 +1,110 @@
+"""Small helper for the nested-table gauge pages (run inside mapInPandas).
+
+Some device pages put every gauge in a nested table addressed by row id:
+``//tr[@id=k]/td[2]/table/tbody/tr/td/table/tbody/tr/td[2]`` (first match:
+toner, second match: imaging unit).  Regexes cannot follow that nesting, so
+each page is parsed with the standard-library HTML parser into a light tree
+and the path is walked.  This is per-page Python on Arrow batches: Spark
+still partitions the pages; nothing here sees more than one batch.
+"""
+
+from __future__ import annotations
+
+from html.parser import HTMLParser
+
+import pandas as pd
+
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+
+
+class _Node:
+    __slots__ = ("tag", "attrs", "children", "parts")
+
+    def __init__(self, tag: str, attrs: dict):
+        self.tag, self.attrs, self.children, self.parts = tag, attrs, [], []
+
+    def text(self) -> str:
+        out = list(self.parts)
+        for c in self.children:
+            out.append(c.text())
+        return "".join(out)
+
+
+class _Tree(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = _Node("#root", {})
+        self.stack = [self.root]
+
+    def handle_starttag(self, tag, attrs):
+        node = _Node(tag, dict(attrs))
+        self.stack[-1].children.append(node)
+        if tag not in _VOID:
+            self.stack.append(node)
+
+    def handle_endtag(self, tag):
+        for i in range(len(self.stack) - 1, 0, -1):       # lenient: close up to the match
+            if self.stack[i].tag == tag:
+                del self.stack[i:]
+                return
+
+    def handle_data(self, data):
+        self.stack[-1].parts.append(data)
+
+
+def _kids(node: _Node, tag: str) -> list[_Node]:
+    return [c for c in node.children if c.tag == tag]
+
+
+def _rows_of(table: _Node) -> list[_Node]:
+    """``table/tbody/tr`` with the ``tbody`` a browser would insert."""
+    bodies = _kids(table, "tbody")
+    if not bodies:
+        return _kids(table, "tr")
+    return [tr for b in bodies for tr in _kids(b, "tr")]
+
+
+def _walk(node: _Node):
+    yield node
+    for c in node.children:
+        yield from _walk(c)
+
+
+def row_cells(html: str | None, row_id: str) -> list[str]:
+    """Texts of ``//tr[@id=row_id]/td[2]/table/tbody/tr/td/table/tbody/tr/td[2]``."""
+    if not html:
+        return []
+    t = _Tree()
+    t.feed(html)
+    t.close()
+    out = []
+    for tr in (n for n in _walk(t.root) if n.tag == "tr" and n.attrs.get("id") == row_id):
+        tds = _kids(tr, "td")
+        if len(tds) < 2:
+            continue
+        for table in _kids(tds[1], "table"):
+            for r in _rows_of(table):
+                for td in _kids(r, "td"):
+                    for inner in _kids(td, "table"):
+                        for r2 in _rows_of(inner):
+                            cells = _kids(r2, "td")
+                            if len(cells) >= 2:
+                                out.append(cells[1].text().strip())
+    return out
+
+
+def row_id_gauges(batches, rows: int = 4, matches: int = 2):
+    """mapInPandas body: pages -> (page_id, gauge_ix, text); gauge
+    ``(k-1)*matches + m`` is match ``m`` of row id ``k``."""
+    for pdf in batches:
+        ids, ixs, texts = [], [], []
+        for pid, html in zip(pdf["page_id"], pdf["html"]):
+            for k in range(1, rows + 1):
+                found = row_cells(html, str(k))
+                for m in range(min(matches, len(found))):
+                    ids.append(pid)
+                    ixs.append((k - 1) * matches + m)
+                    texts.append(found[m])
+        yield pd.DataFrame({"page_id": pd.Series(ids, dtype="int64"),
+                            "gauge_ix": pd.Series(ixs, dtype="int32"),
+                            "text": pd.Series(texts, dtype="object")})

@@ -9,6 +9,9 @@ Supported element patterns:
 * ``supply_gauge``  elements with ``id="SupplyGauge<n>"`` (index in the id)
 * ``toner_list``    first ``td.tonervalue_number`` cell of the
   ``table#toner_list`` (gauge 0) and ``table#imagine_list`` (gauge 1) tables
+* ``grid``          second ``x-column`` cell of the n-th ``x-grid3-row``
+* ``row_id``        nested tables addressed by row id (see
+  :mod:`supplyscope.sources.htmltree`; the only pattern needing Python)
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from supplyscope.functions.scalars import strip_ws
 # Fixed element patterns of the device pages.
 NAV_PATTERN = r'<li><a href="([^"]*)">([^<]*)</a></li>'
 SUPPLY_GAUGE_PATTERN = r'<[^>]*\bid="SupplyGauge([0-9]+)"[^>]*>([^<]*)<'
+GRID_ROW_SPLIT = r'<[^>]*\bclass="(?:[^"]*\s)?x-grid3-row(?:\s[^"]*)?"[^>]*>'
+GRID_CELL_PATTERN = r'<[^>]*\bclass="(?:[^"]*\s)?x-column(?:\s[^"]*)?"[^>]*>([^<]*)'
 TONER_LIST_PATTERN = (r'<table[^>]*\bid="{table}"[^>]*>(?:(?!</table>).)*?'
                       r'<td[^>]*\bclass="[^"]*\btonervalue_number\b[^"]*"[^>]*>([^<]*)<')
 
@@ -36,6 +41,11 @@ def gauge_array(html: Column, pattern: str = "nav") -> Column:
         first = [F.regexp_extract(html, "(?s)" + TONER_LIST_PATTERN.format(table=t), 1)
                  for t in ("toner_list", "imagine_list")]
         return F.filter(F.array(*[F.when(f != "", f) for f in first]), lambda x: x.isNotNull())
+    if pattern == "grid":
+        chunks = F.split(html, GRID_ROW_SPLIT)
+        rows = F.slice(chunks, 2, F.greatest(F.size(chunks) - 1, F.lit(0)))
+        return F.transform(rows, lambda r: F.coalesce(
+            F.try_element_at(F.regexp_extract_all(r, F.lit(GRID_CELL_PATTERN), 1), F.lit(2)), F.lit("")))
     if pattern == "supply_gauge":
         idx = F.regexp_extract_all(html, F.lit(SUPPLY_GAUGE_PATTERN), 1)
         txt = F.regexp_extract_all(html, F.lit(SUPPLY_GAUGE_PATTERN), 2)
@@ -49,6 +59,11 @@ def gauge_array(html: Column, pattern: str = "nav") -> Column:
 
 def extract_gauges(pages: DataFrame, pattern: str = "nav") -> DataFrame:
     """Pages -> one row per gauge ``(page_id, gauge_ix, text)``."""
+    if pattern == "row_id":
+        from supplyscope.sources.htmltree import row_id_gauges
+
+        return pages.select("page_id", "html").mapInPandas(
+            row_id_gauges, "page_id long, gauge_ix int, text string")
     arr = gauge_array(F.col("html"), pattern)
     return (pages.select("page_id", F.posexplode(arr).alias("gauge_ix", "raw"))
             .select("page_id", F.col("gauge_ix").cast("int").alias("gauge_ix"),

@@ -74,3 +74,27 @@ def test_schema_check_names_path(spark):
     spark.createDataFrame([(1,)], "x long").write.parquet(path)
     with pytest.raises(ValueError, match=os.path.basename(path)):
         T.check_schema(spark.read.parquet(path), ["ip"], path)
+
+
+def test_grid_pattern(spark):
+    html = ('<div class="x-grid3-row"><div class="x-column">Negro</div><div class="x-column">70%</div></div>'
+            '<div class="x-grid3-row x-grid3-row-alt"><div class="x-column">Cian</div>'
+            '<div class="x-column x-wide">55%</div></div>'
+            '<div class="x-grid3-row-table"><div class="x-column">no</div><div class="x-column">row</div></div>')
+    df = spark.createDataFrame([(1, "u", html, "Impresora CLX-6260")], PAGE)
+    got = [(r.gauge_ix, r.text) for r in G.extract_gauges(df, "grid").orderBy("gauge_ix").collect()]
+    assert got == [(0, "70%"), (1, "55%")]
+
+
+def _nested_row(k, toner, ui, tbody=True):
+    inner = "".join(f"<tr><td>x</td><td> {v} </td></tr>" for v in (toner, ui))
+    wrap = (lambda x: f"<tbody>{x}</tbody>") if tbody else (lambda x: x)
+    return (f'<tr id="{k}"><td>label</td><td><table>{wrap("<tr><td><table>" + wrap(inner) + "</table></td></tr>")}'
+            f"</table></td></tr>")
+
+
+def test_row_id_nested_tables(spark):
+    html = "<table>" + _nested_row(1, "80%", "60%") + _nested_row(2, "40%", "30%", tbody=False) + "</table>"
+    df = spark.createDataFrame([(1, "u", html, "x"), (2, "u", None, "x")], PAGE)
+    got = [(r.page_id, r.gauge_ix, r.text) for r in G.extract_gauges(df, "row_id").orderBy("gauge_ix").collect()]
+    assert got == [(1, 0, "80%"), (1, 1, "60%"), (1, 2, "40%"), (1, 3, "30%")]
