@@ -93,17 +93,15 @@ def order_series(df: DataFrame, keys: list[str], order: list[str], carry: list[s
     ordering = [F.col(c).asc_nulls_first() for c in order]
 
     if not blocked:
+        # One window spec for everything: partition-wide values use an
+        # explicit whole-partition frame of the same ordered spec (linear
+        # time), so Spark evaluates them all in a single Window operator.
         w = Window.partitionBy(*keys).orderBy(*ordering)
-        whole = Window.partitionBy(*keys)
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         cols = [F.row_number().over(w).alias("_rn"), F.count(F.lit(1)).over(whole).alias("_n")]
-        first_struct = F.min_by(F.struct(*[F.col(c) for c in carry]), F.struct(*order)) if carry else None
-        for c in carry:
-            cols.append(F.lag(c).over(w).alias(f"_prev_{c}"))
-        out = df.select("*", *cols)
-        if carry:
-            out = out.withColumn("_first", first_struct.over(whole))
-            out = out.select("*", *[F.col(f"_first.{c}").alias(f"_first_{c}") for c in carry]).drop("_first")
-        return out, SeriesPlan(keys, order, False)
+        cols += [F.lag(c).over(w).alias(f"_prev_{c}") for c in carry]
+        cols += [F.first(c).over(whole).alias(f"_first_{c}") for c in carry]
+        return df.select("*", *cols), SeriesPlan(keys, order, False)
 
     # ---- blocked form -------------------------------------------------
     ensure_checkpoint_dir(spark)
@@ -165,9 +163,9 @@ def running_count(df: DataFrame, plan: SeriesPlan, flag: str) -> DataFrame:
     ordering = [F.col(c).asc_nulls_first() for c in plan.order]
     ind = F.when(F.col(flag), F.lit(1)).otherwise(F.lit(0))
     if not plan.blocked:
-        w = (Window.partitionBy(*plan.keys).orderBy(*ordering)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        whole = Window.partitionBy(*plan.keys)
+        spec = Window.partitionBy(*plan.keys).orderBy(*ordering)
+        w = spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        whole = spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         return df.select("*", F.sum(ind).over(w).cast("int").alias(f"_cum_{flag}"),
                          F.sum(ind).over(whole).cast("int").alias(f"_tot_{flag}"))
     pk = plan.part_keys
