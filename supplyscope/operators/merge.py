@@ -52,19 +52,19 @@ def _new(c: str, j: DataFrame | None = None) -> Column:
     return F.col(c + NEW)
 
 
-def _finish(df: DataFrame, cols: list[str], exprs: dict[str, Column], inv_cols: list[str]) -> DataFrame:
+def _finish(df: DataFrame, exprs: dict[str, Column], inv_cols: list[str]) -> DataFrame:
     out = [exprs.get(c, F.col(c)).alias(c) for c in inv_cols]
     return df.select(*out)
 
 
 def merge_overwrite(j: DataFrame, inv_cols: list[str], cols: list[str]) -> DataFrame:
     """New value replaces the old one; unmatched rows get NULL."""
-    return _finish(j, cols, {c: _new(c, j) for c in cols}, inv_cols)
+    return _finish(j, {c: _new(c, j) for c in cols}, inv_cols)
 
 
 def merge_coalesce(j: DataFrame, inv_cols: list[str], cols: list[str]) -> DataFrame:
     """New value unless it is NULL (``''`` is a value and does replace)."""
-    return _finish(j, cols, {c: F.coalesce(_new(c, j), F.col(c)) for c in cols}, inv_cols)
+    return _finish(j, {c: F.coalesce(_new(c, j), F.col(c)) for c in cols}, inv_cols)
 
 
 def merge_masked(j: DataFrame, inv_cols: list[str], levels: list[str], status: str = "estado",
@@ -79,7 +79,7 @@ def merge_masked(j: DataFrame, inv_cols: list[str], levels: list[str], status: s
         ex[c] = F.when(ok, _new(c, j)).otherwise(old)
     ex[status] = F.coalesce(_new(status), F.col(status))
     ex[stamp] = F.coalesce(_new(stamp), F.col(stamp))
-    return _finish(j, levels, ex, inv_cols)
+    return _finish(j, ex, inv_cols)
 
 
 def merge_masked_clean(j: DataFrame, inv_cols: list[str], levels: list[str], status: str = "estado",
@@ -108,4 +108,4 @@ def merge_masked_clean(j: DataFrame, inv_cols: list[str], levels: list[str], sta
         ex[c] = F.when(applies & ok, cleaned).when(applies, old).otherwise(F.col(c))
     ex[status] = F.coalesce(_new(status), F.coalesce(F.col(status), F.lit("")))
     ex[stamp] = F.coalesce(_new(stamp), F.coalesce(F.col(stamp), F.lit("")))
-    return _finish(j, levels, ex, inv_cols)
+    return _finish(j, ex, inv_cols)

@@ -27,7 +27,7 @@ picks blocked only when it exceeds ``supplyscope.series.blockRows``.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,7 +46,6 @@ class SeriesPlan:
     order: list[str]
     blocked: bool
     block_col: str | None = None
-    extra: dict = field(default_factory=dict)
 
     @property
     def part_keys(self) -> list[str]:

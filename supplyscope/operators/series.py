@@ -67,22 +67,3 @@ def ema_weight(span: int = K.EMA_SPAN) -> Column:
     decay = F.pow(F.lit(1.0 - a), (m - i).cast("double"))
     return F.when(F.col(STEP), F.when(i == 1, F.pow(F.lit(1.0 - a), (m - 1).cast("double")))
                   .otherwise(F.lit(a) * decay))
-
-
-def positional_pairs(steps: DataFrame, keys: list[str], val: str) -> DataFrame:
-    """``(keys, x, y)`` pairs of the fallback regression.
-
-    x is the elapsed days of the i-th step row, y the level of the i-th row
-    of the unfiltered series.  Without ties (every row but the first is a
-    step) row i is the step row's predecessor, so y is the previous level
-    and no join is needed; series with ties are paired by an equi-join on
-    ``(keys, position)``, which spreads even a hot series over all tasks.
-    """
-    m, n = F.col(f"_tot_{STEP}"), F.col("_n")
-    plain = (steps.filter(F.col(STEP) & (m == n - 1))
-             .select(*keys, F.col("days").alias("x"), F.col(f"_prev_{val}").alias("y")))
-    tied = steps.filter(m < n - 1)
-    xs = tied.filter(F.col(STEP)).select(*keys, F.col(f"_cum_{STEP}").alias("_pos"), F.col("days").alias("x"))
-    ys = tied.select(*keys, F.col("_rn").alias("_pos"), F.col(val).alias("y"))
-    paired = xs.join(ys, on=[*keys, "_pos"], how="inner").select(*keys, "x", "y")
-    return plain.unionByName(paired)

@@ -17,7 +17,6 @@ from supplyscope.functions import bands, scalars as S
 from supplyscope.operators import history as H
 from supplyscope.operators import merge as M
 from supplyscope.operators.reshape import unpivot_supplies
-from supplyscope.operators.sequencing import order_series
 from supplyscope.operators.series import STEP, ema_weight, step_table
 from supplyscope.plans import forecast_jobs as FJ
 from supplyscope.plans import refresh as R
