@@ -15,9 +15,13 @@ device holds a third of all readings.
   many contiguous blocks and ties on the time column are split by the
   tie-breaker), the block id is stored with a reliable checkpoint (so
   recomputation after an executor loss sees the same blocks), windows run
-  per ``(keys, block)``, and a summary table with one row per
+  per ``(series, block)``, and a summary table with one row per
   ``(series, block)`` -- at most ``blocks + series`` rows -- stitches
-  positions and previous-row values across block edges.
+  positions and previous-row values across block edges.  The series key is
+  carried as one struct column (never NULL; NULL parts compare equal), so
+  each stitch is a plain equi-join on the windows' own partitioning and the
+  large side is not shuffled again; each pass is stored with a reliable
+  checkpoint, so no branch recomputes an earlier pass.
 
 ``mode="auto"`` (default, or conf ``supplyscope.series.skewMode``) probes
 the largest series size with one aggregation over the key columns and
@@ -36,6 +40,7 @@ from supplyscope import config as K
 from supplyscope.session import conf_int, conf_str, ensure_checkpoint_dir
 
 BLOCK = "_blk"
+SKEY = "_sk"     # struct of the series key: never NULL, NULL parts compare equal
 
 
 @dataclass
@@ -49,7 +54,7 @@ class SeriesPlan:
 
     @property
     def part_keys(self) -> list[str]:
-        return self.keys + ([self.block_col] if self.blocked else [])
+        return [SKEY, self.block_col] if self.blocked else self.keys
 
 
 def _choose_mode(df: DataFrame, keys: list[str], mode: str | None, block_rows: int,
@@ -106,7 +111,8 @@ def order_series(df: DataFrame, keys: list[str], order: list[str], carry: list[s
     ensure_checkpoint_dir(spark)
     nparts = blocks or max(spark.sparkContext.defaultParallelism, math.ceil(total / block_rows))
     ranged = (df.repartitionByRange(nparts, *[F.col(k) for k in keys], *ordering)
-              .withColumn(BLOCK, F.spark_partition_id()))
+              .withColumn(BLOCK, F.spark_partition_id())
+              .withColumn(SKEY, F.struct(*[F.col(k) for k in keys])))
     # Store the block id: the range bounds come from a sample, so a
     # recomputed branch must never re-derive them.
     ranged = ranged.checkpoint(eager=True)
@@ -114,8 +120,14 @@ def order_series(df: DataFrame, keys: list[str], order: list[str], carry: list[s
     return _blocked_sequence(ranged, plan, carry), plan
 
 
+def _summary_window(plan: SeriesPlan):
+    sw = Window.partitionBy(SKEY).orderBy(plan.block_col)
+    return (sw.rowsBetween(Window.unboundedPreceding, -1),
+            sw.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing), sw)
+
+
 def _blocked_sequence(df: DataFrame, plan: SeriesPlan, carry: list[str]) -> DataFrame:
-    keys, order, pk = plan.keys, plan.order, plan.part_keys
+    order, pk = plan.order, plan.part_keys
     ordering = [F.col(c).asc_nulls_first() for c in order]
     w = Window.partitionBy(*pk).orderBy(*ordering)
     local = df.select("*", F.row_number().over(w).alias("_lrn"),
@@ -125,34 +137,19 @@ def _blocked_sequence(df: DataFrame, plan: SeriesPlan, carry: list[str]) -> Data
     summ = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_c"),
                                F.max_by(state, key_struct).alias("_last"),
                                F.min_by(state, key_struct).alias("_bfirst"))
-    sw = Window.partitionBy(*keys).orderBy(plan.block_col)
-    whole = Window.partitionBy(*keys)
+    before, whole, sw = _summary_window(plan)
     summ = summ.select(
         *pk,
-        F.coalesce(F.sum("_c").over(sw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
         F.sum("_c").over(whole).alias("_n"),
         F.lag("_last").over(sw).alias("_plast"),
-        F.min_by("_bfirst", F.col(plan.block_col)).over(whole).alias("_sfirst"),
+        F.first("_bfirst").over(whole).alias("_sfirst"),
     )
-    j = _join_keys(local, summ, pk)
-    cols = [c for c in df.columns]
-    out = j.select(*cols, (F.col("_lrn") + F.col("_off")).cast("int").alias("_rn"), F.col("_n"),
-                   *[F.when(F.col("_lrn") == 1, F.col(f"_plast.{c}")).otherwise(F.col(f"_lprev_{c}"))
-                     .alias(f"_prev_{c}") for c in carry],
-                   *[F.col(f"_sfirst.{c}").alias(f"_first_{c}") for c in carry])
-    return out
-
-
-def _join_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner equi-join on ``keys`` where NULL keys match (series may have a
-    NULL key part); the right side's key columns are dropped."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        e = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-        cond = e if cond is None else cond & e
-    return left.join(r, cond, "inner").drop(*[f"_r_{k}" for k in keys])
+    j = local.join(summ, on=pk, how="inner")
+    return j.select(*df.columns, (F.col("_lrn") + F.col("_off")).cast("int").alias("_rn"), F.col("_n"),
+                    *[F.when(F.col("_lrn") == 1, F.col(f"_plast.{c}")).otherwise(F.col(f"_lprev_{c}"))
+                      .alias(f"_prev_{c}") for c in carry],
+                    *[F.col(f"_sfirst.{c}").alias(f"_first_{c}") for c in carry])
 
 
 def running_count(df: DataFrame, plan: SeriesPlan, flag: str) -> DataFrame:
@@ -172,11 +169,9 @@ def running_count(df: DataFrame, plan: SeriesPlan, flag: str) -> DataFrame:
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = df.select("*", F.sum(ind).over(w).alias("_lcum"))
     summ = df.groupBy(*pk).agg(F.sum(ind).alias("_fc"))
-    sw = Window.partitionBy(*plan.keys).orderBy(plan.block_col)
-    summ = summ.select(*pk,
-                       F.coalesce(F.sum("_fc").over(sw.rowsBetween(Window.unboundedPreceding, -1)),
-                                  F.lit(0)).alias("_foff"),
-                       F.sum("_fc").over(Window.partitionBy(*plan.keys)).alias("_ftot"))
-    j = _join_keys(local, summ, pk)
+    before, whole, _ = _summary_window(plan)
+    summ = summ.select(*pk, F.coalesce(F.sum("_fc").over(before), F.lit(0)).alias("_foff"),
+                       F.sum("_fc").over(whole).alias("_ftot"))
+    j = local.join(summ, on=pk, how="inner")
     return j.select(*df.columns, (F.col("_lcum") + F.col("_foff")).cast("int").alias(f"_cum_{flag}"),
                     F.col("_ftot").cast("int").alias(f"_tot_{flag}"))
