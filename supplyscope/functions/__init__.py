@@ -16,5 +16,6 @@ from supplyscope.functions.bands import (  # noqa: F401
     alert_band,
     alert_band2,
     classify_status,
+    level_severity,
     severity,
 )

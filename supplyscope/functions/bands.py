@@ -63,6 +63,15 @@ def severity(c, low_below: float = K.SEVERITY_LOW_BELOW) -> Column:
             .when(v.endswith("%") & (num < F.lit(float(low_below))), F.lit(K.SEVERITY_LOW)))
 
 
+def level_severity(level, low_below: float = K.SEVERITY_LOW_BELOW) -> Column:
+    """Severity of a numeric level as its cleaned percent cell would get it:
+    the cell reads ``rint(level)%``, so ``critical`` when that is 0 and
+    ``low`` when it is below ``low_below``."""
+    r = F.rint(F.col(level) if isinstance(level, str) else level)
+    return (F.when(r == F.lit(0.0), F.lit(K.SEVERITY_CRITICAL))
+            .when(r < F.lit(float(low_below)), F.lit(K.SEVERITY_LOW)))
+
+
 def alert_band(days, critical: float = K.ALERT_CRITICAL_DAYS, medium: float = K.ALERT_MEDIUM_DAYS,
                low: float = K.ALERT_LOW_STOCK_DAYS) -> Column:
     """Days left (already rounded) -> five-level alert label."""

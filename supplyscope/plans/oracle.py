@@ -576,6 +576,8 @@ def oracle_sql() -> dict[str, str]:
             """sl AS (SELECT *, row_number() OVER (PARTITION BY device, supply ORDER BY ts DESC NULLS LAST, seq DESC) AS r,
                   max(ts) OVER (PARTITION BY device, supply) AS last_ts,
                   count(*) OVER (PARTITION BY device, supply) AS n FROM readings_long)"""
-        ) + "SELECT device, supply, last_ts, pct, n FROM sl WHERE r = 1",
+        ) + ("SELECT device, supply, last_ts, pct, n, CASE WHEN round_even(pct, 0) = 0 THEN 'critical' "
+             f"WHEN round_even(pct, 0) < {float(K.SEVERITY_LOW_BELOW)!r} THEN 'low' END AS severity "
+             "FROM sl WHERE r = 1"),
     }
     return sql

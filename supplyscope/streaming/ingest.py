@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from supplyscope.functions.bands import level_severity
 from supplyscope.functions.scalars import parse_ts
 from supplyscope.session import scratch_path
 from supplyscope.sources import fixtures as X
@@ -47,11 +48,13 @@ def dedupe_stream(stream: DataFrame, late: str = "1 day") -> DataFrame:
 
 
 def latest_stream(stream: DataFrame) -> DataFrame:
-    """Readings -> latest level per (device, supply), a complete-mode table."""
-    return stream.groupBy("device", "supply").agg(
+    """Readings -> latest level and its severity per (device, supply), a
+    complete-mode table (state: one row per series)."""
+    latest = stream.groupBy("device", "supply").agg(
         F.max("ts").alias("last_ts"),
         F.max_by("pct", F.struct("ts", "seq")).alias("pct"),
         F.count(F.lit(1)).alias("n"))
+    return latest.withColumn("severity", level_severity("pct"))
 
 
 def run_append(df: DataFrame, out: str, checkpoint: str) -> None:

@@ -114,3 +114,10 @@ def test_classify_status(spark, variant, expected):
     got = [r[0] for r in df.orderBy("i").select(
         bands.classify_status("o", F.col("rule"), F.col("zero"), variant)).collect()]
     assert got == expected
+
+
+def test_level_severity_matches_cleaned_text(spark):
+    vals = [0.4, -0.4, 0.5, 1.5, 10.4, 10.5, 11.0, -3.0, None]
+    got = col_of(spark, vals, bands.level_severity, "double")
+    via_text = col_of(spark, vals, lambda c: bands.severity(S.clean_pct(c.cast("string"), "x")), "double")
+    assert got == via_text == ["critical", "critical", "critical", "low", "low", "low", None, "low", None]

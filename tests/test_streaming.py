@@ -36,5 +36,5 @@ def test_latest_level_complete_mode(spark):
     rows = [(1, 7, "click", t, 50.0), (2, 7, "click", t + dt.timedelta(days=1), 40.0), (3, 8, "view", t, 10.0)]
     spark.createDataFrame(rows, S.READING_SCHEMA).write.parquet(land)
     S.run_complete(S.latest_stream(spark.readStream.schema(S.READING_SCHEMA).parquet(land)), out, ck)
-    got = {(r.device, r.supply): (r.pct, r.n) for r in spark.read.parquet(out).collect()}
-    assert got == {(7, "click"): (40.0, 2), (8, "view"): (10.0, 1)}
+    got = {(r.device, r.supply): (r.pct, r.n, r.severity) for r in spark.read.parquet(out).collect()}
+    assert got == {(7, "click"): (40.0, 2, None), (8, "view"): (10.0, 1, "low")}
