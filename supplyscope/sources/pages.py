@@ -52,8 +52,10 @@ def gauge_array(html: Column, pattern: str = "nav") -> Column:
         pairs = F.arrays_zip(idx.alias("i"), txt.alias("t"))
         # Place every text at its own index (ids may come in any order).
         n = F.aggregate(idx, F.lit(0), lambda acc, x: F.greatest(acc, x.cast("int") + 1))
-        return F.transform(F.sequence(F.lit(0), n - 1),
-                           lambda k: F.element_at(F.filter(pairs, lambda p: p["i"].cast("int") == k), 1)["t"])
+        placed = F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.try_element_at(
+            F.filter(pairs, lambda p: p["i"].cast("int") == k), F.lit(1))["t"])
+        # sequence(0, -1) would count down: no gauge ids -> no gauges
+        return F.when(n > 0, placed).otherwise(F.array().cast("array<string>"))
     raise ValueError(f"unknown gauge pattern {pattern!r}")
 
 

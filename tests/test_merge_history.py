@@ -116,3 +116,19 @@ def test_clean_history_dedupes_first_logged(spark):
     assert c[0]["toner_negro"] == 50.0 and c[1]["toner_negro"] is None and c[2]["fecha"] is None
     exact = H.clean_history(raw, strip_status=False).orderBy("seq").collect()
     assert [r["seq"] for r in exact] == [2, 3, 5]
+
+
+def test_append_empty_batch_keeps_the_log(spark):
+    old = spark.createDataFrame([(1, "x", "1.1.1.1", "M", "5%", "OK", "t")], LOG)
+    out = H.append_history(old, _inv(spark).limit(0))
+    assert out.count() == 1 and out.columns == old.columns
+
+
+def test_poll_without_a_level_column(spark):
+    inv = _inv(spark).withColumn("toner_cian", F.lit("33%"))
+    poll = _poll(spark)                                   # no toner_cian column at all
+    j = M.merge_left(inv, poll, keys=["device_class", "ip"])
+    out = _by_id(M.merge_masked_clean(j, inv.columns, ["toner_negro", "toner_cian"], class_col=None,
+                                      on_fail="0%"))
+    assert out[6]["toner_cian"] == "0%"                    # OK poll, no value: the class failure value
+    assert out[2]["toner_cian"] == "33%"                   # failed poll keeps the old level

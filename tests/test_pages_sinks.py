@@ -98,3 +98,12 @@ def test_row_id_nested_tables(spark):
     df = spark.createDataFrame([(1, "u", html, "x"), (2, "u", None, "x")], PAGE)
     got = [(r.page_id, r.gauge_ix, r.text) for r in G.extract_gauges(df, "row_id").orderBy("gauge_ix").collect()]
     assert got == [(1, 0, "80%"), (1, 1, "60%"), (1, 2, "40%"), (1, 3, "30%")]
+
+
+def test_malformed_html_does_not_fail(spark):
+    bad = ['<span id="SupplyGauge0">85%', '<<<>>', '<li><a href="/x">unclosed', '<span id="SupplyGauge0">9%</span']
+    df = spark.createDataFrame([(i, "u", h, "HP Planta") for i, h in enumerate(bad)], PAGE)
+    out = {r.page_id: (r.outcome, r.toner_negro) for r in G.gauges_to_supplies(df, "supply_gauge").collect()}
+    assert out[1] == ("element_missing", "") and out[2] == ("element_missing", "")
+    assert out[0] == ("element_missing", "") and out[3][0] == "ok"
+    assert G.extract_gauges(df, "row_id").count() == 0
