@@ -23,8 +23,6 @@ WHITESPACE = " \t\n\r\x0b\x0c"
 # malformed arrangements this accepts exactly the strings of NUMBER_RE.
 _NUMBER_CHARS = "0123456789.+-eE"
 
-# Timestamp text written by the poller ("%Y-%m-%d %H:%M:%S").
-TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 _BIGINT_LIMIT = 9.2e18
 
@@ -134,14 +132,39 @@ def fraction_to_pct(c) -> Column:
             .otherwise(v))
 
 
-def parse_ts(c, fmt: str = TS_FORMAT) -> Column:
-    """Timestamp text -> ``timestamp_ntz``; text that does not parse -> NULL."""
-    return F.try_to_timestamp(_c(c), F.lit(fmt)).cast("timestamp_ntz")
+# Shape of the poller's stamp text; anything else is not a stamp.
+TS_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+
+
+def parse_ts(c) -> Column:
+    """Stamp text ``yyyy-MM-dd HH:mm:ss`` -> ``timestamp_ntz``; other text or
+    an impossible date -> NULL.
+
+    Parsed straight to a wall-clock timestamp (``try_cast`` to NTZ), never
+    through the session time zone, so a stamp inside a DST gap keeps its
+    wall time whatever ``spark.sql.session.timeZone`` is.
+    """
+    t = _c(c)
+    return F.when(t.rlike(TS_SHAPE), t.try_cast("timestamp_ntz"))
+
+
+def wall_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a wall-clock (NTZ) timestamp,
+    from its date and time fields: no session time zone is involved."""
+    t = _c(ts)
+    day = F.unix_date(F.to_date(t)).cast("bigint")
+    sec = (F.extract(F.lit("SECOND"), t) * F.lit(1000000)).cast("bigint")   # seconds with fraction
+    return (day * F.lit(86400000000) + F.hour(t).cast("bigint") * F.lit(3600000000)
+            + F.minute(t).cast("bigint") * F.lit(60000000) + sec)
 
 
 def elapsed_micros(start, end) -> Column:
-    """Microseconds from ``start`` to ``end`` (works on timestamp_ntz)."""
-    return F.timestamp_diff("MICROSECOND", _c(start), _c(end))
+    """Wall-clock microseconds from ``start`` to ``end`` (timestamp_ntz).
+
+    Not ``timestampdiff``: it converts NTZ values through the session time
+    zone, which would shorten or stretch a day that crosses a DST change.
+    """
+    return wall_micros(end) - wall_micros(start)
 
 
 def add_days(ts, days) -> Column:

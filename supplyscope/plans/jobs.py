@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from supplyscope.functions.scalars import parse_ts, wall_micros
 from supplyscope.operators.history import history_batch
 from supplyscope.plans.forecast_jobs import fleet_forecast_ema, fleet_forecast_linear
 from supplyscope.plans.refresh import refresh_inventory
@@ -47,7 +48,7 @@ def refresh_job(spark: SparkSession, inventory_path: str, poll_path: str, out_pa
     if not log_path:
         return 0
     done = read_class_tables(spark, out_path, classes)
-    stamp = F.unix_timestamp(F.col("marca_de_tiempo"), "yyyy-MM-dd HH:mm:ss")
+    stamp = wall_micros(parse_ts("marca_de_tiempo")) / F.lit(1000000)
     seq = F.coalesce(stamp, F.lit(0)).cast("bigint") * F.lit(SEQ_PER_RUN) + F.col("device_id")
     return append_log(history_batch(done.withColumn("seq", seq)), log_path)
 

@@ -98,7 +98,7 @@ def history_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("seq") % 10 == 3, F.lit("Fuera de Red")).when(F.col("seq") % 10 == 4, F.lit(" OK "))
         .otherwise(F.lit("OK")).alias("estado"),
         F.when(F.col("seq") % 97 == 0, F.lit("not a date"))
-        .otherwise(F.date_trunc("second", F.col("ts")).cast("string")).alias("marca_de_tiempo"),
+        .otherwise(F.substring(F.col("ts").cast("string"), 1, 19)).alias("marca_de_tiempo"),
     )
 
 
