@@ -22,6 +22,18 @@ SUPPLY_COLUMNS: dict[str, str] = {
     "Kit Alim.": "kit_alim",
 }
 
+# Imaging-unit levels of the generation-11 colour sheet (never logged).
+IMAGING_COLUMNS: dict[str, str] = {
+    "UI Negro": "ui_negro",
+    "UI Cian": "ui_cian",
+    "UI Magenta": "ui_magenta",
+    "UI Amarillo": "ui_amarillo",
+}
+
+# Level columns of that sheet, in sheet order (toner and imaging unit per colour).
+COLOR11_LEVELS: tuple[str, ...] = ("toner_negro", "ui_negro", "toner_cian", "ui_cian",
+                                   "toner_magenta", "ui_magenta", "toner_amarillo", "ui_amarillo")
+
 # Columns of the history log, in log order: display name -> internal name.
 HISTORY_COLUMNS: dict[str, str] = {
     "Nombre": "nombre",

@@ -204,6 +204,10 @@ def refresh_inventory_mono(spark, d):
     return R.refresh_inventory_mono(X.inventory_raw(spark, d), _poll(spark, d, by_class=False, variant="v11"))
 
 
+def refresh_inventory_color(spark, d):
+    return R.refresh_inventory_color11(X.inventory_raw(spark, d), _poll(spark, d, by_class=False, variant="v8"))
+
+
 def severity_counts(spark, d):
     return P.severity_counts(refresh_inventory(spark, d))
 
@@ -363,6 +367,7 @@ def queries() -> dict[str, Query]:
         "merge_masked_clean": merge_masked_clean,
         "refresh_inventory": refresh_inventory,
         "refresh_inventory_mono": refresh_inventory_mono,
+        "refresh_inventory_color": refresh_inventory_color,
         "severity_counts": severity_counts,
         "history_append": history_append,
         "clean_history": clean_history,

@@ -523,6 +523,16 @@ def oracle_sql() -> dict[str, str]:
                 FROM mm)""",
         ) + (f"SELECT {pcl}, ip, modelo, {fraction_pct('toner_negro')} AS toner_negro, "
              f"{fraction_pct('ui_negro')} AS ui_negro, estado, marca_de_tiempo FROM mm2"),
+        "refresh_inventory_color": _with(
+            *_poll_ctes("v8", by_class=False, name="poll_c"),
+            f"""inv_c AS (SELECT device_id, nombre, device_class, {fmt_ip('ip')} AS ip, modelo, toner_negro, ui_negro,
+                  estado, marca_de_tiempo FROM inventory_raw)""",
+            f"""mc AS (SELECT i.*, {clean_pct_sql('p.toner_negro', '')} AS tn_new, {clean_pct_sql('p.ui_negro', '')} AS ui_new,
+                  p.estado AS estado_new, p.marca_de_tiempo AS marca_new FROM inv_c i LEFT JOIN poll_c p ON i.ip = p.ip)""",
+        ) + (f"SELECT {pcl}, ip, modelo, "
+             "CASE WHEN estado_new = 'OK' THEN tn_new ELSE toner_negro END AS toner_negro, "
+             "CASE WHEN estado_new = 'OK' THEN ui_new ELSE ui_negro END AS ui_negro, "
+             "coalesce(estado_new, estado) AS estado, coalesce(marca_new, marca_de_tiempo) AS marca_de_tiempo FROM mc"),
         "severity_counts": _with(*_refresh_ctes()) + (
             f"SELECT device_class, 'Toner Negro' AS consumible, {severity_sql('toner_negro')} AS severity, "
             "count(*) AS cells FROM refreshed GROUP BY ALL"),

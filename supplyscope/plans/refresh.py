@@ -76,3 +76,19 @@ def refresh_inventory_mono(inventory: DataFrame, poll: DataFrame, levels: list[s
     j = merge_left(inv, poll, keys=["ip"], dedupe_tie="seq")
     m = merge_masked(j, inv.columns, levels, blank_old=True)
     return m.select(*[fraction_to_pct(c).alias(c) if c in levels else F.col(c) for c in m.columns])
+
+
+def refresh_inventory_color11(inventory: DataFrame, poll: DataFrame,
+                              levels: tuple[str, ...] = K.COLOR11_LEVELS) -> DataFrame:
+    """Generation-11 colour sheet: poll texts are cleaned to rounded percent
+    text when read (the original cleans them again on merge, a no-op since
+    cleaning is idempotent), levels change only where the poll status is OK,
+    old levels are kept as they are (no blanking), status and stamp are
+    coalesced."""
+    from supplyscope.functions.scalars import clean_pct
+
+    inv = inventory.withColumn("ip", format_ip("ip"))
+    present = [c for c in levels if c in inv.columns]
+    cleaned = poll.select(*[clean_pct(c, "").alias(c) if c in present else F.col(c) for c in poll.columns])
+    j = merge_left(inv, cleaned, keys=["ip"], dedupe_tie="seq")
+    return merge_masked(j, inv.columns, present)

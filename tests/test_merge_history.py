@@ -132,3 +132,16 @@ def test_poll_without_a_level_column(spark):
                                       on_fail="0%"))
     assert out[6]["toner_cian"] == "0%"                    # OK poll, no value: the class failure value
     assert out[2]["toner_cian"] == "33%"                   # failed poll keeps the old level
+
+
+def test_refresh_color11_keeps_old_nulls_and_cleans_poll_text(spark):
+    inv = spark.createDataFrame([(1, "a", "x", "10.0.0.1", "M", None, "OK", "t0"),
+                                 (2, "b", "x", "10.0.0.2", "M", None, "OK", "t0")], INV) \
+        .withColumn("ui_negro", F.lit(None).cast("string"))
+    poll = spark.createDataFrame([("10001", 1, "55.5 %", "0.5", "OK", "t1"),
+                                  ("10002", 2, "", "", "Fuera de Red", "t1")],
+                                 "ip string, seq long, toner_negro string, ui_negro string, estado string, "
+                                 "marca_de_tiempo string")
+    out = _by_id(R.refresh_inventory_color11(inv, poll))
+    assert (out[1]["toner_negro"], out[1]["ui_negro"], out[1]["estado"]) == ("56%", "0%", "OK")
+    assert out[2]["toner_negro"] is None and out[2]["estado"] == "Fuera de Red"
