@@ -60,18 +60,21 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a private folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session (or the directory the
+    context already uses).  Only when neither exists and the master is local
+    (tests) a private folder is registered -- through
+    ``SparkContext.setCheckpointDir``, since Spark 4 forbids changing the
+    core setting at run time.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: reliable checkpoints and "
                                "staged tables must survive the loss of any executor")
         d = tempfile.mkdtemp(prefix="supplyscope-ckpt-")   # local tests only
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 

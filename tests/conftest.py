@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -12,8 +11,6 @@ def spark():
     from supplyscope.session import build_session
 
     s = build_session(master="local[*]", shuffle_partitions=8, app="supplyscope-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="supplyscope-test-ckpt-"))
     yield s
 
 
