@@ -27,8 +27,8 @@ def dedupe_first(df: DataFrame, keys: list[str], tie: str = "seq") -> DataFrame:
     Written as an aggregation -- ``min`` of a struct led by ``tie`` -- so a
     hot key (a group of copies holding a large share of all rows) is reduced
     map-side before the shuffle instead of landing whole in one task as a
-    ``row_number`` window would; the struct minimum runs in the object hash
-    aggregate, without sorting.
+    ``row_number`` window would (the struct minimum runs as a sort-based
+    aggregate, which spills instead of failing on large groups).
     """
     others = [c for c in df.columns if c not in keys and c != tie]
     row = F.struct(F.col(tie).alias(tie), *[F.col(c) for c in others])
