@@ -54,6 +54,11 @@ def probe_log(raw: DataFrame, strip_status: bool = True, ties: bool = True) -> d
     texts of one ip parse to the same instant (``min(text) != max(text)``
     per ip and instant), the only way a deduped series can hold timestamp
     ties; skipped (reported True) with ``ties=False``.
+
+    The probe is itself skew-safe: it first aggregates per (ip, instant),
+    which spreads a hot device over many groups, and only then per ip with
+    map-side partial aggregation -- partitioning by ip up front would put
+    the very device it is looking for into one task.
     """
     from supplyscope.functions.scalars import parse_ts
     from supplyscope.operators.history import filter_status
