@@ -61,9 +61,11 @@ def gauges_pivot(spark, d):
 
 # ------------------------------------------------- projections / filters
 def trim_columns(spark, d):
+    # Padded column names (as a spreadsheet export leaves them) -> trimmed.
+    # Internal names keep the result free of dots, which column references
+    # would read as struct access.
     h = X.history_raw(spark, d)
-    names = {v: k for k, v in K.HISTORY_COLUMNS.items()}
-    padded = h.toDF(*[f"  {names.get(c, c)} " for c in h.columns])
+    padded = h.toDF(*[f"  {c}\t " for c in h.columns])
     return H.trim_columns(padded)
 
 

@@ -446,8 +446,6 @@ def _gauges_pivot_sql() -> str:
 def oracle_sql() -> dict[str, str]:
     hist_cols = ", ".join(K.HISTORY_COLUMNS.values())
     cells = _cells("history_raw", "seq")
-    disp = {v: k for k, v in K.HISTORY_COLUMNS.items()}
-    trim_sel = ", ".join(["seq"] + [f'{c} AS "{disp[c]}"' for c in K.HISTORY_COLUMNS.values()])
     pcl = ", ".join(f"{c}" for c in ["device_id", "nombre", "device_class"])
     sql = {
         "scan_inventory": _with() + "SELECT * FROM inventory_raw",
@@ -459,7 +457,7 @@ def oracle_sql() -> dict[str, str]:
         ) + f"SELECT page_id, CAST(k - 1 AS INTEGER) AS gauge_ix, {strip('raw')} AS text FROM e2",
         "gauges_to_supplies": _gauges_sql(),
         "gauges_pivot": _gauges_pivot_sql(),
-        "trim_columns": _with() + f"SELECT {trim_sel} FROM history_raw",
+        "trim_columns": _with() + "SELECT * FROM history_raw",
         "filter_valid_key": _with() + (
             f"SELECT {pcl}, {fmt_ip('ip')} AS ip, modelo, toner_negro, ui_negro, estado, marca_de_tiempo "
             f"FROM inventory_raw WHERE {fmt_ip('ip')} IS NOT NULL"),
