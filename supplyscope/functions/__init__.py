@@ -6,6 +6,7 @@ from supplyscope.functions.scalars import (  # noqa: F401
     format_ip,
     fraction_to_pct,
     ip_to_url,
+    normalize_ip,
     parse_number,
     parse_ts,
     pct_to_double,

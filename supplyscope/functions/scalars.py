@@ -88,6 +88,20 @@ def format_ip(c, style: str = "current", null_check: bool = True) -> Column:
     return out
 
 
+# A valid dotted quad (each octet 0-255, no leading zeros).
+_OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+DOTTED_QUAD_RE = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}$"
+
+
+def normalize_ip(c) -> Column:
+    """Lossless key normalization: a key that already is a valid dotted quad
+    (after stripping) is kept as is; anything else goes through
+    :func:`format_ip`.  ``format_ip`` alone rewrites ``192.168.1.50`` to
+    ``192.168.15.0`` because it only counts digits."""
+    t = strip_ws(_c(c))
+    return F.when(t.rlike(DOTTED_QUAD_RE), t).otherwise(format_ip(c))
+
+
 def ip_to_url(c) -> Column:
     """Device key -> page URL; NULL for a missing or empty key."""
     ip = _c(c)

@@ -115,6 +115,10 @@ def format_ip_zero(spark, d):
     return _inv_ip(spark, d, S.format_ip("ip", "zero"))
 
 
+def normalize_ip(spark, d):
+    return _inv_ip(spark, d, S.normalize_ip("ip"))
+
+
 def _history_cells(spark, d):
     return unpivot_supplies(X.history_raw(spark, d), ["seq"], add_missing=True, value_type="string")
 
@@ -354,6 +358,7 @@ def queries() -> dict[str, Query]:
         "format_ip": format_ip,
         "format_ip_dots": format_ip_dots,
         "format_ip_zero": format_ip_zero,
+        "normalize_ip": normalize_ip,
         "unpivot_supplies": unpivot_supplies_q,
         "clean_pct_blank": clean_pct_blank,
         "clean_pct_zero": clean_pct_zero,

@@ -9,7 +9,7 @@ of :mod:`supplyscope.sources.fixtures` are repeated as CTEs.
 from __future__ import annotations
 
 from supplyscope import config as K
-from supplyscope.functions.scalars import NUMBER_RE
+from supplyscope.functions.scalars import DOTTED_QUAD_RE, NUMBER_RE
 from supplyscope.operators.series import ema_alpha
 from supplyscope.sources import fixtures as X
 from supplyscope.sources.pages import NAV_PATTERN
@@ -474,6 +474,9 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT device_id, ip, {fmt_ip('ip', 'dots', False)} AS ip_v6, {fmt_ip('ip', 'dots')} AS ip_v7 "
             "FROM inventory_raw"),
         "format_ip_zero": _with() + f"SELECT device_id, ip, {fmt_ip('ip', 'zero')} AS ip_fmt FROM inventory_raw",
+        "normalize_ip": _with() + (
+            f"SELECT device_id, ip, CASE WHEN regexp_full_match({strip('ip')}, {q(DOTTED_QUAD_RE)}) "
+            f"THEN {strip('ip')} ELSE {fmt_ip('ip')} END AS ip_fmt FROM inventory_raw"),
         "unpivot_supplies": _with() + _cells("history_raw", "seq, ip"),
         "clean_pct_blank": _with(f"c AS ({cells})") + f"SELECT *, {clean_pct_sql('valor', '')} AS out FROM c",
         "clean_pct_zero": _with(f"c AS ({cells})") + f"SELECT *, {clean_pct_sql('valor', '0%')} AS out FROM c",

@@ -121,3 +121,9 @@ def test_level_severity_matches_cleaned_text(spark):
     got = col_of(spark, vals, bands.level_severity, "double")
     via_text = col_of(spark, vals, lambda c: bands.severity(S.clean_pct(c.cast("string"), "x")), "double")
     assert got == via_text == ["critical", "critical", "critical", "low", "low", "low", None, "low", None]
+
+
+def test_normalize_ip_keeps_valid_quads(spark):
+    vals = [" 192.168.1.50 ", "192.168.1.1", "192.168.001.050", "10.0.0.256", "192168111210", None, "  "]
+    got = col_of(spark, vals, S.normalize_ip)
+    assert got == ["192.168.1.50", "192.168.1.1", "192.168.001.050", "100.025.6", "192.168.111.210", None, None]
