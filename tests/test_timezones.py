@@ -44,3 +44,34 @@ def test_forecast_across_dst_change_is_zone_independent(spark):
     madrid = _with_zone(spark, "Europe/Madrid", run)
     assert utc == madrid
     assert utc[2] == [i * 86400 * 10**6 for i in range(5)]      # whole days across the change
+
+
+def test_key_queries_match_oracle_under_other_session_settings(spark):
+    """ANSI off and a DST zone must not change any result."""
+    import duckdb
+
+    import __spark_entry__ as E
+
+    from .conftest import SF_SMALL
+    from .test_oracle import TABLES, _norm
+
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    names = ["forecast_ema_alerts", "forecast_linear_alerts", "clean_pct_blank", "fraction_to_pct",
+             "refresh_inventory", "project_date", "parse_ts", "gauges_to_supplies"]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.ansi.enabled", "spark.sql.session.timeZone")}
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        for name in names:
+            df = E.queries()[name](spark, SF_SMALL)
+            cols = sorted(df.columns)
+            got = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=repr)
+            cur = con.execute(E.oracle_sql()[name])
+            ocols = [d[0] for d in cur.description]
+            want = sorted((tuple(_norm(r[ocols.index(c)]) for c in cols) for r in cur.fetchall()), key=repr)
+            assert got == want, name
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
