@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from supplyscope import config as K
 from supplyscope.functions.bands import alert_band, alert_band2
-from supplyscope.functions.scalars import add_days, round_to
+from supplyscope.functions.scalars import add_days, parse_ts, pct_to_double, round_to
+from supplyscope.operators.history import filter_status
 from supplyscope.operators.reshape import unpivot_supplies
 from supplyscope.operators.sequencing import order_series
 from supplyscope.operators.series import STEP, days_between, ema_weight, step_table
@@ -60,9 +61,6 @@ def probe_log(raw: DataFrame, strip_status: bool = True, ties: bool = True) -> d
     map-side partial aggregation -- partitioning by ip up front would put
     the very device it is looking for into one task.
     """
-    from supplyscope.functions.scalars import parse_ts
-    from supplyscope.operators.history import filter_status
-
     ok = filter_status(raw.select("ip", "estado", "marca_de_tiempo"), strip=strip_status)
     if ties:
         per_ts = (ok.withColumn("fecha", parse_ts("marca_de_tiempo"))
@@ -176,8 +174,6 @@ def forecast_linear(clean: DataFrame, supplies: list[str] | None = None, mode: s
     ``dedupe=False`` and raw levels).  NULL ip/model groups are kept; the
     group name is the first logged one.
     """
-    from supplyscope.functions.scalars import pct_to_double
-
     long = _long_readings(clean, supplies, drop_null_keys=False, value_type="string")
     long = long.withColumn("_y", pct_to_double("valor"))
     valid = F.col("fecha").isNotNull() & F.col("valor").isNotNull() & F.col("_y").isNotNull()

@@ -24,6 +24,8 @@ from supplyscope.plans import report as P
 from supplyscope.sources import fixtures as X
 from supplyscope.sources import pages as G
 from supplyscope.sources import tables as T
+from supplyscope.session import scratch_path
+from supplyscope.streaming.ingest import stream_dedupe_history, stream_latest_levels
 
 Query = Callable[[SparkSession, str], DataFrame]
 READ_KEYS = ["device", "supply"]
@@ -39,8 +41,6 @@ def scan_history(spark, d):
 
 
 def scan_all_classes(spark, d):
-    from supplyscope.session import scratch_path
-
     path = scratch_path(spark, "classes")
     T.write_class_tables(X.inventory_raw(spark, d), path)
     return T.read_class_tables(spark, path)
@@ -329,14 +329,10 @@ def forecast_linear_alerts(spark, d):
 
 # ------------------------------------------------------------- streaming
 def stream_dedupe(spark, d):
-    from supplyscope.streaming.ingest import stream_dedupe_history
-
     return stream_dedupe_history(spark, d)
 
 
 def stream_latest(spark, d):
-    from supplyscope.streaming.ingest import stream_latest_levels
-
     return stream_latest_levels(spark, d)
 
 

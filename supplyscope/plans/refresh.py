@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from supplyscope import config as K
 from supplyscope.functions.bands import classify_status
-from supplyscope.functions.scalars import format_ip, fraction_to_pct
+from supplyscope.functions.scalars import clean_pct, format_ip, fraction_to_pct
 from supplyscope.operators.merge import merge_left, merge_masked, merge_masked_clean
 
 MONO_LEVELS = ["toner_negro", "ui_negro"]
@@ -85,8 +85,6 @@ def refresh_inventory_color11(inventory: DataFrame, poll: DataFrame,
     cleaning is idempotent), levels change only where the poll status is OK,
     old levels are kept as they are (no blanking), status and stamp are
     coalesced."""
-    from supplyscope.functions.scalars import clean_pct
-
     inv = inventory.withColumn("ip", format_ip("ip"))
     present = [c for c in levels if c in inv.columns]
     cleaned = poll.select(*[clean_pct(c, "").alias(c) if c in present else F.col(c) for c in poll.columns])
