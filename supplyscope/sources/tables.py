@@ -61,6 +61,32 @@ def read_history(spark: SparkSession, path: str, fmt: str = "parquet", **options
     return check_schema(df, ["ip", "estado", "marca_de_tiempo"], path)
 
 
+# Display name (sheet header) -> internal column.
+SHEET_COLUMNS: dict[str, str] = {**K.HISTORY_COLUMNS, **K.IMAGING_COLUMNS}
+
+
+def _internal_name(header: str) -> str:
+    h = header.strip()
+    if h in SHEET_COLUMNS:
+        return SHEET_COLUMNS[h]
+    return "_".join("".join(ch if ch.isalnum() else " " for ch in h.lower()).split())
+
+
+def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", device_class: str | None = None,
+               **options) -> DataFrame:
+    """A device sheet exported as text (CSV by default): header row with the
+    display names, every value kept as text (no type inference, as the
+    original forces text dtypes), padded headers trimmed, display names
+    mapped to internal columns (``Kit Mant.`` -> ``kit_mant``).  With
+    ``device_class`` the sheet's class is added as a column."""
+    df = (spark.read.format(fmt).option("header", True).option("inferSchema", False)
+          .options(**options).load(path))
+    df = df.toDF(*[_internal_name(c) for c in df.columns])
+    if device_class is not None:
+        df = df.withColumn("device_class", F.lit(device_class))
+    return check_schema(df, ["ip"], path)
+
+
 def write_class_tables(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """All device classes as one dataset partitioned by ``device_class``.
 

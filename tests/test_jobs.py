@@ -78,3 +78,29 @@ def test_overwrite_refuses_same_path(spark):
     p = scratch_path(spark, "same")
     with pytest.raises(ValueError):
         J.forecast_job(spark, p, p)
+
+
+def test_read_sheet_export_and_refresh(spark):
+    import os
+
+    from supplyscope.session import scratch_path as sp
+
+    d = sp(spark, "sheet").replace("file:", "")
+    path = os.path.join(d, "hp_admin.csv")
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write(" Nombre ,IP, Modelo ,Toner Negro,Kit Mant.,Kit Alim.,Estado,Marca de Tiempo\n")
+        fh.write("Lobby,192.168.111.210,M1,85%,,0.5,OK,2024-01-01 00:00:00\n")
+        fh.write("Store,  ,M2,007,40%,,Fuera de Red,\n")
+    sheet = T.read_sheet(spark, path, device_class="HP Admin")
+    assert sheet.columns == ["nombre", "ip", "modelo", "toner_negro", "kit_mant", "kit_alim", "estado",
+                             "marca_de_tiempo", "device_class"]
+    assert {f.dataType.simpleString() for f in sheet.schema.fields} == {"string"}
+    rows = {r.nombre: r for r in sheet.collect()}
+    assert rows["Store"].toner_negro == "007" and rows["Lobby"].kit_alim == "0.5"
+    poll = spark.createDataFrame([("HP Admin", "192.168.111.210", 1, "12.5 %", "", "", "OK", "t1")],
+                                 "device_class string, ip string, seq long, toner_negro string, kit_mant string, "
+                                 "kit_alim string, estado string, marca_de_tiempo string")
+    out = {r.nombre: r for r in refresh_inventory(sheet, poll).collect()}
+    assert (out["Lobby"].toner_negro, out["Lobby"].kit_mant, out["Lobby"].estado) == ("12%", "", "OK")
+    assert out["Store"].ip is None and out["Store"].toner_negro == "007"
