@@ -109,3 +109,31 @@ def test_forecast_independent_of_partitioning_and_order(spark):
     shuffled = raw.repartition(7).orderBy(F.rand(3))
     b = {tuple(r) for r in forecast_ema(H.clean_history(shuffled), mode="off").collect()}
     assert a == b
+
+
+def test_masked_merge_is_idempotent(spark):
+    from supplyscope.operators import merge as M
+    from supplyscope.plans import refresh as R
+
+    inv = X.inventory_raw(spark, SF_SMALL).withColumn("ip", S.format_ip("ip"))
+    poll = R.poll_results(X.poll_raw(spark, SF_SMALL), X.inventory_raw(spark, SF_SMALL))
+    once = M.merge_masked_clean(M.merge_left(inv, poll, keys=["device_class", "ip"]), inv.columns,
+                                ["toner_negro"], class_col="device_class")
+    twice = M.merge_masked_clean(M.merge_left(once, poll, keys=["device_class", "ip"]), once.columns,
+                                 ["toner_negro"], class_col="device_class")
+    assert {tuple(r) for r in once.collect()} == {tuple(r) for r in twice.collect()}
+
+
+def test_ema_of_a_constant_rate_is_that_rate(spark):
+    import datetime as dt
+
+    from supplyscope.operators.forecast import forecast_ema
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i + 1, "n", "a", "M", 90.0 - 1.5 * d, None, None, None, None, None, base + dt.timedelta(days=d))
+            for i, d in enumerate([0, 1, 3, 4, 7, 8, 10, 13, 14, 20, 21, 22])]
+    df = spark.createDataFrame(rows, "seq long, nombre string, ip string, modelo string, toner_negro double, "
+                                     "toner_cian double, toner_magenta double, toner_amarillo double, "
+                                     "kit_mant double, kit_alim double, fecha timestamp_ntz")
+    r = forecast_ema(df, mode="off").first()
+    assert r.consumo_diario == 1.5 and r.dias_restantes == round((90.0 - 1.5 * 22) / 1.5, 1)
