@@ -8,14 +8,20 @@ log, see :func:`supplyscope.operators.forecast.probe_log`):
   satisfies the dedupe (clusters on ip, stamp), the series windows (ip,
   model, supply) and the final aggregate (ip, model, supply), so the whole
   forecast runs with one shuffle of the wide log rows;
-* some device is hot -> the dedupe keeps its map-side partial aggregation
-  (copies reduced before the shuffle) and the series are range-split into
-  blocks (:mod:`supplyscope.operators.sequencing`).
+* some devices are hot -> the log is split by device.  The hot devices'
+  rows (a broadcast list of at most ``total / blockRows`` keys, matched
+  null-safely) keep the dedupe's map-side partial aggregation and have
+  their series range-split into blocks
+  (:mod:`supplyscope.operators.sequencing`); every other device keeps the
+  one-exchange plan.  Series never span devices, so the two forecasts are
+  disjoint and are unioned.  Only the hot share of the data pays for the
+  range split and its checkpoint.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from supplyscope import config as K
 from supplyscope.functions.scalars import parse_ts
@@ -25,17 +31,35 @@ from supplyscope.operators.forecast import (forecast_ema, forecast_linear, probe
 from supplyscope.session import conf_int
 
 
-def _hot(raw: DataFrame, bound: tuple[int, int]) -> bool:
-    limit = conf_int(raw.sparkSession, K.SERIES_BLOCK_ROWS_CONF, K.SERIES_BLOCK_ROWS_DEFAULT)
-    return bound[0] > limit
+def _limit(raw: DataFrame) -> int:
+    return conf_int(raw.sparkSession, K.SERIES_BLOCK_ROWS_CONF, K.SERIES_BLOCK_ROWS_DEFAULT)
+
+
+def split_hot_devices(raw: DataFrame, limit: int, strip_status: bool) -> tuple[DataFrame, DataFrame]:
+    """(hot rows, other rows) of a raw log: hot devices hold more than
+    ``limit`` rows with a valid status.  The hot list has at most
+    ``total / limit`` keys, so it is broadcast; NULL is a key like any other
+    (the linear forecast keeps NULL groups)."""
+    ok = H.filter_status(raw.select("ip", "estado"), strip=strip_status)
+    hot = F.broadcast(ok.groupBy("ip").count().filter(F.col("count") > F.lit(limit))
+                      .select(F.col("ip").alias("_hot_ip")))
+    match = F.col("ip").eqNullSafe(F.col("_hot_ip"))
+    return raw.join(hot, match, "left_semi"), raw.join(hot, match, "left_anti")
 
 
 def fleet_forecast_ema(raw: DataFrame, alerts: bool = True, **kw) -> DataFrame:
     """EMA forecast (+ five-level alerts) of a raw history log."""
     probe = probe_log(raw)
-    hot = _hot(raw, probe["bound"])
-    src = raw if hot else raw.repartition("ip")
-    out = forecast_ema(H.clean_history(src), bound=probe["bound"], ties=probe["ties"], **kw)
+    limit = _limit(raw)
+
+    def run(src: DataFrame, mode: str) -> DataFrame:
+        return forecast_ema(H.clean_history(src), mode=mode, bound=probe["bound"], ties=probe["ties"], **kw)
+
+    if probe["bound"][0] <= limit:
+        out = run(raw.repartition("ip"), "off")
+    else:
+        hot, cold = split_hot_devices(raw, limit, strip_status=True)
+        out = run(cold.repartition("ip"), "off").unionByName(run(hot, "force"))
     return with_alerts(out) if alerts else out
 
 
@@ -43,8 +67,15 @@ def fleet_forecast_linear(raw: DataFrame, alerts: bool = True, **kw) -> DataFram
     """Linear forecast (+ two-level alert) of a raw history log: exact
     status filter, no dedupe, levels parsed per series."""
     probe = probe_log(raw, strip_status=False, ties=False)
-    hot = _hot(raw, probe["bound"])
-    ok = H.filter_status(raw, strip=False)
-    src = ok if hot else ok.repartition("ip")
-    out = forecast_linear(src.withColumn("fecha", parse_ts("marca_de_tiempo")), bound=probe["bound"], **kw)
+    limit = _limit(raw)
+
+    def run(src: DataFrame, mode: str) -> DataFrame:
+        ok = H.filter_status(src, strip=False).withColumn("fecha", parse_ts("marca_de_tiempo"))
+        return forecast_linear(ok, mode=mode, bound=probe["bound"], **kw)
+
+    if probe["bound"][0] <= limit:
+        out = run(raw.repartition("ip"), "off")
+    else:
+        hot, cold = split_hot_devices(raw, limit, strip_status=False)
+        out = run(cold.repartition("ip"), "off").unionByName(run(hot, "force"))
     return with_alerts2(out) if alerts else out

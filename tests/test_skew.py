@@ -45,3 +45,25 @@ def test_hot_series_steps_equal_plain(spark):
     finally:
         spark.conf.unset(K.SERIES_BLOCK_ROWS_CONF)
     assert blocked == plain
+
+
+def test_only_the_hot_device_takes_the_blocked_path(spark):
+    from supplyscope.operators import history as H
+    from supplyscope.operators.forecast import forecast_ema
+    from supplyscope.plans.forecast_jobs import fleet_forecast_ema, split_hot_devices
+
+    raw = X.history_raw(spark, "/root/testdata/sf0.01")
+    hot_ip = "192.168.100.0"
+    skewed = raw.withColumn("ip", F.when(F.col("seq") % 3 == 0, F.lit(hot_ip)).otherwise(F.col("ip")))
+    hot, cold = split_hot_devices(skewed, 1000, strip_status=True)
+    assert [r.ip for r in hot.select("ip").distinct().collect()] == [hot_ip]
+    assert cold.filter(F.col("ip") == hot_ip).count() == 0
+    assert hot.count() + cold.count() == skewed.count()
+
+    plain = {tuple(r) for r in forecast_ema(H.clean_history(skewed), mode="off").collect()}
+    spark.conf.set(K.SERIES_BLOCK_ROWS_CONF, "1000")
+    try:
+        split = {tuple(r) for r in fleet_forecast_ema(skewed, alerts=False).collect()}
+    finally:
+        spark.conf.unset(K.SERIES_BLOCK_ROWS_CONF)
+    assert split == plain
