@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from supplyscope import config as K
 from supplyscope.functions.scalars import elapsed_micros
 from supplyscope.operators.sequencing import SeriesPlan, order_series, running_count
+from supplyscope.session import conf_int
 
 STEP = "_step"   # flag: row has positive elapsed time since the previous row
 
@@ -67,3 +68,30 @@ def ema_weight(span: int = K.EMA_SPAN) -> Column:
     decay = F.pow(F.lit(1.0 - a), (m - i).cast("double"))
     return F.when(F.col(STEP), F.when(i == 1, F.pow(F.lit(1.0 - a), (m - 1).cast("double")))
                   .otherwise(F.lit(a) * decay))
+
+
+def step_table_split(df: DataFrame, keys: list[str], ts: str = "ts", tie: str = "seq", val: str = "pct",
+                     block_rows: int | None = None) -> DataFrame:
+    """:func:`step_table` with hot series split off.
+
+    One size probe per series key; when no series exceeds ``block_rows`` this
+    is the plain one-exchange form.  Otherwise the hot series (a broadcast
+    list of at most ``total / block_rows`` keys, matched null-safely) go
+    through the blocked form and every other series keeps the plain form;
+    series are disjoint, so the two results are unioned.
+    """
+    limit = block_rows or conf_int(df.sparkSession, K.SERIES_BLOCK_ROWS_CONF, K.SERIES_BLOCK_ROWS_DEFAULT)
+    sizes = df.groupBy(*keys).count()
+    row = sizes.agg(F.max("count").alias("mx"), F.sum("count").alias("tot")).first()
+    mx, tot = int(row["mx"] or 0), int(row["tot"] or 0)
+    if mx <= limit:
+        return step_table(df, keys, ts, tie, val, mode="off", bound=(mx, tot))[0]
+    hot_keys = F.broadcast(sizes.filter(F.col("count") > F.lit(limit))
+                           .select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
+    match = None
+    for k in keys:
+        e = F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
+        match = e if match is None else match & e
+    cold = step_table(df.join(hot_keys, match, "left_anti"), keys, ts, tie, val, mode="off", bound=(mx, tot))[0]
+    hot = step_table(df.join(hot_keys, match, "left_semi"), keys, ts, tie, val, mode="force", bound=(mx, tot))[0]
+    return cold.unionByName(hot.select(*cold.columns))

@@ -17,7 +17,7 @@ from supplyscope.functions import bands, scalars as S
 from supplyscope.operators import history as H
 from supplyscope.operators import merge as M
 from supplyscope.operators.reshape import unpivot_supplies
-from supplyscope.operators.series import STEP, ema_weight, step_table
+from supplyscope.operators.series import STEP, ema_weight, step_table_split
 from supplyscope.plans import forecast_jobs as FJ
 from supplyscope.plans import refresh as R
 from supplyscope.plans import report as P
@@ -243,7 +243,7 @@ def group_name_latest(spark, d):
 # ------------------------------------------------------- series / windows
 def _steps(spark, d):
     r = X.readings_long(spark, d).filter(F.col("ts").isNotNull() & F.col("pct").isNotNull())
-    return step_table(r, READ_KEYS, ts="ts", tie="seq", val="pct")[0]
+    return step_table_split(r, READ_KEYS, ts="ts", tie="seq", val="pct")
 
 
 def elapsed_days(spark, d):

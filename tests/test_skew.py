@@ -67,3 +67,14 @@ def test_only_the_hot_device_takes_the_blocked_path(spark):
     finally:
         spark.conf.unset(K.SERIES_BLOCK_ROWS_CONF)
     assert split == plain
+
+
+def test_step_table_split_equals_plain(spark):
+    from supplyscope.operators.series import step_table_split
+
+    df = _skewed(spark)
+    cols = ["seq", "days", "delta_days", "delta_pct", "rate", "_cum__step", "_tot__step", "_rn", "_n"]
+    plain = {r.seq: tuple(r) for r in step_table(df, ["device", "supply"], mode="off")[0].select(*cols).collect()}
+    split = {r.seq: tuple(r) for r in step_table_split(df, ["device", "supply"], block_rows=500)
+             .select(*cols).collect()}
+    assert split == plain
