@@ -29,7 +29,8 @@ WEIGHTS = (5, 2, 1)        # in turn, over the sources in code-point order
 MAX_REPEATS = 3
 BLOCK = 64                 # words of a block
 SHARD_SLOTS = 4096         # slots of an output shard
-BUCKET_DOCS = 50_000       # documents of one piece of a source's stream
+PIECE_DOCS = 2_000         # documents of one piece of a source's stream
+TASK_SLOTS = 1 << 18       # slots that a task makes
 ROUNDS = 12                # swap-or-not rounds of a permutation
 _RUN = 4096                # longest array that one row explodes into
 
@@ -62,7 +63,8 @@ def sized(docs: DataFrame, key: str = "doc_id", source: str = "source", text: st
 def source_plan(sizes: DataFrame, block: int = BLOCK) -> DataFrame:
     """One row per source: size, weight, target, number of blocks, slots and
     the first slot. The windows run over the sources, not over documents."""
-    s = sizes.groupBy("src").agg(F.sum("size").alias("source_size"))
+    s = sizes.groupBy("src").agg(F.sum("size").alias("source_size"),
+                                 F.ceil(F.count(F.lit(1)) / F.lit(PIECE_DOCS)).alias("pieces"))
     s = s.withColumn("sid", F.row_number().over(Window.orderBy(F.col("src").asc_nulls_last())).cast("long") - 1)
     s = s.withColumn("w", F.element_at(F.array(*[F.lit(float(w)) for w in WEIGHTS]),
                                        (F.col("sid") % len(WEIGHTS)).cast("int") + 1))
@@ -84,7 +86,7 @@ def source_plan(sizes: DataFrame, block: int = BLOCK) -> DataFrame:
         F.col("blocks") * MAX_REPEATS)).otherwise(F.lit(0).cast("long")))
     s = s.withColumn("first_slot", F.sum("slots").over(Window.orderBy("sid")) - F.col("slots"))
     s = s.withColumn("all_slots", F.sum("slots").over(everything))
-    return s.select("sid", "src", "source_size", "target", "blocks", "slots", "first_slot", "all_slots")
+    return s.select("sid", "src", "source_size", "target", "blocks", "slots", "first_slot", "all_slots", "pieces")
 
 
 def packed(sizes: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:
@@ -93,9 +95,8 @@ def packed(sizes: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:
     The running sum is two-level: within hashed pieces of the stream, then over
     the pieces of a source, so no window holds a whole source.
     """
-    docs = sizes.join(plan.select("sid", "src", "source_size", "target"), sizes.src.eqNullSafe(plan.src)).drop("src")
-    pieces = max(1, -(-sizes.count() // BUCKET_DOCS))
-    docs = docs.withColumn("h", F.xxhash64(F.lit(seed), "doc")).withColumn("piece", F.pmod("h", F.lit(pieces)))
+    docs = sizes.join(plan.select("sid", "src", "source_size", "target", "pieces"), sizes.src.eqNullSafe(plan.src))
+    docs = docs.drop("src").withColumn("h", F.xxhash64(F.lit(seed), "doc")).withColumn("piece", F.pmod("h", "pieces"))
     order = Window.partitionBy("sid", "piece").orderBy("h", F.col("doc").asc_nulls_first(), "size")
     docs = docs.withColumn("_at", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     ahead = docs.groupBy("sid", "piece").agg(F.sum("size").alias("_n"))
@@ -109,7 +110,8 @@ def slots(plan: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS) -> Dat
     """The mix: one row per slot, ``(shard, slot, sid, block, pass)``."""
     runs = plan.where("slots > 0").withColumn(
         "_r", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(_RUN).cast("long"))))
-    runs = runs.repartition("sid", "_r")          # runs of slots, not sources, are what tasks get
+    total = plan.agg(F.max("all_slots")).first()[0] or 0
+    runs = runs.repartition(max(1, -(-total // TASK_SLOTS)), "sid", "_r")    # tasks get runs of slots, not sources
     s = runs.withColumn("j", F.explode(F.sequence("_r", F.least("slots", F.col("_r") + F.lit(_RUN)) - 1)))
     s = s.withColumn("at", permuted(F.col("first_slot") + F.col("j"), F.col("all_slots"), F.lit(seed), F.lit(-1)))
     s = s.withColumn("pass", F.floor(F.col("j") / F.col("blocks")))
@@ -135,14 +137,15 @@ def mix(docs: DataFrame, block: int = BLOCK, seed: int = 0, **names: str) -> Dat
     plan = reliable(source_plan(sizes, block))
     parts = pieces(packed(sizes, plan, seed), block)
     from_word = F.greatest(F.col("block") * block - F.col("start"), F.lit(0))
-    return slots(plan, seed).join(parts, ["sid", "block"]).select(
+    return slots(plan, seed).join(parts.hint("merge"), ["sid", "block"]).select(
         "shard", "slot", "sid", "block", "pass", "doc", from_word.alias("from_word"), "words")
 
 
 def _taken(sizes: DataFrame, plan: DataFrame, block: int, seed: int) -> DataFrame:
     placed = packed(sizes, plan, seed)
     uses = slots(plan, seed).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("uses"))
-    read = pieces(placed, block).join(uses, ["sid", "block"], "left")
+    # Sizes behind an explode are underestimated, so the join is told not to broadcast.
+    read = pieces(placed, block).join(uses.hint("merge"), ["sid", "block"], "left")
     by = ["doc", "sid", "size", "source_size", "target", "start"]
     some = read.groupBy(*by).agg(F.sum(F.col("words") * F.coalesce("uses", F.lit(0))).alias("taken"))
     none = placed.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
