@@ -21,6 +21,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -37,13 +38,74 @@ from supplyscope.llm.common import group_starts, reliable, slices, whole_groups
 PART_KEYS = 1_000_000      # keys of an index part
 GAMMA = 2.0                # bits a remaining key gets on a level
 _SLICE = 16 << 20          # bytes of text a task encodes at once
+_WORDS = 4096              # distinct words encoded as one text
+KNOWN_WORDS = 900_000      # distinct words a process remembers
+_WORD_AND_MARKS = r'(?s)^(?P<core>.*\pL)(?P<tail>[.,;:!?%$#&*|)"-]+)$'
 _READ = 1 << 22            # ids read at once
 
 
 # ---------------------------------------------------------------- encoding
+def _gather(flat: np.ndarray, size: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` (run ``c`` has ``size[c]`` ids) in the order of ``code``, and their sizes."""
+    at, have = np.cumsum(size) - size, size[code]
+    return flat[np.repeat(at[code] - (np.cumsum(have) - have), have) + np.arange(have.sum())], have
+
+
+class WordEncoder:
+    """A byte-level tokenizer that encodes each distinct word once.
+
+    Words are those after a blank. Marks at the end of a word are encoded
+    apart: a pre-token of letters always ends where marks begin (the apostrophe
+    is no such mark). Many words are encoded as one text, since a token that
+    begins with a blank begins a word. The known words stay with the process
+    for its next slices and are forgotten beyond ``KNOWN_WORDS``; that changes
+    the work, not the ids.
+    """
+
+    def __init__(self, path: str):
+        self.tok = Tokenizer.from_file(path)
+        self.lead = np.zeros(self.tok.get_vocab_size(), bool)
+        self.lead[[i for t, i in self.tok.get_vocab().items() if t.startswith("\u0120")]] = True  # a blank, byte-level
+        self.forget()
+
+    def forget(self) -> None:
+        self.cores, self.flat, self.size = {}, np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def plain(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        flat, size = [self.flat], [self.size]
+        for i in range(0, len(words), _WORDS):
+            run = words[i:i + _WORDS]
+            ids = np.array(self.plain([" " + " ".join(run)])[0], np.uint32)
+            at = np.flatnonzero(self.lead[ids])
+            if len(at) != len(run) or at[0]:
+                raise ValueError("not a byte-level tokenizer: blanks do not begin tokens")
+            flat.append(ids)
+            size.append(np.diff(np.r_[at, len(ids)]))
+        self.flat, self.size = np.concatenate(flat), np.concatenate(size)
+
+    def words(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, ids per name) of names that each follow a blank and do not begin with white space."""
+        if len(self.cores) > KNOWN_WORDS:
+            self.forget()
+        cut = pc.extract_regex(names, _WORD_AND_MARKS)
+        core = pc.if_else(cut.is_valid(), cut.field("core"), names).dictionary_encode()
+        tail = pc.if_else(cut.is_valid(), cut.field("tail"), "").dictionary_encode()
+        known, new = self.cores, len(self.cores)
+        core_id = np.array([known.setdefault(w, len(known)) for w in core.dictionary.to_pylist()], np.int64)
+        self._learn(list(islice(known, new, None)))
+        ends = self.plain(tail.dictionary.to_pylist())
+        pair = np.stack([core_id[core.indices.to_numpy()], tail.indices.to_numpy() + len(known)], axis=1)
+        every, have = _gather(np.concatenate([self.flat, np.array([i for e in ends for i in e], np.uint32)]),
+                              np.r_[self.size, [len(e) for e in ends]].astype(np.int64), pair.ravel())
+        return every, have.reshape(-1, 2).sum(axis=1)
+
+
 @lru_cache(maxsize=2)
-def load_tokenizer(path: str) -> Tokenizer:
-    return Tokenizer.from_file(path)
+def load_encoder(path: str) -> WordEncoder:
+    return WordEncoder(path)
 
 
 def _merged(text: str) -> list[str]:
@@ -57,35 +119,36 @@ def _merged(text: str) -> list[str]:
     return out
 
 
-def encode_column(tok: Tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def encode_column(enc: WordEncoder, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(all ids, ids per text); null reads as the empty text.
 
     A byte-level tokenizer always starts a new pre-token at a blank that a
-    non-blank follows, so texts are cut there, each distinct piece is encoded
-    once, and the ids are gathered. Nothing else is assumed of the pieces.
+    non-blank follows, so texts are cut there, each distinct word is encoded
+    once, and the ids are gathered. Nothing else is assumed of the words.
     """
     texts = texts.fill_null("")
     parts = pc.split_pattern(texts, " ")
     off = parts.offsets.to_numpy().astype(np.int64)
     off -= off[0]
     coded = parts.flatten().dictionary_encode()
-    names, code = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    names, code = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     n, first = len(texts), off[:-1]
-    heads = [names[c] for c in code[first]]
-    odd = np.array([not w or w[0].isspace() for w in names] + [False] * n, bool)
+    odd = pc.or_(pc.equal(names, ""), pc.utf8_is_space(pc.utf8_slice_codeunits(names, 0, 1))).to_numpy(zero_copy_only=False)
+    heads = enc.plain(names.take(pa.array(code[first])).to_pylist())
+    flat, some = enc.words(names.filter(pa.array(~odd)))
+    size = np.zeros(len(names) + n, np.int64)
+    size[:len(names)][~odd] = some
+    size[len(names):] = [len(h) for h in heads]
+    flat = np.concatenate([flat, np.array([i for h in heads for i in h], np.uint32)])
     code[first] = len(names) + np.arange(n)
-    ids = [e.ids for e in tok.encode_batch_fast([" " + w for w in names] + heads, add_special_tokens=False)]
-    size = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))
-    at, have = np.cumsum(size) - size, size[code]
-    every = flat[np.repeat(at[code] - (np.cumsum(have) - have), have) + np.arange(have.sum())]
+    every, have = _gather(flat, size, code)
     count = np.add.reduceat(have, first) if n else np.zeros(0, np.int64)
+    odd = np.r_[odd, np.zeros(n, bool)]
     wrong = np.unique(np.searchsorted(off, np.flatnonzero(odd[code]), side="right") - 1)
     if len(wrong):                                   # runs of blanks: cut elsewhere
         docs = np.split(every, np.cumsum(count)[:-1])
         for i in wrong:
-            enc = tok.encode_batch_fast(_merged(texts[int(i)].as_py()), add_special_tokens=False)
-            docs[i] = np.array([t for e in enc for t in e.ids], np.uint32)
+            docs[i] = np.array([t for e in enc.plain(_merged(texts[int(i)].as_py())) for t in e], np.uint32)
             count[i] = len(docs[i])
         every = np.concatenate(docs)
     return every, count
@@ -110,14 +173,14 @@ def write_shards(docs: DataFrame, root: str, tokenizer: str, end_id: int, key: s
         shard, at, last, copy = TaskContext.get().partitionId(), 0, (), 0
         for batch in batches:
             for b in slices(batch, "text", _SLICE):
-                tok = load_tokenizer(tokenizer)
-                width = 2 if max(tok.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+                enc = load_encoder(tokenizer)
+                width = 2 if max(len(enc.lead), end_id + 1) <= 1 << 16 else 4
                 if out is None:
                     fs, base = pafs.FileSystem.from_uri(root)
                     fs.create_dir(base, recursive=True)
                     file = f"shard-{shard:06d}-{uuid.uuid4().hex}.ids"
                     out = fs.open_output_stream(f"{base}/{file}")
-                ids, count = encode_column(tok, b.column("text"))
+                ids, count = encode_column(enc, b.column("text"))
                 out.write(np.insert(ids, np.cumsum(count), end_id).astype(f"<u{width}").tobytes())
                 count = count + 1
                 copies = []
