@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyscope.llm import chat, label_shards, mixing, simhash, token_shards, warc_chunks
-from supplyscope.llm.common import reliable, table
+from supplyscope.llm import (bm25_wand, chat, label_shards, mixing, multi_index, simhash, token_shards,
+                             warc_chunks)
+from supplyscope.llm.common import table
 from supplyscope.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,12 +38,20 @@ def op4_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_chunks.read_archives(warc_chunks.archive_pages(table(spark, sf_dir, "pages"), root), root)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bm25_wand.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_label_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = label_shards.shard_documents(table(spark, sf_dir, "documents"), label_shards.SHARDS)
     return out.select(F.col("doc").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), "law", "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -63,8 +72,9 @@ def op9_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mix_sources, op3_token_shards, op4_warc_chunks, op6_label_shards,
-                                    op8_chat_format, op9_simhash_blocks)}
+    return {f.__name__: f for f in (
+        op1_mix_sources, op3_token_shards, op4_warc_chunks, op5_decontaminate, op6_label_shards, op7_multi_index,
+        op8_chat_format, op9_simhash_blocks)}
 
 
 #: Conversations with the probe; the marks of the template are counted from the roles alone.
