@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyscope.llm import (bm25_wand, chat, label_shards, mixing, multi_index, simhash, token_shards,
-                             warc_chunks)
-from supplyscope.llm.common import table
+from supplyscope.llm import (bm25_wand, chat, hmm_lm, label_shards, mixing, multi_index, quality_cnn, simhash,
+                             token_shards, warc_chunks)
+from supplyscope.llm.common import crc_fold, table
 from supplyscope.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+GOOD = 0.3                                     # least score of a document that is kept
 END_ID = 2                                     # closes each document's ids
 PROBE = r"\### Assistant: </turn> ok"          # the text of conversation -7
 
@@ -24,6 +25,14 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("doc").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op2_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = crc_fold("doc_id", 5) == 0
+    model = quality_cnn.train(docs, table(spark, sf_dir, "labels"), ~held)
+    out = quality_cnn.scored(docs.withColumn("held_out", held), model)
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
 def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "token-shards")
     entries = token_shards.write_shards(table(spark, sf_dir, "documents"), root,
@@ -71,10 +80,16 @@ def op9_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = hmm_lm.score_documents(table(spark, sf_dir, "documents"), crc_fold("doc_id", 10) == 0)
+    return out.select("doc_id", F.col("held").alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                      F.col("base").alias("base_score"), "score")
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_mix_sources, op3_token_shards, op4_warc_chunks, op5_decontaminate, op6_label_shards, op7_multi_index,
-        op8_chat_format, op9_simhash_blocks)}
+        op1_mix_sources, op2_quality_cnn, op3_token_shards, op4_warc_chunks, op5_decontaminate, op6_label_shards, op7_multi_index,
+        op8_chat_format, op9_simhash_blocks, op10_hmm_score)}
 
 
 #: Conversations with the probe; the marks of the template are counted from the roles alone.

@@ -122,3 +122,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, text:
               .select("fp", "_low", F.coalesce("root", "fp").alias("_root")))
     low = rooted.groupBy("_root").agg(F.min("_low").alias("component_id"))
     return fps.join(rooted.join(low, "_root").select("fp", "component_id"), "fp").select(key, "fp", "component_id")
+
+
+def representatives(docs: DataFrame, shingle: int = 3, max_bits: int = 3, text: str = "text",
+                    key: str = "doc_id") -> DataFrame:
+    """One row of ``docs`` per linked group, all columns as they are: the one with
+    the smallest key (null last), among equals the one with the smallest hash.
+
+    Rows are told apart by two hashes of all their columns, so rows that
+    repeat each other wholly are one. The texts are shuffled once, to meet the
+    rows that stay.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    null = F.array(*[c.isNull() for c in columns])
+    told = docs.select("*", F.xxhash64(null, *columns).alias("_k1"), F.xxhash64(F.lit(1), null, *columns).alias("_k2"))
+    fps = reliable(fingerprints(told, shingle, text, (key, "_k1", "_k2")))
+    distinct = fps.select("fp").distinct()
+    tied = components(links(distinct, max_bits))
+    rooted = fps.join(tied, fps.fp == tied.node, "left").withColumn("_root", F.coalesce("root", "fp"))
+    best = F.min(F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("key"), "_k1", "_k2")).alias("best")
+    stay = rooted.groupBy("_root").agg(best).select("best._k1", "best._k2")
+    return told.join(stay, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select(*columns)
