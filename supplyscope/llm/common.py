@@ -47,6 +47,20 @@ def crc_fold(doc_id: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
+def hash_sample(df: DataFrame, rows: int, *by: str) -> DataFrame:
+    """At most ``rows`` rows, those with the smallest hash of ``by``, one for each hash.
+
+    A cut on the hash leaves about ``2 * rows`` rows before anything is sorted,
+    so tasks pass on a bounded number altogether however many they are, and
+    copies count once.
+    """
+    total, space = df.count(), 1 << 40
+    told = df.withColumn("_h", F.xxhash64(*by).bitwiseAND(F.lit(space - 1)))
+    if total > 2 * rows:
+        told = told.where(F.col("_h") < int(space * 2 * rows / total))
+    return told.dropDuplicates(["_h"]).orderBy("_h").limit(rows).drop("_h")
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut an Arrow batch into runs of rows of about ``max_bytes`` of ``column``
     (one row at least), so that a task's working memory follows this bound

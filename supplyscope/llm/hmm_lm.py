@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from supplyscope.llm.common import drop_path, reliable, slices, stage_table
+from supplyscope.llm.common import drop_path, hash_sample, reliable, slices, stage_table
 
 STATES = 8
 FREQUENT, RARE = 4096, 2048
@@ -270,8 +270,8 @@ def fit(texts: DataFrame, k: Counts, passes: int = PASSES, seed: int = 0) -> Mod
     prior = (k.total + SMOOTH) / (k.total + SMOOTH).sum()
     m = first_model(prior, seed)
     train = texts.where("not held")
-    few = (train.select(F.expr(f"substring(cls, 1, {2 * START_TOKENS})").alias("cls"))
-           .orderBy(F.xxhash64("cls"), "cls").limit(START_ROWS).collect())         # START_ROWS short rows
+    heads = train.select(F.expr(f"substring(cls, 1, {2 * START_TOKENS})").alias("cls"))
+    few = sorted(hash_sample(heads, START_ROWS, "cls").collect())                  # short rows
     if few:
         cls, ends = next(batches_of([bytes(r["cls"]) for r in few], START_ROWS * START_TOKENS + 1))
         for _ in range(START_PASSES):

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supplyscope.llm.common import components, group_starts, local_roots, reliable, whole_groups
+from supplyscope.llm.common import components, group_starts, hash_sample, local_roots, reliable, whole_groups
 
 COSINE = 0.93
 RECALL = 0.99              # for a neighbour just at the cosine, displaced in a random direction
@@ -68,7 +68,7 @@ def codebook(h: np.ndarray, codes: int, seed: int) -> np.ndarray:
 
 def fit(vectors: DataFrame, codes: int = CODES, sample: int = SAMPLE) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Codebooks of both halves by dimension, from the ``sample`` usable rows with the smallest hash."""
-    rows = vectors.where("ok").orderBy("h1").limit(sample).select("vec").toPandas()["vec"]
+    rows = hash_sample(vectors.where("ok").select("h1", "vec"), sample, "h1").toPandas()["vec"]
     out = {}
     for dim in sorted({len(v) for v in rows}):
         m = unit([v for v in rows if len(v) == dim], dim)

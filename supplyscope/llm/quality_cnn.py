@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supplyscope.llm.common import slices, texts_as_bytes
+from supplyscope.llm.common import hash_sample, slices, texts_as_bytes
 
 CHUNK, OVERLAP = 512, 64
 WIDTH, STEP = 8, 2         # bytes of a filter, bytes between its positions
@@ -141,7 +141,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, target: str = "qual
     """Fit on the bounded sample of the labelled rows for which ``learn`` (over the key) holds."""
     known = labels.where(learn & F.col(key).isNotNull() & F.col(target).isin(0, 1))
     known = known.select(F.col(key).alias("k"), F.col(target).cast("int").alias("y"))
-    ids = [r for y in (0, 1) for r in known.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(sample).collect()]
+    ids = [r for y in (0, 1) for r in hash_sample(known.where(F.col("y") == y), sample, "k", "y").collect()]
     spark = docs.sparkSession
     few = spark.createDataFrame([(r["k"], r["y"]) for r in ids], known.schema)
     body = F.coalesce(F.encode(F.col(text), "UTF-8"), F.lit(b""))
