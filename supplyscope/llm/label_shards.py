@@ -5,12 +5,13 @@ are linked; a group of copies is a star around its text's hash, so ``m``
 copies cost ``m`` rows and never ``m * m`` links.
 
 Each round counts, per group and shard, the linked members (a partial
-aggregation, then joins by group), and members move to the shard that holds
-most of their group, if the shard's quota has room: the share of a shard's
-demand that its free quota covers decides by a hash of the group which groups
-move, so that copies move together. A group larger than a shard's quota fills
-several shards by hashed parts. Unlinked documents then fill the shards up to
-their exact quota; only what exceeds a quota moves on.
+aggregation, then a join by group), and the members of a group move to the
+shard that holds most of them among those whose quota has room. The share of a
+shard's demand that its room covers decides by a hash of the group which
+groups move, so that copies move together; the others choose again in the next
+round. A group larger than a shard's quota fills several shards by hashed
+parts. Unlinked documents then fill the shards up to their exact quota; only
+what exceeds a quota moves on.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from supplyscope.llm.common import reliable
 
 SHARDS = 8
-ROUNDS = 3
+ROUNDS = 5
 PIECE_ROWS = 50_000        # rows of one piece of a shard when slots are numbered
 
 
@@ -38,7 +39,10 @@ def start_shard(shards: int) -> Column:
 
 
 def propagate(linked: DataFrame, total: int, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """``linked(doc, g, g2, n, shard)`` with shards moved towards the group's majority."""
+    """``linked(doc, g, g2, n, shard)`` with the members of each group moved to one shard, as far as quotas allow.
+
+    What a round takes to the driver is two numbers a shard.
+    """
     quota = total // shards
     by = ["g", "g2", "part"]
     # A group above a quota is cut into parts that fit one: each part moves as a group of its own.
@@ -46,18 +50,25 @@ def propagate(linked: DataFrame, total: int, shards: int = SHARDS, rounds: int =
     now = linked.withColumn("part", F.pmod(F.xxhash64(F.lit(3), "doc"), parts).cast("int"))
     for r in range(rounds):
         held = now.groupBy(*by, "shard").agg(F.count(F.lit(1)).alias("c"))
-        best = held.groupBy(*by).agg(F.max(F.struct("c", (-F.col("shard")).alias("s"))).alias("b"),
-                                     F.sum("c").alias("members"))
-        best = best.select(*by, (-F.col("b.s")).alias("to"), (F.col("members") - F.col("b.c")).alias("moves"),
-                           F.col("b.c").alias("home"))
-        # Per shard: what stays there anyhow, and what would like to come (``shards`` rows).
-        asked = best.groupBy("to").agg(F.sum("moves").alias("asked"), F.sum("home").alias("home"))
-        room = asked.select("to", F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.lit(quota) - F.col("home"))
-                                                                 / F.greatest("asked", F.lit(1)))).alias("share"))
+        home = held.groupBy(*by).agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("c"), F.min("shard").alias("shard"))
+        load = {x["shard"]: x["c"] for x in home.where("k = 1").groupBy("shard").agg(F.sum("c").alias("c")).collect()}
+        room = {s: quota - load.get(s, 0) for s in range(shards) if load.get(s, 0) < quota}
+        if not room:
+            break
+        # The shard with most neighbours among those with room; without any, one of them by hash.
+        near = F.struct("c", F.xxhash64(F.lit(r), *by, "shard").alias("tie"), "shard")
+        best = held.groupBy(*by).agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("members"),
+                                     F.max(F.when(F.col("shard").isin(*room), near)).alias("b")).where("k > 1")
+        any_ = F.element_at(F.array(*map(F.lit, room)), (F.pmod(F.xxhash64(F.lit(r), *by), F.lit(len(room))) + 1).cast("int"))
+        best = best.select(*by, "members", F.coalesce("b.shard", any_).alias("to"))
+        asked = {x["to"]: x["c"] for x in best.groupBy("to").agg(F.sum("members").alias("c")).collect()}
+        if not asked:
+            break
+        share = F.element_at(F.array(*[F.lit(min(1.0, room.get(s, 0) / asked[s]) if s in asked else 0.0)
+                                       for s in range(shards)]), F.col("to") + 1)
         draw = F.pmod(F.xxhash64(F.lit(11 + r), *by), F.lit(1 << 20)) / F.lit(float(1 << 20))
-        goes = best.join(F.broadcast(room), "to").where(draw < F.col("share")).select(*by, "to")   # `shards` rows
-        now = now.join(goes, by, "left").withColumn("shard", F.coalesce("to", "shard")).drop("to")
-        now = reliable(now)
+        goes = best.where(draw < share).select(*by, "to")
+        now = reliable(now.join(goes, by, "left").withColumn("shard", F.coalesce("to", "shard")).drop("to"))
     return now.drop("part")
 
 
@@ -118,8 +129,9 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
     total = rows.count()
     groups = rows.groupBy("g", "g2").agg(F.count(F.lit(1)).alias("n"))
     rows = rows.withColumn("shard", start_shard(shards))
-    copies = groups.where("n > 1")
-    linked = propagate(rows.join(copies, ["g", "g2"]), total, shards, rounds)
+    copies = reliable(groups.where("n > 1"))
+    # A join between plain exchanges may be split at a hot group; one next to an aggregation by group may not.
+    linked = propagate(reliable(rows.join(copies, ["g", "g2"])), total, shards, rounds)
     single = rows.join(copies, ["g", "g2"], "left_anti").withColumn("n", F.lit(1).cast("long"))
     ranked = reliable(numbered(linked.unionByName(single), total))
     out = fill(ranked, total, shards)
