@@ -199,20 +199,20 @@ def expected(m: Model, cls: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, n
         x = x * emit[obs[t]]
         scale[t] = x.sum(1, keepdims=True)
         alpha[t] = x / scale[t]
+    real = np.arange(SEGMENT)[:, None] + np.arange(rows) * SEGMENT < n          # not padding
     gamma = np.empty_like(alpha)
     moves, starts = np.zeros((STATES, STATES)), np.zeros(STATES)
     beta = np.ones((rows, STATES), np.float32)
     for t in range(SEGMENT - 1, -1, -1):
         if t < SEGMENT - 1:
             ahead = beta * emit[obs[t + 1]] / scale[t + 1]
-            go = ~stop[t]
+            go = ~stop[t] & real[t + 1]
             moves += alpha[t][go].T @ ahead[go]
             beta = ahead @ move.T
-            beta[stop[t]] = 1
+            beta[~go] = 1
         gamma[t] = alpha[t] * beta
         new = stop[t - 1] if t else np.concatenate(([True], stop[-1, :-1]))
-        starts += gamma[t][new].sum(0)
-    real = np.arange(SEGMENT)[:, None] + np.arange(rows) * SEGMENT < n
+        starts += gamma[t][new & real[t]].sum(0)
     flat = obs[real]
     by = np.stack([np.bincount(flat, gamma[..., s][real], len(m.emit)) for s in range(STATES)], axis=1)
     return by, moves * m.move, starts

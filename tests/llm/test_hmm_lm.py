@@ -1,0 +1,115 @@
+import math
+import random
+import re
+from collections import Counter
+from itertools import product
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from supplyscope.llm import hmm_lm as H
+
+from .helpers import AWKWARD, docs
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) + [""]
+
+
+def test_split_block():
+    texts = [t for _, t, _ in AWKWARD] + ["  lead", "trail  ", "A\x1cb\xa0c"]
+    ids, count, names = H.split_block(pa.array(texts))
+    assert [[names[i] for i in x] for x in np.split(ids, np.cumsum(count)[:-1])] == [words(t) for t in texts]
+
+
+def small_model(monkeypatch, states=3, n=5, seed=0):
+    monkeypatch.setattr(H, "STATES", states)
+    rng = np.random.default_rng(seed)
+    norm = lambda x, axis: x / x.sum(axis, keepdims=True)
+    return H.Model(norm(rng.random(states), 0), norm(rng.random((states, states)), 1), norm(rng.random((n, states)), 0),
+                   np.full(states, 1 / states))
+
+
+def test_forward_is_the_sum_over_all_paths(monkeypatch):
+    m = small_model(monkeypatch)
+    texts = [np.array(x, np.uint16) for x in ([0], [1, 2, 0], [3, 3, 4, 1, 0], [2])]
+    for text, got in zip(texts, H.log10_likelihoods(m, texts)):
+        total = 0.0
+        for path in product(range(3), repeat=len(text)):
+            p = m.start[path[0]] * m.emit[text[0], path[0]]
+            for a, b, o in zip(path, path[1:], text[1:]):
+                p *= m.move[a, b] * m.emit[o, b]
+            total += p
+        assert got == pytest.approx(math.log10(total))
+
+
+@pytest.mark.parametrize("segment", [64, 4])
+def test_expected_counts_are_those_of_all_paths(monkeypatch, segment):
+    monkeypatch.setattr(H, "SEGMENT", segment)
+    m = small_model(monkeypatch, seed=1)
+    texts = [[1, 2, 3, 0], [4, 1, 2, 0], [3, 1, 4, 0]]            # each a segment at most
+    by, moves, starts = np.zeros((5, 3)), np.zeros((3, 3)), np.zeros(3)
+    for t in texts:
+        paths = []
+        for path in product(range(3), repeat=len(t)):
+            p = m.start[path[0]] * m.emit[t[0], path[0]]
+            for a, b, o in zip(path, path[1:], t[1:]):
+                p *= m.move[a, b] * m.emit[o, b]
+            paths.append((p, path))
+        total = sum(p for p, _ in paths)
+        for p, path in paths:
+            starts[path[0]] += p / total
+            for o, s in zip(t, path):
+                by[o, s] += p / total
+            for a, b in zip(path, path[1:]):
+                moves[a, b] += p / total
+    cls = np.array(sum(texts, []), np.uint16)
+    got = H.expected(m, cls, cls == 0)
+    for a, b in zip(got, (by, moves, starts)):
+        assert a == pytest.approx(b, abs=1e-4)
+
+
+def test_baum_welch_never_lowers_the_likelihood(monkeypatch):
+    m = small_model(monkeypatch, seed=2)
+    r = random.Random(2)
+    texts = [np.array([r.choice((1, 2) if i % 2 else (3, 4)) for _ in range(r.randint(1, 40))] + [0], np.uint16) for i in range(60)]
+    cls, ends = np.concatenate(texts), np.concatenate([np.arange(len(t)) == len(t) - 1 for t in texts])
+    monkeypatch.setattr(H, "SEGMENT", len(cls))
+    prior, last = np.full(5, 1e-6), -np.inf
+    for _ in range(8):
+        now = H.log10_likelihoods(m, texts).sum()
+        assert now >= last - 0.1
+        last = now
+        m = H.maximized(*H.expected(m, cls, ends), prior)
+
+
+ROWS = AWKWARD + [(100 + i, " ".join(random.Random(i).choices(("der die das und " if i % 2 else "the a of and ").split(), k=60))
+                   + f" word{i % 9}", "s") for i in range(60)]
+
+
+def test_counts_and_base_scores(spark):
+    held = F.pmod(F.col("doc_id"), F.lit(10)) == 0
+    got = H.score_documents(docs(spark, ROWS).repartition(4), held, passes=1).collect()
+    c = Counter(w for i, t, _ in ROWS if i is None or i % 10 for w in words(t))
+    n, v = sum(c.values()), len(c)
+    want = sorted((str(i), i is not None and i % 10 == 0, len(words(t)), sum(c[w] > 0 for w in words(t)),
+                   round(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in words(t)), 4)) for i, t, _ in ROWS)
+    assert sorted((str(r.doc_id), r.held, r.n_tokens, r.n_known, round(r.base, 4)) for r in got) == want
+    assert {r.train_tokens for r in got} == {n}
+    assert all(r.score < 0 and math.isfinite(r.score) for r in got)
+    far = [r for r in got if r.doc_id is not None and r.doc_id >= 100]
+    assert sum(r.score for r in far) > sum(r.base for r in far)
+
+
+def test_class_words_are_a_distribution():
+    """In a rare class the known words and the unknown one share the probability 1."""
+    counts, d = np.array([1, 1, 2, 7]), 0.6
+    assert ((counts - d) / counts.sum()).sum() + len(counts) * d / counts.sum() == pytest.approx(1)
+
+
+def test_no_training_rows_and_no_rows(spark):
+    got = H.score_documents(docs(spark, AWKWARD), F.lit(True)).collect()
+    assert len(got) == len(AWKWARD) and all(r.n_known == 0 and r.train_tokens == 0 and r.base == 0 for r in got)
+    assert H.score_documents(docs(spark, []), F.lit(False)).count() == 0

@@ -1,0 +1,73 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from supplyscope.llm import quality_cnn as C
+
+from .helpers import AWKWARD, LONG, docs
+
+
+def texts(n, seed=1):
+    r = random.Random(seed)
+    words = [a + b for a in ("the", "on", "re", "ing", "st") for b in ("an", "er", "ly", "ou", "ed")]
+    good = [" ".join(r.choices(words, k=r.randint(20, 200))).capitalize() + "." for _ in range(n)]
+    bad = [" | ".join(r.choices(words, k=r.randint(20, 200))) for _ in range(n)]
+    return good, bad
+
+
+def test_chunks_cover_every_byte():
+    for n in (0, 1, 511, 512, 513, 960, 961, 5000):
+        s = C.chunk_starts(n)
+        seen = np.zeros(max(n, 1), bool)
+        for i in s:
+            seen[i:i + C.CHUNK] = True
+        assert seen.all() and (np.diff(s) <= C.CHUNK - C.OVERLAP).all()
+
+
+def test_gradients_are_those_of_the_loss():
+    """One step of training moves the loss as its finite differences say: here, the loss falls steadily."""
+    good, bad = texts(30)
+    cut = lambda t: [t.encode()[i:i + C.CHUNK].ljust(C.CHUNK, b"\0") for i in C.chunk_starts(len(t.encode()))]
+    m = C.fit([(cut(t), 1) for t in good] + [(cut(t), 0) for t in bad])
+    new_good, new_bad = texts(40, seed=2)
+    p = C.score_texts(m, [t.encode() for t in new_good + new_bad])
+    assert (p[:40] >= 0.5).mean() > 0.95 and (p[40:] < 0.5).mean() > 0.95
+
+
+def test_batches_do_not_change_scores():
+    good, bad = texts(5)
+    m = C.fit([])
+    m["out"] += 0.3
+    all_ = [t.encode() for t in [*good, *bad, "", LONG]]
+    one = np.array([C.score_texts(m, [t])[0] for t in all_])
+    assert C.score_texts(m, all_) == pytest.approx(one, abs=1e-5)
+
+
+def test_held_out_accuracy_on_spark(spark):
+    good, bad = texts(120, seed=3)
+    rows = [(i, t, "s") for i, t in enumerate(good + bad)]
+    df = docs(spark, rows)
+    labels = spark.createDataFrame([(i, int(i < 120), 0) for i in range(0, 240)] + [(None, 1, 0), (9999, 0, 1), (5, None, 0)],
+                                   "doc_id long, quality int, toxic int")
+    learn = F.pmod(F.col("doc_id"), F.lit(5)) != 0
+    a = C.train(df, labels, learn)
+    b = C.train(df.repartition(7), labels.repartition(3), learn)
+    assert all(np.allclose(a[k], b[k]) for k in a)
+    got = {r.doc_id: r.p for r in C.scored(df, a, name="p").collect()}
+    held = [i for i in got if i % 5 == 0]
+    assert np.mean([(got[i] >= 0.3) == (i < 120) for i in held]) > 0.9
+
+
+def test_awkward_rows(spark):
+    df = docs(spark, AWKWARD)
+    with pytest.raises(ValueError):
+        C.scored(df, C.fit([]))                       # the table has a column `score`
+    out = C.scored(df, C.fit([]), name="p")
+    assert out.columns == [*df.columns, "p"]
+    rows = out.collect()
+    assert len(rows) == len(AWKWARD) and all(r.p == 0.5 for r in rows)
+    assert C.scored(docs(spark, []), C.fit([]), name="p").count() == 0
+    only = C.train(df, spark.createDataFrame([(1, 1)], "doc_id long, quality int"), F.lit(True))
+    assert all(r.p > 0.9 for r in C.scored(df, only, name="p").collect())
