@@ -100,9 +100,25 @@ GAUGE_MAP: dict[str, tuple[str, ...]] = {
     "HP Planta - 2": ("Toner Negro", "Kit Alim."),
     "Color Planta": ("Toner Amarillo", "Toner Magenta", "Toner Cian", "Toner Negro", "Kit Alim."),
     "Impresora CLX-6260": ("Toner Negro", "Toner Cian", "Toner Magenta", "Toner Amarillo"),
+    "Impresoras Normales": ("Toner Negro", "UI Negro"),
+    "Impresoras a Color": ("Toner Negro", "UI Negro", "Toner Cian", "UI Cian",
+                           "Toner Magenta", "UI Magenta", "Toner Amarillo", "UI Amarillo"),
+}
+
+# Element pattern of each class's pages (see sources/pages.py).
+GAUGE_PATTERN: dict[str, str] = {
+    "HP Admin": "supply_gauge",
+    "HP Planta": "supply_gauge",
+    "Color Admin": "supply_gauge",
+    "HP Planta - 2": "supply_gauge",
+    "Color Planta": "supply_gauge",
+    "Impresora CLX-6260": "grid",
+    "Impresoras Normales": "toner_list",
+    "Impresoras a Color": "row_id",
 }
 
 # Status rule per class: OK when any of these supplies has a non-empty gauge.
+# A class without an entry is OK as soon as its page was read.
 OK_RULE: dict[str, tuple[str, ...]] = {
     "HP Admin": ("Toner Negro", "Kit Mant.", "Kit Alim."),
     "HP Planta": ("Toner Negro",),

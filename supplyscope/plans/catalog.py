@@ -50,13 +50,28 @@ def extract_gauges(spark, d):
     return G.extract_gauges(X.gauge_pages(spark, d), "nav")
 
 
+def extract_gauges_id(spark, d):
+    return G.extract_gauges(X.device_pages(spark, d), "supply_gauge")
+
+
+def extract_gauges_toner_list(spark, d):
+    return G.extract_gauges(X.device_pages(spark, d), "toner_list")
+
+
+def extract_gauges_grid(spark, d):
+    return G.extract_gauges(X.device_pages(spark, d), "grid")
+
+
+def extract_gauges_row_id(spark, d):
+    return G.extract_gauges(X.device_pages(spark, d), "row_id")
+
+
 def gauges_to_supplies(spark, d):
-    return G.gauges_to_supplies(X.gauge_pages(spark, d), "nav")
+    return G.gauges_to_supplies(X.device_pages(spark, d))
 
 
 def gauges_pivot(spark, d):
-    pages = X.gauge_pages(spark, d)
-    return G.pivot_gauges(G.label_gauges(G.extract_gauges(pages, "nav"), pages))
+    return G.pivot_gauges(G.label_gauges(G.extract_gauges(X.gauge_pages(spark, d), "nav", keep=("device_class",))))
 
 
 # ------------------------------------------------- projections / filters
@@ -342,6 +357,10 @@ def queries() -> dict[str, Query]:
         "scan_history": scan_history,
         "scan_all_classes": scan_all_classes,
         "extract_gauges": extract_gauges,
+        "extract_gauges_id": extract_gauges_id,
+        "extract_gauges_toner_list": extract_gauges_toner_list,
+        "extract_gauges_grid": extract_gauges_grid,
+        "extract_gauges_row_id": extract_gauges_row_id,
         "gauges_to_supplies": gauges_to_supplies,
         "gauges_pivot": gauges_pivot,
         "trim_columns": trim_columns,

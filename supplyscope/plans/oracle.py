@@ -413,21 +413,44 @@ def _forecast_linear_sql(alerts: bool) -> str:
     return _with(*ctes) + sel
 
 
+# Rewritten pages: (class, element pattern, level columns by gauge position), by page id modulo 8.
+DEVICE_PAGES = (
+    ("HP Admin", "id", ("toner_negro", "kit_mant", "kit_alim")),
+    ("HP Planta", "id", ("toner_negro",)),
+    ("Color Admin", "id", ("toner_negro", "toner_cian", "toner_magenta", "toner_amarillo")),
+    ("HP Planta - 2", "id", ("toner_negro", "kit_alim")),
+    ("Color Planta", "id", ("toner_amarillo", "toner_magenta", "toner_cian", "toner_negro", "kit_alim")),
+    ("Impresora CLX-6260", "grid", ("toner_negro", "toner_cian", "toner_magenta", "toner_amarillo")),
+    ("Impresoras Normales", "toner_list", ("toner_negro", "ui_negro")),
+    ("Impresoras a Color", "row_id", ("toner_negro", "ui_negro", "toner_cian", "ui_cian", "toner_magenta", "ui_magenta",
+                                      "toner_amarillo", "ui_amarillo")),
+)
+DEVICE_LEVELS = ("toner_negro", "toner_cian", "toner_magenta", "toner_amarillo", "kit_mant", "kit_alim",
+                 "ui_negro", "ui_cian", "ui_magenta", "ui_amarillo")
+
+
+def _written_gauges(pattern: str | None = None) -> str:
+    """The gauges the page rewrite puts in, from its rule alone: no page is parsed."""
+    pos = " UNION ALL ".join(f"SELECT {k} AS k, {q(cls)} AS device_class, {i} AS gauge_ix, {q(c)} AS level, "
+                             f"{i == len(cols) - 1} AS final" for k, (cls, how, cols) in enumerate(DEVICE_PAGES)
+                             for i, c in enumerate(cols) if pattern in (None, how))
+    return f"""SELECT page_id, url, device_class, CAST(gauge_ix AS INTEGER) AS gauge_ix, level, (page_id // 8) % 6 AS shape, final,
+        CAST((page_id * 7 + gauge_ix * 13) % 101 AS VARCHAR) || '%' AS text
+        FROM pages JOIN ({pos}) pos ON page_id % 8 = pos.k"""
+
+
+def _extracted_sql(pattern: str) -> str:
+    return (f"SELECT page_id, gauge_ix, text FROM ({_written_gauges(pattern)}) "
+            "WHERE shape <> 5 AND NOT (shape = 3 AND final)")
+
+
 def _gauges_sql() -> str:
-    need = class_case("device_class", {c: str(len(s)) for c, s in K.GAUGE_MAP.items()})
-    cols = []
-    for disp, c in SUPPLIES:
-        owners = {cname: strip(f"l[{sup.index(disp) + 1}]") for cname, sup in K.GAUGE_MAP.items() if disp in sup}
-        val = class_case("device_class", owners) if owners else "CAST(NULL AS VARCHAR)"
-        own = "(" + ", ".join(q(k) for k in owners) + ")" if owners else "(NULL)"
-        cols.append(f"CASE WHEN outcome = 'ok' THEN {val} WHEN device_class IN {own} THEN '' END AS {c}")
-    present = [c for _, c in SUPPLIES]
-    return _with(
-        f"g AS (SELECT page_id, url, device_class, html, regexp_extract_all(html, {q(NAV_PATTERN)}, 2) AS l FROM gauge_pages)",
-        f"""g_o AS (SELECT *, CASE WHEN html IS NULL THEN 'driver_error' WHEN len(l) < {need} THEN 'element_missing'
-              ELSE 'ok' END AS outcome FROM g)""",
-        f"g_w AS (SELECT page_id, url, device_class, outcome, {', '.join(cols)} FROM g_o)",
-    ) + f"SELECT *, {status_sql('outcome', rule_sql('device_class', present))} AS estado FROM g_w"
+    cols = ", ".join(f"max(CASE WHEN level = {q(c)} THEN CASE WHEN shape IN (3, 5) THEN '' ELSE text END END) AS {c}"
+                     for c in DEVICE_LEVELS)
+    return f"""SELECT page_id, url, device_class,
+        CASE shape WHEN 5 THEN 'driver_error' WHEN 3 THEN 'element_missing' ELSE 'ok' END AS outcome, {cols},
+        CASE shape WHEN 5 THEN 'Fuera de Red' WHEN 3 THEN 'No Disponible' ELSE 'OK' END AS estado
+        FROM ({_written_gauges()}) GROUP BY page_id, url, device_class, shape"""
 
 
 def _gauges_pivot_sql() -> str:
@@ -455,6 +478,10 @@ def oracle_sql() -> dict[str, str]:
             f"e AS (SELECT page_id, regexp_extract_all(html, {q(NAV_PATTERN)}, 2) AS l FROM gauge_pages)",
             "e2 AS (SELECT page_id, generate_subscripts(l, 1) AS k, unnest(l) AS raw FROM e)",
         ) + f"SELECT page_id, CAST(k - 1 AS INTEGER) AS gauge_ix, {strip('raw')} AS text FROM e2",
+        "extract_gauges_id": _extracted_sql("id"),
+        "extract_gauges_toner_list": _extracted_sql("toner_list"),
+        "extract_gauges_grid": _extracted_sql("grid"),
+        "extract_gauges_row_id": _extracted_sql("row_id"),
         "gauges_to_supplies": _gauges_sql(),
         "gauges_pivot": _gauges_pivot_sql(),
         "trim_columns": _with() + "SELECT * FROM history_raw",

@@ -21,6 +21,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from supplyscope import config as K
 from supplyscope.sources.tables import read_table
 
 # Rule constants of the adapters (shared with the SQL twins).
@@ -159,3 +160,49 @@ def gauge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("page_id", "url", "html",
                     _case_mod((F.col("page_id") % 3).cast("int"), ("HP Admin", "Color Admin", "HP Planta"))
                     .alias("device_class"))
+
+
+# Classes of the rewritten pages, by page id modulo 8.
+_PAGE_CLASSES = ("HP Admin", "HP Planta", "Color Admin", "HP Planta - 2", "Color Planta", "Impresora CLX-6260",
+                 "Impresoras Normales", "Impresoras a Color")
+
+
+def device_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The captured pages, each with the gauges of one of the eight classes written
+    in front, in the class's element pattern. ``shape`` (page id / 8 mod 6): 0 plain,
+    1 single quotes and nested markup, 2 ids in descending order, 3 the last
+    gauge missing, 4 ids that no class reads besides, 5 no page at all."""
+    p = F.col("page_id")
+    shape = F.pmod(F.floor(p / 8), F.lit(6))
+    variants = []
+    for k, cls in enumerate(_PAGE_CLASSES):
+        n = len(K.GAUGE_MAP[cls])
+        text = lambda i: F.concat(((p * 7 + i * 13) % 101).cast("string"), F.lit("%"))
+        nested = lambda i: F.when(shape == 1, F.concat(F.lit("<b>"), text(i), F.lit("</b>"))).otherwise(text(i))
+        kept = lambda i, x: F.when((shape == 3) & F.lit(i == n - 1), F.lit("")).otherwise(x)
+        pattern = K.GAUGE_PATTERN[cls]
+        if pattern == "supply_gauge":
+            one = [kept(i, F.concat(F.when(shape == 1, f"<span class='g' id='SupplyGauge{i}'>")
+                                    .otherwise(f'<span id="SupplyGauge{i}">'), nested(i), F.lit("</span>"))) for i in range(n)]
+            far = F.when(shape == 4, '<i id="SupplyGauge99999999999">1%</i><i id="SupplyGauge2000000">2%</i>').otherwise("")
+            body = F.concat(F.lit('<div id="SupplyName0">x</div>'), far,
+                            F.when(shape == 2, F.concat(*one[::-1])).otherwise(F.concat(*one)))
+        elif pattern == "grid":
+            body = F.concat(*[kept(i, F.concat(F.when(shape == 1, "<div class='x-grid3-row'>").otherwise('<div class="a x-grid3-row">'),
+                                               F.lit('<p class="x-column">c</p><p class="x-column b">'), nested(i), F.lit("</p></div>")))
+                              for i in range(n)])
+        elif pattern == "toner_list":
+            body = F.concat(*[kept(i, F.concat(F.when(shape == 1, f"<table id='{t}'><tr><td class='tonervalue_number'>")
+                                               .otherwise(f'<table id="{t}"><tr><td class="a tonervalue_number">'), nested(i),
+                                               F.lit("</td></tr></table>"))) for i, t in enumerate(("toner_list", "imagine_list"))])
+        else:
+            cell = lambda i: kept(i, F.concat(F.lit("<tr><td>n</td><td>"), nested(i), F.lit("</td></tr>")))
+            body = F.concat(F.lit("<table>"), *[F.concat(
+                F.lit(f'<tr id="{r + 1}"><td>n<td><table><tr><td><table>'), cell(2 * r), cell(2 * r + 1),
+                F.lit("</table></td></tr></table></td></tr>")) for r in range(4)], F.lit("</table>"))
+        variants.append((k, cls, body))
+    html, name = F.lit(None), F.lit(None)
+    for k, cls, body in variants:
+        html, name = F.when(p % 8 == k, body).otherwise(html), F.when(p % 8 == k, cls).otherwise(name)
+    whole = F.when(shape != 5, F.concat(html, F.coalesce("html", F.lit(""))))
+    return read_table(spark, sf_dir, "pages").select("page_id", "url", whole.alias("html"), name.alias("device_class"))

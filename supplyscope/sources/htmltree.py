@@ -3,31 +3,41 @@
 Some device pages put every gauge in a nested table addressed by row id:
 ``//tr[@id=k]/td[2]/table/tbody/tr/td/table/tbody/tr/td[2]`` (first match:
 toner, second match: imaging unit).  Regexes cannot follow that nesting, so
-each page is parsed with the standard-library HTML parser into a light tree
-and the path is walked.  This is per-page Python on Arrow batches: Spark
-still partitions the pages; nothing here sees more than one batch.
+each page is parsed once, with the standard-library HTML parser, into a light
+tree, and the path is walked.  Nothing recurses, so deep pages are fine.  This
+is per-page Python on Arrow batches: Spark still partitions the pages.
 """
 
 from __future__ import annotations
 
 from html.parser import HTMLParser
 
-import pandas as pd
-
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+# A start tag ends open elements of these kinds, back to the nearest container.
+_ENDS = {"td": {"td", "th"}, "th": {"td", "th"}, "tr": {"td", "th", "tr"}, "tbody": {"td", "th", "tr", "tbody"},
+         "li": {"li"}, "p": {"p"}, "option": {"option"}}
+_CONTAINER = {"table", "ul", "ol", "div", "select", "#root"}
 
 
 class _Node:
-    __slots__ = ("tag", "attrs", "children", "parts")
+    __slots__ = ("tag", "attrs", "parts")
 
     def __init__(self, tag: str, attrs: dict):
-        self.tag, self.attrs, self.children, self.parts = tag, attrs, [], []
+        self.tag, self.attrs, self.parts = tag, attrs, []          # parts: texts and nodes, in order
+
+    def kids(self, tag: str) -> list[_Node]:
+        return [c for c in self.parts if isinstance(c, _Node) and c.tag == tag]
+
+    def walk(self):
+        stack = [self]
+        while stack:
+            node = stack.pop()
+            yield node
+            if isinstance(node, _Node):
+                stack.extend(reversed(node.parts))
 
     def text(self) -> str:
-        out = list(self.parts)
-        for c in self.children:
-            out.append(c.text())
-        return "".join(out)
+        return "".join(x for x in self.walk() if isinstance(x, str))
 
 
 class _Tree(HTMLParser):
@@ -37,8 +47,14 @@ class _Tree(HTMLParser):
         self.stack = [self.root]
 
     def handle_starttag(self, tag, attrs):
+        ends = _ENDS.get(tag, ())
+        for i in range(len(self.stack) - 1, 0, -1):
+            if self.stack[i].tag in _CONTAINER or not ends:
+                break
+            if self.stack[i].tag in ends:
+                del self.stack[i:]
         node = _Node(tag, dict(attrs))
-        self.stack[-1].children.append(node)
+        self.stack[-1].parts.append(node)
         if tag not in _VOID:
             self.stack.append(node)
 
@@ -52,59 +68,33 @@ class _Tree(HTMLParser):
         self.stack[-1].parts.append(data)
 
 
-def _kids(node: _Node, tag: str) -> list[_Node]:
-    return [c for c in node.children if c.tag == tag]
-
-
 def _rows_of(table: _Node) -> list[_Node]:
     """``table/tbody/tr`` with the ``tbody`` a browser would insert."""
-    bodies = _kids(table, "tbody")
-    if not bodies:
-        return _kids(table, "tr")
-    return [tr for b in bodies for tr in _kids(b, "tr")]
+    bodies = table.kids("tbody")
+    return [tr for b in bodies for tr in b.kids("tr")] if bodies else table.kids("tr")
 
 
-def _walk(node: _Node):
-    yield node
-    for c in node.children:
-        yield from _walk(c)
+def _nested_cells(tr: _Node) -> list[str]:
+    """Texts of ``td[2]/table/tbody/tr/td/table/tbody/tr/td[2]`` below ``tr``."""
+    outer = [t for td in tr.kids("td")[1:2] for t in td.kids("table")]
+    inner = [t for o in outer for r in _rows_of(o) for td in r.kids("td") for t in td.kids("table")]
+    return [r.kids("td")[1].text().strip() for t in inner for r in _rows_of(t) if len(r.kids("td")) > 1]
 
 
-def row_cells(html: str | None, row_id: str) -> list[str]:
-    """Texts of ``//tr[@id=row_id]/td[2]/table/tbody/tr/td/table/tbody/tr/td[2]``."""
+def row_id_texts(html: str | None, positions: int, matches: int = 2) -> list[str | None]:
+    """Gauge ``(k-1)*matches + m`` is match ``m`` of the row with id ``k``; None where there is none."""
+    out: list[str | None] = [None] * positions
     if not html:
-        return []
+        return out
     t = _Tree()
     t.feed(html)
     t.close()
-    out = []
-    for tr in (n for n in _walk(t.root) if n.tag == "tr" and n.attrs.get("id") == row_id):
-        tds = _kids(tr, "td")
-        if len(tds) < 2:
-            continue
-        for table in _kids(tds[1], "table"):
-            for r in _rows_of(table):
-                for td in _kids(r, "td"):
-                    for inner in _kids(td, "table"):
-                        for r2 in _rows_of(inner):
-                            cells = _kids(r2, "td")
-                            if len(cells) >= 2:
-                                out.append(cells[1].text().strip())
+    ids = {str(k + 1): k for k in range(positions // matches)}
+    found: dict[int, list[str]] = {}
+    for n in t.root.walk():
+        if isinstance(n, _Node) and n.tag == "tr" and n.attrs.get("id") in ids:
+            found.setdefault(ids[n.attrs["id"]], []).extend(_nested_cells(n))
+    for k, texts in found.items():
+        for m, text in enumerate(texts[:matches]):
+            out[k * matches + m] = text
     return out
-
-
-def row_id_gauges(batches, rows: int = 4, matches: int = 2):
-    """mapInPandas body: pages -> (page_id, gauge_ix, text); gauge
-    ``(k-1)*matches + m`` is match ``m`` of row id ``k``."""
-    for pdf in batches:
-        ids, ixs, texts = [], [], []
-        for pid, html in zip(pdf["page_id"], pdf["html"]):
-            for k in range(1, rows + 1):
-                found = row_cells(html, str(k))
-                for m in range(min(matches, len(found))):
-                    ids.append(pid)
-                    ixs.append((k - 1) * matches + m)
-                    texts.append(found[m])
-        yield pd.DataFrame({"page_id": pd.Series(ids, dtype="int64"),
-                            "gauge_ix": pd.Series(ixs, dtype="int32"),
-                            "text": pd.Series(texts, dtype="object")})

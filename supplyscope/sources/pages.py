@@ -16,6 +16,9 @@ Supported element patterns:
 
 from __future__ import annotations
 
+from functools import reduce
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,53 +27,65 @@ from supplyscope import config as K
 from supplyscope.functions.bands import classify_status
 from supplyscope.functions.scalars import strip_ws
 from supplyscope.operators.reshape import pivot_supplies
+from supplyscope.sources.htmltree import row_id_texts
 
 # Fixed element patterns of the device pages.
 NAV_PATTERN = r'<li><a href="([^"]*)">([^<]*)</a></li>'
-SUPPLY_GAUGE_PATTERN = r'<[^>]*\bid="SupplyGauge([0-9]+)"[^>]*>([^<]*)<'
-GRID_ROW_SPLIT = r'<[^>]*\bclass="(?:[^"]*\s)?x-grid3-row(?:\s[^"]*)?"[^>]*>'
-GRID_CELL_PATTERN = r'<[^>]*\bclass="(?:[^"]*\s)?x-column(?:\s[^"]*)?"[^>]*>([^<]*)'
-TONER_LIST_PATTERN = (r'<table[^>]*\bid="{table}"[^>]*>(?:(?!</table>).)*?'
-                      r'<td[^>]*\bclass="[^"]*\btonervalue_number\b[^"]*"[^>]*>([^<]*)<')
+_SUPPLY_GAUGE = r"""(?is)<(\w+)\b[^>]*\bid\s*=\s*["']?SupplyGauge([0-9]+)(?=["'\s>])[^>]*>(.*?)</\1"""
+_GRID_ROW = r"""(?i)<[^>]*\bclass\s*=\s*(?:"(?:[^"]*\s)?x-grid3-row(?:\s[^"]*)?"|'(?:[^']*\s)?x-grid3-row(?:\s[^']*)?')[^>]*>"""
+_GRID_CELL = (r"""(?is)<(\w+)\b[^>]*\bclass\s*=\s*(?:"(?:[^"]*\s)?x-column(?:\s[^"]*)?"|'(?:[^']*\s)?x-column(?:\s[^']*)?')"""
+              r"""[^>]*>(.*?)</\1""")
+_TABLE_OPEN = r"""(?i)<table\b[^>]*\bid\s*=\s*["']?{table}(?=["'\s>])[^>]*>"""
+_TONER_CELL = r"""(?is)<td\b[^>]*\bclass\s*=\s*["'][^"']*\btonervalue_number\b[^"']*["'][^>]*>(.*?)</td"""
+
+# Positions a page can have: those of the class that reads most.
+POSITIONS = max(map(len, K.GAUGE_MAP.values()))
+
+
+def inner_text(markup: Column) -> Column:
+    """Text of an element's inner markup, as a browser would show it."""
+    t = F.replace(F.regexp_replace(markup, "<[^>]*>", ""), F.lit("&nbsp;"), F.lit(" "))
+    return strip_ws(F.replace(t, F.lit("&amp;"), F.lit("&")))
 
 
-def gauge_array(html: Column, pattern: str = "nav") -> Column:
-    """Array of gauge texts in gauge order (index 0 first)."""
-    if pattern == "nav":
-        return F.regexp_extract_all(html, F.lit(NAV_PATTERN), 2)
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _row_id_positions(html: pd.Series) -> pd.Series:
+    return html.map(lambda h: row_id_texts(h, POSITIONS))
+
+
+def gauge_positions(html: Column, pattern: str) -> Column:
+    """Array of ``POSITIONS`` gauge texts; null where the page has no such gauge.
+
+    Positions are fixed: a missing gauge never moves another one. Only the
+    first element of a position counts, ids beyond the positions are ignored.
+    """
+    if pattern == "supply_gauge":
+        pairs = F.arrays_zip(F.regexp_extract_all(html, F.lit(_SUPPLY_GAUGE), 2).alias("i"),
+                             F.regexp_extract_all(html, F.lit(_SUPPLY_GAUGE), 3).alias("t"))
+        at = lambda k: F.filter(pairs, lambda x: x["i"].try_cast("int") == k)
+        return F.array(*[inner_text(F.get(at(k), F.lit(0))["t"]) for k in range(POSITIONS)])
     if pattern == "toner_list":
-        first = [F.regexp_extract(html, "(?s)" + TONER_LIST_PATTERN.format(table=t), 1)
-                 for t in ("toner_list", "imagine_list")]
-        return F.filter(F.array(*[F.when(f != "", f) for f in first]), lambda x: x.isNotNull())
+        found = []
+        for table in ("toner_list", "imagine_list"):
+            after = F.get(F.split(html, _TABLE_OPEN.format(table=table), 2), F.lit(1))
+            body = F.get(F.split(after, "(?i)</table", 2), F.lit(0))
+            found.append(inner_text(F.get(F.regexp_extract_all(body, F.lit(_TONER_CELL), 1), F.lit(0))))
+        return F.array(*found, *[F.lit(None).cast("string")] * (POSITIONS - 2))
     if pattern == "grid":
-        chunks = F.split(html, GRID_ROW_SPLIT)
-        rows = F.slice(chunks, 2, F.greatest(F.size(chunks) - 1, F.lit(0)))
-        return F.transform(rows, lambda r: F.coalesce(
-            F.try_element_at(F.regexp_extract_all(r, F.lit(GRID_CELL_PATTERN), 1), F.lit(2)), F.lit("")))
-    if pattern == "supply_gauge":
-        idx = F.regexp_extract_all(html, F.lit(SUPPLY_GAUGE_PATTERN), 1)
-        txt = F.regexp_extract_all(html, F.lit(SUPPLY_GAUGE_PATTERN), 2)
-        pairs = F.arrays_zip(idx.alias("i"), txt.alias("t"))
-        # Place every text at its own index (ids may come in any order).
-        n = F.aggregate(idx, F.lit(0), lambda acc, x: F.greatest(acc, x.cast("int") + 1))
-        placed = F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.try_element_at(
-            F.filter(pairs, lambda p: p["i"].cast("int") == k), F.lit(1))["t"])
-        # sequence(0, -1) would count down: no gauge ids -> no gauges
-        return F.when(n > 0, placed).otherwise(F.array().cast("array<string>"))
+        rows = F.split(html, _GRID_ROW)
+        return F.array(*[inner_text(F.get(F.regexp_extract_all(F.get(rows, F.lit(k + 1)), F.lit(_GRID_CELL), 2), F.lit(1)))
+                         for k in range(POSITIONS)])
+    if pattern == "row_id":
+        return _row_id_positions(html)
     raise ValueError(f"unknown gauge pattern {pattern!r}")
 
 
-def extract_gauges(pages: DataFrame, pattern: str = "nav") -> DataFrame:
-    """Pages -> one row per gauge ``(page_id, gauge_ix, text)``."""
-    if pattern == "row_id":
-        from supplyscope.sources.htmltree import row_id_gauges
-
-        return pages.select("page_id", "html").mapInPandas(
-            row_id_gauges, "page_id long, gauge_ix int, text string")
-    arr = gauge_array(F.col("html"), pattern)
-    return (pages.select("page_id", F.posexplode(arr).alias("gauge_ix", "raw"))
-            .select("page_id", F.col("gauge_ix").cast("int").alias("gauge_ix"),
-                    strip_ws(F.col("raw")).alias("text")))
+def extract_gauges(pages: DataFrame, pattern: str = "nav", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Pages -> one row per gauge ``(page_id, *keep, gauge_ix, text)``; no page can fail the job."""
+    html = F.col("html")
+    arr = F.regexp_extract_all(html, F.lit(NAV_PATTERN), 2) if pattern == "nav" else gauge_positions(html, pattern)
+    return (pages.select("page_id", *keep, F.posexplode(arr).alias("gauge_ix", "raw")).where(F.col("raw").isNotNull())
+            .select("page_id", *keep, F.col("gauge_ix").cast("int").alias("gauge_ix"), strip_ws(F.col("raw")).alias("text")))
 
 
 def gauge_map_df(spark: SparkSession) -> DataFrame:
@@ -82,16 +97,15 @@ def gauge_map_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def label_gauges(gauges: DataFrame, page_classes: DataFrame, class_col: str = "device_class") -> DataFrame:
-    """Long gauge rows -> ``(page_id, device_class, gauge_ix, consumible, text)``.
+def label_gauges(gauges: DataFrame, class_col: str = "device_class") -> DataFrame:
+    """Gauge rows that carry their page's class -> ``(page_id, device_class, gauge_ix, consumible, text)``.
 
     The lookup side is the fixed gauge map (one row per class and position,
     a size bound independent of the data), so it is broadcast explicitly.
     Gauges a class does not read are dropped.
     """
     gm = F.broadcast(gauge_map_df(gauges.sparkSession))
-    g = gauges.join(page_classes.select("page_id", class_col), "page_id")
-    return g.join(gm, [class_col, "gauge_ix"], "inner").select("page_id", class_col, "gauge_ix", "consumible", "text")
+    return gauges.join(gm, [class_col, "gauge_ix"], "inner").select("page_id", class_col, "gauge_ix", "consumible", "text")
 
 
 def pivot_gauges(labelled: DataFrame, class_col: str = "device_class") -> DataFrame:
@@ -99,42 +113,46 @@ def pivot_gauges(labelled: DataFrame, class_col: str = "device_class") -> DataFr
     return pivot_supplies(labelled, ["page_id", class_col], value_col="text")
 
 
-def gauges_to_supplies(pages: DataFrame, pattern: str = "nav", class_col: str = "device_class",
-                       variant: str = "v13") -> DataFrame:
-    """Pages -> one poll row per page: supply columns, outcome and status.
+def _by_class(cls: Column, values: dict[str, Column]) -> Column:
+    out = F.lit(None)
+    for c, v in values.items():
+        out = F.when(cls == c, v).otherwise(out)
+    return out
 
-    The position -> supply lookup is the fixed gauge map compiled into a
-    CASE per supply column, so the job stays map-only (no join, no pivot
-    shuffle).  A page missing any gauge its class reads is an
-    ``element_missing`` outcome (all levels ``''``); a page without HTML is a
-    ``driver_error``.
+
+def gauges_to_supplies(pages: DataFrame, pattern: str | None = None, class_col: str = "device_class",
+                       variant: str = "v13") -> DataFrame:
+    """Pages -> one poll row per page: level columns, outcome and status.
+
+    Each class's pages are read by its own element pattern, or all by
+    ``pattern``. The position -> level lookup is the fixed gauge map compiled
+    into a CASE per column, so the job stays map-only. A page without any one
+    of the gauges its class reads is an ``element_missing`` outcome (all its
+    levels ``''``); a page without HTML is a ``driver_error``; a class that
+    is not in the gauge map is an ``unknown_class`` (no levels, no status).
     """
-    arr = gauge_array(F.col("html"), pattern)
-    cls = F.col(class_col)
-    need = None
-    for c, sup in K.GAUGE_MAP.items():
-        need = F.when(cls == c, F.lit(len(sup))) if need is None else need.when(cls == c, F.lit(len(sup)))
-    outcome = (F.when(F.col("html").isNull(), F.lit("driver_error"))
-               .when(F.size(arr) < need, F.lit("element_missing"))
-               .otherwise(F.lit("ok")))
-    base = pages.select("page_id", "url", class_col, arr.alias("_g"), outcome.alias("outcome"))
+    cls, html = F.col(class_col), F.col("html")
+    used = dict.fromkeys([pattern] if pattern else K.GAUGE_PATTERN.values())
+    if pattern:
+        arr = gauge_positions(html, pattern)
+    else:
+        # A pattern sees only its own classes' pages.
+        own = {p: cls.isin(*[c for c, q in K.GAUGE_PATTERN.items() if q == p]) for p in used}
+        arr = F.coalesce(*[F.when(own[p], gauge_positions(F.when(own[p], html), p)) for p in used])
+    base = pages.select("page_id", "url", class_col, "html", arr.alias("_g"))
+    whole = _by_class(cls, {c: F.forall(F.slice("_g", 1, len(s)), lambda x: x.isNotNull()) for c, s in K.GAUGE_MAP.items()})
+    outcome = (F.when(~F.coalesce(cls.isin(*K.GAUGE_MAP), F.lit(False)), F.lit("unknown_class"))
+               .when(F.col("html").isNull(), F.lit("driver_error"))
+               .when(F.coalesce(whole, F.lit(False)), F.lit("ok")).otherwise(F.lit("element_missing")))
+    base = base.withColumn("outcome", outcome)
     cols = []
-    for s, c in K.SUPPLY_COLUMNS.items():
-        e = None
-        for cname, sup in K.GAUGE_MAP.items():
-            if s in sup:
-                v = strip_ws(F.try_element_at(F.col("_g"), F.lit(sup.index(s) + 1)))
-                e = F.when(cls == cname, v) if e is None else e.when(cls == cname, v)
-        val = F.lit(None).cast("string") if e is None else e
-        cols.append(F.when(F.col("outcome") == "ok", val)
-                    .when(cls.isin(*[k for k, sup in K.GAUGE_MAP.items() if s in sup]), F.lit(""))
-                    .alias(c))
+    for s, c in {**K.SUPPLY_COLUMNS, **K.IMAGING_COLUMNS}.items():
+        at = {cname: sup.index(s) for cname, sup in K.GAUGE_MAP.items() if s in sup}
+        value = _by_class(cls, {cname: F.get(F.col("_g"), F.lit(i)) for cname, i in at.items()})
+        cols.append(F.when(F.col("outcome") == "ok", value).when(cls.isin(*at), F.lit("")).cast("string").alias(c))
     wide = base.select("page_id", "url", class_col, "outcome", *cols)
-    rule = None
-    for cname, sup in K.OK_RULE.items():
-        r = None
-        for s in sup:
-            t = F.coalesce(F.col(K.SUPPLY_COLUMNS[s]), F.lit("")) != ""
-            r = t if r is None else (r | t)
-        rule = F.when(cls == cname, r) if rule is None else rule.when(cls == cname, r)
+    rule = F.lit(False)
+    for cname in K.GAUGE_MAP:
+        texts = [F.coalesce(F.col(K.SUPPLY_COLUMNS[s]), F.lit("")) != "" for s in K.OK_RULE.get(cname, ())]
+        rule = F.when(cls == cname, reduce(lambda x, y: x | y, texts) if texts else F.lit(True)).otherwise(rule)
     return wide.withColumn("estado", classify_status("outcome", rule, variant=variant))

@@ -105,5 +105,21 @@ def test_malformed_html_does_not_fail(spark):
     df = spark.createDataFrame([(i, "u", h, "HP Planta") for i, h in enumerate(bad)], PAGE)
     out = {r.page_id: (r.outcome, r.toner_negro) for r in G.gauges_to_supplies(df, "supply_gauge").collect()}
     assert out[1] == ("element_missing", "") and out[2] == ("element_missing", "")
-    assert out[0] == ("element_missing", "") and out[3][0] == "ok"
+    assert out[0] == ("element_missing", "") and out[3] == ("ok", "9%")
     assert G.extract_gauges(df, "row_id").count() == 0
+
+
+def test_gauges_keep_their_positions(spark):
+    rows = [(1, "u", '<table id="imagine_list"><tr><td class="tonervalue_number">30%</td></tr></table>', "Impresoras Normales"),
+            (2, "u", "<span id='SupplyGauge2'>7%</span><span id='SupplyGauge0'><b>85%</b></span>", "HP Planta - 2"),
+            (3, "u", '<span id="SupplyGauge99999999999">1%</span><span id="SupplyGauge0">5%</span>', "HP Planta"),
+            (4, "u", '<span id="SupplyGauge0">5%</span>', "Another class"), (5, "u", "<p>" * 3000, "Impresoras a Color"),
+            (6, "u", '<span id="SupplyGauge0">5%</span>', None)]
+    df = spark.createDataFrame(rows, PAGE)
+    out = {r.page_id: r for r in G.gauges_to_supplies(df).collect()}
+    assert (out[1].outcome, out[1].toner_negro, out[1].ui_negro) == ("element_missing", "", "")
+    assert (out[2].outcome, out[2].toner_negro, out[2].estado) == ("element_missing", "", K.STATUS_NOT_AVAILABLE)
+    assert (out[3].outcome, out[3].toner_negro, out[3].estado) == ("ok", "5%", K.STATUS_OK)
+    assert (out[4].outcome, out[4].toner_negro, out[4].estado) == ("unknown_class", None, None)
+    assert out[5].outcome == "element_missing" and out[6].outcome == "unknown_class"
+    assert [(r.page_id, r.gauge_ix, r.text) for r in G.extract_gauges(df, "toner_list").collect()] == [(1, 1, "30%")]
