@@ -147,7 +147,7 @@ def fraction_to_pct(c) -> Column:
 
 
 # Shape of the poller's stamp text; anything else is not a stamp.
-TS_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+TS_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
 
 
 def parse_ts(c) -> Column:

@@ -39,6 +39,8 @@ def _null(t: str) -> Column:
 
 def _long_readings(clean: DataFrame, supplies: list[str] | None, drop_null_keys: bool,
                    value_type: str = "double") -> DataFrame:
+    if "nombre" not in clean.columns:            # a log without names: the device key stands in
+        clean = clean.withColumn("nombre", F.col("ip"))
     long = unpivot_supplies(clean, ["seq", "nombre", "ip", "modelo", "fecha"], supplies,
                             value_type=value_type)
     if drop_null_keys:
@@ -54,12 +56,12 @@ def probe_log(raw: DataFrame, strip_status: bool = True, ties: bool = True) -> d
     every series size from above.  ``ties``: whether two different stamp
     texts of one ip parse to the same instant (``min(text) != max(text)``
     per ip and instant), the only way a deduped series can hold timestamp
-    ties; skipped (reported True) with ``ties=False``.
+    ties; skipped (reported True) with ``ties=False``. A log parsed by
+    :func:`parse_ts` needs no proof: that accepts one fixed text per instant.
 
-    The probe is itself skew-safe: it first aggregates per (ip, instant),
-    which spreads a hot device over many groups, and only then per ip with
-    map-side partial aggregation -- partitioning by ip up front would put
-    the very device it is looking for into one task.
+    Counts per ip are added up map-side, so without the proof the probe
+    shuffles about one row per device and task. With it, it first
+    aggregates per (ip, instant), which spreads a hot device.
     """
     ok = filter_status(raw.select("ip", "estado", "marca_de_tiempo"), strip=strip_status)
     if ties:

@@ -9,8 +9,7 @@ log, see :func:`supplyscope.operators.forecast.probe_log`):
   model, supply) and the final aggregate (ip, model, supply), so the whole
   forecast runs with one shuffle of the wide log rows;
 * some devices are hot -> the log is split by device.  The hot devices'
-  rows (a broadcast list of at most ``total / blockRows`` keys, matched
-  null-safely) keep the dedupe's map-side partial aggregation and have
+  rows (a list of at most ``total / blockRows`` keys, matched null-safely) keep the dedupe's map-side partial aggregation and have
   their series range-split into blocks
   (:mod:`supplyscope.operators.sequencing`); every other device keeps the
   one-exchange plan.  Series never span devices, so the two forecasts are
@@ -37,23 +36,27 @@ def _limit(raw: DataFrame) -> int:
 
 def split_hot_devices(raw: DataFrame, limit: int, strip_status: bool) -> tuple[DataFrame, DataFrame]:
     """(hot rows, other rows) of a raw log: hot devices hold more than
-    ``limit`` rows with a valid status.  The hot list has at most
-    ``total / limit`` keys, so it is broadcast; NULL is a key like any other
-    (the linear forecast keeps NULL groups)."""
+    ``limit`` rows with a valid status.  How the hot list (at most ``total /
+    limit`` keys) is joined is left to its measured size; NULL is a key like
+    any other (the linear forecast keeps NULL groups)."""
     ok = H.filter_status(raw.select("ip", "estado"), strip=strip_status)
-    hot = F.broadcast(ok.groupBy("ip").count().filter(F.col("count") > F.lit(limit))
-                      .select(F.col("ip").alias("_hot_ip")))
+    hot = (ok.groupBy("ip").count().filter(F.col("count") > F.lit(limit))
+           .select(F.col("ip").alias("_hot_ip")))
     match = F.col("ip").eqNullSafe(F.col("_hot_ip"))
     return raw.join(hot, match, "left_semi"), raw.join(hot, match, "left_anti")
 
 
 def fleet_forecast_ema(raw: DataFrame, alerts: bool = True, **kw) -> DataFrame:
-    """EMA forecast (+ five-level alerts) of a raw history log."""
-    probe = probe_log(raw)
+    """EMA forecast (+ five-level alerts) of a raw history log.
+
+    The clean log is deduped by stamp text, and parsed stamps have one text
+    per instant, so no series holds a timestamp tie and the probe proves
+    nothing about them."""
+    probe = probe_log(raw, ties=False)
     limit = _limit(raw)
 
     def run(src: DataFrame, mode: str) -> DataFrame:
-        return forecast_ema(H.clean_history(src), mode=mode, bound=probe["bound"], ties=probe["ties"], **kw)
+        return forecast_ema(H.clean_history(src), mode=mode, bound=probe["bound"], ties=False, **kw)
 
     if probe["bound"][0] <= limit:
         out = run(raw.repartition("ip"), "off")
