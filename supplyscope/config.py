@@ -63,7 +63,9 @@ STATUS_OK = "OK"
 STATUS_NOT_AVAILABLE_RULE = "No disponible"   # page loaded, class rule failed
 STATUS_NOT_AVAILABLE = "No Disponible"        # element missing / timeout
 STATUS_OFFLINE = "Fuera de Red"               # driver / network error
-STATUS_ERROR = "Error"                        # gen-7 element missing
+STATUS_ERROR = "Error"                        # gen 5-7 element missing
+STATUS_NO_FRAME = "No se encontraron los elementos en el iframe."   # gen 4 element missing
+STATUS_PRINTER_OFFLINE = "Impresora Fuera de Red"                   # gen 4-5
 STATUS_NO_KEY = ""                            # device without a usable key
 
 # EMA forecast method labels.

@@ -15,12 +15,21 @@ OUTCOMES = ("ok", "element_missing", "timeout", "driver_error", "no_key")
 # class rule holds, else "No disponible"; None means the generation has no
 # such outcome (it falls back to the driver-error label).
 _STATUS_TABLE = {
+    # Generations 4-6 have no status column: their outcome stands in the level cells.
+    "v4": {"no_key": K.STATUS_NO_KEY, "ok": K.STATUS_OK, "element_missing": K.STATUS_NO_FRAME,
+           "timeout": K.STATUS_PRINTER_OFFLINE, "driver_error": K.STATUS_PRINTER_OFFLINE},
+    "v5": {"no_key": K.STATUS_NO_KEY, "ok": K.STATUS_OK, "element_missing": K.STATUS_ERROR,
+           "timeout": K.STATUS_PRINTER_OFFLINE, "driver_error": K.STATUS_PRINTER_OFFLINE},
+    "v6": {"no_key": K.STATUS_NO_KEY, "ok": K.STATUS_OK, "element_missing": K.STATUS_ERROR,
+           "timeout": K.STATUS_OFFLINE, "driver_error": K.STATUS_OFFLINE},
     "v7": {"no_key": K.STATUS_NO_KEY, "ok": K.STATUS_OK, "element_missing": K.STATUS_ERROR,
            "timeout": K.STATUS_NOT_AVAILABLE, "driver_error": K.STATUS_OFFLINE},
     "v8": {"no_key": K.STATUS_NO_KEY, "ok": K.STATUS_OK, "element_missing": K.STATUS_NOT_AVAILABLE,
            "timeout": K.STATUS_NOT_AVAILABLE, "driver_error": K.STATUS_OFFLINE},
     "v10": {"no_key": K.STATUS_NO_KEY, "ok": K.STATUS_OK, "element_missing": K.STATUS_OK,
             "timeout": K.STATUS_OFFLINE, "driver_error": K.STATUS_OFFLINE},
+    "v10_normal": {"no_key": K.STATUS_NO_KEY, "ok": K.STATUS_OK, "element_missing": K.STATUS_OK,
+                   "timeout": K.STATUS_OFFLINE, "driver_error": K.STATUS_OFFLINE},
     "v11": {"no_key": K.STATUS_NO_KEY, "ok": K.STATUS_OK, "element_missing": K.STATUS_OK,
             "timeout": K.STATUS_NOT_AVAILABLE, "driver_error": K.STATUS_OFFLINE},
     "v11_copy": {"no_key": K.STATUS_NO_KEY, "ok": "zero_rule", "element_missing": "zero_rule",
@@ -54,11 +63,17 @@ def classify_status(outcome, rule_ok=None, all_zero=None, variant: str = "v13")
     return expr
 
 
-def severity(c, low_below: float = K.SEVERITY_LOW_BELOW) -> Column:
+#: Generations whose mono pages read a missing gauge as 0 %.
+MISSING_IS_ZERO = ("v10", "v10_normal", "v11", "v11_copy")
+
+
+def severity(c, low_below: float | None = K.SEVERITY_LOW_BELOW) -> Column:
     """Percent cell -> ``critical`` (``0%``/``0``), ``low`` (ends with ``%``
-    and the number before it is below ``low_below``) or NULL."""
+    and the number before it is below ``low_below``; never without it) or NULL."""
     v = strip_ws(F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("None")))
     num = parse_number(F.substring(v, F.lit(1), F.length(v) - F.lit(1)))
+    if low_below is None:
+        return F.when(v.isin("0%", "0"), F.lit(K.SEVERITY_CRITICAL))
     return (F.when(v.isin("0%", "0"), F.lit(K.SEVERITY_CRITICAL))
             .when(v.endswith("%") & (num < F.lit(float(low_below))), F.lit(K.SEVERITY_LOW)))
 

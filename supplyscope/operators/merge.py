@@ -103,7 +103,7 @@ def merge_masked_clean(j: DataFrame, inv_cols: list[str], levels: list[str], sta
             zero_classes = [k for k, v in K.CLEAN_FAILURE.items() if v == "0%"]
             cleaned = F.when(F.col(class_col).isin(zero_classes), clean_pct(_new(c, j), "0%")) \
                 .otherwise(clean_pct(_new(c, j), ""))
-            owners = [k for k, sup in K.GAUGE_MAP.items() if any(K.SUPPLY_COLUMNS[s] == c for s in sup)]
+            owners = [k for k, sup in K.GAUGE_MAP.items() if any(K.SUPPLY_COLUMNS.get(s) == c for s in sup)]
             applies = F.col(class_col).isin(owners)
         ex[c] = F.when(applies & ok, cleaned).when(applies, old).otherwise(F.col(c))
     ex[status] = F.coalesce(_new(status), F.coalesce(F.col(status), F.lit("")))

@@ -8,25 +8,20 @@ from pyspark.sql import functions as F
 from supplyscope import config as K
 
 
-def present_supplies(df: DataFrame, supplies: list[str] | None = None) -> list[str]:
-    """Display names of the supplies whose column exists in ``df``."""
-    names = supplies or K.supply_names()
-    return [s for s in names if K.SUPPLY_COLUMNS[s] in df.columns]
-
-
 def unpivot_supplies(df: DataFrame, ids: list[str], supplies: list[str] | None = None,
-                     value_type: str | None = None, add_missing: bool = False) -> DataFrame:
+                     value_type: str | None = None, add_missing: bool = False,
+                     columns: dict[str, str] = K.SUPPLY_COLUMNS) -> DataFrame:
     """Wide supply columns -> rows ``(*ids, consumible, consumible_ix, valor)``.
 
     ``consumible`` carries the display name and ``consumible_ix`` the report
-    order.  Missing supply columns are skipped, or emitted as NULL values with
+    order; ``columns`` maps display names to columns.  Missing supply columns are skipped, or emitted as NULL values with
     ``add_missing=True``.  One ``Generate`` node, no shuffle.
     """
-    names = supplies or K.supply_names()
-    order = {s: i for i, s in enumerate(K.supply_names())}
+    names = supplies or list(columns)
+    order = {s: i for i, s in enumerate(columns)}
     items = []
     for s in names:
-        c = K.SUPPLY_COLUMNS[s]
+        c = columns[s]
         if c in df.columns:
             v = F.col(c)
         elif add_missing:

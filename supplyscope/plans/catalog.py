@@ -175,7 +175,7 @@ def classify_status(spark, d):
     j = p.join(inv, "device_id")
     rule = R._class_rule(F.col("device_class"), j)
     zero = (F.col("toner_negro") == "0%") & (F.col("ui_negro") == "0%")
-    variants = ["v7", "v8", "v10", "v11", "v11_copy", "v11_clx", "v13"]
+    variants = ["v4", "v5", "v6", "v10_normal", "v7", "v8", "v10", "v11", "v11_copy", "v11_clx", "v13"]
     return j.select("device_id", "device_class", "outcome",
                     *[bands.classify_status("outcome", rule, zero, v).alias(f"status_{v}") for v in variants])
 
@@ -233,6 +233,19 @@ def severity_counts(spark, d):
     return P.severity_counts(refresh_inventory(spark, d))
 
 
+def severity_counts_below_5(spark, d):
+    return P.severity_counts(refresh_inventory(spark, d), low_below=5)
+
+
+def severity_counts_red(spark, d):
+    return P.severity_counts(refresh_inventory(spark, d), low_below=None)
+
+
+def refresh_new_level(spark, d):
+    # A sheet without the toner column takes the polled level as a new one.
+    return R.refresh_inventory(X.inventory_raw(spark, d).drop("toner_negro"), _poll(spark, d))
+
+
 # ------------------------------------------------------------- history
 def history_append(spark, d):
     return H.append_history(X.history_raw(spark, d), refresh_inventory(spark, d))
@@ -391,6 +404,9 @@ def queries() -> dict[str, Query]:
         "refresh_inventory_mono": refresh_inventory_mono,
         "refresh_inventory_color": refresh_inventory_color,
         "severity_counts": severity_counts,
+        "severity_counts_below_5": severity_counts_below_5,
+        "severity_counts_red": severity_counts_red,
+        "refresh_new_level": refresh_new_level,
         "history_append": history_append,
         "clean_history": clean_history,
         "dedupe_history": dedupe_history,

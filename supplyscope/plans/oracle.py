@@ -107,6 +107,14 @@ def rule_sql(cls: str, present: list[str]) -> str:
 
 
 _STATUS = {
+    "v4": {"no_key": "''", "ok": "'OK'", "element_missing": "'No se encontraron los elementos en el iframe.'",
+           "timeout": "'Impresora Fuera de Red'", "driver_error": "'Impresora Fuera de Red'"},
+    "v5": {"no_key": "''", "ok": "'OK'", "element_missing": "'Error'", "timeout": "'Impresora Fuera de Red'",
+           "driver_error": "'Impresora Fuera de Red'"},
+    "v6": {"no_key": "''", "ok": "'OK'", "element_missing": "'Error'", "timeout": "'Fuera de Red'",
+           "driver_error": "'Fuera de Red'"},
+    "v10_normal": {"no_key": "''", "ok": "'OK'", "element_missing": "'OK'", "timeout": "'Fuera de Red'",
+                   "driver_error": "'Fuera de Red'"},
     "v7": {"no_key": "''", "ok": "'OK'", "element_missing": "'Error'", "timeout": "'No Disponible'",
            "driver_error": "'Fuera de Red'"},
     "v8": {"no_key": "''", "ok": "'OK'", "element_missing": "'No Disponible'", "timeout": "'No Disponible'",
@@ -177,15 +185,16 @@ poll_q AS (
   FROM orders),
 poll_raw AS (
   SELECT o_custkey AS device_id,
-    CASE o_orderstatus WHEN 'F' THEN 'ok' WHEN 'O' THEN 'timeout' ELSE 'driver_error' END AS outcome,
-    CASE WHEN o_orderstatus <> 'F' THEN '' WHEN o_orderkey % 11 = 0 THEN '--'
+    CASE WHEN o_orderpriority = '5-LOW' THEN 'element_missing' WHEN o_orderstatus = 'F' THEN 'ok'
+         WHEN o_orderstatus = 'O' THEN 'timeout' ELSE 'driver_error' END AS outcome,
+    CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderstatus <> 'F' THEN '' WHEN o_orderkey % 11 = 0 THEN '--'
          ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) % 101 AS VARCHAR)
               || CASE WHEN o_orderkey % 2 = 0 THEN '.5%' ELSE ' %' END END AS toner_negro,
-    CASE WHEN o_orderstatus <> 'F' THEN ''
+    CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderstatus <> 'F' THEN ''
          ELSE '0' || CASE WHEN o_orderkey % 2 = 0 THEN ',' ELSE '.' END
               || lpad(CAST(CAST(floor(o_totalprice) AS BIGINT) % 100 AS VARCHAR), 2, '0') END AS ui_negro,
     {q(X.RUN_STAMP)} AS marca_de_tiempo
-  FROM poll_q WHERE rn = 1 AND o_orderpriority <> {q(X.UNPOLLED_PRIORITY)}),
+  FROM poll_q WHERE rn = 1),
 gauge_pages AS (
   SELECT page_id, url, html,
     CASE CAST(page_id % 3 AS INTEGER) WHEN 0 THEN 'HP Admin' WHEN 1 THEN 'Color Admin' ELSE 'HP Planta' END
@@ -204,6 +213,7 @@ def _with(*ctes: str) -> str:
 def _poll_ctes(variant: str = "v13", by_class: bool = True, name: str = "poll_d") -> list[str]:
     rule = rule_sql("device_class", ["toner_negro", "ui_negro"])
     zero = "(toner_negro = '0%' AND ui_negro = '0%')"
+    blank = "'0%'" if variant in ("v10", "v10_normal", "v11", "v11_copy") else "''"
     part = "device_class, ip" if by_class else "ip"
     keys = "device_class, ip" if by_class else "ip"
     return [
@@ -214,8 +224,8 @@ def _poll_ctes(variant: str = "v13", by_class: bool = True, name: str = "poll_d"
               p.toner_negro, p.ui_negro, p.marca_de_tiempo
             FROM poll_raw p JOIN inv_keys_{name} k ON p.device_id = k.device_id)""",
         f"""poll_l_{name} AS (SELECT device_id, device_class, ip, outcome,
-              CASE WHEN outcome IN ('ok', 'element_missing') THEN coalesce(toner_negro, '') ELSE '' END AS toner_negro,
-              CASE WHEN outcome IN ('ok', 'element_missing') THEN coalesce(ui_negro, '') ELSE '' END AS ui_negro,
+              CASE WHEN outcome IN ('ok', 'element_missing') THEN coalesce(toner_negro, {blank}) ELSE '' END AS toner_negro,
+              CASE WHEN outcome IN ('ok', 'element_missing') THEN coalesce(ui_negro, {blank}) ELSE '' END AS ui_negro,
               CASE WHEN outcome = 'no_key' THEN '' ELSE marca_de_tiempo END AS marca_de_tiempo
             FROM poll_j_{name})""",
         f"""poll_s_{name} AS (SELECT {keys}, device_id AS seq, toner_negro, ui_negro,
@@ -466,6 +476,14 @@ def _gauges_pivot_sql() -> str:
     ) + f"SELECT page_id, device_class, {cols} FROM lab GROUP BY page_id, device_class"
 
 
+def _severity_counts_sql(low: float | None) -> str:
+    cells = " UNION ALL ".join(f"SELECT device_class, '{s}' AS consumible, {c} AS cell FROM refreshed"
+                               for s, c in (("Toner Negro", "toner_negro"), ("UI Negro", "ui_negro")))
+    return _with(*_refresh_ctes()) + (
+        f"SELECT device_class, consumible, {severity_sql('cell', -1e308 if low is None else low)} AS severity, "
+        f"count(*) AS cells FROM ({cells}) GROUP BY ALL")
+
+
 def oracle_sql() -> dict[str, str]:
     hist_cols = ", ".join(K.HISTORY_COLUMNS.values())
     cells = _cells("history_raw", "seq")
@@ -517,7 +535,7 @@ def oracle_sql() -> dict[str, str]:
             "cs AS (SELECT p.*, i.device_class FROM poll_raw p JOIN inventory_raw i ON p.device_id = i.device_id)"
         ) + "SELECT device_id, device_class, outcome, " + ", ".join(
             f"{status_sql('outcome', rule_sql('device_class', ['toner_negro', 'ui_negro']), "(toner_negro = '0%' AND ui_negro = '0%')", v)} AS status_{v}"
-            for v in ["v7", "v8", "v10", "v11", "v11_copy", "v11_clx", "v13"]) + " FROM cs",
+            for v in ["v4", "v5", "v6", "v10_normal", "v7", "v8", "v10", "v11", "v11_copy", "v11_clx", "v13"]) + " FROM cs",
         "merge_left": _with(*_merge_ctes()) + "SELECT * FROM mj",
         "merge_overwrite": _with(*_merge_ctes()) + (
             f"SELECT {pcl}, ip, modelo, toner_negro_new AS toner_negro, ui_negro_new AS ui_negro, "
@@ -561,9 +579,11 @@ def oracle_sql() -> dict[str, str]:
              "CASE WHEN estado_new = 'OK' THEN tn_new ELSE toner_negro END AS toner_negro, "
              "CASE WHEN estado_new = 'OK' THEN ui_new ELSE ui_negro END AS ui_negro, "
              "coalesce(estado_new, estado) AS estado, coalesce(marca_new, marca_de_tiempo) AS marca_de_tiempo FROM mc"),
-        "severity_counts": _with(*_refresh_ctes()) + (
-            f"SELECT device_class, 'Toner Negro' AS consumible, {severity_sql('toner_negro')} AS severity, "
-            "count(*) AS cells FROM refreshed GROUP BY ALL"),
+        "severity_counts": _severity_counts_sql(11),
+        "severity_counts_below_5": _severity_counts_sql(5),
+        "severity_counts_red": _severity_counts_sql(None),
+        "refresh_new_level": _with(*(c.replace("FROM inventory_raw", "FROM (SELECT * REPLACE (NULL::VARCHAR AS toner_negro) FROM inventory_raw)")
+                                     for c in _refresh_ctes())) + "SELECT * FROM refreshed",
         "history_append": _with(*_refresh_ctes()) + (
             f"SELECT seq, {hist_cols} FROM history_raw UNION ALL "
             "SELECT CAST(NULL AS BIGINT), nombre, ip, modelo, toner_negro, NULL, NULL, NULL, NULL, NULL, estado, "

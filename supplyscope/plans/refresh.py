@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from supplyscope import config as K
-from supplyscope.functions.bands import classify_status
+from supplyscope.functions.bands import MISSING_IS_ZERO, classify_status
 from supplyscope.functions.scalars import clean_pct, format_ip, fraction_to_pct
 from supplyscope.operators.merge import merge_left, merge_masked, merge_masked_clean
 
@@ -32,7 +32,8 @@ def poll_results(outcomes: DataFrame, inventory: DataFrame, variant: str = "v13"
 
     Devices whose key normalises to NULL are never polled.  A key that
     normalises to ``''`` is a ``no_key`` outcome: status and stamp ``''``.
-    Levels are ``''`` unless the page was read.
+    Levels are ``''`` unless the page was read; a gauge that a page lacks
+    reads ``0%`` in the generations that say so, else ``''``.
     """
     levels = levels or [c for c in outcomes.columns if c in K.supply_cols() or c == "ui_negro"]
     keys = inventory.select("device_id", "device_class", format_ip("ip").alias("ip")) \
@@ -41,7 +42,8 @@ def poll_results(outcomes: DataFrame, inventory: DataFrame, variant: str = "v13"
     outcome = F.when(F.col("ip") == "", F.lit("no_key")).otherwise(F.col("outcome"))
     p = p.withColumn("outcome", outcome)
     read = F.col("outcome").isin("ok", "element_missing")
-    lv = [F.when(read, F.coalesce(F.col(c), F.lit(""))).otherwise(F.lit("")).alias(c) for c in levels]
+    blank = "0%" if variant in MISSING_IS_ZERO else ""
+    lv = [F.when(read, F.coalesce(F.col(c), F.lit(blank))).otherwise(F.lit("")).alias(c) for c in levels]
     p = p.select("device_id", "device_class", "ip", "outcome", *lv,
                  F.when(F.col("outcome") == "no_key", F.lit("")).otherwise(F.col("marca_de_tiempo"))
                  .alias("marca_de_tiempo"))
@@ -55,15 +57,20 @@ def poll_results(outcomes: DataFrame, inventory: DataFrame, variant: str = "v13"
     return p.select(*key_cols, F.col("device_id").alias("seq"), *levels, "estado", "marca_de_tiempo")
 
 
+def with_levels(inv: DataFrame, poll: DataFrame, levels) -> DataFrame:
+    """``inv`` with a null column for every polled level that it lacks."""
+    return inv.select("*", *[F.lit(None).cast("string").alias(c) for c in levels if c in poll.columns and c not in inv.columns])
+
+
 def refresh_inventory(inventory: DataFrame, poll: DataFrame) -> DataFrame:
     """Current-generation refresh of every class in one job.
 
     Keys normalised, poll rows (one per class and key) left-joined, levels
     replaced by cleaned poll text only where the poll status is OK, status
     and stamp taken from the poll when there is one.  Row count equals the
-    inventory's.
+    inventory's.  A polled level that the inventory lacks becomes a new column.
     """
-    inv = inventory.withColumn("ip", format_ip("ip"))
+    inv = with_levels(inventory.withColumn("ip", format_ip("ip")), poll, K.supply_cols())
     levels = [c for c in K.supply_cols() if c in inv.columns]
     j = merge_left(inv, poll, keys=["device_class", "ip"], dedupe_tie="seq")
     return merge_masked_clean(j, inv.columns, levels, class_col="device_class")
@@ -72,7 +79,8 @@ def refresh_inventory(inventory: DataFrame, poll: DataFrame) -> DataFrame:
 def refresh_inventory_mono(inventory: DataFrame, poll: DataFrame, levels: list[str] = MONO_LEVELS) -> DataFrame:
     """Generation-11 mono refresh: masked merge without cleaning, old NULL
     levels blanked, then every level converted from fraction to percent."""
-    inv = inventory.withColumn("ip", format_ip("ip"))
+    inv = with_levels(inventory.withColumn("ip", format_ip("ip")), poll, levels)
+    levels = [c for c in levels if c in inv.columns]
     j = merge_left(inv, poll, keys=["ip"], dedupe_tie="seq")
     m = merge_masked(j, inv.columns, levels, blank_old=True)
     return m.select(*[fraction_to_pct(c).alias(c) if c in levels else F.col(c) for c in m.columns])
@@ -85,7 +93,7 @@ def refresh_inventory_color11(inventory: DataFrame, poll: DataFrame,
     cleaning is idempotent), levels change only where the poll status is OK,
     old levels are kept as they are (no blanking), status and stamp are
     coalesced."""
-    inv = inventory.withColumn("ip", format_ip("ip"))
+    inv = with_levels(inventory.withColumn("ip", format_ip("ip")), poll, levels)
     present = [c for c in levels if c in inv.columns]
     cleaned = poll.select(*[clean_pct(c, "").alias(c) if c in present else F.col(c) for c in poll.columns])
     j = merge_left(inv, cleaned, keys=["ip"], dedupe_tie="seq")

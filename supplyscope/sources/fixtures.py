@@ -16,8 +16,6 @@ sampled or capped: each adapter reads its whole source table.
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +25,7 @@ from supplyscope.sources.tables import read_table
 # Rule constants of the adapters (shared with the SQL twins).
 RELOG_ABOVE = 150.0          # readings above this value were logged twice
 RELOG_SEQ_OFFSET = 100_000_000
-UNPOLLED_PRIORITY = "5-LOW"
+NO_GAUGE_PRIORITY = "5-LOW"
 RUN_STAMP = "2024-02-01 00:00:00"
 INVENTORY_STAMP = "2023-12-31 00:00:00"
 
@@ -41,23 +39,6 @@ _SUPPLY_OF_EVENT = {
 _CLASS_OF_MOD3 = ("HP Admin", "Color Admin", "HP Planta")
 
 
-def _memo(fn):
-    """The shared test tables are read-only, so an adapter's DataFrame is
-    built once per (session, folder) and reused: no repeated file listing
-    or footer reads, and every query branch shares the same plan subtree."""
-    cache: dict = {}
-
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-        df = cache.get(key)
-        if df is None:
-            df = cache[key] = fn(spark, sf_dir)
-        return df
-
-    return wrapper
-
-
 def _case_mod(c, mapping) -> F.Column:
     e = None
     for i, v in enumerate(mapping):
@@ -65,14 +46,12 @@ def _case_mod(c, mapping) -> F.Column:
     return e
 
 
-@_memo
 def readings_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     return ev.select(F.col("event_id").alias("seq"), F.col("user_id").alias("device"),
                      F.col("event_type").alias("supply"), "ts", F.col("value").alias("pct"))
 
 
-@_memo
 def history_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", "value")
     pct_text = F.concat((F.floor("value").cast("bigint") % 101).cast("string"),
@@ -103,7 +82,6 @@ def history_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_memo
 def inventory_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     k = F.col("c_custkey")
@@ -126,7 +104,6 @@ def inventory_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_memo
 def poll_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest order per customer (``max_by`` aggregate: partial aggregation,
     so a customer with a huge order history is reduced map-side)."""
@@ -135,26 +112,26 @@ def poll_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = o.groupBy("o_custkey").agg(F.max_by(
         F.struct("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"),
         F.struct("o_orderdate", "o_orderkey")).alias("o"))
-    q = newest.select("o_custkey", "o.*").filter(F.col("o_orderpriority") != F.lit(UNPOLLED_PRIORITY))
+    q = newest.select("o_custkey", "o.*")
+    lacks = F.col("o_orderpriority") == F.lit(NO_GAUGE_PRIORITY)       # the page was read, without its gauges
     st, key = F.col("o_orderstatus"), F.col("o_orderkey")
     whole = F.floor("o_totalprice").cast("bigint")
-    toner = (F.when(st != "F", F.lit(""))
+    toner = (F.when(lacks, F.lit(None)).when(st != "F", F.lit(""))
              .when(key % 11 == 0, F.lit("--"))
              .otherwise(F.concat((whole % 101).cast("string"),
                                  F.when(key % 2 == 0, F.lit(".5%")).otherwise(F.lit(" %")))))
-    ui = F.when(st != "F", F.lit("")).otherwise(
+    ui = F.when(lacks, F.lit(None)).when(st != "F", F.lit("")).otherwise(
         F.concat(F.lit("0"), F.when(key % 2 == 0, F.lit(",")).otherwise(F.lit(".")),
                  F.lpad((whole % 100).cast("string"), 2, "0")))
     return q.select(
         F.col("o_custkey").alias("device_id"),
-        F.when(st == "F", F.lit("ok")).when(st == "O", F.lit("timeout")).otherwise(F.lit("driver_error")).alias("outcome"),
+        F.when(lacks, F.lit("element_missing")).when(st == "F", F.lit("ok")).when(st == "O", F.lit("timeout")).otherwise(F.lit("driver_error")).alias("outcome"),
         toner.alias("toner_negro"),
         ui.alias("ui_negro"),
         F.lit(RUN_STAMP).alias("marca_de_tiempo"),
     )
 
 
-@_memo
 def gauge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "pages")
     return p.select("page_id", "url", "html",

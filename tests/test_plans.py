@@ -31,8 +31,8 @@ def test_linear_has_one_exchange(spark):
 
 def test_no_query_uses_python_except_row_id_pages(spark):
     for name in queries():
-        if name.startswith("stream") or name == "scan_all_classes":
-            continue
+        if name.startswith("stream") or name in ("scan_all_classes", "extract_gauges_row_id", "gauges_to_supplies"):
+            continue                                             # nested tables by row id need the page parser
         plan = _plan(spark, name)
         assert not any(p in plan for p in PYTHON_NODES), name
 
