@@ -629,7 +629,7 @@ def oracle_sql() -> dict[str, str]:
         "forecast_linear_alerts": _forecast_linear_sql(True),
         "stream_dedupe": _with() + (
             f"SELECT DISTINCT ip, marca_de_tiempo, {parse_ts('marca_de_tiempo')} AS fecha FROM history_raw "
-            f"WHERE {parse_ts('marca_de_tiempo')} IS NOT NULL"),
+            f"WHERE {strip('estado')} = 'OK'"),
         "stream_latest": _with(
             """sl AS (SELECT *, row_number() OVER (PARTITION BY device, supply ORDER BY ts DESC NULLS LAST, seq DESC) AS r,
                   max(ts) OVER (PARTITION BY device, supply) AS last_ts,

@@ -39,6 +39,9 @@ def recommended_cluster_conf(total_input_bytes: int, cores: int) -> dict[str, st
         "spark.sql.files.maxPartitionBytes": str(target),
         "spark.sql.shuffle.partitions": str(initial),
         "spark.sql.session.timeZone": "UTC",
+        # Dedupe state of a stream lives off the heap.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
 
 
@@ -84,6 +87,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "supplyscope", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote (any Hadoop file system)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     v = spark.conf.get(key, None)
     return int(v) if v not in (None, "") else default

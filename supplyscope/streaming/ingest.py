@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 
 from supplyscope.functions.bands import level_severity
 from supplyscope.functions.scalars import parse_ts
-from supplyscope.session import scratch_path
+from supplyscope.operators.history import dedupe_first, filter_status
+from supplyscope.session import drop_path, scratch_path
 from supplyscope.sources import fixtures as X
 
 LOG_SCHEMA = T.StructType([
@@ -37,9 +38,26 @@ READING_SCHEMA = T.StructType([
 ])
 
 
+def valid_stream(stream: DataFrame) -> DataFrame:
+    """Rows with a valid status, as the batch clean takes them, with their reading time."""
+    return filter_status(stream, strip=True).withColumn("fecha", parse_ts("marca_de_tiempo"))
+
+
+def unparsed_stream(stream: DataFrame) -> DataFrame:
+    """The side path: valid rows whose stamp is no time. They cannot be watermarked,
+    so they are appended as they come and deduped when the log is read."""
+    return valid_stream(stream).filter(F.col("fecha").isNull())
+
+
 def dedupe_stream(stream: DataFrame, late: str = "1 day") -> DataFrame:
-    """Readings -> first arrival of each (ip, reading time) within the watermark."""
-    s = stream.withColumn("fecha", parse_ts("marca_de_tiempo")).filter(F.col("fecha").isNotNull())
+    """Readings -> first valid arrival of each (ip, reading time) within the watermark.
+
+    The status filter comes first: a failed poll never hides a good one. Rows
+    later than the watermark are dropped, and a backlog is not in time order:
+    a backfill over several triggers belongs to the batch
+    :func:`supplyscope.operators.history.clean_history`.
+    """
+    s = valid_stream(stream).filter(F.col("fecha").isNotNull())
     # Event-time watermarks need TIMESTAMP (session zone); the stored
     # reading time stays TIMESTAMP_NTZ.
     s = s.withColumn("_event_time", F.col("fecha").cast("timestamp"))
@@ -80,7 +98,13 @@ def stream_dedupe_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     X.history_raw(spark, sf_dir).write.parquet(land)
     stream = spark.readStream.schema(LOG_SCHEMA).parquet(land)
     run_append(dedupe_stream(stream), out, ck)
-    return spark.read.parquet(out).select("ip", "marca_de_tiempo", "fecha")
+    side, side_ck = (scratch_path(spark, n) for n in ("log-unparsed", "ck-log-unparsed"))
+    run_append(unparsed_stream(stream), side, side_ck)
+    for path in (land, ck, side_ck):
+        drop_path(spark, path)
+    rest = dedupe_first(spark.read.schema(unparsed_stream(stream).schema).parquet(side), ["ip", "marca_de_tiempo"], tie="seq")
+    names = ["ip", "marca_de_tiempo", "fecha"]
+    return spark.read.parquet(out).select(*names).unionByName(rest.select(*names))
 
 
 def stream_latest_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,4 +112,6 @@ def stream_latest_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     X.readings_long(spark, sf_dir).write.parquet(land)
     stream = spark.readStream.schema(READING_SCHEMA).parquet(land)
     run_complete(latest_stream(stream), out, ck)
+    for path in (land, ck):
+        drop_path(spark, path)
     return spark.read.parquet(out)

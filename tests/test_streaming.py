@@ -28,6 +28,19 @@ def test_dedupe_across_triggers_and_late_rows(spark):
     assert got == ["2024-01-10 00:00:00", "2024-01-12 00:00:00", "2024-01-13 00:00:00"]
 
 
+def test_status_first_and_unparsed_side_path(spark):
+    land, out, ck, side, side_ck = (scratch_path(spark, n) for n in ("v-land", "v-out", "v-ck", "v-side", "v-sck"))
+    rows = [(1, "n", "a", "M", "1%", None, None, None, None, None, "Fuera de Red", "2024-01-10 00:00:00"),
+            (2, "n", "a", "M", "2%", None, None, None, None, None, " OK ", "2024-01-10 00:00:00"),
+            (3, "n", "b", "M", "3%", None, None, None, None, None, "OK", "bad stamp")]
+    spark.createDataFrame(rows, LOG).coalesce(1).write.parquet(land)
+    stream = spark.readStream.schema(LOG).parquet(land)
+    S.run_append(S.dedupe_stream(stream), out, ck)
+    S.run_append(S.unparsed_stream(stream), side, side_ck)
+    assert [r.seq for r in spark.read.parquet(out).collect()] == [2]
+    assert [r.seq for r in spark.read.parquet(side).collect()] == [3]
+
+
 def test_latest_level_complete_mode(spark):
     import datetime as dt
 
