@@ -28,20 +28,13 @@ def reliable(df: DataFrame) -> DataFrame:
 
 def stage_table(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet below the shared folder and read it back; the
-    caller drops the path with :func:`drop_path` once nothing reads it."""
+    caller drops the path once nothing reads it."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a staged table this library wrote (any Hadoop file system)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def crc_fold(doc_id: str, folds: int) -> Column:
     """crc32 of the id's decimal text modulo ``folds`` (a null id: fold of the empty text)."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(folds))

@@ -29,7 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from supplyscope.llm.common import drop_path, hash_sample, reliable, slices, stage_table
+from supplyscope.llm.common import hash_sample, reliable, slices, stage_table
+from supplyscope.session import drop_path
 
 STATES = 8
 FREQUENT, RARE = 4096, 2048

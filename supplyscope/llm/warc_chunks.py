@@ -24,7 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supplyscope.llm.common import drop_path, reliable, stage_table
+from supplyscope.llm.common import reliable, stage_table
+from supplyscope.session import drop_path
 
 CHUNK = 1 << 16
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
