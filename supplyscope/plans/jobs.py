@@ -11,11 +11,13 @@ and swap.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import time
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from supplyscope.functions.scalars import parse_ts, wall_micros
+from supplyscope import config as K
 from supplyscope.operators.history import history_batch
 from supplyscope.plans.forecast_jobs import fleet_forecast_ema, fleet_forecast_linear
 from supplyscope.plans.refresh import refresh_inventory
@@ -31,12 +33,15 @@ POLL_SCHEMA = T.StructType([
     T.StructField("marca_de_tiempo", T.StringType()),
 ])
 
-SEQ_PER_RUN = 1_000_000_000   # ingest sequence: run epoch seconds * this + device id
+SEQ_PER_RUN = 1_000_000_000   # ingest sequence: run id * this + device id
 
 
 def refresh_job(spark: SparkSession, inventory_path: str, poll_path: str, out_path: str,
-                log_path: str | None = None, classes: list[str] | None = None) -> int:
-    """Refresh the given classes (all when None); returns the logged row count."""
+                log_path: str | None = None, classes: list[str] | None = None, run_id: int | None = None) -> int:
+    """Refresh the given classes (all when None); returns the logged row count.
+
+    ``run_id`` orders the runs in the log and makes its sequence unique; it is
+    the time of the run in seconds unless given."""
     if out_path.rstrip("/") == inventory_path.rstrip("/"):
         raise ValueError("stage the refreshed inventory to a new path, then swap")
     inv = read_class_tables(spark, inventory_path, classes)
@@ -48,11 +53,16 @@ def refresh_job(spark: SparkSession, inventory_path: str, poll_path: str, out_pa
     if not log_path:
         return 0
     done = read_class_tables(spark, out_path, classes)
-    stamp = wall_micros(parse_ts("marca_de_tiempo")) / F.lit(1000000)
-    seq = F.coalesce(stamp, F.lit(0)).cast("bigint") * F.lit(SEQ_PER_RUN) + F.col("device_id")
+    run_id = int(time.time()) if run_id is None else run_id
+    seq = F.lit(run_id).cast("bigint") * F.lit(SEQ_PER_RUN) + F.col("device_id")
     return append_log(history_batch(done.withColumn("seq", seq)), log_path)
 
 
+def with_display_names(forecast: DataFrame) -> DataFrame:
+    """The forecast's columns under the names a report shows, in report order."""
+    return forecast.select(*[F.col(c).alias(name) for name, c in K.FORECAST_COLUMNS.items() if c in forecast.columns])
+
+
 def forecast_job(spark: SparkSession, log_path: str, out_path: str, method: str = "ema") -> None:
     """Forecast every series of the stored log and write the table."""
     if out_path.rstrip("/") == log_path.rstrip("/"):

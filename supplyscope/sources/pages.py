@@ -53,6 +53,11 @@ def _row_id_positions(html: pd.Series) -> pd.Series:
     return html.map(lambda h: row_id_texts(h, POSITIONS))
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def gauge_positions(html: Column, pattern: str) -> Column:
     """Array of ``POSITIONS`` gauge texts; null where the page has no such gauge.
 
@@ -60,10 +65,10 @@ def gauge_positions(html: Column, pattern: str) -> Column:
     first element of a position counts, ids beyond the positions are ignored.
     """
     if pattern == "supply_gauge":
-        pairs = F.arrays_zip(F.regexp_extract_all(html, F.lit(_SUPPLY_GAUGE), 2).alias("i"),
-                             F.regexp_extract_all(html, F.lit(_SUPPLY_GAUGE), 3).alias("t"))
-        at = lambda k: F.filter(pairs, lambda x: x["i"].try_cast("int") == k)
-        return F.array(*[inner_text(F.get(at(k), F.lit(0))["t"]) for k in range(POSITIONS)])
+        pairs = F.transform(F.regexp_extract_all(html, F.lit(_SUPPLY_GAUGE), 0), lambda m: F.struct(
+            F.regexp_extract(m, _SUPPLY_GAUGE, 2).try_cast("int").alias("i"), F.regexp_extract(m, _SUPPLY_GAUGE, 3).alias("t")))
+        return _once(pairs, lambda found: F.array(*[
+            inner_text(F.get(F.filter(found, lambda x: x["i"] == k), F.lit(0))["t"]) for k in range(POSITIONS)]))
     if pattern == "toner_list":
         found = []
         for table in ("toner_list", "imagine_list"):
@@ -72,9 +77,8 @@ def gauge_positions(html: Column, pattern: str) -> Column:
             found.append(inner_text(F.get(F.regexp_extract_all(body, F.lit(_TONER_CELL), 1), F.lit(0))))
         return F.array(*found, *[F.lit(None).cast("string")] * (POSITIONS - 2))
     if pattern == "grid":
-        rows = F.split(html, _GRID_ROW)
-        return F.array(*[inner_text(F.get(F.regexp_extract_all(F.get(rows, F.lit(k + 1)), F.lit(_GRID_CELL), 2), F.lit(1)))
-                         for k in range(POSITIONS)])
+        cell = lambda row: inner_text(F.get(F.regexp_extract_all(row, F.lit(_GRID_CELL), 2), F.lit(1)))
+        return _once(F.split(html, _GRID_ROW), lambda rows: F.array(*[cell(F.get(rows, F.lit(k + 1))) for k in range(POSITIONS)]))
     if pattern == "row_id":
         return _row_id_positions(html)
     raise ValueError(f"unknown gauge pattern {pattern!r}")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from supplyscope import config as K
+from supplyscope.functions.scalars import parse_ts
 
 _S = T.StringType()
 
@@ -114,15 +115,17 @@ def write_overwrite(df: DataFrame, path: str) -> None:
 
 
 def append_log(df: DataFrame, path: str, day_col: str = "fecha_dia") -> int:
-    """Append a batch to the history log, partitioned by day; returns the
+    """Append a batch to the history log, partitioned by the day of the parsed
+    stamp (rows whose stamp is no time share the null partition); returns the
     number of appended rows, counted by an ``observe`` metric of the write
-    itself (no second pass)."""
+    itself (no second pass). Rows are dealt by day, a large day over several
+    tasks, so a batch writes few files."""
     from pyspark.sql import Observation
 
     obs = Observation("history_append")
     batch = df
     if day_col not in batch.columns:
-        batch = batch.withColumn(day_col, F.substring(F.col("marca_de_tiempo"), 1, 10))
+        batch = batch.withColumn(day_col, parse_ts("marca_de_tiempo").cast("date").cast("string"))
     batch = batch.observe(obs, F.count(F.lit(1)).alias("rows"))
-    batch.write.mode("append").partitionBy(day_col).parquet(path)
+    batch.hint("rebalance", day_col).write.mode("append").partitionBy(day_col).parquet(path)
     return int(obs.get["rows"])

@@ -104,3 +104,16 @@ def test_read_sheet_export_and_refresh(spark):
     out = {r.nombre: r for r in refresh_inventory(sheet, poll).collect()}
     assert (out["Lobby"].toner_negro, out["Lobby"].kit_mant, out["Lobby"].estado) == ("12%", "", "OK")
     assert out["Store"].ip is None and out["Store"].toner_negro == "007"
+
+
+def test_log_days_and_unique_sequence(spark):
+    from supplyscope.plans.jobs import with_display_names
+    from supplyscope.sources import tables as T
+
+    path = scratch_path(spark, "t-days")
+    rows = [("a", "2024-01-01 00:00:00"), ("b", "2024-01-02 10:00:00"), ("c", "no time at all"), ("d", None)]
+    assert T.append_log(spark.createDataFrame(rows, "ip string, marca_de_tiempo string"), path) == 4
+    got = {r.ip: str(r.fecha_dia) for r in spark.read.parquet(path).collect()}
+    assert got == {"a": "2024-01-01", "b": "2024-01-02", "c": "None", "d": "None"}
+    shown = with_display_names(spark.createDataFrame([("n", "i", 1.5)], "nombre string, ip string, dias_restantes double"))
+    assert shown.columns == ["Nombre", "IP", "Días restantes estimados"]
