@@ -153,11 +153,6 @@ SEVERITY_LOW_BELOW = 11          # gen 11 used 5
 LINEAR_ALERT_DAYS = 3
 VALID_STATUS = STATUS_OK
 
-# Linear forecast: no horizon cap in the original; a date further than this
-# many days cannot be represented by the original's timestamp type either,
-# so the date is left null beyond it.
-LINEAR_MAX_DATE_DAYS = 100_000
-
 # Skew handling of ordered series: a series with more rows than this is
 # "hot" and is split into range blocks instead of sitting in one task.
 SERIES_BLOCK_ROWS_CONF = "supplyscope.series.blockRows"

@@ -181,12 +181,18 @@ def elapsed_micros(start, end) -> Column:
     return wall_micros(end) - wall_micros(start)
 
 
+# Last wall-clock second a Spark timestamp is specified for.
+LAST_SECOND = "9999-12-31 23:59:59"
+
+
 def add_days(ts, days) -> Column:
-    """``ts`` + fractional ``days`` rounded to the whole second (half even).
+    """``ts`` + fractional ``days`` rounded to the whole second (half even);
+    NULL when that lies past the timestamp type's last year (9999).
 
     The original keeps microseconds, but below a second a projected date is
     floating-point noise of the rate (it changes with the summation order
     of the regression), so dates are projected to the second.
     """
-    secs = F.rint(_c(days) * F.lit(86400.0)).cast("bigint")
-    return F.timestamp_add("SECOND", secs, _c(ts))
+    secs = F.rint(_c(days) * F.lit(86400.0))
+    left = elapsed_micros(ts, F.lit(LAST_SECOND).cast("timestamp_ntz")) / F.lit(1e6)
+    return F.when(secs <= left, F.timestamp_add("SECOND", secs.cast("bigint"), _c(ts)))

@@ -16,7 +16,7 @@ aggregation, one projection.  No per-series Python.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from supplyscope import config as K
@@ -27,28 +27,36 @@ from supplyscope.operators.reshape import unpivot_supplies
 from supplyscope.operators.sequencing import order_series
 from supplyscope.operators.series import STEP, days_between, ema_weight, step_table
 
-KEYS = ["ip", "modelo", "consumible"]
+GROUP = ["ip", "modelo"]
+KEYS = [*GROUP, "consumible"]
 OUT_COLS = ["nombre", "ip", "modelo", "consumible", "porcentaje_actual", "consumo_diario",
             "dias_restantes", "fecha_agotamiento", "metodo"]
 
 
-
 def _null(t: str) -> Column:
     return F.lit(None).cast(t)
 
 
-def _long_readings(clean: DataFrame, supplies: list[str] | None, drop_null_keys: bool,
-                   value_type: str = "double") -> DataFrame:
-    if "nombre" not in clean.columns:            # a log without names: the device key stands in
-        clean = clean.withColumn("nombre", F.col("ip"))
-    long = unpivot_supplies(clean, ["seq", "nombre", "ip", "modelo", "fecha"], supplies,
-                            value_type=value_type)
-    if drop_null_keys:
-        long = long.filter(F.col("ip").isNotNull() & F.col("modelo").isNotNull())
-    return long
+def _long_readings(log: DataFrame, supplies: list[str] | None, value_type: str = "double") -> DataFrame:
+    """The log's non-null cells, one row each: only these are sorted and windowed."""
+    long = unpivot_supplies(log, ["seq", "nombre", *GROUP, "fecha"], supplies, value_type=value_type)
+    return long.filter(F.col("valor").isNotNull())
+
+
+def _with_name(log: DataFrame) -> DataFrame:
+    """A log without names: the device key stands in."""
+    return log if "nombre" in log.columns else log.withColumn("nombre", F.col("ip"))
+
 
+def _join_names(agg: DataFrame, log: DataFrame, name: Column) -> DataFrame:
+    """Result rows with the name of their (device, model) group, NULL keys matching
+    each other: one partial aggregation of the log, joined to one row per series."""
+    names = log.groupBy(*GROUP).agg(name.alias("_name")).select(*[F.col(k).alias(f"_g_{k}") for k in GROUP], "_name")
+    match = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in GROUP]
+    return agg.join(names, match, "left").withColumn("nombre", F.col("_name")).drop("_name", *[f"_g_{k}" for k in GROUP])
 
-def probe_log(raw: DataFrame, strip_status: bool = True, ties: bool = True) -> dict:
+
+def probe_log(raw: DataFrame, strip_status: bool = True, ties: bool = True, limit: int | None = None) -> dict:
     """Cheap key-only probe of a raw log (ip, status and stamp columns), one
     small job returning scalars.
 
@@ -58,6 +66,7 @@ def probe_log(raw: DataFrame, strip_status: bool = True, ties: bool = True) -> d
     per ip and instant), the only way a deduped series can hold timestamp
     ties; skipped (reported True) with ``ties=False``. A log parsed by
     :func:`parse_ts` needs no proof: that accepts one fixed text per instant.
+    ``hot_rows``: rows of the ips that hold more than ``limit`` rows.
 
     Counts per ip are added up map-side, so without the proof the probe
     shuffles about one row per device and task. With it, it first
@@ -74,8 +83,10 @@ def probe_log(raw: DataFrame, strip_status: bool = True, ties: bool = True) -> d
                                           F.max(F.when(tie, 1).otherwise(0)).alias("t"))
     else:
         per_ip = ok.groupBy("ip").agg(F.count(F.lit(1)).alias("n"), F.lit(1).alias("t"))
-    row = per_ip.agg(F.max("n").alias("mx"), F.sum("n").alias("tot"), F.max("t").alias("t")).first()
-    return {"bound": (int(row["mx"] or 0), int(row["tot"] or 0)), "ties": (row["t"] or 0) > 0}
+    over = F.lit(0) if limit is None else F.when(F.col("n") > limit, F.col("n"))
+    row = per_ip.agg(F.max("n").alias("mx"), F.sum("n").alias("tot"), F.max("t").alias("t"), F.sum(over).alias("hot")).first()
+    return {"bound": (int(row["mx"] or 0), int(row["tot"] or 0)), "ties": (row["t"] or 0) > 0,
+            "hot_rows": int(row["hot"] or 0)}
 
 
 def forecast_ema(clean: DataFrame, supplies: list[str] | None = None, span: int = K.EMA_SPAN,
@@ -88,11 +99,17 @@ def forecast_ema(clean: DataFrame, supplies: list[str] | None = None, span: int
     with a NULL ip or model are dropped.  ``bound``/``ties`` come from
     :func:`probe_log` of the raw log: with ``ties=False`` the positional
     pairing branch is provably empty and left out of the plan.
+
+    A group is named by its newest row, whether or not that has a level: in
+    the one-exchange plan (``mode="off"``) by a window over the wide rows,
+    else by an aggregation, which a hot group cannot overload.
     """
-    long = _long_readings(clean, supplies, drop_null_keys=True)
-    long = long.withColumn("_valid", F.col("fecha").isNotNull() & F.col("valor").isNotNull())
-    # Invalid rows form their own window partitions: they count for the
-    # series' existence and name, never for its steps.
+    log = _with_name(clean).filter(F.col("ip").isNotNull() & F.col("modelo").isNotNull())
+    name = F.max_by("nombre", F.struct(F.col("fecha"), -F.col("seq")))
+    named = log.withColumn("nombre", name.over(Window.partitionBy(*GROUP))) if mode == "off" else log
+    # Cells without a time form their own window partitions: they count for
+    # the series' existence, never for its steps.
+    long = _long_readings(named, supplies).withColumn("_valid", F.col("fecha").isNotNull())
     steps, _ = step_table(long, KEYS + ["_valid"], ts="fecha", tie="seq", val="valor", mode=mode,
                           bound=bound)
 
@@ -100,8 +117,7 @@ def forecast_ema(clean: DataFrame, supplies: list[str] | None = None, span: int
     m_all, n_all = F.col(f"_tot_{STEP}"), F.col("_n")
     no_tie = v & F.col(STEP) & (m_all == n_all - 1)
     agg = steps.groupBy(*KEYS).agg(
-        F.max_by("nombre", F.struct(F.col("fecha"), -F.col("seq"))).alias("nombre"),
-        F.count("valor").alias("_nval"),
+        F.max("nombre").alias("nombre"),
         F.sum(F.when(v, 1).otherwise(0)).alias("_n"),
         F.max_by(F.when(v, F.col("valor")), F.struct(v, F.col("fecha"), F.col("seq"))).alias("_p"),
         F.sum(F.when(v & F.col(STEP), 1).otherwise(0)).alias("_m"),
@@ -109,7 +125,9 @@ def forecast_ema(clean: DataFrame, supplies: list[str] | None = None, span: int
         F.max(F.when(v & F.col(STEP), F.col("fecha"))).alias("_last_ts"),
         F.regr_slope(F.when(no_tie, F.col(f"_prev_valor")), F.when(no_tie, F.col("days"))).alias("_slope_nt"),
         F.max(F.when(v, m_all < n_all - 1)).alias("_ties"),
-    ).filter(F.col("_nval") > 0)
+    )
+    if mode != "off":
+        agg = _join_names(agg, log, name)
 
     if not ties:
         return _ema_branches(agg.withColumn("_slope_t", F.lit(None).cast("double")), span, max_days)
@@ -176,25 +194,27 @@ def forecast_linear(clean: DataFrame, supplies: list[str] | None = None, mode: s
     ``dedupe=False`` and raw levels).  NULL ip/model groups are kept; the
     group name is the first logged one.
     """
-    long = _long_readings(clean, supplies, drop_null_keys=False, value_type="string")
-    long = long.withColumn("_y", pct_to_double("valor"))
-    valid = F.col("fecha").isNotNull() & F.col("valor").isNotNull() & F.col("_y").isNotNull()
-    long = long.withColumn("_v", valid)
+    log = _with_name(clean)
+    name = F.min_by("nombre", F.col("seq"))
+    named = log.withColumn("nombre", name.over(Window.partitionBy(*GROUP))) if mode == "off" else log
+    long = _long_readings(named, supplies, value_type="string").withColumn("_y", pct_to_double("valor"))
+    long = long.withColumn("_v", F.col("fecha").isNotNull() & F.col("_y").isNotNull())
     # x = days since the series' first valid reading, as the original
     # regresses on; the window shares the aggregate's exchange.
     seq_df, _ = order_series(long, KEYS + ["_v"], ["fecha", "seq"], carry=["fecha"], mode=mode, bound=bound)
     order_key = F.when(F.col("_v"), F.struct(F.col("fecha"), F.col("seq")))
     x = days_between(F.col("_first_fecha"), F.col("fecha"))
     agg = seq_df.groupBy(*KEYS).agg(
-        F.min_by("nombre", F.col("seq")).alias("nombre"),
-        F.count("valor").alias("_nraw"),
+        F.max("nombre").alias("nombre"),
         F.sum(F.when(F.col("_v"), 1).otherwise(0)).alias("n"),
         F.max_by(F.col("_y"), order_key).alias("p"),
         F.min_by(F.col("_y"), order_key).alias("p0"),
         F.max(F.when(F.col("_v"), F.col("fecha"))).alias("t"),
         F.min(F.when(F.col("_v"), F.col("fecha"))).alias("t0"),
         F.regr_slope(F.when(F.col("_v"), F.col("_y")), F.when(F.col("_v"), x)).alias("_slope"),
-    ).filter(F.col("_nraw") > 0)
+    )
+    if mode != "off":
+        agg = _join_names(agg, log, name)
 
     n, p, p0, t, t0 = F.col("n"), F.col("p"), F.col("p0"), F.col("t"), F.col("t0")
     dd = days_between(t0, t)
@@ -204,7 +224,6 @@ def forecast_linear(clean: DataFrame, supplies: list[str] | None = None, mode: s
     too_few = n < 2
     flat = r.isNull() | (r <= F.lit(0.0))
     d = F.when(~too_few & ~flat, p / r)
-    date = F.when(F.abs(d) <= F.lit(float(K.LINEAR_MAX_DATE_DAYS)), add_days(t, d))
 
     def pick(few, flat_v, ok_v):
         return F.when(too_few, few).when(flat, flat_v).otherwise(ok_v)
@@ -214,7 +233,7 @@ def forecast_linear(clean: DataFrame, supplies: list[str] | None = None, mode: s
         pick(_null("double"), p, round_to(p, 1)).alias("porcentaje_actual"),
         pick(_null("double"), F.lit(0.0), round_to(r, 2)).alias("consumo_diario"),
         pick(_null("double"), _null("double"), round_to(d, 1)).alias("dias_restantes"),
-        pick(_null("timestamp_ntz"), _null("timestamp_ntz"), date).alias("fecha_agotamiento"),
+        pick(_null("timestamp_ntz"), _null("timestamp_ntz"), add_days(t, d)).alias("fecha_agotamiento"),
         pick(F.lit(K.METHOD_TOO_FEW), meth, meth).alias("metodo"),
     )
     return out.select(*OUT_COLS)

@@ -20,8 +20,9 @@ device holds a third of all readings.
   positions and previous-row values across block edges.  The series key is
   carried as one struct column (never NULL; NULL parts compare equal), so
   each stitch is a plain equi-join on the windows' own partitioning and the
-  large side is not shuffled again; each pass is stored with a reliable
-  checkpoint, so no branch recomputes an earlier pass.
+  large side is not shuffled again.  The range split and the positions
+  are each stored with a reliable checkpoint, so neither the running counts
+  nor their summary recompute an earlier pass.
 
 ``mode="auto"`` (default, or conf ``supplyscope.series.skewMode``) probes
 the largest series size with one aggregation over the key columns and
@@ -155,7 +156,8 @@ def _blocked_sequence(df: DataFrame, plan: SeriesPlan, carry: list[str]) -> Data
 def running_count(df: DataFrame, plan: SeriesPlan, flag: str) -> DataFrame:
     """Add ``_cum_<flag>`` (number of rows with ``flag`` true up to and
     including this row, in series order) and ``_tot_<flag>`` (series total).
-    Uses the partitioning chosen by ``order_series``."""
+    Uses the partitioning chosen by ``order_series``; in blocked form the
+    positions are stored first, since rows and summary both read them."""
     ordering = [F.col(c).asc_nulls_first() for c in plan.order]
     ind = F.when(F.col(flag), F.lit(1)).otherwise(F.lit(0))
     if not plan.blocked:
@@ -164,7 +166,7 @@ def running_count(df: DataFrame, plan: SeriesPlan, flag: str) -> DataFrame:
         whole = spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         return df.select("*", F.sum(ind).over(w).cast("int").alias(f"_cum_{flag}"),
                          F.sum(ind).over(whole).cast("int").alias(f"_tot_{flag}"))
-    pk = plan.part_keys
+    pk, df = plan.part_keys, df.checkpoint(eager=True)
     w = (Window.partitionBy(*pk).orderBy(*ordering)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = df.select("*", F.sum(ind).over(w).alias("_lcum"))

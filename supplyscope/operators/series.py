@@ -75,19 +75,20 @@ def step_table_split(df: DataFrame, keys: list[str], ts: str = "ts", tie: str =
     """:func:`step_table` with hot series split off.
 
     One size probe per series key; when no series exceeds ``block_rows`` this
-    is the plain one-exchange form.  Otherwise the hot series (a broadcast
-    list of at most ``total / block_rows`` keys, matched null-safely) go
-    through the blocked form and every other series keeps the plain form;
-    series are disjoint, so the two results are unioned.
+    is the plain one-exchange form.  Otherwise the hot series (at most
+    ``total / block_rows`` keys, matched null-safely; how the list is joined
+    is left to its measured size) go through the blocked form and every
+    other series keeps the plain form; series are disjoint, so the two
+    results are unioned.
     """
     limit = block_rows or conf_int(df.sparkSession, K.SERIES_BLOCK_ROWS_CONF, K.SERIES_BLOCK_ROWS_DEFAULT)
     sizes = df.groupBy(*keys).count()
-    row = sizes.agg(F.max("count").alias("mx"), F.sum("count").alias("tot")).first()
-    mx, tot = int(row["mx"] or 0), int(row["tot"] or 0)
+    over = F.col("count") > F.lit(limit)
+    row = sizes.agg(F.max("count").alias("mx"), F.sum(F.when(over, F.col("count"))).alias("hot")).first()
+    mx, tot = int(row["mx"] or 0), int(row["hot"] or 0)
     if mx <= limit:
         return step_table(df, keys, ts, tie, val, mode="off", bound=(mx, tot))[0]
-    hot_keys = F.broadcast(sizes.filter(F.col("count") > F.lit(limit))
-                           .select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
+    hot_keys = sizes.filter(over).select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
     match = None
     for k in keys:
         e = F.col(k).eqNullSafe(F.col(f"_hot_{k}"))

@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyscope import config as K
 from supplyscope.functions import bands, scalars as S
 from supplyscope.operators import history as H
 from supplyscope.operators import merge as M
@@ -334,8 +333,7 @@ def alert_band2(spark, d):
 
 def project_date(spark, d):
     s = _days_left(spark, d)
-    date = F.when(F.abs(F.col("_d")) <= F.lit(float(K.LINEAR_MAX_DATE_DAYS)), S.add_days("ts", "_d"))
-    return s.select("seq", *READ_KEYS, S.round_to("_d", 1).alias("days_left"), date.alias("fecha_fin"))
+    return s.select("seq", *READ_KEYS, S.round_to("_d", 1).alias("days_left"), S.add_days("ts", "_d").alias("fecha_fin"))
 
 
 # ------------------------------------------------------------- forecasts
@@ -347,12 +345,17 @@ def forecast_ema_alerts(spark, d):
     return FJ.fleet_forecast_ema(X.history_raw(spark, d))
 
 
+def _date_text(df):
+    """Dates as text: without a horizon they run past what client date types hold."""
+    return df.withColumn("fecha_agotamiento", F.col("fecha_agotamiento").cast("string"))
+
+
 def forecast_linear_q(spark, d):
-    return FJ.fleet_forecast_linear(X.history_raw(spark, d), alerts=False)
+    return _date_text(FJ.fleet_forecast_linear(X.history_raw(spark, d), alerts=False))
 
 
 def forecast_linear_alerts(spark, d):
-    return FJ.fleet_forecast_linear(X.history_raw(spark, d))
+    return _date_text(FJ.fleet_forecast_linear(X.history_raw(spark, d)))
 
 
 # ------------------------------------------------------------- streaming

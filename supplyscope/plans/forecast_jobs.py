@@ -34,6 +34,13 @@ def _limit(raw: DataFrame) -> int:
     return conf_int(raw.sparkSession, K.SERIES_BLOCK_ROWS_CONF, K.SERIES_BLOCK_ROWS_DEFAULT)
 
 
+def _cells_bound(raw: DataFrame, probe: dict) -> tuple[int, int]:
+    """(largest series, cells of all hot devices), both from above: a block holds
+    cells, and a row has one cell per supply column."""
+    columns = sum(c in raw.columns for c in K.supply_cols())
+    return probe["bound"][0], probe["hot_rows"] * max(1, columns)
+
+
 def split_hot_devices(raw: DataFrame, limit: int, strip_status: bool) -> tuple[DataFrame, DataFrame]:
     """(hot rows, other rows) of a raw log: hot devices hold more than
     ``limit`` rows with a valid status.  How the hot list (at most ``total /
@@ -52,11 +59,11 @@ def fleet_forecast_ema(raw: DataFrame, alerts: bool = True, **kw) -> DataFrame:
     The clean log is deduped by stamp text, and parsed stamps have one text
     per instant, so no series holds a timestamp tie and the probe proves
     nothing about them."""
-    probe = probe_log(raw, ties=False)
     limit = _limit(raw)
+    probe = probe_log(raw, ties=False, limit=limit)
 
     def run(src: DataFrame, mode: str) -> DataFrame:
-        return forecast_ema(H.clean_history(src), mode=mode, bound=probe["bound"], ties=False, **kw)
+        return forecast_ema(H.clean_history(src), mode=mode, bound=_cells_bound(raw, probe), ties=False, **kw)
 
     if probe["bound"][0] <= limit:
         out = run(raw.repartition("ip"), "off")
@@ -69,12 +76,12 @@ def fleet_forecast_ema(raw: DataFrame, alerts: bool = True, **kw) -> DataFrame:
 def fleet_forecast_linear(raw: DataFrame, alerts: bool = True, **kw) -> DataFrame:
     """Linear forecast (+ two-level alert) of a raw history log: exact
     status filter, no dedupe, levels parsed per series."""
-    probe = probe_log(raw, strip_status=False, ties=False)
     limit = _limit(raw)
+    probe = probe_log(raw, strip_status=False, ties=False, limit=limit)
 
     def run(src: DataFrame, mode: str) -> DataFrame:
         ok = H.filter_status(src, strip=False).withColumn("fecha", parse_ts("marca_de_tiempo"))
-        return forecast_linear(ok, mode=mode, bound=probe["bound"], **kw)
+        return forecast_linear(ok, mode=mode, bound=_cells_bound(raw, probe), **kw)
 
     if probe["bound"][0] <= limit:
         out = run(raw.repartition("ip"), "off")

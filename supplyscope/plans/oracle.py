@@ -44,7 +44,9 @@ def days_between(a: str, b: str) -> str:
 
 
 def add_days(ts: str, d: str) -> str:
-    return f"({ts} + to_seconds(CAST(round_even(({d}) * 86400.0, 0) AS BIGINT)))"
+    secs = f"round_even(({d}) * 86400.0, 0)"
+    left = f"(epoch_us(TIMESTAMP '9999-12-31 23:59:59') - epoch_us({ts})) / 1e6"
+    return f"(CASE WHEN {secs} <= {left} THEN {ts} + to_seconds(CAST({secs} AS BIGINT)) END)"
 
 
 def parse_ts(x: str) -> str:
@@ -171,6 +173,10 @@ inventory_raw AS (
   SELECT c_custkey AS device_id, c_name AS nombre,
     CASE c_custkey % 3 WHEN 0 THEN 'HP Admin' WHEN 1 THEN 'Color Admin' ELSE 'HP Planta' END AS device_class,
     CASE WHEN c_custkey % 50 = 0 THEN '  ' WHEN c_custkey % 51 = 0 THEN NULL
+         WHEN c_custkey % 23 = 1 THEN '192-168'
+         WHEN c_custkey % 23 = 2 THEN '192.168.' || CAST(c_custkey % 10 AS VARCHAR)
+         WHEN c_custkey % 23 = 3 THEN '192.168.' || lpad(CAST(c_custkey % 100 AS VARCHAR), 2, '0')
+         WHEN c_custkey % 23 = 4 THEN '192.168.' || lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0')
          ELSE '192.168.' || CAST(100 + c_nationkey AS VARCHAR) || '.' || CAST(c_custkey % 256 AS VARCHAR) END AS ip,
     'M' || CAST(c_custkey % 5 AS VARCHAR) AS modelo,
     CASE WHEN c_custkey % 7 = 0 THEN NULL
@@ -415,7 +421,7 @@ def _forecast_linear_sql(alerts: bool) -> str:
               CASE WHEN n < 2 THEN NULL WHEN r IS NULL OR r <= 0 THEN 0.0 ELSE {round_to('r', 2)} END AS consumo_diario,
               CASE WHEN n < 2 OR r IS NULL OR r <= 0 THEN NULL ELSE {round_to('d', 1)} END AS dias_restantes,
               CASE WHEN n < 2 OR r IS NULL OR r <= 0 THEN NULL
-                   WHEN abs(d) <= {float(K.LINEAR_MAX_DATE_DAYS)!r} THEN {add_days('t', 'd')} END AS fecha_agotamiento,
+                   ELSE CAST({add_days('t', 'd')} AS VARCHAR) END AS fecha_agotamiento,
               CASE WHEN n < 2 THEN {q(K.METHOD_TOO_FEW)} ELSE meth END AS metodo
             FROM l_d)""",
     ]
@@ -622,7 +628,7 @@ def oracle_sql() -> dict[str, str]:
                              "AS days_left FROM rd_u)") + f"SELECT *, {_alert2('days_left')} AS alerta FROM ab",
         "project_date": _with(*_READ_STEPS, "pd AS (SELECT *, CASE WHEN rate > 0 THEN pct / rate END AS d FROM rd_u)") + (
             f"SELECT seq, device, supply, {round_to('d', 1)} AS days_left, "
-            f"CASE WHEN abs(d) <= {float(K.LINEAR_MAX_DATE_DAYS)!r} THEN {add_days('ts', 'd')} END AS fecha_fin FROM pd"),
+            f"{add_days('ts', 'd')} AS fecha_fin FROM pd"),
         "forecast_ema": _forecast_ema_sql(False),
         "forecast_ema_alerts": _forecast_ema_sql(True),
         "forecast_linear": _forecast_linear_sql(False),

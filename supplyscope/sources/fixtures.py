@@ -8,7 +8,7 @@ sampled or capped: each adapter reads its whole source table.
 * ``readings_long``  events -> clean numeric series (device, supply, ts, pct)
 * ``history_raw``    events -> dirty wide log: padded/other statuses, blank,
   bad and NULL levels, bad timestamps, NULL models, re-logged duplicates
-* ``inventory_raw``  customer -> device table with blank, NULL and duplicate keys
+* ``inventory_raw``  customer -> device table with blank, NULL, duplicate and short keys
 * ``poll_raw``       orders -> newest order of each device as its poll outcome;
   devices whose newest order is low priority were not reached by the run
 * ``gauge_pages``    pages -> captured device pages with a device class
@@ -91,6 +91,10 @@ def inventory_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("nombre"),
         _case_mod(k % 3, _CLASS_OF_MOD3).alias("device_class"),
         F.when(k % 50 == 0, F.lit("  ")).when(k % 51 == 0, F.lit(None).cast("string"))
+        .when(k % 23 == 1, F.lit("192-168"))
+        .when(k % 23 == 2, F.concat(F.lit("192.168."), (k % 10).cast("string")))
+        .when(k % 23 == 3, F.concat(F.lit("192.168."), F.lpad((k % 100).cast("string"), 2, "0")))
+        .when(k % 23 == 4, F.concat(F.lit("192.168."), F.lpad((k % 1000).cast("string"), 3, "0")))
         .otherwise(F.concat(F.lit("192.168."), (F.lit(100) + F.col("c_nationkey")).cast("string"), F.lit("."),
                             (k % 256).cast("string"))).alias("ip"),
         F.concat(F.lit("M"), (k % 5).cast("string")).alias("modelo"),

@@ -20,7 +20,11 @@ def test_flagship_has_one_exchange_and_no_python(spark):
     assert len(exchanges) == 1, exchanges
     assert exchanges[0][0] == "hashpartitioning" and exchanges[0][1].startswith("ip#")
     assert not any(p in plan for p in PYTHON_NODES)
-    assert plan.count("Window [") == 2
+    # one window over the wide rows (the group's name), two over the series' non-null cells
+    assert plan.count("Window [") == 3
+    series, wide = plan.split("Generate inline")
+    assert series.count("Window [") == 2 and wide.count("Window [") == 1
+    assert "Filter isnotnull(valor#" in series
 
 
 def test_linear_has_one_exchange(spark):
