@@ -3,11 +3,15 @@
 The poll side is joined with every clashing column renamed ``<col>_new``;
 four update contracts then decide which value survives.  The join is a
 plain left equi-join: Catalyst/AQE broadcast the poll side when it is small
-at run time and split skewed inventory partitions otherwise.
+at run time and split skewed inventory partitions otherwise.  Rows with a
+NULL key match nothing, so they stay out of the join and its shuffle.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +46,10 @@ def merge_left(inv: DataFrame, poll: DataFrame, keys: list[str] | None = None,
     if dedupe_tie and dedupe_tie in poll.columns:
         poll = poll.drop(dedupe_tie)
     renamed = [F.col(c).alias(c + NEW if c in inv.columns else c) for c in poll.columns if c not in keys]
-    return inv.join(poll.select(*keys, *renamed), on=keys, how="left")
+    keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    joined = inv.filter(keyed).join(poll.filter(keyed).select(*keys, *renamed), on=keys, how="left")
+    nothing = [F.lit(None).cast(joined.schema[c].dataType).alias(c) for c in joined.columns if c not in inv.columns]
+    return joined.unionByName(inv.filter(~keyed).select("*", *nothing))
 
 
 def _new(c: str, j: DataFrame | None = None) -> Column:

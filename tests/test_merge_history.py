@@ -145,3 +145,16 @@ def test_refresh_color11_keeps_old_nulls_and_cleans_poll_text(spark):
     out = _by_id(R.refresh_inventory_color11(inv, poll))
     assert (out[1]["toner_negro"], out[1]["ui_negro"], out[1]["estado"]) == ("56%", "0%", "OK")
     assert out[2]["toner_negro"] is None and out[2]["estado"] == "Fuera de Red"
+
+
+def test_null_keys_stay_out_of_the_join(spark):
+    """Rows without a key keep their values, and match no poll row without one."""
+    poll = _poll(spark).unionByName(spark.createDataFrame([("HP Admin", None, 9, "1%", "OK", "t9")], POLL))
+    j = M.merge_left(_inv(spark), poll, keys=["device_class", "ip"])
+    assert j.count() == 6
+    row = j.filter("device_id = 5").first()
+    assert row.toner_negro == "20%" and row.toner_negro_new is None and row.estado_new is None
+    plan = j._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "isnotnull(ip" in plan
+    again = M.merge_left(_inv(spark), poll, keys=["device_class", "ip"], allow_fanout=True)
+    assert again.filter("device_id = 5").count() == 1
