@@ -12,7 +12,8 @@ once, the largest impacts of their distinct terms are added up per block of
 ``RANGE`` parts; blocks that cannot reach the threshold are skipped, and the
 others are traversed by block-max WAND, which gives every part above it. The
 items found are then verified word by word: five-word shingles of the question
-and of the answer must both be in the document.
+and of the answer must both be in the document, or of the whole item where
+nothing marks an answer.
 
 Test items are held in index shards of ``SHARD_ITEMS`` items; a larger
 benchmark is several passes over the documents, each with one bounded index.
@@ -35,7 +36,7 @@ from supplyscope.llm.common import slices
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6            # of a part's own BM25 score
-OVERLAP = 0.8              # of the question's and of the answer's shingles
+OVERLAP = 0.8              # of the question's and of the answer's shingles, or of the whole item's
 SHINGLE = 5
 PART_WORDS = 64
 STRIDE = 32
@@ -76,14 +77,12 @@ def normalized(column: pa.Array) -> list[bytes]:
     return pc.utf8_lower(column.fill_null("")).cast(pa.binary()).to_pylist()
 
 
-def split_item(words: list[bytes], text: bytes) -> tuple[list[bytes], list[bytes]]:
+def split_item(words: list[bytes], text: bytes) -> tuple[list[bytes], ...]:
     """(question, answer): the answer is what follows the last question mark or
-    ``answer:``, else the last quarter of the words."""
+    ``answer:``. (whole item) if there is no such mark or no word on one side of it."""
     mark = max(text.rfind(b"?") + 1, text.rfind(b"answer:") + len(b"answer:") if b"answer:" in text else 0)
     n = len(_WORDS.findall(text[:mark])) if mark else 0
-    if not 0 < n < len(words):
-        n = len(words) - max(1, len(words) // 4) if len(words) > 1 else 1
-    return words[:n], words[n:]
+    return (words[:n], words[n:]) if 0 < n < len(words) else (words,)
 
 
 def shingles(words: list[bytes], k: int) -> set[bytes]:
@@ -216,7 +215,8 @@ class Index:
 
     # ------------------------------------------------------------ verification
     def verified(self, text: bytes, item: int, k: int = SHINGLE) -> tuple[float, float]:
-        """Shares of the item's question and answer shingles that ``text`` holds."""
+        """Shares of the item's question and answer shingles that ``text`` holds;
+        an item that is not split has one share, given twice."""
         have: dict[int, set[bytes]] = {}
         words = _WORDS.findall(text)
         share = []
@@ -226,7 +226,7 @@ class Index:
                 have[n] = shingles(words, n)
             want = shingles(part, n)
             share.append(len(want & have[n]) / len(want) if want else 1.0)
-        return share[0], share[1]
+        return share[0], share[-1]
 
 
 def segments(text: bytes, overlap: int) -> Iterator[bytes]:
@@ -301,7 +301,8 @@ def contaminated(docs: DataFrame, items: DataFrame, theta: float = THRESHOLD, ov
     Null and empty texts match nothing; repeated documents or items give
     repeated pairs; null ids are carried as they are; empty tables give an
     empty result. An item with fewer words than a shingle must occur as a
-    whole. Other columns are not read.
+    whole. An item without a marked answer is verified as a whole, and both
+    overlaps are the whole item's. Other columns are not read.
     """
     schema = (f"`{key}` {docs.schema[key].dataType.simpleString()}, item_id {items.schema['item_id'].dataType.simpleString()}, "
               "score double, question_overlap double, answer_overlap double")

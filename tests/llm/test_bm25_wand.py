@@ -70,6 +70,26 @@ def test_question_and_answer_must_both_be_there():
     assert find("the quiet lomi river") == []
 
 
+@pytest.mark.parametrize("n", [20, 40, 59])
+def test_one_word_edits_of_an_item_without_a_mark(n):
+    """A copy with one word changed is found wherever the whole item's overlap stays at 0.8."""
+    item = [f"{R.choice(VOCAB)}{i}" for i in range(n)]
+    ix = B.Index([(1, " ".join(item)), *((100 + i, t) for i, t in ITEMS)])
+    for at in range(n):
+        text = " ".join(["start", *item[:at], "changed", *item[at + 1:], "stop"]).encode()
+        broken = min(at, 4, n - 5, n - 1 - at) + 1
+        whole = 1 - broken / (n - 4)
+        got = {i: (q, a) for _, i, _, q, a in B.scan(ix, [text], 0.6, 0.8)}
+        assert got == ({1: (pytest.approx(whole), pytest.approx(whole))} if whole >= 0.8 else {})
+
+
+def test_marks_without_words_on_one_side_split_nothing():
+    for text in (b"? a b c d e f", b"a b c d e f?", b"a b c d e f answer:", b"a b c d e f"):
+        words = B._WORDS.findall(text)
+        assert B.split_item(words, text) == (words,)
+    assert B.split_item([b"a", b"b", b"c"], b"a b? c") == ([b"a", b"b"], [b"c"])
+
+
 def test_awkward_rows_and_tables(spark):
     items = spark.createDataFrame([(1, "Alpha beta gamma delta epsilon", 9), (2, None, 9), (3, "", 9), (None, "no id here at all", 9),
                                    (1, "Alpha beta gamma delta epsilon", 9)], "item_id long, text string, doc_id long")
