@@ -9,11 +9,12 @@ is bounded, while every word of the corpus is counted.
 
 The texts are read once, into blocks of local word numbers. Block dictionaries,
 not tokens, are shuffled to count words and to bring counts and classes
-back. Baum-Welch runs over all training texts, in segments of ``SEGMENT``
-tokens; its expected counts are added up per task, then over all tasks. It
-starts from states fitted to at most ``START_TOKENS`` tokens of each of
-``START_ROWS`` training texts (those with the smallest hash). Scores are exact:
-the scaled forward recursion runs over each whole text.
+back. Baum-Welch runs over all training texts until their log-likelihood
+settles; its expected counts are added up per task, then over all tasks. They
+are exact: a text longer than ``SEGMENT`` tokens is cut into pieces that run
+abreast, and products of the pieces' transfer matrices carry the recursions
+over the cuts. Scores are exact: the scaled forward recursion runs over each
+whole text.
 """
 
 from __future__ import annotations
@@ -29,14 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from supplyscope.llm.common import hash_sample, reliable, slices, stage_table
+from supplyscope.llm.common import reliable, slices, stage_table
 from supplyscope.session import drop_path
 
 STATES = 8
 FREQUENT, RARE = 4096, 2048
-SEGMENT = 64
-PASSES = 3                 # over the whole training corpus
-START_ROWS, START_TOKENS, START_PASSES = 3000, 256, 12
+SEGMENT = 1024             # longest piece of a text that is run through at once
+SETTLED = 5e-4             # nats a token that a pass over the corpus must gain to be followed by another
 SMOOTH = 0.1               # added to each count of the base model
 _SLICE = 24 << 20          # bytes of text of a block
 _RUN = 1 << 20             # tokens of a training batch
@@ -179,44 +179,106 @@ def first_model(prior: np.ndarray, seed: int = 0) -> Model:
     return Model(even, move, emit / emit.sum(0), even)
 
 
-def expected(m: Model, cls: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected counts (emissions by class, moves, starts) of texts laid end to
-    end; ``ends`` marks each text's last token. Forward-backward over segments."""
-    n = len(cls)
-    rows = -(-n // SEGMENT)
-    pad = rows * SEGMENT - n
-    obs = np.concatenate([cls, np.zeros(pad, cls.dtype)]).reshape(rows, SEGMENT).T
-    stop = np.concatenate([ends, np.ones(pad, bool)]).reshape(rows, SEGMENT).T
+@dataclass
+class Pieces:
+    """Texts cut into pieces of at most ``SEGMENT`` tokens, longest first and abreast:
+    at step ``t`` the first ``live[t]`` pieces have a token."""
+
+    at: np.ndarray         # position of the first token
+    size: np.ndarray
+    live: np.ndarray
+
+    @classmethod
+    def of(cls, at: np.ndarray, size: np.ndarray) -> Pieces:
+        return cls(at, size, np.searchsorted(-size, -np.arange(size[0]), side="left"))
+
+
+def transfers(m: Model, obs: np.ndarray, p: Pieces, on: np.ndarray) -> np.ndarray:
+    """Per piece the matrix that takes the state before it to the state at its end,
+    up to a factor; the move into the piece is part of it where ``on``."""
+    emit, move = m.emit.astype(np.float32), m.move.astype(np.float32)
+    x = np.where(on[:, None, None], move, np.eye(STATES, dtype=np.float32))
+    for t, n in enumerate(p.live):
+        y = x[:n] @ move if t else x[:n]
+        y = y * emit[obs[p.at[:n] + t]][:, None]
+        x[:n] = y / y.sum((1, 2), keepdims=True)
+    return x
+
+
+def edges(m: Model, obs: np.ndarray, at: np.ndarray, size: np.ndarray, on: np.ndarray,
+          ) -> tuple[np.ndarray, np.ndarray]:
+    """(state before, outlook after) each piece: ``alpha`` of the token before and
+    ``beta`` of the last token, both up to a factor. Pieces are in text order."""
+    before = np.tile(m.start, (len(at), 1))
+    after = np.ones((len(at), STATES))
+    go = np.append(on[1:], False)                             # the text goes on after the piece
+    cut = np.flatnonzero(on | go)                             # pieces of texts with several
+    by = cut[np.argsort(-size[cut], kind="stable")]
+    matrix = np.empty((len(at), STATES, STATES), np.float32) if len(cut) else None
+    for i in range(0, len(by), max(1, _RUN // (STATES * SEGMENT))):
+        some = by[i:i + max(1, _RUN // (STATES * SEGMENT))]
+        matrix[some] = transfers(m, obs, Pieces.of(at[some], size[some]), on[some])
+    for i in cut[on[cut]]:
+        x = before[i - 1] @ matrix[i - 1]
+        before[i] = x / x.sum()
+    for i in cut[go[cut]][::-1]:
+        x = matrix[i + 1] @ after[i + 1]
+        after[i] = x / x.sum()
+    return before, after
+
+
+def forward_backward(m: Model, cls: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected counts (emissions by class, moves, starts) of texts laid end to end,
+    and their log-likelihood; ``ends`` marks each text's last token."""
+    stop = np.flatnonzero(ends) + 1
+    first = np.concatenate(([0], stop[:-1]))
+    many = -(-(stop - first) // SEGMENT)
+    j = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    at = np.repeat(first, many) + j * SEGMENT
+    size, on = np.minimum(SEGMENT, np.repeat(stop, many) - at), j > 0
+    before, after = edges(m, cls, at, size, on)
     emit, move = m.emit.astype(np.float32), m.move.astype(np.float32)
-    alpha = np.empty((SEGMENT, rows, STATES), np.float32)
-    scale = np.empty((SEGMENT, rows, 1), np.float32)
-    first = np.tile(m.share.astype(np.float32), (rows, 1))
-    first[0] = m.start
-    first[1:][stop[-1, :-1]] = m.start
-    for t in range(SEGMENT):
-        x = first if t == 0 else alpha[t - 1] @ move
-        if t:
-            x[stop[t - 1]] = m.start
-        x = x * emit[obs[t]]
-        scale[t] = x.sum(1, keepdims=True)
-        alpha[t] = x / scale[t]
-    real = np.arange(SEGMENT)[:, None] + np.arange(rows) * SEGMENT < n          # not padding
-    gamma = np.empty_like(alpha)
-    moves, starts = np.zeros((STATES, STATES)), np.zeros(STATES)
-    beta = np.ones((rows, STATES), np.float32)
-    for t in range(SEGMENT - 1, -1, -1):
-        if t < SEGMENT - 1:
-            ahead = beta * emit[obs[t + 1]] / scale[t + 1]
-            go = ~stop[t] & real[t + 1]
-            moves += alpha[t][go].T @ ahead[go]
-            beta = ahead @ move.T
-            beta[~go] = 1
-        gamma[t] = alpha[t] * beta
-        new = stop[t - 1] if t else np.concatenate(([True], stop[-1, :-1]))
-        starts += gamma[t][new & real[t]].sum(0)
-    flat = obs[real]
-    by = np.stack([np.bincount(flat, gamma[..., s][real], len(m.emit)) for s in range(STATES)], axis=1)
-    return by, moves * m.move, starts
+    by, moves, starts, like = np.zeros(m.emit.T.shape), np.zeros((STATES, STATES)), np.zeros(STATES), 0.0
+    # Pieces are independent now; a very long text takes several runs.
+    for some in np.split(np.arange(len(at)), np.flatnonzero(np.diff((np.cumsum(size) - 1) // _RUN)) + 1):
+        some = some[np.argsort(-size[some], kind="stable")]
+        p, prior, go = Pieces.of(at[some], size[some]), before[some].astype(np.float32), on[some]
+        off = np.concatenate(([0], np.cumsum(p.live)))
+        obs = cls[np.concatenate([p.at[:n] + t for t, n in enumerate(p.live)])]
+        alpha = np.empty((len(obs), STATES), np.float32)
+        scale = np.empty((len(obs), 1), np.float32)
+        x = np.where(go[:, None], prior @ move, prior)
+        for t, n in enumerate(p.live):
+            here = slice(off[t], off[t + 1])
+            x = x if t == 0 else x[:n] @ move
+            x = x * emit[obs[here]]
+            scale[here] = x.sum(1, keepdims=True)
+            x /= scale[here]
+            alpha[here] = x
+        like += float(np.log(scale, dtype=np.float64).sum())
+        last = alpha[off[p.size - 1] + np.arange(len(some))]
+        beta = after[some].astype(np.float32)
+        beta /= (last * beta).sum(1, keepdims=True)
+        for t in range(len(p.live) - 1, -1, -1):
+            here = slice(off[t], off[t + 1])
+            if t < len(p.live) - 1:
+                n = p.live[t + 1]
+                nxt = slice(off[t + 1], off[t + 2])
+                ahead = beta[:n] * emit[obs[nxt]] / scale[nxt]
+                moves += alpha[here][:n].T @ ahead
+                beta[:n] = ahead @ move.T
+                alpha[nxt] = gamma
+            gamma = alpha[here] * beta[:p.live[t]]
+        moves += prior[go].T @ (beta * emit[obs[:len(some)]] / scale[:len(some)])[go]
+        alpha[:len(some)] = gamma
+        starts += gamma[~go].sum(0)
+        for s in range(STATES):
+            by[s] += np.bincount(obs, alpha[:, s], len(m.emit))
+    return by.T, moves * m.move, starts, like
+
+
+def expected(m: Model, cls: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return forward_backward(m, cls, ends)[:3]
 
 
 def maximized(by: np.ndarray, moves: np.ndarray, starts: np.ndarray, prior: np.ndarray) -> Model:
@@ -228,32 +290,32 @@ def maximized(by: np.ndarray, moves: np.ndarray, starts: np.ndarray, prior: np.n
 
 
 def batches_of(cls: list[bytes], tokens: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The texts laid end to end in batches of about ``tokens`` tokens (a long text may run over several)."""
+    """Whole texts laid end to end in batches of about ``tokens`` tokens, one text at least."""
     held, have = [], 0
     for i, c in enumerate(cls):
-        a = np.frombuffer(c, np.uint16)
-        end = np.zeros(len(a), bool)
-        end[-1] = True
-        for at in range(0, len(a), tokens):
-            held.append((a[at:at + tokens], end[at:at + tokens]))
-            have += len(held[-1][0])
-            if have >= tokens or i == len(cls) - 1 and at + tokens >= len(a):
-                yield tuple(np.concatenate(x) for x in zip(*held))
-                held, have = [], 0
-
-
-def baum_welch(train: DataFrame, m: Model, prior: np.ndarray) -> Model:
-    """One pass over all training texts. Each task adds up its own counts; the
-    sums over tasks are a grouped sum of ``classes + states + 1`` keys."""
+        held.append(np.frombuffer(c, np.uint16))
+        have += len(held[-1])
+        if have >= tokens or i == len(cls) - 1:
+            ends = np.zeros(have, bool)
+            ends[np.cumsum([len(a) for a in held]) - 1] = True
+            yield np.concatenate(held), ends
+            held, have = [], 0
+
+
+def baum_welch(train: DataFrame, m: Model, prior: np.ndarray) -> tuple[Model, float]:
+    """One pass over all training texts: the next model, and the log-likelihood under
+    ``m``. Each task adds up its own counts; the sums over tasks are a grouped sum
+    of ``classes + states + 2`` keys."""
     shared = train.sparkSession.sparkContext.broadcast(m)                 # under 1 MB
     n = len(m.emit)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((n + STATES + 1, STATES))
+        total = np.zeros((n + STATES + 2, STATES))
         for f in frames:
             for cls, ends in batches_of(list(f["cls"]), _RUN):
-                by, moves, starts = expected(shared.value, cls, ends)
-                total += np.concatenate([by, moves, starts[None]])
+                by, moves, starts, like = forward_backward(shared.value, cls, ends)
+                total[:-1] += np.concatenate([by, moves, starts[None]])
+                total[-1, 0] += like
         some = np.flatnonzero(total.any(axis=1))
         if len(some):
             yield pd.DataFrame({"k": some} | {f"s{i}": total[some, i] for i in range(STATES)})
@@ -261,24 +323,23 @@ def baum_welch(train: DataFrame, m: Model, prior: np.ndarray) -> Model:
     names = [f"s{i}" for i in range(STATES)]
     sums = train.select("cls").mapInPandas(run, "k int, " + ", ".join(f"{s} double" for s in names))
     got = sums.groupBy("k").agg(*(F.sum(s).alias(s) for s in names)).toPandas()
-    total = np.zeros((n + STATES + 1, STATES))
+    total = np.zeros((n + STATES + 2, STATES))
     total[got["k"]] = got[names]
     shared.unpersist()
-    return maximized(total[:n], total[n:-1], total[-1], prior)
+    return maximized(total[:n], total[n:-2], total[-2], prior), float(total[-1, 0])
 
 
-def fit(texts: DataFrame, k: Counts, passes: int = PASSES, seed: int = 0) -> Model:
+def fit(texts: DataFrame, k: Counts, passes: int | None = None, seed: int = 0) -> Model:
+    """Passes over all training texts until one gains less than ``SETTLED`` a token, or as many as asked for."""
     prior = (k.total + SMOOTH) / (k.total + SMOOTH).sum()
-    m = first_model(prior, seed)
+    m, last, done = first_model(prior, seed), -np.inf, 0
     train = texts.where("not held")
-    heads = train.select(F.expr(f"substring(cls, 1, {2 * START_TOKENS})").alias("cls"))
-    few = sorted(hash_sample(heads, START_ROWS, "cls").collect())                  # short rows
-    if few:
-        cls, ends = next(batches_of([bytes(r["cls"]) for r in few], START_ROWS * START_TOKENS + 1))
-        for _ in range(START_PASSES):
-            m = maximized(*expected(m, cls, ends), prior)
-    for _ in range(passes):
-        m = baum_welch(train, m, prior)
+    while k.tokens and done != passes:
+        m, like = baum_welch(train, m, prior)
+        done += 1
+        if passes is None and like - last < SETTLED * k.tokens:
+            break
+        last = like
     return m
 
 
@@ -315,11 +376,12 @@ def scored(texts: DataFrame, m: Model) -> DataFrame:
     return texts.mapInPandas(run, f"key {kind}, held boolean, n_tokens long, n_known long, base double, score double")
 
 
-def score_documents(docs: DataFrame, held_out: Column, passes: int = PASSES, key: str = "doc_id",
+def score_documents(docs: DataFrame, held_out: Column, passes: int | None = None, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """``(key, held, n_tokens, n_known, train_tokens, base, score)`` for every row.
 
-    The model and the counts learn from rows for which ``held_out`` is not true.
+    The model and the counts learn from rows for which ``held_out`` is not true,
+    until the log-likelihood settles unless a number of ``passes`` is given.
     A null or empty text is the end mark alone. Null or repeated keys and
     repeated rows are rows of their own. Without training rows every word is
     unknown and the states are even; an empty table gives an empty result.

@@ -71,6 +71,53 @@ def test_expected_counts_are_those_of_all_paths(monkeypatch, segment):
         assert a == pytest.approx(b, abs=1e-4)
 
 
+@pytest.mark.parametrize("segment", [1, 3, 64])
+def test_expected_counts_do_not_depend_on_the_cuts(monkeypatch, segment):
+    """Moves over the edges of pieces count as any other; one text after the other is the measure."""
+    m = small_model(monkeypatch, seed=3)
+    m.move = np.array([[0.05, 0.9, 0.05], [0.05, 0.05, 0.9], [0.9, 0.05, 0.05]])
+    rng = np.random.default_rng(3)
+    texts = [np.append(rng.integers(1, 5, n), 0) for n in (0, 1, 7, 30, 200, 5)]
+    by, moves, starts, like = np.zeros((5, 3)), np.zeros((3, 3)), np.zeros(3), 0.0
+    for t in texts:
+        a, b, c = [m.start * m.emit[t[0]]], [np.ones(3)], 0.0
+        for o in t[1:]:
+            c += math.log(a[-1].sum())
+            a.append(a[-1] / a[-1].sum() @ m.move * m.emit[o])
+        for o in t[:0:-1]:
+            x = m.move @ (b[0] * m.emit[o])
+            b.insert(0, x / x.sum())
+        like += c + math.log(a[-1].sum())
+        for i, o in enumerate(t):
+            g = a[i] * b[i]
+            by[o] += g / g.sum()
+            starts += g / g.sum() if i == 0 else 0
+            if i:
+                x = a[i - 1][:, None] * m.move * m.emit[o] * b[i]
+                moves += x / x.sum()
+    monkeypatch.setattr(H, "SEGMENT", segment)
+    monkeypatch.setattr(H, "_RUN", 50)                           # the long text takes several runs
+    cls = np.concatenate(texts).astype(np.uint16)
+    got = H.forward_backward(m, cls, cls == 0)
+    for a, b in zip(got, (by, moves, starts, like)):
+        assert a == pytest.approx(b, rel=1e-4, abs=1e-3)
+    assert got[1].sum() == pytest.approx(len(cls) - len(texts), rel=1e-5)
+
+
+def test_passes_see_whole_texts_until_the_likelihood_settles(spark, monkeypatch):
+    """A pattern that begins after 300 tokens is learned, and another pass gains next to nothing."""
+    train = [("x " * 300 + "a b c " * 100,)] * 30
+    df = spark.createDataFrame([(i, t) for i, (t,) in enumerate(train)], "doc_id long, text string").repartition(3)
+    fits, real = [], H.baum_welch
+    monkeypatch.setattr(H, "baum_welch", lambda *a: fits.append(real(*a)) or fits[-1])
+    got = H.score_documents(df, F.lit(False)).first()
+    like = [x for _, x in fits]
+    tokens = 30 * 601
+    assert got.train_tokens == tokens and all(b > a - 1 for a, b in zip(like, like[1:]))
+    assert like[-1] - like[-2] < H.SETTLED * tokens <= min(b - a for a, b in zip(like[:-1], like[1:-1]))
+    assert got.score > got.base * 0.5
+
+
 def test_baum_welch_never_lowers_the_likelihood(monkeypatch):
     m = small_model(monkeypatch, seed=2)
     r = random.Random(2)
