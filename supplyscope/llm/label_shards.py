@@ -27,11 +27,12 @@ PIECE_ROWS = 50_000        # rows of one piece of a shard when slots are numbere
 
 
 def nodes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc, size, crc, g)`` per row, lineage cut; ``g`` is two hashes of the text (null reads as empty)."""
+    """``(doc, size, crc, g, g2, row)`` per row, lineage cut; ``g``, ``g2`` are hashes of the
+    text (null reads as empty), ``row`` tells copies with one id apart."""
     t = F.coalesce(F.col(text), F.lit(""))
     return reliable(docs.select(F.col(key).alias("doc"), (F.octet_length(t).cast("long") + 1).alias("size"),
                                 F.crc32(t.cast("binary")).alias("crc"), F.xxhash64(t).alias("g"),
-                                F.xxhash64(F.lit(1), t).alias("g2")))
+                                F.xxhash64(F.lit(1), t).alias("g2"), F.monotonically_increasing_id().alias("row")))
 
 
 def start_shard(shards: int) -> Column:
@@ -39,7 +40,7 @@ def start_shard(shards: int) -> Column:
 
 
 def propagate(linked: DataFrame, total: int, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """``linked(doc, g, g2, n, shard)`` with the members of each group moved to one shard, as far as quotas allow.
+    """``linked(doc, row, g, g2, n, shard)`` with the members of each group moved to one shard, as far as quotas allow.
 
     What a round takes to the driver is two numbers a shard.
     """
@@ -47,7 +48,7 @@ def propagate(linked: DataFrame, total: int, shards: int = SHARDS, rounds: int =
     by = ["g", "g2", "part"]
     # A group above a quota is cut into parts that fit one: each part moves as a group of its own.
     parts = F.ceil(F.col("n") / F.lit(max(1, quota))).cast("int")
-    now = linked.withColumn("part", F.pmod(F.xxhash64(F.lit(3), "doc"), parts).cast("int"))
+    now = linked.withColumn("part", F.pmod(F.xxhash64(F.lit(3), "doc", "row"), parts).cast("int"))
     for r in range(rounds):
         held = now.groupBy(*by, "shard").agg(F.count(F.lit(1)).alias("c"))
         home = held.groupBy(*by).agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("c"), F.min("shard").alias("shard"))
@@ -77,7 +78,7 @@ def numbered(rows: DataFrame, total: int) -> DataFrame:
     copies next to each other; two-level counts, no window over a whole shard."""
     pieces = max(1, -(-total // PIECE_ROWS))
     # Copies share a piece; a large group of copies is spread over pieces of its own.
-    spread = F.when(F.col("n") > PIECE_ROWS, F.pmod(F.xxhash64(F.lit(5), "doc"), F.ceil(F.col("n") / PIECE_ROWS)))
+    spread = F.when(F.col("n") > PIECE_ROWS, F.pmod(F.xxhash64(F.lit(5), "doc", "row"), F.ceil(F.col("n") / PIECE_ROWS)))
     rows = rows.withColumn("single", (F.col("n") == 1).cast("int"))
     rows = rows.withColumn("piece", F.pmod("g", F.lit(pieces))).withColumn("sub", F.coalesce(spread, F.lit(0)))
     by = ["shard", "single", "piece", "sub"]

@@ -4,7 +4,7 @@
 2. Targets: weights 5, 2, 1 in turn over the sources by code point (null
    last) share all words; no target exceeds ``max_repeats`` times its source.
 3. Packing: each source's documents form one word stream (in hash order of
-   the id), cut into blocks of ``block`` words.
+   id and text), cut into blocks of ``block`` words.
 4. Drawing: the mix has one slot per drawn block. A pseudorandom permutation
    of all slots deals them to output shards, so each shard's source counts
    are a multinomial draw given the corpus totals: shards vary, the whole mix
@@ -55,9 +55,10 @@ def explode_range(df: DataFrame, first: Column, last: Column, name: str) -> Data
 
 
 def sized(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """``(doc, src, size)`` for every row, lineage cut: the texts are read once."""
+    """``(doc, src, size, th)`` for every row, lineage cut: the texts are read once. ``th`` is a hash of the text."""
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD_REGEX)), F.lit(0)).cast("long")
-    return reliable(docs.select(F.col(key).alias("doc"), F.col(source).alias("src"), size.alias("size")))
+    return reliable(docs.select(F.col(key).alias("doc"), F.col(source).alias("src"), size.alias("size"),
+                                F.xxhash64(F.col(text)).alias("th")))
 
 
 def source_plan(sizes: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -96,13 +97,13 @@ def packed(sizes: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:
     the pieces of a source, so no window holds a whole source.
     """
     docs = sizes.join(plan.select("sid", "src", "source_size", "target", "pieces"), sizes.src.eqNullSafe(plan.src))
-    docs = docs.drop("src").withColumn("h", F.xxhash64(F.lit(seed), "doc")).withColumn("piece", F.pmod("h", "pieces"))
-    order = Window.partitionBy("sid", "piece").orderBy("h", F.col("doc").asc_nulls_first(), "size")
+    docs = docs.drop("src").withColumn("h", F.xxhash64(F.lit(seed), "doc", "th")).withColumn("piece", F.pmod("h", "pieces"))
+    order = Window.partitionBy("sid", "piece").orderBy("h", F.col("doc").asc_nulls_first(), "th", "size")
     docs = docs.withColumn("_at", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     ahead = docs.groupBy("sid", "piece").agg(F.sum("size").alias("_n"))
     over = Window.partitionBy("sid").orderBy("piece")
     ahead = ahead.withColumn("_before", F.sum("_n").over(over) - F.col("_n")).drop("_n")
-    return docs.join(ahead, ["sid", "piece"]).select("doc", "sid", "size", "source_size", "target",
+    return docs.join(ahead, ["sid", "piece"]).select("doc", "sid", "size", "th", "source_size", "target",
                                                      (F.col("_at") + F.col("_before")).alias("start"))
 
 
@@ -146,7 +147,7 @@ def _taken(sizes: DataFrame, plan: DataFrame, block: int, seed: int) -> DataFram
     uses = slots(plan, seed).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("uses"))
     # Sizes behind an explode are underestimated, so the join is told not to broadcast.
     read = pieces(placed, block).join(uses.hint("merge"), ["sid", "block"], "left")
-    by = ["doc", "sid", "size", "source_size", "target", "start"]
+    by = ["doc", "sid", "size", "th", "source_size", "target", "start"]
     some = read.groupBy(*by).agg(F.sum(F.col("words") * F.coalesce("uses", F.lit(0))).alias("taken"))
     none = placed.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
     return some.unionByName(none).drop("start")
@@ -161,25 +162,30 @@ def taken_words(docs: DataFrame, block: int = BLOCK, seed: int = 0, **names: str
     Only the three named columns are read.
     """
     sizes = sized(docs, **names)
-    return _taken(sizes, reliable(source_plan(sizes, block)), block, seed)
+    return _taken(sizes, reliable(source_plan(sizes, block)), block, seed).drop("th")
 
 
 def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text",
                     block: int = BLOCK, seed: int = 0) -> DataFrame:
     """``docs`` as whole documents repeated to the mix: a document whose blocks
     the mix takes ``t`` times on average stands ``floor(t)`` times, and once
-    more with the chance of the remainder (a hash of its id). Texts without
+    more with the chance of the remainder, drawn by a hash of its id and text.
+    Rows that repeat both draw each for itself, by their position. Texts without
     words have no weight in a mix and stay once. Columns are those of ``docs``.
     """
     sizes = sized(docs, key, source, text)
     plan = reliable(source_plan(sizes, block))
     times = (_taken(sizes, plan, block, seed).where("size > 0").join(plan.select("sid", "src"), "sid")
-             .groupBy("doc", "src", "size").agg(F.avg(F.col("taken") / F.col("size")).alias("times")))
+             .groupBy("doc", "src", "size", "th").agg(F.avg(F.col("taken") / F.col("size")).alias("times"),
+                                                       F.count(F.lit(1)).alias("rows")))
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                       F.col(key).alias("k"), F.col(source).alias("s"),
-                      F.coalesce(F.regexp_count(F.col(text), F.lit(WORD_REGEX)), F.lit(0)).cast("long").alias("n"))
-    row = row.join(times, row.k.eqNullSafe(times.doc) & row.s.eqNullSafe(times.src) & (row.n == times.size), "left")
-    chance = F.pmod(F.xxhash64(F.lit(seed + 1), "k"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+                      F.coalesce(F.regexp_count(F.col(text), F.lit(WORD_REGEX)), F.lit(0)).cast("long").alias("n"),
+                      F.xxhash64(F.col(text)).alias("t"), F.monotonically_increasing_id().alias("at"))
+    row = row.join(times, row.k.eqNullSafe(times.doc) & row.s.eqNullSafe(times.src) & (row.n == times.size)
+                   & (row.t == times.th), "left")
+    own = F.when(F.col("rows") > 1, F.col("at")).otherwise(F.lit(0).cast("long"))
+    chance = F.pmod(F.xxhash64(F.lit(seed + 1), "k", "t", own), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = F.when(F.col("n") == 0, F.lit(1)).otherwise(F.floor(F.col("times") + chance).cast("int"))
     return (row.withColumn("copies", copies).where("copies > 0")
             .select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*"))

@@ -2,6 +2,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from supplyscope.llm import label_shards as L
 
@@ -56,3 +57,13 @@ def test_group_of_a_third_of_all_rows(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert L.shard_documents(docs(spark, [])).count() == 0
+
+
+def test_copies_without_an_id_are_split_like_others(spark, monkeypatch):
+    """A group above the quota is dealt over several parts also if its rows have no id."""
+    rows = L.nodes(docs(spark, [(None, "same text", "s")] * 400).repartition(4))
+    rows = rows.withColumn("n", F.lit(400).cast("long")).withColumn("shard", F.monotonically_increasing_id() % 8)
+    seen = []
+    monkeypatch.setattr(L, "reliable", lambda df: seen.append(df) or df)
+    moved = L.propagate(rows.withColumn("shard", F.col("shard").cast("int")), 400, rounds=1)
+    assert moved.count() == 400 and seen[0].groupBy("part").count().count() == 8

@@ -90,3 +90,17 @@ def test_mixed_documents(spark):
 def test_empty_table(spark):
     assert mixing.taken_words(docs(spark, [])).count() == 0
     assert mixing.mixed_documents(docs(spark, [])).count() == 0
+
+
+def test_rows_with_one_id_are_rounded_each_for_itself(spark):
+    """Distinct long texts without an id, and copies of one row: the mix meets the targets of their sources."""
+    rows = [(None, f"t{i} " + "w " * 19, "a") for i in range(400)] + [(7, "v " * 20, "b")] * 200
+    rows += [(i, "u " * 20 + f"x{i}", "c") for i in range(400)]
+    df = docs(spark, rows)
+    plan = {r.src: r.target / r.source_size for r in mixing.source_plan(mixing.sized(df)).collect()}
+    assert sum(0.05 < t % 1 < 0.95 for t in plan.values()) >= 2          # there is something to round
+    got = Counter(r.source for r in mixing.mixed_documents(df).collect())
+    for s, n in (("a", 400), ("b", 200), ("c", 400)):
+        assert abs(got[s] - plan[s] * n) <= 4 * (n / 4) ** 0.5 + 10
+    pieces = mixing.packed(mixing.sized(df), mixing.source_plan(mixing.sized(df)).withColumn("pieces", F.lit(4).cast("long")))
+    assert pieces.where("doc is null").agg(F.countDistinct("start")).first()[0] == 400
