@@ -136,8 +136,9 @@ def locate(reps: DataFrame, books: dict[int, tuple[np.ndarray, np.ndarray]], cos
 def meetings(located: DataFrame, block_rows: int) -> DataFrame:
     """Members and visitors of the cells, dealt so that each visitor meets each
     member of its cell in one group of at most about ``2 * block_rows`` rows."""
-    member = located.select(*GRID, F.lit(True).alias("home"), "uid", "n", "vec")
-    visitor = located.select("label", "dim", F.explode("cells").alias("cell"), F.lit(False).alias("home"), "uid", "n", "vec")
+    member = located.select(*GRID, F.lit(True).alias("home"), "uid", "n", "vec", F.col("cell").alias("own"), "cells")
+    visitor = located.select("label", "dim", F.explode("cells").alias("cell"), F.lit(False).alias("home"), "uid", "n", "vec",
+                             F.col("cell").alias("own"), F.lit(None).cast("array<int>").alias("cells"))
     count = lambda rows, name: rows.groupBy(*GRID).agg(
         F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
     cells = count(member, "_m").join(count(visitor, "_v"), GRID)          # cells without members take no visitor on
@@ -151,7 +152,9 @@ def meetings(located: DataFrame, block_rows: int) -> DataFrame:
 
 
 def verify(frames: Iterator[pd.DataFrame], cosine: float) -> Iterator[pd.DataFrame]:
-    """Per group: for each visitor the linked vectors (copies counted), and a star of links per linked set."""
+    """Per group: the linked vectors (copies counted) of each visitor, and of each member
+    that does not visit the cell of the visitor, so a link counts once for either
+    side; and a star of links per linked set."""
     keys = [*GRID, "mb", "vb"]
     for f in whole_groups(frames, keys, 8192):
         s = group_starts(f, keys)
@@ -168,6 +171,13 @@ def verify(frames: Iterator[pd.DataFrame], cosine: float) -> Iterator[pd.DataFra
             if not len(a):
                 continue
             links = np.bincount(a, n[b], len(g)).astype(np.int64)
+            # A member that visits the visitor's own cell counts the link there.
+            own, cells = g["own"].to_numpy(), list(g["cells"].iloc[h])
+            every = np.concatenate(cells)
+            visits = np.zeros((len(h), max(own.max(), every.max()) + 1), bool)
+            visits[np.repeat(np.arange(len(h)), [len(c) for c in cells]), every] = True
+            back = ~visits[np.searchsorted(h, b), own[a]]
+            links += np.bincount(b[back], n[a[back]], len(g)).astype(np.int64)
             # The same vector may stand on both sides: one node per vector.
             _, node = np.unique(uid, return_inverse=True)
             low = np.full(node.max() + 1, len(g))

@@ -64,6 +64,20 @@ def test_awkward_rows(spark):
     assert run(spark, []) == []
 
 
+def test_a_link_that_one_side_finds_counts_for_both(spark):
+    """Pairs near 0.93, few cells visited: both of a pair have the link and the component, or neither."""
+    rng = np.random.default_rng(4)
+    x = M.unit(list(rng.normal(size=(300, 16))), 16)
+    d = rng.normal(size=x.shape)
+    d -= (d * x).sum(1, keepdims=True) * x
+    y = 0.94 * x + np.sqrt(1 - 0.94 ** 2) * d / np.linalg.norm(d, axis=1, keepdims=True)
+    rows = [(2 * i + k, v.tolist(), i) for i, pair in enumerate(zip(x, y)) for k, v in enumerate(pair)]
+    got = {i: (links, component) for i, links, component, _ in run(spark, rows, recall=0.7)}
+    both = [(got[2 * i], got[2 * i + 1]) for i in range(300)]
+    assert all(p == ((1, 2 * i), (1, 2 * i)) or p == ((0, 2 * i), (0, 2 * i + 1)) for i, p in enumerate(both))
+    assert 0 < sum(p[0][0] for p in both)
+
+
 def test_multi_sequence_visits_in_order():
     rng = np.random.default_rng(1)
     for _ in range(50):
