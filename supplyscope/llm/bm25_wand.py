@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from supplyscope.llm.common import slices
+from supplyscope.llm.common import reliable, slices
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6            # of a part's own BM25 score
@@ -90,9 +90,14 @@ def shingles(words: list[bytes], k: int) -> set[bytes]:
 
 
 class Index:
-    """Inverted index of one shard of test items; small, built by the driver, sent to tasks."""
+    """Inverted index of one shard of test items; small, built by the driver, sent to tasks.
 
-    def __init__(self, items: list[tuple[object, str | None]]):
+    ``df`` (parts that hold a word), ``n`` (parts) and ``mean`` (words of a part)
+    are those of the whole benchmark, or of ``items`` if not given.
+    """
+
+    def __init__(self, items: list[tuple[object, str | None]], df: dict[bytes, int] | None = None, n: int = 0,
+                 mean: float = 0.0):
         self.items, self.words, self.texts = [], [], []
         parts: list[tuple[int, Counter]] = []
         for (item, _), low in zip(items, normalized(pa.array([t for _, t in items], pa.string()))):
@@ -105,8 +110,9 @@ class Index:
             self.words.append(words)
             self.texts.append(low)
         self.item_of = np.array([i for i, _ in parts], np.int64)
-        df = Counter(t for _, c in parts for t in c)
-        n, mean = len(parts), sum(c.total() for _, c in parts) / max(1, len(parts))
+        if df is None:
+            df = Counter(t for _, c in parts for t in c)
+            n, mean = len(parts), sum(c.total() for _, c in parts) / max(1, len(parts))
         rows: dict[bytes, list[tuple[int, float]]] = defaultdict(list)
         for p, (_, c) in enumerate(parts):
             w = {t: np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * c.total() / mean))
@@ -123,7 +129,7 @@ class Index:
         self.block_last = [p[BLOCK - 1:-1:BLOCK] + p[-1:] for p in self.parts]
         self.block_max = [[max(x[i:i + BLOCK]) for i in range(0, len(x), BLOCK)] for x in self.impacts]
         self.most = np.array([max(x) for x in self.impacts], float)
-        self.range_max = np.zeros((len(self.parts), -(-n // RANGE)), np.float32)
+        self.range_max = np.zeros((len(self.parts), -(-len(parts) // RANGE)), np.float32)
         for t, (p, x) in enumerate(zip(self.parts, self.impacts)):
             np.maximum.at(self.range_max[t], np.array(p) // RANGE, np.array(x, np.float32))
         self.longest = max((len(t) for t in self.texts), default=0)
@@ -283,15 +289,49 @@ def scan(index: Index, texts: list[bytes], theta: float, overlap: float) -> Iter
             yield row, index.items[item], score, q, a
 
 
+def part_counts(dealt: DataFrame) -> DataFrame:
+    """``(shard, word, df, words)`` of ``dealt(shard, text)``: parts that hold a word, and
+    its occurrences; the null word has all parts and all words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: dict[tuple[int, bytes | None], list[int]] = defaultdict(lambda: [0, 0])
+            for shard, low in zip(batch.column("shard").to_pylist(), normalized(batch.column("text"))):
+                words = _WORDS.findall(low)
+                for i in range(0, len(words), PART_WORDS):
+                    part = Counter(words[i:i + PART_WORDS])
+                    for word, count in [*part.items(), (None, part.total())]:
+                        at = found[shard, word]
+                        at[0] += 1
+                        at[1] += count
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in found], pa.int64()), pa.array([k[1] for k in found], pa.binary()),
+                 pa.array([v[0] for v in found.values()], pa.int64()), pa.array([v[1] for v in found.values()], pa.int64())],
+                names=["shard", "word", "df", "words"])
+
+    counts = dealt.select("shard", "text").mapInArrow(run, "shard long, word binary, df long, words long")
+    return counts.groupBy("shard", "word").agg(F.sum("df").alias("df"), F.sum("words").alias("words"))
+
+
 def item_shards(items: DataFrame, key: str = "item_id", text: str = "text") -> Iterator[Index]:
-    """One bounded index after the other; null texts and texts without words are no items."""
+    """One bounded index after the other, all with the benchmark's own figures, so a
+    score does not depend on the shards; null texts and texts without words are no items."""
+    order = lambda r: (r["item"] is None, r["item"] or 0)
     count = items.count()
     shards = -(-count // SHARD_ITEMS)
-    dealt = items.select(F.col(key).alias("item"), F.col(text).alias("text"))
-    shard = F.pmod(F.xxhash64("item", "text"), F.lit(2 * shards))
-    for s in range(2 * shards if shards > 1 else shards):
-        part: list[Row] = (dealt.where(shard == s) if shards > 1 else dealt).collect()     # about SHARD_ITEMS / 2 rows
-        yield Index([(r["item"], r["text"]) for r in sorted(part, key=lambda r: (r["item"] is None, r["item"] or 0))])
+    shard = F.pmod(F.xxhash64("item", "text"), F.lit(max(1, 2 * shards)))
+    dealt = items.select(F.col(key).alias("item"), F.col(text).alias("text")).withColumn("shard", shard)
+    if shards <= 1:
+        if shards:
+            yield Index([(r["item"], r["text"]) for r in sorted(dealt.collect(), key=order)])
+        return
+    by = reliable(part_counts(dealt))
+    n, words = by.where("word is null").agg(F.sum("df"), F.sum("words")).first()
+    total = by.where("word is not null").groupBy("word").agg(F.sum("df").alias("df"))
+    known = reliable(by.where("word is not null").select("shard", "word").join(total, "word"))
+    for s in range(2 * shards):
+        part: list[Row] = dealt.where(F.col("shard") == s).collect()          # about SHARD_ITEMS / 2 rows
+        df = {bytes(r["word"]): r["df"] for r in known.where(F.col("shard") == s).collect()}     # their words
+        yield Index([(r["item"], r["text"]) for r in sorted(part, key=order)], df, n or 0, (words or 0) / max(1, n or 0))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, theta: float = THRESHOLD, overlap: float = OVERLAP,

@@ -110,3 +110,12 @@ def test_several_index_shards(spark, monkeypatch):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in B.contaminated(df, items).collect()}
     assert got == {(i, i) for i, _ in ITEMS}
+
+
+def test_scores_do_not_depend_on_the_shards(spark, monkeypatch):
+    df = docs(spark, [(i, t, "s") for i, t in ITEMS] + [(100 + i, f"changed {t.split(None, 1)[1]}", "s") for i, t in ITEMS])
+    items = spark.createDataFrame([*ITEMS, (90, "É? x"), (91, None), (92, "")], "item_id long, text string")
+    find = lambda: {(r.doc_id, r.item_id): pytest.approx(r.score) for r in B.contaminated(df, items).collect()}
+    whole = find()
+    monkeypatch.setattr(B, "SHARD_ITEMS", 10)
+    assert {k: v.expected for k, v in find().items()} == whole
