@@ -1,15 +1,14 @@
-"""The ten ``opN_<name>`` queries: each reads its whole table and applies one operator."""
+"""The ``opN_<name>`` queries: each reads its whole table and applies one operator."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyscope.llm import (bm25_wand, chat, hmm_lm, label_shards, mixing, multi_index, quality_cnn, simhash,
-                             token_shards, warc_chunks)
+from supplyscope.llm import (bm25_wand, chat, hmm_lm, label_shards, mixing, multi_index, quality_cnn, query_sharing,
+                             simhash, token_counts, token_shards, warc_chunks, whitening)
 from supplyscope.llm.common import crc_fold, table
 from supplyscope.session import scratch_path
 
@@ -33,10 +32,16 @@ def op2_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file, looked up where an operator needs it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "token-shards")
-    entries = token_shards.write_shards(table(spark, sf_dir, "documents"), root,
-                                        public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    entries = token_shards.write_shards(table(spark, sf_dir, "documents"), root, vocabulary("byte_bpe_50k.json"), END_ID)
     index, parts = token_shards.build_index(entries, root)
     out = token_shards.read_back(entries.select("key", "copy"), entries, index, parts, root)
     return out.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
@@ -86,10 +91,22 @@ def op10_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("base").alias("base_score"), "score")
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_query_sharing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return query_sharing.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_mix_sources, op2_quality_cnn, op3_token_shards, op4_warc_chunks, op5_decontaminate, op6_label_shards, op7_multi_index,
-        op8_chat_format, op9_simhash_blocks, op10_hmm_score)}
+        op8_chat_format, op9_simhash_blocks, op10_hmm_score, op11_token_counts, op12_whitening, op13_query_sharing)}
 
 
 #: Conversations with the probe; the marks of the template are counted from the roles alone.
@@ -113,5 +130,28 @@ FROM m GROUP BY conv_id
 """
 
 
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+#: Every item against every document that holds one of its terms.
+SEARCH_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents),
+b AS (SELECT item_id, {_TERMS} AS t FROM benchmark),
+k AS (SELECT count(*) AS docs, CAST(sum(len(t)) AS BIGINT) AS words FROM d WHERE len(t) > 0),
+i AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(t) AS term FROM b) GROUP BY item_id, term),
+p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM d)
+      GROUP BY r, doc_id, n, term),
+q AS (SELECT * FROM p WHERE term IN (SELECT term FROM i)),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * CAST(any_value(docs) AS DOUBLE) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM q, k GROUP BY term),
+s AS (SELECT item_id, r, doc_id, CAST(sum(times * w * ((1000000000 * tf)
+             // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // words)))) AS BIGINT) AS score
+      FROM q JOIN w USING (term) JOIN i USING (term), k GROUP BY item_id, r, doc_id),
+o AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+             doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat_format": CHAT_SQL}
+    return {"op8_chat_format": CHAT_SQL, "op13_query_sharing": SEARCH_SQL}
