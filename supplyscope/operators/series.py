@@ -7,7 +7,9 @@ hot series never sits in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from supplyscope import config as K
@@ -70,6 +72,57 @@ def ema_weight(span: int = K.EMA_SPAN) -> Column:
                   .otherwise(F.lit(a) * decay))
 
 
+def ema_chunk(span: int) -> tuple[int, int]:
+    """(steps of a chunk, chunks that an EMA can remember).
+
+    A chunk is long enough to shrink what came before it to ``e**-46`` (1e-20),
+    so weights inside one stay far from overflow, and after 17 of them an
+    earlier value is below the smallest double: the EMA at a step is made of
+    its own chunk and at most 16 whole chunks before it, exactly.
+    """
+    fade = -math.log(1.0 - ema_alpha(span)) if span > 1 else math.inf
+    return max(1, math.ceil(46 / fade)), 16
+
+
+def ema_series(steps: DataFrame, keys: list[str], span: int = K.EMA_SPAN, name: str = "ema") -> DataFrame:
+    """Add the EMA (adjust=False) of the rates at every step row; NULL on other rows.
+
+    ``steps`` comes from :func:`step_table` or :func:`step_table_split`. A
+    step with rate ``r`` is the map ``x -> (1-a) * x + a * r`` (the first one
+    sets ``x = r``), and maps compose: a chunk of steps is one pair
+    (multiplier, addend). So the steps of a series are cut into chunks by
+    their rank, each chunk is scanned by itself (a hot series is spread over
+    as many tasks as it has chunks), one row per chunk holds its pair, the
+    pairs are composed along each series, and the value before a chunk joins
+    its rows. Null keys form a series like any other. Empty input, empty result.
+    """
+    a = ema_alpha(span)
+    size, reach = ema_chunk(span)
+    d = 1.0 - a
+    rank = F.col(f"_cum_{STEP}")
+    s = steps.withColumn("_key", F.struct(*[F.col(k) for k in keys]))
+    s = s.withColumn("_chunk", F.floor((F.greatest(rank, F.lit(1)) - 1) / F.lit(size)).cast("long"))
+    at = ((rank - 1) - F.col("_chunk") * size).cast("double")                    # place in the chunk
+    own = F.when(F.col(STEP), F.when(rank == 1, F.lit(1.0)).otherwise(F.lit(a)) * F.col("rate"))
+    if span > 1:
+        w = (Window.partitionBy("_key", "_chunk").orderBy(rank, F.col("_rn"))
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        local = F.sum(own / F.pow(F.lit(d), at)).over(w) * F.pow(F.lit(d), at)
+    else:
+        local = own
+    s = s.withColumn("_local", F.when(F.col(STEP), local)).withColumn("_at", at)
+    whole = s.where(STEP).groupBy("_key", "_chunk").agg(F.max_by("_local", rank).alias("_add"))
+    along = Window.partitionBy("_key").orderBy("_chunk")
+    before = None
+    for back in range(1, reach + 1):                          # the chunks before are all full
+        term = F.lit(d ** (size * (back - 1))) * F.coalesce(F.lag("_add", back).over(along), F.lit(0.0))
+        before = term if before is None else before + term
+    state = whole.select("_key", "_chunk", before.alias("_before"))
+    out = s.join(state, ["_key", "_chunk"], "left")
+    ema = F.col("_local") + F.pow(F.lit(d), F.col("_at") + 1) * F.coalesce("_before", F.lit(0.0))
+    return out.withColumn(name, F.when(F.col(STEP), ema)).select(*steps.columns, name)
+
+
 def step_table_split(df: DataFrame, keys: list[str], ts: str = "ts", tie: str = "seq", val: str = "pct",
                      block_rows: int | None = None) -> DataFrame:
     """:func:`step_table` with hot series split off.

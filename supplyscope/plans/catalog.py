@@ -16,7 +16,7 @@ from supplyscope.functions import bands, scalars as S
 from supplyscope.operators import history as H
 from supplyscope.operators import merge as M
 from supplyscope.operators.reshape import unpivot_supplies
-from supplyscope.operators.series import STEP, ema_weight, step_table_split
+from supplyscope.operators.series import STEP, ema_series, ema_weight, step_table_split
 from supplyscope.plans import forecast_jobs as FJ
 from supplyscope.plans import refresh as R
 from supplyscope.plans import report as P
@@ -296,6 +296,11 @@ def ema_last(spark, d):
         S.round_to(F.sum(ema_weight() * F.col("rate")), 6).alias("ema"))
 
 
+def ema_series_q(spark, d):
+    s = ema_series(_steps(spark, d), READ_KEYS)
+    return s.select("seq", *READ_KEYS, S.round_to("ema", 6).alias("ema"))
+
+
 def regr_slope_supply(spark, d):
     s = _steps(spark, d)
     g = s.groupBy(*READ_KEYS).agg(F.count(F.lit(1)).alias("n"), F.regr_slope("pct", "days").alias("_s"))
@@ -420,6 +425,7 @@ def queries() -> dict[str, Query]:
         "delta_pct": delta_pct,
         "step_rate": step_rate,
         "ema_last": ema_last,
+        "ema_series": ema_series_q,
         "regr_slope_supply": regr_slope_supply,
         "latest_level": latest_level,
         "simple_rate": simple_rate,

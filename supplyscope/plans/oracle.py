@@ -318,6 +318,18 @@ _READ_STEPS = _steps_ctes("(SELECT * FROM readings_long WHERE ts IS NOT NULL AND
                           "device, supply", "ts", "pct", "rd")
 
 
+def _ema_series_sql(span: int = K.EMA_SPAN) -> str:
+    """The recurrence itself, one step after the other."""
+    a = ema_alpha(span)
+    same = "u.device IS NOT DISTINCT FROM e.device AND u.supply IS NOT DISTINCT FROM e.supply"
+    ctes = _with(*_READ_STEPS, "es AS MATERIALIZED (SELECT seq, device, supply, i, rate FROM rd_u WHERE step)",
+                 f"""e AS (SELECT seq, device, supply, i, rate AS ema FROM es WHERE i = 1
+                 UNION ALL SELECT u.seq, u.device, u.supply, u.i, {1.0 - a!r} * e.ema + {a!r} * u.rate
+                 FROM e JOIN es u ON {same} AND u.i = e.i + 1)""").replace("WITH ", "WITH RECURSIVE ", 1)
+    return ctes + (f"SELECT r.seq, r.device, r.supply, {round_to('e.ema', 6)} AS ema "
+                   "FROM rd_u r LEFT JOIN e ON e.seq = r.seq")
+
+
 def _alert5(d: str) -> str:
     return (f"(CASE WHEN {d} IS NULL OR isnan({d}) THEN {q(K.ALERT_INSUFFICIENT)} "
             f"WHEN {d} <= {float(K.ALERT_CRITICAL_DAYS)!r} THEN {q(K.ALERT_URGENT)} "
@@ -609,6 +621,7 @@ def oracle_sql() -> dict[str, str]:
         "ema_last": _with(*_READ_STEPS) + (
             f"SELECT device, supply, CAST(sum(CASE WHEN step THEN 1 ELSE 0 END) AS BIGINT) AS m, "
             f"{round_to(f'sum({_ema_weight()} * rate)', 6)} AS ema FROM rd_u GROUP BY device, supply"),
+        "ema_series": _ema_series_sql(),
         "regr_slope_supply": _with(*_READ_STEPS) + (
             "SELECT device, supply, count(*) AS n, CASE WHEN count(*) >= 2 THEN "
             + round_to("coalesce(CASE WHEN var_pop(days) > 0 THEN regr_slope(pct, days) END, 0.0)", 6)
