@@ -23,7 +23,7 @@ from supplyscope.plans import report as P
 from supplyscope.sources import fixtures as X
 from supplyscope.sources import pages as G
 from supplyscope.sources import tables as T
-from supplyscope.session import scratch_path
+from supplyscope.session import drop_path, scratch_path
 from supplyscope.streaming.ingest import stream_dedupe_history, stream_latest_levels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -350,6 +350,18 @@ def forecast_ema_alerts(spark, d):
     return FJ.fleet_forecast_ema(X.history_raw(spark, d))
 
 
+def forecast_incremental(spark, d):
+    path = scratch_path(spark, "log-batches")
+    paths = []
+    for i, batch in enumerate(FJ.time_batches(X.history_raw(spark, d), 3)):
+        paths.append(f"{path}-{i}")
+        batch.write.parquet(paths[-1])
+    out = FJ.incremental_forecast([T.read_history(spark, p) for p in paths])
+    for p in paths:
+        drop_path(spark, p)
+    return out
+
+
 def _date_text(df):
     """Dates as text: without a horizon they run past what client date types hold."""
     return df.withColumn("fecha_agotamiento", F.col("fecha_agotamiento").cast("string"))
@@ -434,6 +446,7 @@ def queries() -> dict[str, Query]:
         "project_date": project_date,
         "forecast_ema": forecast_ema_q,
         "forecast_ema_alerts": forecast_ema_alerts,
+        "forecast_incremental": forecast_incremental,
         "forecast_linear": forecast_linear_q,
         "forecast_linear_alerts": forecast_linear_alerts,
         "stream_dedupe": stream_dedupe,

@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 from supplyscope import config as K
 from supplyscope.functions.scalars import parse_ts
 from supplyscope.operators import history as H
+from supplyscope.operators import incremental as I
 from supplyscope.operators.forecast import (forecast_ema, forecast_linear, probe_log, with_alerts,
                                             with_alerts2)
-from supplyscope.session import conf_int
+from supplyscope.session import conf_int, scratch_path
 
 
 def _limit(raw: DataFrame) -> int:
@@ -89,3 +90,29 @@ def fleet_forecast_linear(raw: DataFrame, alerts: bool = True, **kw) -> DataFram
         hot, cold = split_hot_devices(raw, limit, strip_status=False)
         out = run(cold.repartition("ip"), "off").unionByName(run(hot, "force"))
     return with_alerts2(out) if alerts else out
+
+
+def time_batches(raw: DataFrame, n: int) -> list[DataFrame]:
+    """The log cut into ``n`` batches of equal time spans, as a log grows; rows
+    whose stamp is no time go by their sequence."""
+    at = parse_ts("marca_de_tiempo")
+    seconds = F.unix_timestamp(at.cast("timestamp"))
+    lo, hi = raw.agg(F.min(seconds), F.max(seconds)).first()
+    lo, span = lo or 0, max(1, (hi or 0) - (lo or 0) + 1)
+    part = F.coalesce(F.floor((seconds - F.lit(lo)) * n / F.lit(span)), F.pmod("seq", F.lit(n)))
+    return [raw.filter(part == F.lit(i)) for i in range(n)]
+
+
+def incremental_forecast(batches: list[DataFrame], alerts: bool = True, **kw) -> DataFrame:
+    """EMA forecast of a log that arrives in batches: each updates the stored
+    state and is not read again. A device with late rows that repeat nothing
+    would need :func:`supplyscope.operators.incremental.rebuild`."""
+    spark = batches[0].sparkSession
+    state, last = I.empty_state(spark), None
+    for batch in batches:
+        path = scratch_path(spark, "forecast-state")
+        state = I.write_state(I.update(state, batch, **kw)[0], path)
+        if last is not None:
+            I.drop_state(spark, last)
+        last = path
+    return I.forecast_of(state, alerts)

@@ -4,6 +4,8 @@
   inventory (dynamic partition overwrite, only the refreshed classes are
   replaced) and one appended history batch.
 * ``forecast_job``: history log -> forecast table.
+* ``update_forecast_job``: one appended batch + stored forecast state -> next
+  state and forecast table, without reading the log.
 
 Outputs never overwrite the table being read: callers stage to a new path
 and swap.
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from supplyscope import config as K
+from supplyscope.operators import incremental as I
 from supplyscope.operators.history import history_batch
 from supplyscope.plans.forecast_jobs import fleet_forecast_ema, fleet_forecast_linear
 from supplyscope.plans.refresh import refresh_inventory
@@ -70,3 +73,21 @@ def forecast_job(spark: SparkSession, log_path: str, out_path: str, method: str
     log = read_history(spark, log_path)
     job = fleet_forecast_ema if method == "ema" else fleet_forecast_linear
     write_overwrite(job(log), out_path)
+
+
+def update_forecast_job(spark: SparkSession, batch_path: str, old_state: str | None, new_state: str, out_path: str,
+                        late_path: str | None = None) -> int:
+    """Take one appended batch of the log into the forecast state (none before the
+    first) and write the forecast; returns the number of late rows, which are
+    written to ``late_path`` when given (a device with late readings is due for
+    :func:`supplyscope.operators.incremental.rebuild`)."""
+    if old_state is not None and new_state.rstrip("/") == old_state.rstrip("/"):
+        raise ValueError("write the next state to a new path")
+    state = I.empty_state(spark) if old_state is None else I.read_state(spark, old_state)
+    state, late = I.update(state, read_history(spark, batch_path))
+    state = I.write_state(state, new_state)
+    write_overwrite(I.forecast_of(state), out_path)
+    if late_path is not None:
+        write_overwrite(late, late_path)
+        late = spark.read.parquet(late_path)
+    return late.count()

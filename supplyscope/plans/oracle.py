@@ -644,6 +644,7 @@ def oracle_sql() -> dict[str, str]:
             f"{add_days('ts', 'd')} AS fecha_fin FROM pd"),
         "forecast_ema": _forecast_ema_sql(False),
         "forecast_ema_alerts": _forecast_ema_sql(True),
+        "forecast_incremental": _forecast_ema_sql(True),
         "forecast_linear": _forecast_linear_sql(False),
         "forecast_linear_alerts": _forecast_linear_sql(True),
         "stream_dedupe": _with() + (
