@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from supplyscope import config as K
 from supplyscope.functions import bands, scalars as S
 from supplyscope.operators import history as H
 from supplyscope.operators import merge as M
@@ -25,6 +26,8 @@ from supplyscope.sources import pages as G
 from supplyscope.sources import tables as T
 from supplyscope.session import drop_path, scratch_path
 from supplyscope.streaming.ingest import stream_dedupe_history, stream_latest_levels
+from supplyscope.streaming.ordered import stream_dedupe_ordered
+from supplyscope.streaming.upsert import ClassTable, run_upserts
 
 Query = Callable[[SparkSession, str], DataFrame]
 READ_KEYS = ["device", "supply"]
@@ -384,6 +387,25 @@ def stream_latest(spark, d):
     return stream_latest_levels(spark, d)
 
 
+def stream_refresh(spark, d):
+    """Poll rows land class by class, each class in two deliveries; every trigger rewrites its class only."""
+    land, root, ck, all_polls = (scratch_path(spark, n) for n in ("landing-poll", "inventory", "ck-poll", "polls"))
+    _poll(spark, d).write.parquet(all_polls)
+    poll = spark.read.parquet(all_polls)
+    store = ClassTable(spark, root)
+    store.start(R.with_levels(X.inventory_raw(spark, d).withColumn("ip", S.format_ip("ip")), poll, K.supply_cols()))
+    half = F.pmod(F.xxhash64("ip"), F.lit(2))
+    for cls in sorted(r[0] for r in poll.select("device_class").distinct().collect()):      # the fixed classes
+        for i in range(2):
+            poll.filter((F.col("device_class") == cls) & (half == i)).write.mode("append").parquet(land)
+    stream = spark.readStream.schema(poll.schema).option("maxFilesPerTrigger", 1).parquet(land)
+    run_upserts(stream, store, R.refresh_keyed, ck)
+    store.vacuum(1)
+    for path in (land, ck, all_polls):
+        drop_path(spark, path)
+    return store.read()
+
+
 def queries() -> dict[str, Query]:
     return {
         "scan_inventory": scan_inventory,
@@ -450,5 +472,7 @@ def queries() -> dict[str, Query]:
         "forecast_linear": forecast_linear_q,
         "forecast_linear_alerts": forecast_linear_alerts,
         "stream_dedupe": stream_dedupe,
+        "stream_dedupe_ordered": stream_dedupe_ordered,
         "stream_latest": stream_latest,
+        "stream_refresh": stream_refresh,
     }

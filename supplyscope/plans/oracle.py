@@ -650,6 +650,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_dedupe": _with() + (
             f"SELECT DISTINCT ip, marca_de_tiempo, {parse_ts('marca_de_tiempo')} AS fecha FROM history_raw "
             f"WHERE {strip('estado')} = 'OK'"),
+        "stream_refresh": _with(*_refresh_ctes()) + "SELECT * FROM refreshed",
+        "stream_dedupe_ordered": _with(*_clean_ctes()) + "SELECT * FROM clean",
         "stream_latest": _with(
             """sl AS (SELECT *, row_number() OVER (PARTITION BY device, supply ORDER BY ts DESC NULLS LAST, seq DESC) AS r,
                   max(ts) OVER (PARTITION BY device, supply) AS last_ts,

@@ -70,7 +70,12 @@ def refresh_inventory(inventory: DataFrame, poll: DataFrame) -> DataFrame:
     and stamp taken from the poll when there is one.  Row count equals the
     inventory's.  A polled level that the inventory lacks becomes a new column.
     """
-    inv = with_levels(inventory.withColumn("ip", format_ip("ip")), poll, K.supply_cols())
+    return refresh_keyed(with_levels(inventory.withColumn("ip", format_ip("ip")), poll, K.supply_cols()), poll)
+
+
+def refresh_keyed(inv: DataFrame, poll: DataFrame) -> DataFrame:
+    """:func:`refresh_inventory` of a table whose keys are normalised already
+    (normalising a key again is not the same key) and whose levels are all there."""
     levels = [c for c in K.supply_cols() if c in inv.columns]
     j = merge_left(inv, poll, keys=["device_class", "ip"], dedupe_tie="seq")
     return merge_masked_clean(j, inv.columns, levels, class_col="device_class")
