@@ -26,12 +26,13 @@ def reliable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stage_table(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
-    """Write ``df`` as Parquet below the shared folder and read it back; the
-    caller drops the path once nothing reads it."""
+def stage_table(df: DataFrame, name: str, by: str | None = None, **options: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as Parquet below the shared folder, in folders ``by`` a column
+    if given, and read it back; the caller drops the path once nothing reads it."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.options(**options).parquet(path)
+    out = df.write.options(**options)
+    (out.partitionBy(by) if by else out).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

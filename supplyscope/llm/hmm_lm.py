@@ -1,45 +1,60 @@
 """Hidden Markov language model, trained by Baum-Welch over the whole training corpus.
 
-Tokens are words and one end mark a text. Each token has a class: the end, each
-of the ``FREQUENT`` most frequent words, and for all other words, known or
-not, one of ``RARE`` classes by the hash of their last three characters. The
-states emit classes; a class emits its words by their corpus counts, of which
-an absolute discount goes to the class's unknown word. So the emission table
-is bounded, while every word of the corpus is counted.
-
-The texts are read once, into blocks of local word numbers. Block dictionaries,
-not tokens, are shuffled to count words and to bring counts and classes
-back. Baum-Welch runs over all training texts until their log-likelihood
-settles; its expected counts are added up per task, then over all tasks. They
-are exact: a text longer than ``SEGMENT`` tokens is cut into pieces that run
-abreast, and products of the pieces' transfer matrices carry the recursions
-over the cuts. Scores are exact: the scaled forward recursion runs over each
-whole text.
+Tokens are words and one end mark a text. Every training word has emissions of
+its own in every state. They are learned in two steps:
+
+1. Transitions and classes. Each token has a class: the end, each of the
+   ``FREQUENT`` most frequent words, and for all other words, known or not, one
+   of ``RARE`` classes by the hash of their last three characters. Baum-Welch
+   runs over the class sequences of all training texts, in steps: the texts are
+   dealt to ``PARTS`` parts, each part's expected counts are kept, and the
+   model is maximized anew after each part, until another round over the corpus
+   would gain next to nothing.
+2. Words. One more pass adds up the expected counts of every (word, state):
+   per block by local word number, then over all blocks by word. Within its
+   class and state a word has its discounted expected count; the discounts go
+   back to the words in proportion to what the class says about the state.
+
+A class's unknown word has the class's share of discounted mass, so words
+outside the training texts, and only these, are scored by their class.
+
+The texts are read once, into blocks: rows of local word numbers with the
+block's dictionary. Dictionaries, not tokens, are shuffled to add up counts and
+to bring emissions back to the blocks. Expected counts are exact sums over
+texts: a text longer than ``SEGMENT`` tokens is cut into pieces that run abreast, and products
+of the pieces' transfer matrices carry the recursions over the cuts. Scores
+are exact: the scaled forward recursion runs over each whole text. A word's
+distribution over the states travels in eight bits a state.
 """
 
 from __future__ import annotations
 
+import gc
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyscope.llm.common import reliable, slices, stage_table
 from supplyscope.session import drop_path
 
-STATES = 8
+STATES = 8                 # one byte each of a word's packed shares
 FREQUENT, RARE = 4096, 2048
+LEAST_SHARE = 1 / (1 << 17)   # of a block's tokens: a word below it in every block is in a rare class
+PARTS = 16                 # parts of the corpus, each followed by a maximization
 SEGMENT = 1024             # longest piece of a text that is run through at once
-SETTLED = 5e-4             # nats a token that a pass over the corpus must gain to be followed by another
+SETTLED = 5e-4             # nats a token that another round must promise
 SMOOTH = 0.1               # added to each count of the base model
-_SLICE = 24 << 20          # bytes of text of a block
-_RUN = 1 << 20             # tokens of a training batch
+SHARE = 255                # a word's share of a state, in whole steps
+_SLICE = 32 << 20          # bytes of text of a block
+_RUN = 1 << 21             # tokens of a training batch
 
 
 # ---------------------------------------------------------------- tokens and counts
@@ -61,104 +76,103 @@ def split_block(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
 
 
 def blocks(docs: DataFrame, held_out: Column, key: str, text: str) -> DataFrame:
-    """Rows of two kinds: a text ``(block, key, held, ids)`` and a block's word
-    ``(block, word, id, tf)`` with its count in the training texts of the block."""
+    """One row per block: its texts (keys, held out or not, tokens, word numbers end to
+    end) and its dictionary (words by number with their counts in training texts)."""
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text).alias("text"))
-    schema = pa.schema([("block", pa.int64()), ("key", pa.null()), ("held", pa.bool_()), ("ids", pa.binary()),
-                        ("word", pa.string()), ("id", pa.int32()), ("tf", pa.int64())])
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(held_out, F.lit(False)).alias("held"),
+                       F.col(f"`{text}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 24
+        listed = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
         for batch in batches:
             for b in slices(batch, "text", _SLICE):
                 ids, count, names = split_block(b.column("text"))
                 held = b.column("held").to_numpy(zero_copy_only=False).astype(bool)
                 tf = np.bincount(ids[np.repeat(~held, count)], minlength=len(names))
-                ends = np.cumsum(count)
-                own = schema.set(1, b.schema.field("key"))
-                cols = [[ids[e - c:e].tobytes() for e, c in zip(ends, count)], b.column("key"), b.column("held")]
-                n, m = b.num_rows, len(names)
-                null = lambda t, k: pa.nulls(k, t)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, block)), cols[1], cols[2], pa.array(cols[0], pa.binary()),
-                     null(pa.string(), n), null(pa.int32(), n), null(pa.int64(), n)], schema=own)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(m, block)), null(own.field("key").type, m), null(pa.bool_(), m),
-                     null(pa.binary(), m), pa.array(names), pa.array(np.arange(m, dtype=np.int32)), pa.array(tf)],
-                    schema=own)
+                    [pa.array([block]), listed(pa.concat_arrays([b.column("key")])), listed(pa.array(held)),
+                     listed(pa.array(count)), pa.array([ids.tobytes()], pa.binary()), listed(pa.array(names, pa.string())),
+                     listed(pa.array(tf))], names=["block", "key", "held", "n", "ids", "words", "tf"])
                 block += 1
 
-    return rows.mapInArrow(run, f"block long, key {kind}, held boolean, ids binary, word string, id int, tf long")
+    return rows.mapInArrow(run, f"block long, key array<{kind}>, held array<boolean>, n array<long>, ids binary, "
+                                "words array<string>, tf array<long>")
 
 
-@dataclass
-class Counts:
-    """Corpus figures: tokens, distinct tokens, the discount, and by class its count and types."""
+def dictionary(read: DataFrame) -> DataFrame:
+    """``(block, id, word, tf)``: the words of all blocks."""
+    pairs = F.posexplode(F.arrays_zip("words", "tf")).alias("id", "w")
+    return read.select("block", pairs).select("block", "id", F.col("w.words").alias("word"), F.col("w.tf").alias("tf"))
 
-    tokens: int
-    distinct: int
-    discount: float
-    total: np.ndarray
-    types: np.ndarray
-
-
-def counted(words: DataFrame) -> DataFrame:
-    """``(block, id, c, h, tail, first, end)``: corpus count of each block word. One
-    shuffle by word; a word has as many rows as blocks hold it."""
-    same = Window.partitionBy("word")
-    return words.select("block", "id", F.sum("tf").over(same).alias("c"), F.xxhash64("word").alias("h"),
-                        F.pmod(F.xxhash64(F.lit(1), F.right("word", F.lit(3))), F.lit(RARE)).cast("int").alias("tail"),
-                        (F.min("block").over(same) == F.col("block")).alias("first"), (F.col("word") == "").alias("end"))
-
-
-def classed(dictionary: DataFrame) -> tuple[DataFrame, Counts]:
-    """Adds the class ``cls`` and gathers the corpus figures by class (a bounded table)."""
-    spark = dictionary.sparkSession
-    known = dictionary.where("first and c > 0")
-    top = known.where("not end").orderBy(F.desc("c"), "h").limit(FREQUENT).select("h").collect()
-    top = spark.createDataFrame([(r["h"], i + 1) for i, r in enumerate(top)], "h long, rank int")
-    rare = F.lit(FREQUENT + 1) + F.col("tail")
-    out = dictionary.join(F.broadcast(top), "h", "left")                           # FREQUENT rows
-    out = out.withColumn("cls", F.when(F.col("end"), 0).otherwise(F.coalesce("rank", rare)).cast("int"))
-    by = out.where("first and c > 0").groupBy("cls").agg(
-        F.sum("c").alias("total"), F.count(F.lit(1)).alias("types"), F.count_if(F.col("c") == 1).alias("n1"),
-        F.count_if(F.col("c") == 2).alias("n2")).toPandas()
-    total, types = np.zeros(classes()), np.zeros(classes())
-    total[by["cls"]], types[by["cls"]] = by["total"], by["types"]
-    low = by[by["cls"] > FREQUENT]
-    n1, n2 = int(low["n1"].sum()), int(low["n2"].sum())
-    discount = min(0.9, max(0.1, n1 / (n1 + 2 * n2))) if n1 else 0.5
-    return out.select("block", "id", "c", "cls"), Counts(int(total.sum()), int(types.sum()), discount, total, types)
+
+def frequent_words(read: DataFrame) -> list[str]:
+    """The ``FREQUENT`` words (the end mark apart) with the highest counts over those blocks in
+    which they make up ``LEAST_SHARE`` of the training tokens: at most 1 / ``LEAST_SHARE`` rows a
+    block are shuffled. Ties go by the word."""
+    total = F.aggregate("tf", F.lit(0).cast("long"), lambda x, y: x + y)
+    often = read.select(F.filter(F.arrays_zip("words", "tf"), lambda w: (w["words"] != "") & (w["tf"] > 0)).alias("ws"),
+                        total.alias("n"))
+    often = often.select(F.explode(F.filter("ws", lambda w: w["tf"] >= F.col("n") * F.lit(LEAST_SHARE))).alias("w"))
+    top = often.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.tf").alias("c")).orderBy(F.desc("c"), "word").limit(FREQUENT)
+    return [r["word"] for r in top.collect()]
 
 
 def classes() -> int:
     return 1 + FREQUENT + RARE
 
 
-def coded_texts(texts: DataFrame, dictionary: DataFrame, k: Counts) -> DataFrame:
-    """Each text with its base score, the log10 probability of its words given
-    their classes, and its classes; a block meets its own dictionary."""
-    kind = texts.schema["key"].dataType.simpleString()
+def classes_of(words: pa.Array, frequent: pa.Array) -> np.ndarray:
+    """Class of each word: 0 the end, 1.. the frequent words by rank, then the tails."""
+    tails = pc.utf8_slice_codeunits(words, -3).dictionary_encode()
+    tail = np.array([zlib.crc32(t.encode()) % RARE for t in tails.dictionary.to_pylist()], np.int64)
+    cls = 1 + FREQUENT + tail[tails.indices.to_numpy(zero_copy_only=False)]
+    rank = pc.index_in(words, frequent)
+    known = rank.is_valid().to_numpy(zero_copy_only=False)
+    cls[known] = 1 + rank.drop_null().to_numpy()
+    cls[pc.equal(words, "").to_numpy(zero_copy_only=False)] = 0
+    return cls.astype(np.uint16)
 
-    def run(t: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
-        d = d.sort_values("id")
-        c, cls = d["c"].to_numpy(), d["cls"].to_numpy()
-        base = np.log10((c + SMOOTH) / (k.tokens + SMOOTH * (k.distinct + 1)))
-        # A frequent word is its class; in a rare class the discounts of the known words are the unknown word's.
-        total, types = k.total[cls], k.types[cls]
-        part = np.where(c > 0, c - k.discount, types * k.discount) / np.maximum(total, 1)
-        within = np.log10(np.where((cls <= FREQUENT) | (total == 0), 1, part))
-        out = []
-        for ids in t["ids"]:
-            i = np.frombuffer(ids, np.int32)
-            out.append((len(i), int((c[i] > 0).sum()), float(base[i].sum()), float(within[i].sum()),
-                        cls[i].astype(np.uint16).tobytes()))
-        out = pd.DataFrame(out, columns=["n_tokens", "n_known", "base", "within", "cls"])
-        return pd.concat([t[["key", "held"]].reset_index(drop=True), out], axis=1)
 
-    return texts.groupBy("block").cogroup(dictionary.groupBy("block")).applyInPandas(
-        run, f"key {kind}, held boolean, n_tokens long, n_known long, base double, within double, cls binary")
+def training_tokens(b: pa.RecordBatch, i: int, frequent: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word numbers of the block's training texts end to end, text of each token, class of each word)."""
+    held = b.column("held")[i].values.to_numpy(zero_copy_only=False).astype(bool)
+    n = b.column("n")[i].values.to_numpy()
+    ids = np.frombuffer(b.column("ids")[i].as_py(), np.int32)[np.repeat(~held, n)]
+    return ids, np.repeat(np.arange((~held).sum()), n[~held]), classes_of(b.column("words")[i].values, frequent)
+
+
+def coded_parts(read: DataFrame, frequent: list[str]) -> DataFrame:
+    """``(part, cls)``: classes of training texts end to end, a row for each block and part.
+    Class 0 is the end mark and nothing else, so it tells the texts apart."""
+    top = pa.array(frequent, pa.string())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                ids, text, cls = training_tokens(b, i, top)
+                code, part = cls[ids], text % PARTS
+                rows = [code[part == p].tobytes() for p in range(PARTS)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(rows, pa.binary())],
+                                                 names=["part", "cls"])
+
+    return read.select("held", "n", "ids", "words").mapInArrow(run, "part int, cls binary").where(F.length("cls") > 0)
+
+
+def class_counts(coded: DataFrame) -> np.ndarray:
+    """Training tokens by class."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(classes(), np.int64)
+        for f in frames:
+            for c in f["cls"]:
+                total += np.bincount(np.frombuffer(c, np.uint16), minlength=classes())
+        some = np.flatnonzero(total)
+        yield pd.DataFrame({"k": some, "n": total[some]})
+
+    got = coded.select("cls").mapInPandas(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
+    total = np.zeros(classes())
+    total[got["k"]] = got["n"]
+    return total
 
 
 # ---------------------------------------------------------------- Baum-Welch
@@ -227,9 +241,12 @@ def edges(m: Model, obs: np.ndarray, at: np.ndarray, size: np.ndarray, on: np.nd
     return before, after
 
 
-def forward_backward(m: Model, cls: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+def forward_backward(m: Model, cls: np.ndarray, ends: np.ndarray, into: np.ndarray | None = None, size_into: int = 0,
+                     ) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Expected counts (emissions by class, moves, starts) of texts laid end to end,
-    and their log-likelihood; ``ends`` marks each text's last token."""
+    and their log-likelihood; ``ends`` marks each text's last token. With
+    ``into``, emissions are counted by these numbers instead of the classes."""
+    into, size_into = (cls, len(m.emit)) if into is None else (into, size_into)
     stop = np.flatnonzero(ends) + 1
     first = np.concatenate(([0], stop[:-1]))
     many = -(-(stop - first) // SEGMENT)
@@ -238,13 +255,14 @@ def forward_backward(m: Model, cls: np.ndarray, ends: np.ndarray) -> tuple[np.nd
     size, on = np.minimum(SEGMENT, np.repeat(stop, many) - at), j > 0
     before, after = edges(m, cls, at, size, on)
     emit, move = m.emit.astype(np.float32), m.move.astype(np.float32)
-    by, moves, starts, like = np.zeros(m.emit.T.shape), np.zeros((STATES, STATES)), np.zeros(STATES), 0.0
+    by, moves, starts, like = np.zeros((STATES, size_into)), np.zeros((STATES, STATES)), np.zeros(STATES), 0.0
     # Pieces are independent now; a very long text takes several runs.
     for some in np.split(np.arange(len(at)), np.flatnonzero(np.diff((np.cumsum(size) - 1) // _RUN)) + 1):
         some = some[np.argsort(-size[some], kind="stable")]
         p, prior, go = Pieces.of(at[some], size[some]), before[some].astype(np.float32), on[some]
         off = np.concatenate(([0], np.cumsum(p.live)))
-        obs = cls[np.concatenate([p.at[:n] + t for t, n in enumerate(p.live)])]
+        place = np.concatenate([p.at[:n] + t for t, n in enumerate(p.live)])
+        obs, seen = cls[place], into[place]
         alpha = np.empty((len(obs), STATES), np.float32)
         scale = np.empty((len(obs), 1), np.float32)
         x = np.where(go[:, None], prior @ move, prior)
@@ -273,7 +291,7 @@ def forward_backward(m: Model, cls: np.ndarray, ends: np.ndarray) -> tuple[np.nd
         alpha[:len(some)] = gamma
         starts += gamma[~go].sum(0)
         for s in range(STATES):
-            by[s] += np.bincount(obs, alpha[:, s], len(m.emit))
+            by[s] += np.bincount(seen, alpha[:, s], size_into)
     return by.T, moves * m.move, starts, like
 
 
@@ -289,31 +307,29 @@ def maximized(by: np.ndarray, moves: np.ndarray, starts: np.ndarray, prior: np.n
     return Model(start, move, emit, (by.sum(0) + 0.1) / (by.sum() + 0.1 * STATES))
 
 
-def batches_of(cls: list[bytes], tokens: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Whole texts laid end to end in batches of about ``tokens`` tokens, one text at least."""
+def batches_of(cls: list[bytes], tokens: int) -> Iterator[np.ndarray]:
+    """Class sequences joined to batches of about ``tokens`` tokens, a sequence at least."""
     held, have = [], 0
     for i, c in enumerate(cls):
         held.append(np.frombuffer(c, np.uint16))
         have += len(held[-1])
         if have >= tokens or i == len(cls) - 1:
-            ends = np.zeros(have, bool)
-            ends[np.cumsum([len(a) for a in held]) - 1] = True
-            yield np.concatenate(held), ends
+            yield np.concatenate(held)
             held, have = [], 0
 
 
-def baum_welch(train: DataFrame, m: Model, prior: np.ndarray) -> tuple[Model, float]:
-    """One pass over all training texts: the next model, and the log-likelihood under
-    ``m``. Each task adds up its own counts; the sums over tasks are a grouped sum
-    of ``classes + states + 2`` keys."""
+def baum_welch(train: DataFrame, m: Model) -> tuple[np.ndarray, float]:
+    """Expected counts of ``train`` under ``m``, stacked (classes, moves, starts), and the
+    log-likelihood. Each task adds up its own; the sums over tasks are a grouped
+    sum of ``classes + states + 2`` keys."""
     shared = train.sparkSession.sparkContext.broadcast(m)                 # under 1 MB
     n = len(m.emit)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((n + STATES + 2, STATES))
         for f in frames:
-            for cls, ends in batches_of(list(f["cls"]), _RUN):
-                by, moves, starts, like = forward_backward(shared.value, cls, ends)
+            for cls in batches_of(list(f["cls"]), _RUN):
+                by, moves, starts, like = forward_backward(shared.value, cls, cls == 0)
                 total[:-1] += np.concatenate([by, moves, starts[None]])
                 total[-1, 0] += like
         some = np.flatnonzero(total.any(axis=1))
@@ -325,24 +341,140 @@ def baum_welch(train: DataFrame, m: Model, prior: np.ndarray) -> tuple[Model, fl
     got = sums.groupBy("k").agg(*(F.sum(s).alias(s) for s in names)).toPandas()
     total = np.zeros((n + STATES + 2, STATES))
     total[got["k"]] = got[names]
-    shared.unpersist()
-    return maximized(total[:n], total[n:-2], total[-2], prior), float(total[-1, 0])
-
-
-def fit(texts: DataFrame, k: Counts, passes: int | None = None, seed: int = 0) -> Model:
-    """Passes over all training texts until one gains less than ``SETTLED`` a token, or as many as asked for."""
-    prior = (k.total + SMOOTH) / (k.total + SMOOTH).sum()
-    m, last, done = first_model(prior, seed), -np.inf, 0
-    train = texts.where("not held")
-    while k.tokens and done != passes:
-        m, like = baum_welch(train, m, prior)
-        done += 1
-        if passes is None and like - last < SETTLED * k.tokens:
+    shared.destroy()
+    return total[:-1], float(total[-1, 0])
+
+
+def settled(likes: list[float], tokens: float) -> bool:
+    """True if the next round would gain less than ``SETTLED`` a token, as the last two gains foretell."""
+    if len(likes) < 3:
+        return False
+    before, now = likes[-2] - likes[-3], likes[-1] - likes[-2]
+    return now <= 0 or now * min(1.0, now / max(before, 1e-300)) < SETTLED * tokens
+
+
+def fit(coded: DataFrame, counts: np.ndarray, rounds: int | None = None, seed: int = 0) -> Model:
+    """Stepwise Baum-Welch over all parts, round after round until it settles, or as many rounds as asked for."""
+    prior = (counts + SMOOTH) / (counts + SMOOTH).sum()
+    m, likes, parts = first_model(prior, seed), [], {}
+    n = len(prior)
+    while counts.sum() and len(likes) != rounds:
+        like = 0.0
+        for p in range(PARTS):
+            parts[p], gain = baum_welch(coded.where(F.col("part") == p), m)
+            like += gain
+            total = sum(parts.values())
+            m = maximized(total[:n], total[n:-1], total[-1], prior)
+        likes.append(like)
+        if rounds is None and settled(likes, counts.sum()):
             break
-        last = like
     return m
 
 
+# ---------------------------------------------------------------- words
+def packed(expected: np.ndarray) -> np.ndarray:
+    """Shares of the states in whole steps of 1 / ``SHARE``, one byte a state."""
+    total = expected.sum(1, keepdims=True)
+    steps = np.rint(expected / np.where(total > 0, total, 1) * SHARE)
+    return np.ascontiguousarray(steps, np.uint8).view(np.int64).ravel()
+
+
+def word_shares(read: DataFrame, m: Model, frequent: list[str]) -> DataFrame:
+    """``(word, tf, p)``: for each training word of a block its count and its share of each state."""
+    shared, top = read.sparkSession.sparkContext.broadcast(m), pa.array(frequent, pa.string())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                ids, text, cls = training_tokens(b, i, top)
+                words, tf = b.column("words")[i].values, b.column("tf")[i].values
+                code = cls[ids]
+                by = (forward_backward(shared.value, code, code == 0, ids, len(words))[0] if len(ids)
+                      else np.zeros((len(words), STATES)))
+                some = pc.greater(tf, 0)
+                yield pa.RecordBatch.from_arrays([words.filter(some), tf.filter(some), pa.array(packed(by)).filter(some)],
+                                                 names=["word", "tf", "p"])
+
+    return read.select("held", "n", "ids", "words", "tf").mapInArrow(run, "word string, tf long, p long")
+
+
+def share_of(p: Column, s: int) -> Column:
+    return F.shiftrightunsigned(p, 8 * s).bitwiseAND(F.lit(255))
+
+
+def word_table(shares: DataFrame, frequent: list[str]) -> DataFrame:
+    """``(word, c, cls, p)``: every training word with its count, class and shares over all blocks."""
+    spark = shares.sparkSession
+    sums = shares.groupBy("word").agg(F.sum("tf").alias("c"),
+                                      *[F.sum(F.col("tf") * share_of(F.col("p"), s)).alias(f"q{s}") for s in range(STATES)])
+    total = sum((F.col(f"q{s}") for s in range(STATES)), F.lit(0))
+    p = F.lit(0).cast("long")
+    for s in range(STATES):
+        p = p.bitwiseOR(F.shiftleft(F.round(F.col(f"q{s}") * SHARE / F.greatest(total, F.lit(1))).cast("long"), 8 * s))
+    rank = spark.createDataFrame([(w, i + 1) for i, w in enumerate(frequent)], "word string, rank int")   # FREQUENT rows
+    tail = F.lit(1 + FREQUENT) + F.pmod(F.crc32(F.right("word", F.lit(3)).cast("binary")), F.lit(RARE))
+    cls = F.when(F.col("word") == "", 0).otherwise(F.coalesce("rank", tail)).cast("int")
+    return sums.join(F.broadcast(rank), "word", "left").select("word", "c", cls.alias("cls"), p.alias("p"))
+
+
+@dataclass
+class Words:
+    """What is needed beside a word's own count and shares: corpus figures, and by class its
+    states, its words' discounted counts in each state, and its unknown word's share."""
+
+    model: Model
+    tokens: int
+    distinct: int
+    discount: float
+    total: np.ndarray          # (classes) training tokens
+    within: np.ndarray         # (classes, states) sum of the discounted counts of the class's words
+    prior: np.ndarray          # (classes, states) the class's share of each state
+    unknown: np.ndarray        # (classes)
+
+    def emissions(self, cls: np.ndarray, c: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Probability of each word in each state; a word with ``c`` 0 is its class's unknown word."""
+        out = self.model.emit[cls] * self.unknown[cls][:, None]
+        known = np.flatnonzero(c > 0)
+        k = cls[known]
+        own, of = smoothed(p[known], c[known], self.discount, self.prior[k]), self.within[k]
+        # In a state that none of the class's words ever takes, they have their corpus shares.
+        part = np.where(of > 0, own / np.where(of > 0, of, 1), (c[known] / self.total[k])[:, None])
+        out[known] = self.model.emit[k] * (1 - self.unknown[k])[:, None] * part
+        return out
+
+
+def smoothed(p: np.ndarray, c: np.ndarray, discount: float, prior: np.ndarray) -> np.ndarray:
+    """A word's counts by state: its own less the discount, which follows the class."""
+    q = p[:, None].view(np.uint8).astype(np.float64)
+    q /= np.maximum(q.sum(1, keepdims=True), 1)
+    return q * (c - discount)[:, None] + discount * prior
+
+
+def word_model(table: DataFrame, m: Model) -> Words:
+    """Figures over the whole word table: two grouped sums of ``classes`` rows."""
+    shares = [share_of(F.col("p"), s) for s in range(STATES)]
+    whole = F.greatest(sum(shares, F.lit(0)), F.lit(1))
+    part = [s / whole for s in shares]
+    by = table.groupBy("cls").agg(
+        F.sum("c").alias("total"), F.count(F.lit(1)).alias("types"), F.count_if(F.col("c") == 1).alias("n1"),
+        F.count_if(F.col("c") == 2).alias("n2"), *[F.sum(F.col("c") * x).alias(f"e{s}") for s, x in enumerate(part)],
+        *[F.sum(x).alias(f"u{s}") for s, x in enumerate(part)]).toPandas()
+    n, k = classes(), by["cls"].to_numpy()
+    total, types, e, u = np.zeros(n), np.zeros(n), np.zeros((n, STATES)), np.zeros((n, STATES))
+    total[k], types[k] = by["total"], by["types"]
+    e[k], u[k] = by[[f"e{s}" for s in range(STATES)]], by[[f"u{s}" for s in range(STATES)]]
+    rare = k > FREQUENT
+    n1, n2 = int(by["n1"][rare].sum()), int(by["n2"][rare].sum())
+    discount = min(0.9, max(0.1, n1 / (n1 + 2 * n2))) if n1 else 0.5
+    prior = e / np.maximum(e.sum(1, keepdims=True), 1e-300)
+    within = e - discount * u + discount * types[:, None] * prior
+    unknown = np.where(total > 0, discount * types / np.maximum(total, 1), 1.0)
+    unknown[:1 + FREQUENT] = np.where(total[:1 + FREQUENT] > 0, 0.0, 1.0)     # a frequent word is its class
+    base = (total + SMOOTH) / (total + SMOOTH).sum()
+    emit = (e + base[:, None]) / (e.sum(0) + 1)
+    return Words(replace(m, emit=emit), int(total.sum()), int(types.sum()), discount, total, within, prior, unknown)
+
+
 # ---------------------------------------------------------------- scoring
 def log10_likelihoods(m: Model, texts: list[np.ndarray]) -> np.ndarray:
     """Exact log10 probability of each class sequence: scaled forward recursion, all texts abreast."""
@@ -363,25 +495,49 @@ def log10_likelihoods(m: Model, texts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def scored(texts: DataFrame, m: Model) -> DataFrame:
-    shared = texts.sparkSession.sparkContext.broadcast(m)                 # under 1 MB
-    kind = texts.schema["key"].dataType.simpleString()
-    keep = ["key", "held", "n_tokens", "n_known", "base"]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            like = log10_likelihoods(shared.value, [np.frombuffer(c, np.uint16) for c in f["cls"]]) if len(f) else []
-            yield f[keep].assign(score=f["within"] + like)
-
-    return texts.mapInPandas(run, f"key {kind}, held boolean, n_tokens long, n_known long, base double, score double")
+def scored(read: DataFrame, table: DataFrame, w: Words, frequent: list[str]) -> DataFrame:
+    """A row per text. Each block's known words come back from the word table by
+    (block, number) and meet the block's texts."""
+    kind = read.schema["key"].dataType.elementType.simpleString()
+    shared, top = read.sparkSession.sparkContext.broadcast(w), pa.array(frequent, pa.string())
+    known = dictionary(read).select(F.col("block").alias("of"), "id", "word").join(table.select("word", "c", "p"), "word").drop("word")
+    texts = read.select("block", "key", "n", "held", "words", "ids")
 
-
-def score_documents(docs: DataFrame, held_out: Column, passes: int | None = None, key: str = "doc_id",
+    def run(b: pa.Table, d: pa.Table) -> pa.Table:
+        v = shared.value
+        out = []
+        for i in range(b.num_rows):
+            words, n = b.column("words")[i].values, b.column("n")[i].values.to_numpy()
+            c, p = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+            at = d.column("id").to_numpy()
+            c[at], p[at] = d.column("c").to_numpy(), d.column("p").to_numpy()
+            emit = v.emissions(classes_of(words, top), c, p)
+            ids = np.frombuffer(b.column("ids")[i].as_py(), np.int32)
+            ends = np.cumsum(n)
+            base = np.log10((c + SMOOTH) / (v.tokens + SMOOTH * (v.distinct + 1)))
+            like = log10_likelihoods(replace(v.model, emit=emit), np.split(ids, ends[:-1]))
+            sums = lambda x: np.add.reduceat(x[ids], ends - n)
+            out.append(pa.table([b.column("key")[i].values, b.column("held")[i].values, pa.array(n), pa.array(sums((c > 0).astype(np.int64))),
+                                 pa.array(sums(base)), pa.array(like)], names=names))
+        return pa.concat_tables(out)
+
+    names = ["key", "held", "n_tokens", "n_known", "base", "score"]
+    return texts.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(
+        run, f"key {kind}, held boolean, n_tokens long, n_known long, base double, score double")
+
+
+def let_go(spark: SparkSession) -> None:
+    """Have the driver collect its garbage, so that shuffle files of finished steps are deleted now and not some time."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def score_documents(docs: DataFrame, held_out: Column, rounds: int | None = None, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """``(key, held, n_tokens, n_known, train_tokens, base, score)`` for every row.
 
     The model and the counts learn from rows for which ``held_out`` is not true,
-    until the log-likelihood settles unless a number of ``passes`` is given.
+    until the log-likelihood settles unless a number of ``rounds`` is given.
     A null or empty text is the end mark alone. Null or repeated keys and
     repeated rows are rows of their own. Without training rows every word is
     unknown and the states are even; an empty table gives an empty result.
@@ -389,14 +545,15 @@ def score_documents(docs: DataFrame, held_out: Column, passes: int | None = None
     """
     spark = docs.sparkSession
     read, read_path = stage_table(blocks(docs, held_out, key, text), "lm-blocks", compression="zstd")
-    found, found_path = stage_table(counted(read.where("word is not null").select("block", "word", "id", "tf")),
-                                    "lm-words", compression="zstd")
-    dictionary, k = classed(found)
-    texts, texts_path = stage_table(coded_texts(read.where("word is null").select("block", "key", "held", "ids"),
-                                                dictionary, k), "lm-texts", compression="zstd")
-    drop_path(spark, read_path)
-    drop_path(spark, found_path)
-    out = reliable(scored(texts, fit(texts, k, passes)))
-    drop_path(spark, texts_path)
-    return out.select(F.col("key").alias(key), "held", "n_tokens", "n_known", F.lit(k.tokens).cast("long").alias("train_tokens"),
+    frequent = frequent_words(read)
+    coded, coded_path = stage_table(coded_parts(read, frequent), "lm-classes", by="part", compression="zstd")
+    m = fit(coded, class_counts(coded), rounds)
+    drop_path(spark, coded_path)
+    table, table_path = stage_table(word_table(word_shares(read, m, frequent), frequent), "lm-words", compression="zstd")
+    w = word_model(table, m)
+    let_go(spark)
+    out = reliable(scored(read, table, w, frequent))
+    for path in (read_path, table_path):
+        drop_path(spark, path)
+    return out.select(F.col("key").alias(key), "held", "n_tokens", "n_known", F.lit(w.tokens).cast("long").alias("train_tokens"),
                       "base", "score")

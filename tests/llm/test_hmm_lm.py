@@ -104,20 +104,41 @@ def test_expected_counts_do_not_depend_on_the_cuts(monkeypatch, segment):
     assert got[1].sum() == pytest.approx(len(cls) - len(texts), rel=1e-5)
 
 
-def test_passes_see_whole_texts_until_the_likelihood_settles(spark, monkeypatch):
-    """A pattern that begins after 300 tokens is learned, and another pass gains next to nothing."""
+def test_counts_by_word_are_those_of_all_paths(monkeypatch):
+    """The same posteriors, added up by other numbers than the classes that emit."""
+    m = small_model(monkeypatch, seed=1)
+    cls, word = np.array([1, 2, 3, 0, 4, 1, 2, 0], np.uint16), np.array([5, 6, 7, 0, 8, 9, 6, 0])
+    by = H.forward_backward(m, cls, cls == 0)[0]
+    fine = H.forward_backward(m, cls, cls == 0, word, 10)[0]
+    assert fine.shape == (10, 3) and fine.sum(1)[[0, 5, 6, 7, 8, 9]] == pytest.approx([2, 1, 2, 1, 1, 1], rel=1e-5)
+    for c, ws in {0: [0], 1: [5, 9], 2: [6], 3: [7], 4: [8]}.items():
+        assert fine[ws].sum(0) == pytest.approx(by[c], abs=1e-5)
+
+
+def test_rounds_see_whole_texts_until_the_likelihood_settles(spark, monkeypatch):
+    """A pattern that begins after 300 tokens is learned, and another round promises next to nothing."""
+    monkeypatch.setattr(H, "PARTS", 3)
     train = [("x " * 300 + "a b c " * 100,)] * 30
     df = spark.createDataFrame([(i, t) for i, (t,) in enumerate(train)], "doc_id long, text string").repartition(3)
-    fits, real = [], H.baum_welch
-    monkeypatch.setattr(H, "baum_welch", lambda *a: fits.append(real(*a)) or fits[-1])
+    seen, real = [], H.settled
+    monkeypatch.setattr(H, "settled", lambda likes, tokens: seen.append((list(likes), tokens)) or real(likes, tokens))
     got = H.score_documents(df, F.lit(False)).first()
-    like = [x for _, x in fits]
-    tokens = 30 * 601
-    assert got.train_tokens == tokens and all(b > a - 1 for a, b in zip(like, like[1:]))
-    assert like[-1] - like[-2] < H.SETTLED * tokens <= min(b - a for a, b in zip(like[:-1], like[1:-1]))
+    likes, tokens = seen[-1]
+    assert got.train_tokens == tokens == 30 * 601
+    assert len(likes) >= 3 and likes[-1] > likes[0] and real(likes, tokens)
+    assert not any(real(x, tokens) for x, _ in seen[:-1])
     assert got.score > got.base * 0.5
 
 
+def test_settled_foretells_the_next_gain():
+    t = 1000
+    assert not H.settled([-9.0 * t], t) and not H.settled([-9.0 * t, -8.0 * t], t)
+    assert not H.settled([-9.0 * t, -8.0 * t, -7.9 * t], t)                # the next is 0.01
+    assert H.settled([-9.0 * t, -8.0 * t, -7.99 * t], t)                   # the next is 0.0001
+    assert not H.settled([-9.0 * t, -8.99 * t, -8.9 * t], t)               # gains that grow go on
+    assert H.settled([-9.0 * t, -8.0 * t, -8.01 * t], t)
+
+
 def test_baum_welch_never_lowers_the_likelihood(monkeypatch):
     m = small_model(monkeypatch, seed=2)
     r = random.Random(2)
@@ -136,9 +157,14 @@ ROWS = AWKWARD + [(100 + i, " ".join(random.Random(i).choices(("der die das und
                    + f" word{i % 9}", "s") for i in range(60)]
 
 
+@pytest.fixture(autouse=True)
+def few_parts(monkeypatch):
+    monkeypatch.setattr(H, "PARTS", 3)                              # each is a Spark job
+
+
 def test_counts_and_base_scores(spark):
     held = F.pmod(F.col("doc_id"), F.lit(10)) == 0
-    got = H.score_documents(docs(spark, ROWS).repartition(4), held, passes=1).collect()
+    got = H.score_documents(docs(spark, ROWS).repartition(4), held, rounds=1).collect()
     c = Counter(w for i, t, _ in ROWS if i is None or i % 10 for w in words(t))
     n, v = sum(c.values()), len(c)
     want = sorted((str(i), i is not None and i % 10 == 0, len(words(t)), sum(c[w] > 0 for w in words(t)),
@@ -150,10 +176,57 @@ def test_counts_and_base_scores(spark):
     assert sum(r.score for r in far) > sum(r.base for r in far)
 
 
-def test_class_words_are_a_distribution():
-    """In a rare class the known words and the unknown one share the probability 1."""
-    counts, d = np.array([1, 1, 2, 7]), 0.6
-    assert ((counts - d) / counts.sum()).sum() + len(counts) * d / counts.sum() == pytest.approx(1)
+def word_figures(spark, monkeypatch, rows):
+    """(table rows, figures, frequent words) of a corpus, trained for a round; all but four words are in the tails."""
+    monkeypatch.setattr(H, "PARTS", 2)
+    read, _ = H.stage_table(H.blocks(docs(spark, rows).repartition(3), F.lit(False), "doc_id", "text"), "t-blocks")
+    frequent = H.frequent_words(read)[:4]
+    coded, _ = H.stage_table(H.coded_parts(read, frequent), "t-classes", by="part")
+    counts = H.class_counts(coded)
+    m = H.fit(coded, counts, 1)
+    shares, _ = H.stage_table(H.word_shares(read, m, frequent), "t-shares")
+    table, _ = H.stage_table(H.word_table(shares, frequent), "t-words")
+    return table.toPandas(), H.word_model(table, m), frequent, counts, shares.toPandas()
+
+
+def test_emissions_of_all_words_are_a_distribution(spark, monkeypatch):
+    """In every state the known words and each class's unknown word share the probability 1."""
+    rows = [(i, t, s) for i, t, s in ROWS if t != AWKWARD[5][1]]
+    table, w, frequent, counts, shares = word_figures(spark, monkeypatch, rows)
+    want = Counter(x for _, t, _ in rows for x in words(t))
+    assert dict(zip(table["word"], table["c"])) == want and w.tokens == sum(want.values()) and w.distinct == len(want)
+    assert frequent == [x for x, _ in sorted(((x, n) for x, n in want.items() if x), key=lambda p: (-p[1], p[0]))[:4]]
+    cls = H.classes_of(pa.array(table["word"]), pa.array(frequent))
+    assert (cls == table["cls"]).all()
+    assert (np.bincount(cls, table["c"], H.classes()) == counts).all()
+    known = w.emissions(cls, table["c"].to_numpy(), table["p"].to_numpy())
+    every = np.arange(H.classes())
+    unknown = w.emissions(every, np.zeros(len(every), int), np.zeros(len(every), int))
+    assert (known.sum(0) + unknown.sum(0)) == pytest.approx(np.ones(8), abs=1e-9)
+    assert (known > 0).any(1).all() and (unknown[H.FREQUENT + 1:] > 0).all()
+
+
+def test_words_of_a_class_differ_by_state(spark, monkeypatch):
+    """Two languages with the same tails: a word's emissions tell them apart, its class's do not."""
+    rows = [(i, " ".join(random.Random(i).choices([f"{p}{j}zzz" for j in range(30)], k=60)), "s")
+            for i in range(40) for p in (["le", "der"][i % 2],)]
+    table, w, frequent, _, _ = word_figures(spark, monkeypatch, rows)
+    rare = table[table["cls"] > H.FREQUENT]
+    assert rare["cls"].nunique() == 1 and len(rare) > 40
+    e = w.emissions(rare["cls"].to_numpy(), rare["c"].to_numpy(), rare["p"].to_numpy())
+    top = e.argmax(1)
+    french = rare["word"].str.startswith("le").to_numpy()
+    assert not np.array_equal(np.bincount(top[french], minlength=8) > 0, np.bincount(top[~french], minlength=8) > 0)
+
+
+def test_shares_keep_a_words_counts():
+    rng = np.random.default_rng(0)
+    e = rng.random((50, 8)) ** 4 * 10
+    p = H.packed(e)
+    q = p[:, None].view(np.uint8) / H.SHARE
+    assert np.abs(q - e / e.sum(1, keepdims=True)).max() <= 0.5 / H.SHARE + 1e-12
+    assert H.packed(np.zeros((2, 8))).tolist() == [0, 0]
+    assert H.smoothed(p, np.full(50, 3), 0.7, np.full((50, 8), 1 / 8)).sum(1) == pytest.approx(np.full(50, 3.0))
 
 
 def test_no_training_rows_and_no_rows(spark):
