@@ -11,14 +11,13 @@ Supported element patterns:
   ``table#toner_list`` (gauge 0) and ``table#imagine_list`` (gauge 1) tables
 * ``grid``          second ``x-column`` cell of the n-th ``x-grid3-row``
 * ``row_id``        nested tables addressed by row id (see
-  :mod:`supplyscope.sources.htmltree`; the only pattern needing Python)
+  :mod:`supplyscope.sources.tablefold`)
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +26,7 @@ from supplyscope import config as K
 from supplyscope.functions.bands import classify_status
 from supplyscope.functions.scalars import strip_ws
 from supplyscope.operators.reshape import pivot_supplies
-from supplyscope.sources.htmltree import row_id_texts
+from supplyscope.sources.tablefold import once, row_id_texts
 
 # Fixed element patterns of the device pages.
 NAV_PATTERN = r'<li><a href="([^"]*)">([^<]*)</a></li>'
@@ -48,16 +47,6 @@ def inner_text(markup: Column) -> Column:
     return strip_ws(F.replace(t, F.lit("&amp;"), F.lit("&")))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _row_id_positions(html: pd.Series) -> pd.Series:
-    return html.map(lambda h: row_id_texts(h, POSITIONS))
-
-
-def _once(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` computed once, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def gauge_positions(html: Column, pattern: str) -> Column:
     """Array of ``POSITIONS`` gauge texts; null where the page has no such gauge.
 
@@ -67,7 +56,7 @@ def gauge_positions(html: Column, pattern: str) -> Column:
     if pattern == "supply_gauge":
         pairs = F.transform(F.regexp_extract_all(html, F.lit(_SUPPLY_GAUGE), 0), lambda m: F.struct(
             F.regexp_extract(m, _SUPPLY_GAUGE, 2).try_cast("int").alias("i"), F.regexp_extract(m, _SUPPLY_GAUGE, 3).alias("t")))
-        return _once(pairs, lambda found: F.array(*[
+        return once(pairs, lambda found: F.array(*[
             inner_text(F.get(F.filter(found, lambda x: x["i"] == k), F.lit(0))["t"]) for k in range(POSITIONS)]))
     if pattern == "toner_list":
         found = []
@@ -78,9 +67,9 @@ def gauge_positions(html: Column, pattern: str) -> Column:
         return F.array(*found, *[F.lit(None).cast("string")] * (POSITIONS - 2))
     if pattern == "grid":
         cell = lambda row: inner_text(F.get(F.regexp_extract_all(row, F.lit(_GRID_CELL), 2), F.lit(1)))
-        return _once(F.split(html, _GRID_ROW), lambda rows: F.array(*[cell(F.get(rows, F.lit(k + 1))) for k in range(POSITIONS)]))
+        return once(F.split(html, _GRID_ROW), lambda rows: F.array(*[cell(F.get(rows, F.lit(k + 1))) for k in range(POSITIONS)]))
     if pattern == "row_id":
-        return _row_id_positions(html)
+        return row_id_texts(html, POSITIONS)
     raise ValueError(f"unknown gauge pattern {pattern!r}")
 
 

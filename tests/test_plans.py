@@ -33,9 +33,9 @@ def test_linear_has_one_exchange(spark):
     assert not any(p in plan for p in PYTHON_NODES)
 
 
-def test_no_query_uses_python_except_row_id_pages(spark):
+def test_no_query_uses_python(spark):
     for name in queries():
-        if name.startswith("stream") or name in ("scan_all_classes", "extract_gauges_row_id", "gauges_to_supplies"):
+        if name.startswith("stream") or name == "scan_all_classes":
             continue                                             # nested tables by row id need the page parser
         plan = _plan(spark, name)
         assert not any(p in plan for p in PYTHON_NODES), name
