@@ -49,11 +49,11 @@ STATES = 8                 # one byte each of a word's packed shares
 FREQUENT, RARE = 4096, 2048
 LEAST_SHARE = 1 / (1 << 17)   # of a block's tokens: a word below it in every block is in a rare class
 PARTS = 16                 # parts of the corpus, each followed by a maximization
-SEGMENT = 1024             # longest piece of a text that is run through at once
+SEGMENT = 4096             # longest piece of a text that is run through at once
 SETTLED = 5e-4             # nats a token that another round must promise
 SMOOTH = 0.1               # added to each count of the base model
 SHARE = 255                # a word's share of a state, in whole steps
-_SLICE = 32 << 20          # bytes of text of a block
+_SLICE = 16 << 20          # bytes of text of a block
 _RUN = 1 << 21             # tokens of a training batch
 
 
@@ -135,11 +135,11 @@ def classes_of(words: pa.Array, frequent: pa.Array) -> np.ndarray:
 
 
 def training_tokens(b: pa.RecordBatch, i: int, frequent: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word numbers of the block's training texts end to end, text of each token, class of each word)."""
+    """(word numbers of the block's training texts end to end, tokens per text, class of each word)."""
     held = b.column("held")[i].values.to_numpy(zero_copy_only=False).astype(bool)
     n = b.column("n")[i].values.to_numpy()
     ids = np.frombuffer(b.column("ids")[i].as_py(), np.int32)[np.repeat(~held, n)]
-    return ids, np.repeat(np.arange((~held).sum()), n[~held]), classes_of(b.column("words")[i].values, frequent)
+    return ids, n[~held], classes_of(b.column("words")[i].values, frequent)
 
 
 def coded_parts(read: DataFrame, frequent: list[str]) -> DataFrame:
@@ -150,9 +150,9 @@ def coded_parts(read: DataFrame, frequent: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                ids, text, cls = training_tokens(b, i, top)
-                code, part = cls[ids], text % PARTS
-                rows = [code[part == p].tobytes() for p in range(PARTS)]
+                ids, n, cls = training_tokens(b, i, top)
+                texts = np.split(cls[ids], np.cumsum(n)[:-1])
+                rows = [np.concatenate([np.zeros(0, np.uint16), *texts[p::PARTS]]).tobytes() for p in range(PARTS)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(rows, pa.binary())],
                                                  names=["part", "cls"])
 
@@ -254,44 +254,48 @@ def forward_backward(m: Model, cls: np.ndarray, ends: np.ndarray, into: np.ndarr
     at = np.repeat(first, many) + j * SEGMENT
     size, on = np.minimum(SEGMENT, np.repeat(stop, many) - at), j > 0
     before, after = edges(m, cls, at, size, on)
-    emit, move = m.emit.astype(np.float32), m.move.astype(np.float32)
+    emit, move = np.ascontiguousarray(m.emit.T, np.float32), m.move.astype(np.float32)
+    back_move, to_next = np.ascontiguousarray(move), np.ascontiguousarray(move.T)
     by, moves, starts, like = np.zeros((STATES, size_into)), np.zeros((STATES, STATES)), np.zeros(STATES), 0.0
-    # Pieces are independent now; a very long text takes several runs.
+    # Pieces are independent now; a very long text takes several runs. States are rows, so all steps run along memory.
     for some in np.split(np.arange(len(at)), np.flatnonzero(np.diff((np.cumsum(size) - 1) // _RUN)) + 1):
         some = some[np.argsort(-size[some], kind="stable")]
-        p, prior, go = Pieces.of(at[some], size[some]), before[some].astype(np.float32), on[some]
+        p, prior, go = Pieces.of(at[some], size[some]), before[some].T.astype(np.float32), on[some]
         off = np.concatenate(([0], np.cumsum(p.live)))
         place = np.concatenate([p.at[:n] + t for t, n in enumerate(p.live)])
-        obs, seen = cls[place], into[place]
-        alpha = np.empty((len(obs), STATES), np.float32)
-        scale = np.empty((len(obs), 1), np.float32)
-        x = np.where(go[:, None], prior @ move, prior)
+        see = emit[:, cls[place]]                      # what each state says to each token, then alpha, then gamma
+        scale = np.empty(len(place), np.float32)
+        alpha = np.empty((STATES, len(place)), np.float32)
+        x = np.where(go, to_next @ prior, prior)
         for t, n in enumerate(p.live):
             here = slice(off[t], off[t + 1])
-            x = x if t == 0 else x[:n] @ move
-            x = x * emit[obs[here]]
-            scale[here] = x.sum(1, keepdims=True)
+            x = x if t == 0 else to_next @ x[:, :n]
+            x *= see[:, here]
+            scale[here] = x.sum(0)
             x /= scale[here]
-            alpha[here] = x
+            alpha[:, here] = x
         like += float(np.log(scale, dtype=np.float64).sum())
-        last = alpha[off[p.size - 1] + np.arange(len(some))]
-        beta = after[some].astype(np.float32)
-        beta /= (last * beta).sum(1, keepdims=True)
+        last = alpha[:, off[p.size - 1] + np.arange(len(some))]
+        beta = after[some].T.astype(np.float32)
+        beta /= (last * beta).sum(0)
+        see /= scale
         for t in range(len(p.live) - 1, -1, -1):
             here = slice(off[t], off[t + 1])
             if t < len(p.live) - 1:
                 n = p.live[t + 1]
                 nxt = slice(off[t + 1], off[t + 2])
-                ahead = beta[:n] * emit[obs[nxt]] / scale[nxt]
-                moves += alpha[here][:n].T @ ahead
-                beta[:n] = ahead @ move.T
-                alpha[nxt] = gamma
-            gamma = alpha[here] * beta[:p.live[t]]
-        moves += prior[go].T @ (beta * emit[obs[:len(some)]] / scale[:len(some)])[go]
-        alpha[:len(some)] = gamma
-        starts += gamma[~go].sum(0)
+                ahead = beta[:, :n] * see[:, nxt]
+                moves += alpha[:, here][:, :n] @ ahead.T
+                beta[:, :n] = back_move @ ahead
+                alpha[:, nxt] = gamma
+            gamma = alpha[:, here] * beta[:, :p.live[t]]
+        first = beta * see[:, :len(some)]
+        moves += prior[:, go] @ first[:, go].T
+        alpha[:, :len(some)] = gamma
+        starts += gamma[:, ~go].sum(1)
+        seen = into[place]
         for s in range(STATES):
-            by[s] += np.bincount(seen, alpha[:, s], size_into)
+            by[s] += np.bincount(seen, alpha[s], size_into)
     return by.T, moves * m.move, starts, like
 
 
@@ -386,7 +390,7 @@ def word_shares(read: DataFrame, m: Model, frequent: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                ids, text, cls = training_tokens(b, i, top)
+                ids, _, cls = training_tokens(b, i, top)
                 words, tf = b.column("words")[i].values, b.column("tf")[i].values
                 code = cls[ids]
                 by = (forward_backward(shared.value, code, code == 0, ids, len(words))[0] if len(ids)
