@@ -3,8 +3,12 @@
 The poll side is joined with every clashing column renamed ``<col>_new``;
 four update contracts then decide which value survives.  The join is a
 plain left equi-join: Catalyst/AQE broadcast the poll side when it is small
-at run time and split skewed inventory partitions otherwise.  Rows with a
-NULL key match nothing, so they stay out of the join and its shuffle.
+at run time and split skewed inventory partitions otherwise.  Both sides also
+join on a salt: a hash of the key, or of the whole row where the key has a
+NULL.  Such rows match nothing, and the salt spreads them over all tasks, so
+the inventory is read once and no group of keyless rows lands in one task.
+Tables bucketed by key and salt (:mod:`supplyscope.sources.buckets`) join
+without a shuffle.
 """
 
 from __future__ import annotations
@@ -20,6 +24,18 @@ from supplyscope.functions.scalars import clean_pct
 from supplyscope.operators.history import dedupe_first
 
 NEW = "_new"
+SALT = "_salt"
+_NESTED = ("map", "array", "struct", "variant")
+
+
+def has_key(keys: list[str]) -> Column:
+    return reduce(and_, [F.col(k).isNotNull() for k in keys])
+
+
+def salted(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with the salt of its rows: alike for equal keys, spread for rows without one."""
+    plain = [f"`{c}`" for c, t in df.dtypes if not t.startswith(_NESTED)]
+    return df.withColumn(SALT, F.when(has_key(keys), F.xxhash64(*keys)).otherwise(F.xxhash64(*plain)))
 
 
 def require_columns(df: DataFrame, cols: list[str], what: str = "table") -> None:
@@ -36,20 +52,21 @@ def merge_left(inv: DataFrame, poll: DataFrame, keys: list[str] | None = None,
 
     The poll side is reduced to one row per key (smallest ``dedupe_tie``)
     so duplicate keys cannot multiply inventory rows; ``allow_fanout=True``
-    keeps every poll row (the original many-to-many behaviour).
+    keeps every poll row (the original many-to-many behaviour). Rows of either
+    side that carry a salt already (bucketed tables) keep it.
     """
     keys = keys or ["ip"]
     require_columns(inv, keys, "inventory")
     require_columns(poll, keys, "poll result")
+    by, columns = [*keys, SALT], [c for c in inv.columns if c != SALT]
+    inv = inv if SALT in inv.columns else salted(inv, keys)
+    poll = (poll if SALT in poll.columns else salted(poll, keys)).filter(has_key(keys))
     if not allow_fanout and dedupe_tie and dedupe_tie in poll.columns:
-        poll = dedupe_first(poll, keys, tie=dedupe_tie)
+        poll = dedupe_first(poll, by, tie=dedupe_tie)
     if dedupe_tie and dedupe_tie in poll.columns:
         poll = poll.drop(dedupe_tie)
-    renamed = [F.col(c).alias(c + NEW if c in inv.columns else c) for c in poll.columns if c not in keys]
-    keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    joined = inv.filter(keyed).join(poll.filter(keyed).select(*keys, *renamed), on=keys, how="left")
-    nothing = [F.lit(None).cast(joined.schema[c].dataType).alias(c) for c in joined.columns if c not in inv.columns]
-    return joined.unionByName(inv.filter(~keyed).select("*", *nothing))
+    renamed = [F.col(c).alias(c + NEW if c in columns else c) for c in poll.columns if c not in by]
+    return inv.join(poll.select(*by, *renamed), on=by, how="left").drop(SALT)
 
 
 def _new(c: str, j: DataFrame | None = None) -> Column:

@@ -7,6 +7,7 @@ column names equal those of its SQL twin in :mod:`supplyscope.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,8 @@ from supplyscope.operators.series import STEP, ema_series, ema_weight, step_tabl
 from supplyscope.plans import forecast_jobs as FJ
 from supplyscope.plans import refresh as R
 from supplyscope.plans import report as P
+from supplyscope.sources import buckets as B
+from supplyscope.sources import evolved as V
 from supplyscope.sources import fixtures as X
 from supplyscope.sources import pages as G
 from supplyscope.sources import tables as T
@@ -48,6 +51,13 @@ def scan_all_classes(spark, d):
     return T.read_class_tables(spark, path)
 
 
+def scan_classes_evolved(spark, d):
+    path = scratch_path(spark, "sheets")
+    for cls, gen, sheet in X.class_sheets(spark, d):
+        V.write_class(sheet, path, cls, gen)
+    return V.read_evolved(spark, path)
+
+
 def extract_gauges(spark, d):
     return G.extract_gauges(X.gauge_pages(spark, d), "nav")
 
@@ -196,6 +206,15 @@ def merge_left(spark, d):
     return _joined(spark, d)[1]
 
 
+def merge_bucketed(spark, d):
+    """Inventory and polls stored in buckets first, then merged without an exchange."""
+    tag, keys = uuid.uuid4().hex[:12], ["device_class", "ip"]
+    inv = X.inventory_raw(spark, d).withColumn("ip", S.format_ip("ip"))
+    stored = [B.write_bucketed(df, f"supplyscope_{n}_{tag}", scratch_path(spark, f"bucketed-{n}"), keys, 8)
+              for n, df in (("inventory", inv), ("poll", _poll(spark, d)))]
+    return B.merge_bucketed(*stored, keys)
+
+
 _MERGE_COLS = ["toner_negro", "ui_negro", "estado", "marca_de_tiempo"]
 
 
@@ -411,6 +430,7 @@ def queries() -> dict[str, Query]:
         "scan_inventory": scan_inventory,
         "scan_history": scan_history,
         "scan_all_classes": scan_all_classes,
+        "scan_classes_evolved": scan_classes_evolved,
         "extract_gauges": extract_gauges,
         "extract_gauges_id": extract_gauges_id,
         "extract_gauges_toner_list": extract_gauges_toner_list,
@@ -438,6 +458,7 @@ def queries() -> dict[str, Query]:
         "severity": severity,
         "classify_status": classify_status,
         "merge_left": merge_left,
+        "merge_bucketed": merge_bucketed,
         "merge_overwrite": merge_overwrite,
         "merge_coalesce": merge_coalesce,
         "merge_masked": merge_masked,

@@ -502,6 +502,31 @@ def _severity_counts_sql(low: float | None) -> str:
         f"count(*) AS cells FROM ({cells}) GROUP BY ALL")
 
 
+def _evolved_sql() -> str:
+    """Levels by class, position and generation, straight from the customers."""
+    gen = "CAST(floor(c_custkey / 8.0) AS BIGINT) % 2 + 1"
+    cols = []
+    for s, c in {**K.SUPPLY_COLUMNS, **K.IMAGING_COLUMNS}.items():
+        parts = []
+        for i, cls in enumerate(X._PAGE_CLASSES):
+            names = K.GAUGE_MAP[cls]
+            if s in names:
+                j = names.index(s)
+                value = f"(c_custkey * 7 + {j * 13}) % 101"
+                old = "NULL" if j == len(names) - 1 else f"CAST({value} AS VARCHAR) || '.5'"
+                parts.append(f"WHEN c_custkey % 8 = {i} THEN CASE WHEN g = 1 THEN {old} ELSE CAST({value} AS VARCHAR) || '%' END")
+        cols.append(f"CASE {' '.join(parts)} END AS {c}")
+    cls = " ".join(f"WHEN {i} THEN {q(c)}" for i, c in enumerate(X._PAGE_CLASSES))
+    return f"""
+        SELECT c_custkey AS device_id, c_name AS nombre, CASE c_custkey % 8 {cls} END AS device_class,
+          '10.' || CAST(c_custkey % 8 AS VARCHAR) || '.' || CAST(c_nationkey AS VARCHAR) || '.'
+            || CAST(c_custkey % 251 AS VARCHAR) AS ip, 'M' || CAST(g AS VARCHAR) AS modelo, {", ".join(cols)},
+          'OK' AS estado, CASE WHEN g = 1 THEN {q(X.INVENTORY_STAMP)} ELSE {q(X.RUN_STAMP)} END AS marca_de_tiempo,
+          CASE WHEN g = 2 AND c_custkey % 8 = {X._PAGE_CLASSES.index("Color Planta")}
+               THEN '{{"contador":"' || CAST(c_custkey * 3 AS VARCHAR) || '"}}' END AS otros
+        FROM (SELECT *, {gen} AS g FROM customer)"""
+
+
 def oracle_sql() -> dict[str, str]:
     hist_cols = ", ".join(K.HISTORY_COLUMNS.values())
     cells = _cells("history_raw", "seq")
@@ -509,6 +534,7 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "scan_inventory": _with() + "SELECT * FROM inventory_raw",
         "scan_history": _with() + "SELECT * FROM history_raw",
+        "scan_classes_evolved": _evolved_sql(),
         "scan_all_classes": _with() + "SELECT * FROM inventory_raw",
         "extract_gauges": _with(
             f"e AS (SELECT page_id, regexp_extract_all(html, {q(NAV_PATTERN)}, 2) AS l FROM gauge_pages)",
@@ -555,6 +581,7 @@ def oracle_sql() -> dict[str, str]:
             f"{status_sql('outcome', rule_sql('device_class', ['toner_negro', 'ui_negro']), "(toner_negro = '0%' AND ui_negro = '0%')", v)} AS status_{v}"
             for v in ["v4", "v5", "v6", "v10_normal", "v7", "v8", "v10", "v11", "v11_copy", "v11_clx", "v13"]) + " FROM cs",
         "merge_left": _with(*_merge_ctes()) + "SELECT * FROM mj",
+        "merge_bucketed": _with(*_merge_ctes()) + "SELECT * FROM mj",
         "merge_overwrite": _with(*_merge_ctes()) + (
             f"SELECT {pcl}, ip, modelo, toner_negro_new AS toner_negro, ui_negro_new AS ui_negro, "
             "estado_new AS estado, marca_de_tiempo_new AS marca_de_tiempo FROM mj"),

@@ -187,3 +187,30 @@ def device_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         html, name = F.when(p % 8 == k, body).otherwise(html), F.when(p % 8 == k, cls).otherwise(name)
     whole = F.when(shape != 5, F.concat(html, F.coalesce("html", F.lit(""))))
     return read_table(spark, sf_dir, "pages").select("page_id", "url", whole.alias("html"), name.alias("device_class"))
+
+
+def class_sheets(spark: SparkSession, sf_dir: str):
+    """Customers as devices of the eight classes, ``(class, generation, sheet)`` with columns of
+    their own. Generation 1 (every other eight) has display names, its levels as numbers
+    and not yet the last one; generation 2 has texts; one class counts pages besides."""
+    cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    k = F.col("c_custkey")
+    ip = F.concat(F.lit("10."), (k % 8).cast("string"), F.lit("."), F.col("c_nationkey").cast("string"), F.lit("."),
+                  (k % 251).cast("string"))
+    both = {**K.SUPPLY_COLUMNS, **K.IMAGING_COLUMNS}
+    for i, cls in enumerate(_PAGE_CLASSES):
+        level = lambda j: (k * 7 + j * 13) % 101
+        for gen in (1, 2):
+            rows = cu.filter((k % 8 == i) & (F.floor(k / 8) % 2 == gen - 1))
+            names = K.GAUGE_MAP[cls][:-1] if gen == 1 else K.GAUGE_MAP[cls]
+            if gen == 1:
+                cols = [k.alias("device_id"), F.col("c_name").alias("Nombre"), ip.alias(" IP "), F.lit("M1").alias("Modelo")]
+                cols += [(level(j) + 0.5).cast("double").alias(n) for j, n in enumerate(names)]
+                cols += [F.lit("OK").alias("Estado"), F.lit(INVENTORY_STAMP).alias("Marca de Tiempo")]
+            else:
+                cols = [k.cast("string").alias("device_id"), F.col("c_name").alias("nombre"), ip.alias("ip"), F.lit("M2").alias("modelo")]
+                cols += [F.concat(level(j).cast("string"), F.lit("%")).alias(both[n]) for j, n in enumerate(names)]
+                cols += [F.lit("OK").alias("estado"), F.lit(RUN_STAMP).alias("marca_de_tiempo")]
+                if cls == "Color Planta":
+                    cols.append((k * 3).alias("contador"))
+            yield cls, gen, rows.select(*cols)
