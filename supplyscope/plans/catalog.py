@@ -23,10 +23,12 @@ from supplyscope.plans import forecast_jobs as FJ
 from supplyscope.plans import refresh as R
 from supplyscope.plans import report as P
 from supplyscope.sources import buckets as B
+from supplyscope.sources import checked as C
 from supplyscope.sources import evolved as V
 from supplyscope.sources import fixtures as X
 from supplyscope.sources import pages as G
 from supplyscope.sources import tables as T
+from supplyscope.sources import timed_log as L
 from supplyscope.session import drop_path, scratch_path
 from supplyscope.streaming.ingest import stream_dedupe_history, stream_latest_levels
 from supplyscope.streaming.ordered import stream_dedupe_ordered
@@ -58,6 +60,27 @@ def scan_classes_evolved(spark, d):
     return V.read_evolved(spark, path)
 
 
+def read_sheet_split(spark, d):
+    """The log exported as text, some lines broken: every line with what became of it."""
+    path, out = scratch_path(spark, "sheet"), scratch_path(spark, "sheet-split")
+    X.log_lines(spark, d).write.text(path)
+    split = C.split_sheet(spark, path, out, header=False)
+    drop_path(spark, path)
+    clean = split.clean.withColumn(C.LINE, F.lit(None).cast("string")).withColumn(C.REASONS, F.lit(None).cast("string"))
+    both = clean.unionByName(split.rejected)
+    return both.select(*[F.when(F.col(C.LINE).isNull(), F.col(c)).alias(c) for c in C.SHEET_SCHEMA.names],
+                       F.col(C.LINE).alias("line"), C.REASONS, *[F.lit(n).cast("long").alias(k) for k, n in (
+                           ("n_read", split.read), ("n_broken", split.broken), ("n_bad_cells", split.bad_cells))])
+
+
+def history_since(spark, d):
+    """The log appended in three batches laid out by time; readings of a week."""
+    path, raw = scratch_path(spark, "timed-log"), X.history_raw(spark, d)
+    for batch in FJ.time_batches(raw, 3):
+        L.append_timed(batch, path, file_rows=2_000)
+    return L.read_between(spark, path, raw.schema, X.WEEK[0], X.WEEK[1])
+
+
 def extract_gauges(spark, d):
     return G.extract_gauges(X.gauge_pages(spark, d), "nav")
 
@@ -431,6 +454,8 @@ def queries() -> dict[str, Query]:
         "scan_history": scan_history,
         "scan_all_classes": scan_all_classes,
         "scan_classes_evolved": scan_classes_evolved,
+        "read_sheet_split": read_sheet_split,
+        "history_since": history_since,
         "extract_gauges": extract_gauges,
         "extract_gauges_id": extract_gauges_id,
         "extract_gauges_toner_list": extract_gauges_toner_list,

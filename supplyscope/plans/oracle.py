@@ -527,6 +527,27 @@ def _evolved_sql() -> str:
         FROM (SELECT *, {gen} AS g FROM customer)"""
 
 
+def _split_sql() -> str:
+    """Lines by their sequence: broken ones as text, the others cell by cell. An empty cell reads as NULL."""
+    cols = ["seq", *K.HISTORY_COLUMNS.values()]
+    text = {c: f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols}
+    text["kit_alim"] = f"CASE WHEN seq % 37 = 0 THEN 'empty' ELSE {text['kit_alim']} END"
+    text["ip"] = f"CASE WHEN seq % 41 = 0 THEN '' ELSE {text['ip']} END"
+    whole = " || ',' || ".join(f"({text[c]})" for c in cols)
+    cells = ", ".join(f"nullif({text[c]}, '') AS {c}" for c in cols)
+    blank = lambda c: f"({c} IS NULL OR {strip(c)} IN ('', '--'))"
+    levels = ", ".join(f"CASE WHEN NOT {blank(c)} AND {pct_double(c)} IS NULL THEN '{c}: no percentage' END" for _, c in SUPPLIES)
+    reasons = ("concat_ws('; ', CASE WHEN ip IS NULL OR " + strip("ip") + " = '' THEN 'ip: blank' END, " + levels
+               + f", CASE WHEN {parse_ts('marca_de_tiempo')} IS NULL THEN 'marca_de_tiempo: no time' END)")
+    shown = ", ".join(f"CASE WHEN line IS NULL THEN {c} END AS {c}" for c in cols)
+    return _with(f"""ln AS (SELECT {cells}, CASE WHEN seq % 29 = 0 THEN {text['seq']} || ',' || {text['nombre']}
+                       WHEN seq % 31 = 0 THEN {whole} || ',more' END AS line FROM history_raw)""",
+                 f"lr AS (SELECT *, CASE WHEN line IS NOT NULL THEN 'no record' "
+                 f"ELSE nullif({reasons}, '') END AS reasons FROM ln)") + f"""
+        SELECT {shown}, line, reasons, (SELECT count(*) FROM lr) AS n_read, (SELECT count(*) FROM lr WHERE line IS NOT NULL) AS n_broken,
+          (SELECT count(*) FROM lr WHERE line IS NULL AND reasons IS NOT NULL) AS n_bad_cells FROM lr"""
+
+
 def oracle_sql() -> dict[str, str]:
     hist_cols = ", ".join(K.HISTORY_COLUMNS.values())
     cells = _cells("history_raw", "seq")
@@ -535,6 +556,9 @@ def oracle_sql() -> dict[str, str]:
         "scan_inventory": _with() + "SELECT * FROM inventory_raw",
         "scan_history": _with() + "SELECT * FROM history_raw",
         "scan_classes_evolved": _evolved_sql(),
+        "read_sheet_split": _split_sql(),
+        "history_since": _with(f"hs AS (SELECT *, {parse_ts('marca_de_tiempo')} AS fecha FROM history_raw)") + (
+            f"SELECT * FROM hs WHERE fecha >= TIMESTAMP {q(str(X.WEEK[0]))} AND fecha < TIMESTAMP {q(str(X.WEEK[1]))}"),
         "scan_all_classes": _with() + "SELECT * FROM inventory_raw",
         "extract_gauges": _with(
             f"e AS (SELECT page_id, regexp_extract_all(html, {q(NAV_PATTERN)}, 2) AS l FROM gauge_pages)",
