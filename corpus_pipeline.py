@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyscope.llm import bm25_wand, label_shards, mixing, quality_cnn, simhash
-from supplyscope.llm.common import crc_fold, table
+from supplyscope.llm.common import crc_fold, free_names, table
 from supplyscope.session import drop_path, scratch_path
 
 GOOD = 0.3                 # least quality score of a document that stays
@@ -28,7 +28,8 @@ GOOD = 0.3                 # least quality score of a document that stays
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose whole text scores ``GOOD`` or more, learned from the labelled folds 1 to 4 of 5."""
     model = quality_cnn.train(docs, table(spark, sf_dir, "labels"), crc_fold("doc_id", 5) != 0)
-    return quality_cnn.scored(docs, model, name="_score").where(F.col("_score") >= GOOD).drop("_score")
+    (score,) = free_names(docs, "_score")
+    return quality_cnn.scored(docs, model, name=score).where(F.col(score) >= GOOD).drop(score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from supplyscope.llm.common import reliable, slices
+from supplyscope.llm.common import plainly_named, reliable, slices
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6            # of a part's own BM25 score
@@ -366,15 +366,21 @@ def contaminated(docs: DataFrame, items: DataFrame, theta: float = THRESHOLD, ov
 
 def clean_documents(docs: DataFrame, items: DataFrame, theta: float = THRESHOLD, overlap: float = OVERLAP,
                     text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without a verified pair, all columns as they are."""
+    """The rows of ``docs`` without a verified pair, all columns as they are.
+
+    Null and empty texts hold no item and stay; repeated rows stay or go
+    together; without items all rows stay; an empty table gives an empty
+    result. Columns of any name are passed on unread.
+    """
+    rows, (body,) = plainly_named(docs, text)
     for index in item_shards(items):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for b in slices(batch, text):
-                    hit = {r for r, *_ in scan(shared.value, normalized(b.column(text)), theta, overlap)}
+                for b in slices(batch, body):
+                    hit = {r for r, *_ in scan(shared.value, normalized(b.column(body)), theta, overlap)}
                     yield b.filter(pa.array([i not in hit for i in range(b.num_rows)], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        rows = rows.mapInArrow(run, rows.schema)
+    return rows.toDF(*docs.columns)

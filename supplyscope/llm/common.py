@@ -20,6 +20,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names`` lengthened until no column of ``df`` is called so, in any spelling."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+def plainly_named(df: DataFrame, *wanted: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns called ``c0``, ``c1``, ... (functions over whole rows cannot take names with
+    dots), and what the ``wanted`` ones are called there; ``toDF`` with the old names undoes it."""
+    new = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*new), [new[df.columns.index(w)] for w in wanted]
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the cluster's shared folder."""
     ensure_checkpoint_dir(df.sparkSession)

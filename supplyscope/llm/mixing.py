@@ -6,12 +6,13 @@
 3. Packing: each source's documents form one word stream (in hash order of
    id and text), cut into blocks of ``block`` words.
 4. Drawing: the mix has one slot per drawn block. A pseudorandom permutation
-   of all slots deals them to output shards, so each shard's source counts
-   are a multinomial draw given the corpus totals: shards vary, the whole mix
-   meets its targets.
-5. Mapping: slot ``j`` of a source reads block ``p(j mod blocks)`` under the
-   pseudorandom permutation of pass ``j div blocks``. A block is read at most
-   ``max_repeats`` times and passes differ in order.
+   deals all slots to output shards of ``SHARD_SLOTS``, and each shard counts
+   its sources: multinomial counts given the corpus totals, so shards vary and
+   the whole mix meets its targets.
+5. Mapping: a source's counts, shard after shard, number its slots; slot ``j``
+   reads block ``p(j mod blocks)`` under the pseudorandom permutation of pass
+   ``j div blocks``. A block is read at most ``max_repeats`` times and passes
+   differ in order.
 6. The slots join the packed blocks by (source, block index).
 
 Nothing is collected; every large step is keyed by document, block or slot,
@@ -43,15 +44,32 @@ def permuted(x: Column, n: Column, *key: Column) -> Column:
         mirror = F.pmod(F.xxhash64(i, *key) - acc, n)
         return F.when(F.pmod(F.xxhash64(i, F.greatest(acc, mirror), *key), F.lit(2)) == 1, mirror).otherwise(acc)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), x, swap)
+    # Never null, so that a join on it does not evaluate it once more to see.
+    return F.coalesce(F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), x, swap), F.lit(-1).cast("long"))
 
 
-def explode_range(df: DataFrame, first: Column, last: Column, name: str) -> DataFrame:
-    """One row per integer of first..last, in two steps of bounded arrays."""
-    df = df.withColumn("_f", first).withColumn("_l", last).where("_f <= _l")
-    df = df.withColumn("_r", F.explode(F.sequence("_f", "_l", F.lit(_RUN).cast("long"))))
-    df = df.withColumn(name, F.explode(F.sequence("_r", F.least(F.col("_l"), F.col("_r") + F.lit(_RUN - 1)))))
-    return df.drop("_f", "_l", "_r")
+def explode_range(df: DataFrame, first: Column, last: Column, name: str, tasks: int | None = None) -> DataFrame:
+    """One row per integer of first..last, in steps of arrays of at most ``_RUN`` entries for
+    up to ``_RUN ** 3`` integers; ``tasks`` deals the runs before the last step."""
+    df = df.withColumn("_f", first.cast("long")).withColumn("_l", last.cast("long")).where("_f <= _l")
+    for step in (_RUN * _RUN, _RUN):
+        df = df.withColumn("_f", F.explode(F.sequence("_f", "_l", F.lit(step).cast("long"))))
+        df = df.withColumn("_l", F.least(F.col("_l"), F.col("_f") + F.lit(step - 1)))
+    if tasks is not None:
+        df = df.repartition(tasks, F.xxhash64("_f", *[c for c in df.columns if c in ("sid", "shard")]))
+    return df.withColumn(name, F.explode(F.sequence("_f", "_l"))).drop("_f", "_l")
+
+
+def before(df: DataFrame, by: str, at: str, value: str, name: str, width: int = _RUN) -> DataFrame:
+    """Adds the sum of ``value`` over the rows of one ``by`` with a smaller ``at`` (whole numbers from 0): within stretches of
+    ``width``, then over the stretches, so no window holds more than either."""
+    df = df.withColumn("_s", F.floor(F.col(at) / width))
+    inner = Window.partitionBy(by, "_s").orderBy(at)
+    df = df.withColumn("_in", F.sum(value).over(inner) - F.col(value))
+    whole = df.groupBy(by, "_s").agg(F.sum(value).alias("_w"))
+    along = Window.partitionBy(by).orderBy("_s")
+    whole = whole.select(by, "_s", (F.sum("_w").over(along) - F.col("_w")).alias("_b"))
+    return df.join(whole, [by, "_s"]).withColumn(name, F.col("_in") + F.col("_b")).drop("_s", "_in", "_b")
 
 
 def sized(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
@@ -100,26 +118,35 @@ def packed(sizes: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:
     docs = docs.drop("src").withColumn("h", F.xxhash64(F.lit(seed), "doc", "th")).withColumn("piece", F.pmod("h", "pieces"))
     order = Window.partitionBy("sid", "piece").orderBy("h", F.col("doc").asc_nulls_first(), "th", "size")
     docs = docs.withColumn("_at", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    ahead = docs.groupBy("sid", "piece").agg(F.sum("size").alias("_n"))
-    over = Window.partitionBy("sid").orderBy("piece")
-    ahead = ahead.withColumn("_before", F.sum("_n").over(over) - F.col("_n")).drop("_n")
+    ahead = before(docs.groupBy("sid", "piece").agg(F.sum("size").alias("_n")), "sid", "piece", "_n", "_before").drop("_n")
     return docs.join(ahead, ["sid", "piece"]).select("doc", "sid", "size", "th", "source_size", "target",
                                                      (F.col("_at") + F.col("_before")).alias("start"))
 
 
-def slots(plan: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """The mix: one row per slot, ``(shard, slot, sid, block, pass)``."""
-    runs = plan.where("slots > 0").withColumn(
-        "_r", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(_RUN).cast("long"))))
+def drawn(plan: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """The draw: ``(shard, sid, count, from)``, how many of a shard's slots each source has
+    and how many of the source's slots earlier shards have."""
     total = plan.agg(F.max("all_slots")).first()[0] or 0
-    runs = runs.repartition(max(1, -(-total // TASK_SLOTS)), "sid", "_r")    # tasks get runs of slots, not sources
-    s = runs.withColumn("j", F.explode(F.sequence("_r", F.least("slots", F.col("_r") + F.lit(_RUN)) - 1)))
-    s = s.withColumn("at", permuted(F.col("first_slot") + F.col("j"), F.col("all_slots"), F.lit(seed), F.lit(-1)))
-    s = s.withColumn("pass", F.floor(F.col("j") / F.col("blocks")))
-    s = s.withColumn("block", permuted(F.col("j") % F.col("blocks"), F.col("blocks"),
-                                       F.lit(seed), F.col("sid"), F.col("pass")))
-    return s.select(F.floor(F.col("at") / shard_slots).alias("shard"), (F.col("at") % shard_slots).alias("slot"),
-                    "sid", "block", "pass")
+    all_ = explode_range(plan.where("slots > 0"), F.lit(0), F.col("slots") - 1, "i", max(1, -(-total // TASK_SLOTS)))
+    at = permuted(F.col("first_slot") + F.col("i"), F.col("all_slots"), F.lit(seed), F.lit(-1))
+    counts = reliable(all_.select("sid", F.floor(at / shard_slots).alias("shard")).groupBy("shard", "sid").agg(
+        F.count(F.lit(1)).alias("count")))
+    return before(counts, "sid", "shard", "count", "from")
+
+
+def slots(plan: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """The mix: one row per slot, ``(shard, slot, sid, block, pass)``, from the shards' counts."""
+    counts = drawn(plan, seed, shard_slots)
+    sources = Window.partitionBy("shard").orderBy("sid")                       # a shard's sources: at most its slots
+    counts = counts.withColumn("ahead", F.sum("count").over(sources) - F.col("count"))
+    counts = counts.withColumn("filled", F.sum("count").over(Window.partitionBy("shard")))
+    s = counts.join(plan.select("sid", "blocks"), "sid")
+    s = s.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)))    # at most a shard's slots
+    j = F.col("from") + F.col("k")
+    s = s.withColumn("pass", F.floor(j / F.col("blocks")))
+    s = s.withColumn("block", permuted(j % F.col("blocks"), F.col("blocks"), F.lit(seed), F.col("sid"), F.col("pass")))
+    slot = permuted(F.col("ahead") + F.col("k"), F.col("filled"), F.lit(seed), F.lit(-2), F.col("shard"))
+    return s.select("shard", slot.alias("slot"), "sid", "block", "pass")
 
 
 def pieces(packed_docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -133,7 +160,12 @@ def pieces(packed_docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def mix(docs: DataFrame, block: int = BLOCK, seed: int = 0, **names: str) -> DataFrame:
     """The mixed corpus by reference: ``(shard, slot, sid, block, pass, doc,
-    from_word, words)``, where ``from_word`` counts words of the document."""
+    from_word, words)``, where ``from_word`` counts words of the document.
+
+    Null or empty texts have no words and are in no slot; null ids and sources
+    are carried as they are; repeated rows are rows of their own; an empty
+    table gives an empty result. Columns other than the three named are not read.
+    """
     sizes = sized(docs, **names)
     plan = reliable(source_plan(sizes, block))
     parts = pieces(packed(sizes, plan, seed), block)
@@ -144,17 +176,20 @@ def mix(docs: DataFrame, block: int = BLOCK, seed: int = 0, **names: str) -> Dat
 
 def _taken(sizes: DataFrame, plan: DataFrame, block: int, seed: int) -> DataFrame:
     placed = packed(sizes, plan, seed)
-    uses = slots(plan, seed).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("uses"))
+    uses = slots(plan, seed).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("uses"), F.min("shard").alias("low"),
+                                                         F.max("shard").alias("high"))
     # Sizes behind an explode are underestimated, so the join is told not to broadcast.
     read = pieces(placed, block).join(uses.hint("merge"), ["sid", "block"], "left")
     by = ["doc", "sid", "size", "th", "source_size", "target", "start"]
-    some = read.groupBy(*by).agg(F.sum(F.col("words") * F.coalesce("uses", F.lit(0))).alias("taken"))
+    some = read.groupBy(*by).agg(F.sum(F.col("words") * F.coalesce("uses", F.lit(0))).alias("taken"),
+                                 F.min("low").alias("first_shard"), F.max("high").alias("last_shard"))
     none = placed.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
-    return some.unionByName(none).drop("start")
+    return some.unionByName(none, allowMissingColumns=True).drop("start")
 
 
 def taken_words(docs: DataFrame, block: int = BLOCK, seed: int = 0, **names: str) -> DataFrame:
-    """Per row of ``docs``: ``(doc, sid, size, source_size, target, taken)``.
+    """Per row of ``docs``: ``(doc, sid, size, source_size, target, taken, first_shard, last_shard)``;
+    the shards are null where nothing is taken.
 
     Null or empty texts and texts of white space have size 0 and are taken 0
     times. A null source is a source, the last one. Rows with a null or
@@ -171,7 +206,9 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source"
     the mix takes ``t`` times on average stands ``floor(t)`` times, and once
     more with the chance of the remainder, drawn by a hash of its id and text.
     Rows that repeat both draw each for itself, by their position. Texts without
-    words have no weight in a mix and stay once. Columns are those of ``docs``.
+    words have no weight in a mix and stay once. Columns are those of ``docs``;
+    null ids and sources are values like any other; an empty table gives an
+    empty result.
     """
     sizes = sized(docs, key, source, text)
     plan = reliable(source_plan(sizes, block))

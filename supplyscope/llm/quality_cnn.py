@@ -7,26 +7,27 @@ document's chunks are combined into one probability. Training is plain
 backpropagation (the pooled maxima pick the windows that learn) with Adam.
 
 The network is fitted by the driver to at most ``SAMPLE`` labelled rows of
-each class and ``SAMPLE_CHUNKS`` chunks of each (those with the smallest hash);
-scoring reads every byte of every text.
+each class (those with the smallest hash), all chunks of each; scoring reads
+every byte of every text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from supplyscope.llm.common import hash_sample, slices, texts_as_bytes
+from supplyscope.llm.common import hash_sample, plainly_named, slices, stage_table, texts_as_bytes
+from supplyscope.session import drop_path
 
 CHUNK, OVERLAP = 512, 64
 WIDTH, STEP = 8, 2         # bytes of a filter, bytes between its positions
 EMBED, FILTERS = 8, 32
 SAMPLE = 1200              # labelled rows of each class
-SAMPLE_CHUNKS = 48         # chunks of a sampled row
 EPOCHS, BATCH, RATE = 14, 48, 0.01
 _RUN = 256                 # chunks convolved at once
 
@@ -82,52 +83,101 @@ def score_texts(m: Model, texts: list[bytes]) -> np.ndarray:
     return combine(m, pool, first)[0].astype(np.float64)
 
 
-def fit(samples: list[tuple[list[bytes], int]], seed: int = 0) -> Model:
-    """Train on ``(chunks of CHUNK bytes, label)`` samples; both classes weigh the
-    same. Without samples, or with one class only, the untrained combination
-    gives that class's side (0.5 without any)."""
+def gradients(m: Model, chunks: list[np.ndarray], label: np.ndarray, weight: np.ndarray) -> tuple[float, Model]:
+    """Weighted mean log loss of texts given by their chunks, with a small penalty on
+    the combination, and its gradient by every parameter."""
+    data = np.concatenate(chunks)
+    size = np.array([len(c) for c in chunks])
+    first = np.cumsum(size) - size
+    runs = [pooled(m, data[k:k + _RUN]) for k in range(0, len(data), _RUN)]
+    pool, at = (np.concatenate(x) for x in zip(*runs))
+    p, f = combine(m, pool, first)
+    kind = m["out"].dtype
+    loss = float(-(weight * np.log(np.where(label == 1, p, 1 - p))).sum() / len(label) + 5e-5 * (m["out"] ** 2).sum())
+    d = ((p - label) * weight / len(label)).astype(kind)
+    g: Model = {"out": f.T @ d + 1e-4 * m["out"], "bias": d.sum(keepdims=True)}
+    # Back to the pooled chunks: the largest and smallest chunk of each text (those that tie share it), and all for the mean.
+    own = np.repeat(np.arange(len(size)), size)
+    top, mean, low = np.split(d[:, None] * m["out"], 3, axis=1)
+    back = mean[own] / size[own, None]
+    for part, best in ((top, f[:, :FILTERS]), (low, f[:, 2 * FILTERS:])):
+        hit = pool == best[own]
+        back += hit * (part / np.add.reduceat(hit, first, dtype=kind))[own]
+    back *= pool > 0
+    g["shift"] = back.sum(0)
+    g["filter"], g["embed"] = np.zeros_like(m["filter"]), np.zeros_like(m["embed"])
+    for k in range(0, len(data), _RUN):
+        b, pos = back[k:k + _RUN], at[k:k + _RUN] * STEP
+        byte = data[k:k + _RUN][np.arange(len(b))[:, None, None], pos[:, :, None] + np.arange(WIDTH)]
+        win = m["embed"][byte].reshape(len(b), FILTERS, WIDTH * EMBED)
+        g["filter"] += np.einsum("cf,cfw->wf", b, win)
+        flow = (b[:, :, None] * m["filter"].T).reshape(-1, EMBED)
+        for e in range(EMBED):
+            g["embed"][:, e] += np.bincount(byte.ravel(), flow[:, e], 256).astype(kind)
+    return loss, g
+
+
+class Held:
+    """Labelled texts in memory."""
+
+    def __init__(self, samples: list[tuple[bytes, int]]):
+        self.samples = samples
+
+    def count(self) -> dict[int, int]:
+        return {y: sum(z == y for _, z in self.samples) for y in (0, 1)}
+
+    def epoch(self, i: int) -> Iterator[tuple[bytes, int]]:
+        return (self.samples[j] for j in np.random.default_rng(i).permutation(len(self.samples)))
+
+
+class Staged:
+    """Labelled texts ``(k, y, b)`` in a table: each epoch is a sort by another hash,
+    read partition by partition, so the driver holds a part of the sample at a time."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+    def count(self) -> dict[int, int]:
+        got = {r["y"]: r["count"] for r in self.rows.groupBy("y").count().collect()}
+        return {y: got.get(y, 0) for y in (0, 1)}
+
+    def epoch(self, i: int) -> Iterator[tuple[bytes, int]]:
+        by = self.rows.orderBy(F.xxhash64(F.lit(i), "k", "y"), "k", "y")
+        return ((bytes(r["b"]), r["y"]) for r in by.select("b", "y").toLocalIterator())
+
+
+def batches(samples: Iterator[tuple[bytes, int]], size: int) -> Iterator[list[tuple[bytes, int]]]:
+    while some := list(islice(samples, size)):
+        yield some
+
+
+def cut(text: bytes) -> np.ndarray:
+    """All chunks of a text, padded: (chunks, CHUNK)."""
+    data, starts, _ = chunked([text])
+    return data[starts[:, None] + np.arange(CHUNK)]
+
+
+def fit(samples: Held | Staged, seed: int = 0) -> Model:
+    """Train on labelled whole texts; both classes weigh the same. Without
+    samples, or with one class only, the untrained combination gives that
+    class's side (0.5 without any)."""
     rng = np.random.default_rng(seed)
     f32 = lambda *shape, s: rng.normal(0, s, shape).astype(np.float32)
     m: Model = {"embed": f32(256, EMBED, s=0.5), "filter": f32(WIDTH * EMBED, FILTERS, s=0.2),
                 "shift": np.zeros(FILTERS, np.float32), "out": np.zeros(3 * FILTERS, np.float32),
                 "bias": np.zeros(1, np.float32)}
-    label = np.array([y for _, y in samples], np.float32)
-    if not len(label) or label.min() == label.max():
-        m["bias"] += 0 if not len(label) else 4 * (2 * label[0] - 1)
+    have = samples.count()
+    if not have[0] or not have[1]:
+        m["bias"] += 4 * (bool(have[1]) - bool(have[0]))
         return m
-    weight = np.where(label == 1, 0.5 / label.mean(), 0.5 / (1 - label.mean()))
-    chunks = [np.frombuffer(b"".join(c), np.uint8).reshape(-1, CHUNK) for c, _ in samples]
+    share = have[1] / (have[0] + have[1])
     one, two = ({k: np.zeros_like(v) for k, v in m.items()} for _ in range(2))
     step = 0
     for epoch in range(EPOCHS):
-        order = rng.permutation(len(label))
         rate = RATE * (1 - epoch / EPOCHS) + RATE / 20
-        for i in range(0, len(order), BATCH):
-            pick = order[i:i + BATCH]
-            data = np.concatenate([chunks[j] for j in pick])
-            size = np.array([len(chunks[j]) for j in pick])
-            first = np.cumsum(size) - size
-            runs = [pooled(m, data[k:k + _RUN]) for k in range(0, len(data), _RUN)]
-            pool, at = (np.concatenate(x) for x in zip(*runs))
-            p, f = combine(m, pool, first)
-            d = ((p - label[pick]) * weight[pick] / len(pick)).astype(np.float32)
-            g: Model = {"out": f.T @ d + 1e-4 * m["out"], "bias": d.sum(keepdims=True)}
-            # Back to the pooled chunks: the largest and smallest chunk of each text, and all for the mean.
-            own = np.repeat(np.arange(len(pick)), size)
-            top, mean, low = np.split(d[:, None] * m["out"], 3, axis=1)
-            back = mean[own] / size[own, None]
-            back += np.where(pool == f[own, :FILTERS], top[own], 0) + np.where(pool == f[own, 2 * FILTERS:], low[own], 0)
-            back *= pool > 0
-            g["shift"] = back.sum(0)
-            g["filter"], g["embed"] = np.zeros_like(m["filter"]), np.zeros_like(m["embed"])
-            for k in range(0, len(data), _RUN):
-                b, pos = back[k:k + _RUN], at[k:k + _RUN] * STEP
-                byte = data[k:k + _RUN][np.arange(len(b))[:, None, None], pos[:, :, None] + np.arange(WIDTH)]
-                win = m["embed"][byte].reshape(len(b), FILTERS, WIDTH * EMBED)
-                g["filter"] += np.einsum("cf,cfw->wf", b, win)
-                flow = (b[:, :, None] * m["filter"].T).reshape(-1, EMBED)
-                for e in range(EMBED):
-                    g["embed"][:, e] += np.bincount(byte.ravel(), flow[:, e], 256).astype(np.float32)
+        for some in batches(iter(samples.epoch(epoch)), BATCH):
+            label = np.array([y for _, y in some], np.float32)
+            _, g = gradients(m, [cut(t) for t, _ in some], label, np.where(label == 1, 0.5 / share, 0.5 / (1 - share)))
             step += 1
             for k in m:
                 one[k] = 0.9 * one[k] + 0.1 * g[k]
@@ -136,31 +186,31 @@ def fit(samples: list[tuple[list[bytes], int]], seed: int = 0) -> Model:
     return m
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column, target: str = "quality", key: str = "doc_id",
-          text: str = "text", sample: int = SAMPLE) -> Model:
-    """Fit on the bounded sample of the labelled rows for which ``learn`` (over the key) holds."""
+def sampled(docs: DataFrame, labels: DataFrame, learn: Column, target: str, key: str, text: str, sample: int) -> DataFrame:
+    """``(k, y, b)``: at most ``sample`` labelled texts of each class. A sampled id stands for one row of
+    ``docs``: where it repeats, for the text with the smallest hash."""
     known = labels.where(learn & F.col(key).isNotNull() & F.col(target).isin(0, 1))
     known = known.select(F.col(key).alias("k"), F.col(target).cast("int").alias("y"))
     ids = [r for y in (0, 1) for r in hash_sample(known.where(F.col("y") == y), sample, "k", "y").collect()]
-    spark = docs.sparkSession
-    few = spark.createDataFrame([(r["k"], r["y"]) for r in ids], known.schema)
-    body = F.coalesce(F.encode(F.col(text), "UTF-8"), F.lit(b""))
-    rows = docs.select(F.col(key).alias("k"), body.alias("b")).join(F.broadcast(few), "k")      # 2 * sample rows
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for t in texts_as_bytes(b.column("b")):
-                s = chunk_starts(len(t))
-                s = s[np.unique(np.linspace(0, len(s) - 1, min(len(s), SAMPLE_CHUNKS)).astype(int))]
-                out.append([t[i:i + CHUNK].ljust(CHUNK, b"\0") for i in s])
-            yield pa.RecordBatch.from_arrays([b.column("k"), b.column("y"), pa.array(out, pa.list_(pa.binary()))],
-                                             names=["k", "y", "chunks"])
-
-    kind = known.schema["k"].dataType.simpleString()
-    got = rows.mapInArrow(cut, f"k {kind}, y int, chunks array<binary>").collect()
-    got.sort(key=lambda r: (r["k"], r["y"], r["chunks"]))
-    return fit([([bytes(c) for c in r["chunks"]], r["y"]) for r in got])
+    few = docs.sparkSession.createDataFrame([(r["k"], r["y"]) for r in ids], known.schema)
+    body = F.coalesce(F.encode(F.col(f"`{text}`"), "UTF-8"), F.lit(b""))
+    rows = docs.select(F.col(f"`{key}`").alias("k"), body.alias("b")).join(F.broadcast(few), "k")      # 2 * sample ids
+    return rows.groupBy("k", "y").agg(F.min_by("b", F.struct(F.xxhash64("b"), "b")).alias("b"))
+
+
+def train(docs: DataFrame, labels: DataFrame, learn: Column, target: str = "quality", key: str = "doc_id",
+          text: str = "text", sample: int = SAMPLE) -> Model:
+    """Fit on the bounded sample of the labelled rows for which ``learn`` (over the key) holds.
+
+    Null ids and labels other than 0 and 1 teach nothing; a null text is the
+    empty text; an id that repeats in ``docs`` counts once (see :func:`sampled`).
+    Without any sample the model says 0.5. The sample, whole texts, lies in the
+    shared folder while the network is trained.
+    """
+    rows, path = stage_table(sampled(docs, labels, learn, target, key, text, sample), "quality-sample")
+    model = fit(Staged(rows))
+    drop_path(docs.sparkSession, path)
+    return model
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
@@ -173,12 +223,13 @@ def scored(docs: DataFrame, model: Model, text: str = "text", name: str = "score
     if name in docs.columns:
         raise ValueError(f"the table already has a column {name}")
     shared = docs.sparkSession.sparkContext.broadcast(model)          # about 40 KB
-    schema = docs.select("*", F.lit(0.0).alias(name)).schema
+    rows, (body,) = plainly_named(docs, text)
+    schema = rows.select("*", F.lit(0.0).alias("score")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, text, 4 << 20):
-                score = score_texts(shared.value, texts_as_bytes(b.column(text)))
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score)], names=[*b.schema.names, name])
+            for b in slices(batch, body, 4 << 20):
+                score = score_texts(shared.value, texts_as_bytes(b.column(body)))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score)], names=[*b.schema.names, "score"])
 
-    return docs.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).toDF(*docs.columns, name)

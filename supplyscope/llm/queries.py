@@ -21,7 +21,7 @@ PROBE = r"\### Assistant: </turn> ok"          # the text of conversation -7
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.taken_words(table(spark, sf_dir, "documents"))
-    return out.select(F.col("doc").alias("doc_id"), "size", "source_size", "target", "taken")
+    return out.select(F.col("doc").alias("doc_id"), "size", "source_size", "target", "taken", "first_shard", "last_shard")
 
 
 def op2_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:

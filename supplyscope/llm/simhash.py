@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from supplyscope.llm.common import (components, group_starts, local_roots, pair_blocks, reliable, slices, texts_as_bytes,
+from supplyscope.llm.common import (components, free_names, group_starts, local_roots, pair_blocks, reliable, slices, texts_as_bytes,
                                     whole_groups)
 
 SEED = 42
@@ -131,15 +131,19 @@ def representatives(docs: DataFrame, shingle: int = 3, max_bits: int = 3, text:
 
     Rows are told apart by two hashes of all their columns, so rows that
     repeat each other wholly are one. The texts are shuffled once, to meet the
-    rows that stay.
+    rows that stay. Null, empty and wordless texts have the fingerprint zero
+    and are linked like any other. An empty table gives an empty result;
+    columns of any name are passed on.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
     null = F.array(*[c.isNull() for c in columns])
-    told = docs.select("*", F.xxhash64(null, *columns).alias("_k1"), F.xxhash64(F.lit(1), null, *columns).alias("_k2"))
-    fps = reliable(fingerprints(told, shingle, text, (key, "_k1", "_k2")))
+    k1, k2 = free_names(docs, "_k1", "_k2")
+    told = docs.select("*", F.xxhash64(null, *columns).alias(k1), F.xxhash64(F.lit(1), null, *columns).alias(k2))
+    some = told.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.col(k1).alias("k1"), F.col(k2).alias("k2"))
+    fps = reliable(fingerprints(some, shingle, "text", ("key", "k1", "k2")))
     distinct = fps.select("fp").distinct()
     tied = components(links(distinct, max_bits))
     rooted = fps.join(tied, fps.fp == tied.node, "left").withColumn("_root", F.coalesce("root", "fp"))
-    best = F.min(F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("key"), "_k1", "_k2")).alias("best")
-    stay = rooted.groupBy("_root").agg(best).select("best._k1", "best._k2")
-    return told.join(stay, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select(*columns)
+    best = F.min(F.struct(F.col("key").isNull().alias("n"), "key", "k1", "k2")).alias("best")
+    stay = rooted.groupBy("_root").agg(best).select(F.col("best.k1").alias(k1), F.col("best.k2").alias(k2))
+    return told.join(stay, [k1, k2], "left_semi").dropDuplicates([k1, k2]).select(*columns)

@@ -74,6 +74,74 @@ def test_slots_read_every_block_evenly(spark):
     assert sorted(s * mixing.SHARD_SLOTS + t for s, t in slots) == list(range(len(slots)))
 
 
+def plan_of(spark, slots):
+    """A source plan with these numbers of slots, half as many blocks."""
+    rows, first = [], 0
+    for sid, n in enumerate(slots):
+        rows.append((sid, n, max(1, -(-n // 2)), first, sum(slots)))
+        first += n
+    return spark.createDataFrame(rows, "sid long, slots long, blocks long, first_slot long, all_slots long")
+
+
+def test_the_draw_fills_shards_and_meets_totals(spark):
+    """Shards are full, sources have their totals, numbers go on from shard to shard, and counts spread as a draw without replacement does."""
+    slots, size = [6000, 300, 1700, 0, 1], 100
+    got = mixing.drawn(plan_of(spark, slots), seed=3, shard_slots=size).collect()
+    by_shard, by_source = Counter(), Counter()
+    for r in sorted(got, key=lambda r: r.shard):
+        assert r["from"] == by_source[r.sid]
+        by_shard[r.shard] += r["count"]
+        by_source[r.sid] += r["count"]
+    assert by_source == {i: n for i, n in enumerate(slots) if n} and set(range(81)) == set(by_shard)
+    assert all(by_shard[h] == size for h in range(80)) and by_shard[80] == 1
+    share = 6000 / 8001
+    counts = [sum(r["count"] for r in got if r.shard == h and r.sid == 0) for h in range(80)]
+    spread = sum((c - size * share) ** 2 for c in counts) / 80
+    assert 0.5 < spread / (size * share * (1 - share)) < 1.7
+    assert got != mixing.drawn(plan_of(spark, slots), seed=4, shard_slots=size).collect()
+
+
+def test_slots_come_from_the_counts(spark):
+    """Every (shard, slot) once; in a pass every block once; the counts of the draw are those of the slots."""
+    plan = plan_of(spark, [500, 41, 160])
+    out = mixing.slots(plan, seed=1, shard_slots=64).collect()
+    want = {(r.shard, r.sid): r["count"] for r in mixing.drawn(plan, seed=1, shard_slots=64).collect()}
+    assert Counter((r.shard, r.sid) for r in out) == want
+    assert sorted(r.shard * 64 + r.slot for r in out) == list(range(701))
+    for sid, n in enumerate((500, 41, 160)):
+        blocks = -(-n // 2)
+        assert sorted((r["pass"], r.block) for r in out if r.sid == sid)[:blocks] == [(0, b) for b in range(blocks)]
+
+
+def test_the_result_comes_through_the_draw(spark, monkeypatch):
+    """op1 takes what the shards' counts say: a draw with fewer slots, in another shard, shows in its rows."""
+    from supplyscope.llm.queries import op1_mix_sources
+
+    sf, real = "/root/testdata/sf0.001", mixing.drawn
+    rows = op1_mix_sources(spark, sf).collect()
+    assert all((r.taken > 0) == (r.first_shard is not None) and (r.last_shard or 0) >= (r.first_shard or 0) for r in rows)
+    assert rows == op1_mix_sources(spark, sf).collect() or sorted(rows) == sorted(op1_mix_sources(spark, sf).collect())
+    few = lambda *a, **k: real(*a, **k).withColumn("count", F.ceil(F.col("count") / 2)).withColumn("shard", F.col("shard") + 70)
+    monkeypatch.setattr(mixing, "drawn", few)
+    half = op1_mix_sources(spark, sf).collect()
+    assert 0 < sum(r.taken for r in half) < 0.7 * sum(r.taken for r in rows)
+    assert {r.first_shard for r in half if r.taken} <= set(range(70, 200))
+
+
+def test_sums_ahead_in_two_steps(spark):
+    df = spark.range(50).select((F.col("id") % 2).alias("g"), F.floor(F.col("id") / 2).alias("at"), (F.col("id") * 3).alias("v"))
+    for width in (1, 4, 100):
+        got = {(r.g, r.at): r.b for r in mixing.before(df, "g", "at", "v", "b", width).collect()}
+        assert got == {(g, a): sum(3 * (2 * x + g) for x in range(a)) for g in (0, 1) for a in range(25)}
+
+
+def test_ranges_in_bounded_steps(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "_RUN", 3)
+    df = spark.createDataFrame([(0, 0, 25), (1, 5, 5), (2, 4, 3)], "sid long, a long, b long")
+    got = mixing.explode_range(df, F.col("a"), F.col("b"), "i", 4).collect()
+    assert sorted((r.sid, r.i) for r in got) == [(0, i) for i in range(26)] + [(1, 5)]
+
+
 def test_mixed_documents(spark):
     df = docs(spark, AWKWARD)
     out = mixing.mixed_documents(df, block=4)

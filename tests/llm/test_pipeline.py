@@ -4,6 +4,7 @@ import random
 
 import corpus_pipeline as P
 import pytest
+from pyspark.sql import functions as F
 
 from supplyscope.llm import bm25_wand, label_shards, mixing, quality_cnn
 from supplyscope.llm.common import crc_fold
@@ -78,3 +79,21 @@ def test_run_and_empty_corpus(spark, corpus, tmp_path):
     for t in ("documents", "benchmark", "labels"):
         spark.read.parquet(f"{corpus}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert P.run(spark, str(tmp_path)).count() == 0
+
+
+def test_columns_of_any_name_are_carried(spark, corpus):
+    """Columns called as the operators call their own, in any spelling."""
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    names = ["_k1", "_K2", "_score", "_Score_", "row", "k", "key", "fp", "_root", "_low", "at", "copies", "times", "doc", "size",
+             "a.b", "block", "held"]
+    wide = docs.select("*", *[F.concat(F.lit(f"{n}/"), F.col("doc_id").cast("string")).alias(n) for n in names])
+    plain = docs
+    for name, stage in P.STAGES:
+        out, want = stage(spark, wide, corpus), stage(spark, plain, corpus)
+        assert sorted(r.doc_id or -1 for r in out.collect()) == sorted(r.doc_id or -1 for r in want.collect())
+        if name == "shards":
+            assert out.columns == want.columns
+            continue
+        assert out.columns == [*docs.columns, *names]
+        assert out.where(" OR ".join(f"`{n}` IS DISTINCT FROM concat('{n}/', CAST(doc_id AS STRING))" for n in names)).count() == 0
+        wide, plain = (spark.createDataFrame(x.collect(), x.schema) for x in (out, want))

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -26,19 +27,84 @@ def test_chunks_cover_every_byte():
         assert seen.all() and (np.diff(s) <= C.CHUNK - C.OVERLAP).all()
 
 
+def random_model(seed=4, kind=np.float64):
+    rng = np.random.default_rng(seed)
+    shapes = {k: v.shape for k, v in C.fit(C.Held([])).items()}
+    return {k: rng.normal(0, 0.3, s).astype(kind) for k, s in shapes.items()}
+
+
+def naive_score(m, text):
+    """The network by its definition: loops over chunks, positions and filters."""
+    starts = list(range(0, max(0, len(text) - 512), 448)) + [max(0, len(text) - 512)]
+    pools = []
+    for s in starts:
+        chunk = text[s:s + 512] + bytes(512 - len(text[s:s + 512]))
+        pool = []
+        for f in range(C.FILTERS):
+            best = -math.inf
+            for at in range(0, 512 - 8 + 1, 2):
+                best = max(best, sum(float(m["embed"][chunk[at + j]] @ m["filter"][j * 8:j * 8 + 8, f]) for j in range(8)))
+            pool.append(max(0.0, best + m["shift"][f]))
+        pools.append(pool)
+    features = [max(x) for x in zip(*pools)] + [sum(x) / len(x) for x in zip(*pools)] + [min(x) for x in zip(*pools)]
+    return 1 / (1 + math.exp(-(sum(a * b for a, b in zip(features, m["out"])) + m["bias"][0])))
+
+
+def test_scores_are_those_of_the_definition():
+    m = random_model()
+    m["out"] *= 0.05
+    for t in (b"", b"short", "Ñandú 漢字 ".encode() * 60, bytes(range(256)) * 3):
+        assert C.score_texts(m, [t])[0] == pytest.approx(naive_score(m, t), abs=1e-9)
+
+
 def test_gradients_are_those_of_the_loss():
-    """One step of training moves the loss as its finite differences say: here, the loss falls steadily."""
+    """Every parameter's gradient against central differences of the loss."""
+    m = random_model(seed=6)
+    good, bad = texts(3)
+    chunks = [C.cut(t.encode()) for t in [good[0] * 9, *good[1:], *bad]]
+    label, weight = np.array([1, 1, 1, 0, 0, 0.0]), np.array([0.7, 0.7, 0.7, 1.4, 1.4, 1.4])
+    loss, g = C.gradients(m, chunks, label, weight)
+    rng = np.random.default_rng(0)
+    for name, value in m.items():
+        flat = value.reshape(-1)
+        assert g[name].shape == value.shape
+        some = np.flatnonzero(np.abs(g[name].ravel()) > 1e-4)
+        for i in rng.choice(some, min(25, len(some)), replace=False):
+            was, e = flat[i], 1e-6
+            flat[i] = was + e
+            up = C.gradients(m, chunks, label, weight)[0]
+            flat[i] = was - e
+            down = C.gradients(m, chunks, label, weight)[0]
+            flat[i] = was
+            assert g[name].ravel()[i] == pytest.approx((up - down) / (2 * e), rel=1e-3, abs=1e-6)
+    assert loss > 0
+
+
+def test_training_tells_the_classes_apart():
     good, bad = texts(30)
-    cut = lambda t: [t.encode()[i:i + C.CHUNK].ljust(C.CHUNK, b"\0") for i in C.chunk_starts(len(t.encode()))]
-    m = C.fit([(cut(t), 1) for t in good] + [(cut(t), 0) for t in bad])
+    m = C.fit(C.Held([(t.encode(), 1) for t in good] + [(t.encode(), 0) for t in bad]))
     new_good, new_bad = texts(40, seed=2)
     p = C.score_texts(m, [t.encode() for t in new_good + new_bad])
     assert (p[:40] >= 0.5).mean() > 0.95 and (p[40:] < 0.5).mean() > 0.95
 
 
+def test_a_repeated_id_is_one_row_of_the_sample(spark):
+    """An id on a third of the rows, and null ids: the sample has one row an id, the same on every run."""
+    rows = [(1 if i % 3 == 0 else None if i % 3 == 1 else i, f"text {i % 50}", "s") for i in range(600)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 600)], "doc_id long, quality int, toxic int")
+    take = lambda df: sorted(map(tuple, C.sampled(df, labels, F.lit(True), "quality", "doc_id", "text", 30).collect()))
+    got = take(docs(spark, rows))
+    assert len(got) == len({k for k, *_ in got}) <= 60 and None not in {k for k, *_ in got}
+    assert got == take(docs(spark, rows[::-1]).repartition(5))
+
+
+def test_long_texts_teach_with_all_their_chunks():
+    assert len(C.cut(b"x" * 100_000)) == len(C.chunk_starts(100_000)) > 200
+
+
 def test_batches_do_not_change_scores():
     good, bad = texts(5)
-    m = C.fit([])
+    m = C.fit(C.Held([]))
     m["out"] += 0.3
     all_ = [t.encode() for t in [*good, *bad, "", LONG]]
     one = np.array([C.score_texts(m, [t])[0] for t in all_])
@@ -63,11 +129,11 @@ def test_held_out_accuracy_on_spark(spark):
 def test_awkward_rows(spark):
     df = docs(spark, AWKWARD)
     with pytest.raises(ValueError):
-        C.scored(df, C.fit([]))                       # the table has a column `score`
-    out = C.scored(df, C.fit([]), name="p")
+        C.scored(df, C.fit(C.Held([])))                       # the table has a column `score`
+    out = C.scored(df, C.fit(C.Held([])), name="p")
     assert out.columns == [*df.columns, "p"]
     rows = out.collect()
     assert len(rows) == len(AWKWARD) and all(r.p == 0.5 for r in rows)
-    assert C.scored(docs(spark, []), C.fit([]), name="p").count() == 0
+    assert C.scored(docs(spark, []), C.fit(C.Held([])), name="p").count() == 0
     only = C.train(df, spark.createDataFrame([(1, 1)], "doc_id long, quality int"), F.lit(True))
     assert all(r.p > 0.9 for r in C.scored(df, only, name="p").collect())
