@@ -10,10 +10,12 @@ Every document is cut into overlapping passages that cover it, long enough
 for any part to lie whole in one of them. For all passages of a batch at
 once, the largest impacts of their distinct terms are added up per block of
 ``RANGE`` parts; blocks that cannot reach the threshold are skipped, and the
-others are traversed by block-max WAND, which gives every part above it. The
-items found are then verified word by word: five-word shingles of the question
-and of the answer must both be in the document, or of the whole item where
-nothing marks an answer.
+others are traversed by block-max WAND, which gives every part above it.
+Question and answer are parts of their own and are retrieved each for itself,
+wherever in the document they are. Items of which both are found are then
+verified word by word over the whole document: five-word shingles of the
+question and of the answer must be in it, or of the whole item where nothing
+marks an answer.
 
 Test items are held in index shards of ``SHARD_ITEMS`` items; a larger
 benchmark is several passes over the documents, each with one bounded index.
@@ -89,6 +91,13 @@ def shingles(words: list[bytes], k: int) -> set[bytes]:
     return {b" ".join(words[i:i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
 
 
+def item_parts(words: list[bytes], text: bytes) -> Iterator[tuple[int, Counter]]:
+    """(side, words) of an item's parts: side 0 the question or the whole item, 1 the answer."""
+    for side, some in enumerate(split_item(words, text)):
+        for i in range(0, len(some), PART_WORDS):
+            yield side, Counter(some[i:i + PART_WORDS])
+
+
 class Index:
     """Inverted index of one shard of test items; small, built by the driver, sent to tasks.
 
@@ -99,22 +108,22 @@ class Index:
     def __init__(self, items: list[tuple[object, str | None]], df: dict[bytes, int] | None = None, n: int = 0,
                  mean: float = 0.0):
         self.items, self.words, self.texts = [], [], []
-        parts: list[tuple[int, Counter]] = []
+        parts: list[tuple[int, int, Counter]] = []
         for (item, _), low in zip(items, normalized(pa.array([t for _, t in items], pa.string()))):
             words = _WORDS.findall(low)
             if not words:
                 continue                                      # nothing to find
-            for i in range(0, len(words), PART_WORDS):
-                parts.append((len(self.items), Counter(words[i:i + PART_WORDS])))
+            parts += [(len(self.items), side, c) for side, c in item_parts(words, low)]
             self.items.append(item)
             self.words.append(words)
             self.texts.append(low)
-        self.item_of = np.array([i for i, _ in parts], np.int64)
+        self.item_of, self.side_of = (np.array([p[i] for p in parts], np.int64) for i in (0, 1))
+        self.sides = [len(split_item(w, t)) for w, t in zip(self.words, self.texts)]
         if df is None:
-            df = Counter(t for _, c in parts for t in c)
-            n, mean = len(parts), sum(c.total() for _, c in parts) / max(1, len(parts))
+            df = Counter(t for *_, c in parts for t in c)
+            n, mean = len(parts), sum(c.total() for *_, c in parts) / max(1, len(parts))
         rows: dict[bytes, list[tuple[int, float]]] = defaultdict(list)
-        for p, (_, c) in enumerate(parts):
+        for p, (*_, c) in enumerate(parts):
             w = {t: np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * c.total() / mean))
                  for t, f in c.items()}
             own = sum(w.values())
@@ -176,8 +185,7 @@ class Index:
         return found
 
     def candidates(self, text: bytes, bounds: np.ndarray, theta: float) -> list[tuple[int, int, int, float]]:
-        """(text, byte position of a passage, item, score) for the passages of the
-        texts that lie in one buffer between ``bounds``."""
+        """(text, side, item, score) for the passages of the texts that lie in one buffer between ``bounds``."""
         at, h = word_hashes(text)
         if not len(h) or not len(self.vocabulary):
             return []
@@ -216,25 +224,33 @@ class Index:
             for k, r in np.argwhere(bound >= theta - 1e-4):
                 p = i + own[start[k]]
                 for part, score in self.above(kterm[pos[start[k]:stop[k]]].tolist(), theta, r * RANGE, (r + 1) * RANGE):
-                    out.append((int(doc[p]), int(at[first[p]]), int(self.item_of[part]), score))
+                    out.append((int(doc[p]), int(self.side_of[part]), int(self.item_of[part]), score))
         return out
 
     # ------------------------------------------------------------ verification
-    def verified(self, text: bytes, item: int, k: int = SHINGLE) -> tuple[float, float]:
-        """Shares of the item's question and answer shingles that ``text`` holds;
+    def verified(self, have: Held, item: int) -> tuple[float, float]:
+        """Shares of the item's question and answer shingles that a text holds;
         an item that is not split has one share, given twice."""
-        have: dict[int, set[bytes]] = {}
-        words = _WORDS.findall(text)
         share = []
         for part in split_item(self.words[item], self.texts[item]):
-            n = min(k, max(1, len(part)))
-            if n not in have:
-                have[n] = shingles(words, n)
+            n = min(SHINGLE, max(1, len(part)))
             want = shingles(part, n)
-            share.append(len(want & have[n]) / len(want) if want else 1.0)
+            share.append(len(want & have.shingles(n)) / len(want) if want else 1.0)
         return share[0], share[-1]
 
 
+class Held:
+    """Shingles of a whole text, by length, made when asked for."""
+
+    def __init__(self, text: bytes):
+        self.text, self.by = text, {}
+
+    def shingles(self, n: int) -> set[bytes]:
+        if n not in self.by:
+            self.by[n] = shingles(_WORDS.findall(self.text), n)
+        return self.by[n]
+
+
 def segments(text: bytes, overlap: int) -> Iterator[bytes]:
     """``text`` in runs of bounded length; neighbours share ``overlap`` bytes or more and break between words."""
     at = 0
@@ -266,25 +282,19 @@ def buffers(texts: list[bytes], overlap: int) -> Iterator[tuple[list[int], list[
 
 def scan(index: Index, texts: list[bytes], theta: float, overlap: float) -> Iterator[tuple[int, object, float, float, float]]:
     """(row, item id, score, question share, answer share) of verified pairs, in row order."""
-    best: dict[tuple[int, int], tuple[float, float, float]] = {}
-    room = 2 * index.longest + 1024                # on both sides of a passage: the whole item lies within
-    for rows, parts in buffers(texts, 4 * room):
+    found: dict[tuple[int, int], tuple[set[int], float]] = {}
+    for rows, parts in buffers(texts, 8 * index.longest + 4096):
         bounds = np.cumsum([0, *(len(p) + 1 for p in parts)])
-        text = b"\n".join(parts) + b"\n"
-        near: dict[tuple[int, int], list[tuple[int, float]]] = defaultdict(list)
-        for part, at, item, score in index.candidates(text, bounds, theta):
-            near[part, item].append((at, score))
-        for (part, item), where in near.items():
-            runs = [[where[0][0], where[0][0]]]    # passages close to each other are verified together
-            for at, _ in where[1:]:
-                if at - runs[-1][1] > room:
-                    runs.append([at, at])
-                runs[-1][1] = at
-            for lo, hi in runs:
-                cut = text[max(int(bounds[part]), lo - room):min(int(bounds[part + 1]), hi + 2 * room)]
-                new = (max(s for _, s in where), *index.verified(cut, item))
-                best[rows[part], item] = max(best.get((rows[part], item), new), new, key=lambda x: min(x[1:]))
-    for (row, item), (score, q, a) in sorted(best.items()):
+        for part, side, item, score in index.candidates(b"\n".join(parts) + b"\n", bounds, theta):
+            sides, best = found.get((rows[part], item), (set(), 0.0))
+            found[rows[part], item] = (sides | {side}, max(best, score))
+    last, have = -1, None
+    for (row, item), (sides, score) in sorted(found.items()):
+        if len(sides) < index.sides[item]:
+            continue                               # the question without the answer, or the other way round
+        if row != last:
+            last, have = row, Held(texts[row])
+        q, a = index.verified(have, item)
         if min(q, a) >= overlap:
             yield row, index.items[item], score, q, a
 
@@ -296,9 +306,7 @@ def part_counts(dealt: DataFrame) -> DataFrame:
         for batch in batches:
             found: dict[tuple[int, bytes | None], list[int]] = defaultdict(lambda: [0, 0])
             for shard, low in zip(batch.column("shard").to_pylist(), normalized(batch.column("text"))):
-                words = _WORDS.findall(low)
-                for i in range(0, len(words), PART_WORDS):
-                    part = Counter(words[i:i + PART_WORDS])
+                for _, part in item_parts(_WORDS.findall(low), low):
                     for word, count in [*part.items(), (None, part.total())]:
                         at = found[shard, word]
                         at[0] += 1

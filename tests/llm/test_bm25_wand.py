@@ -119,3 +119,24 @@ def test_scores_do_not_depend_on_the_shards(spark, monkeypatch):
     whole = find()
     monkeypatch.setattr(B, "SHARD_ITEMS", 10)
     assert {k: v.expected for k, v in find().items()} == whole
+
+
+def test_question_and_answer_far_apart():
+    """Both are in the document, some hundred KB apart and in either order; one of them alone is not enough."""
+    q, a = " ".join(VOCAB[i] for i in R.sample(range(35), 20)), " ".join(VOCAB[i] for i in R.sample(range(35), 12))
+    items = [(1, f"{q}? {a}"), (2, f"{q}? ka"), (3, " ".join(VOCAB[:30]))]
+    ix = B.Index(items)
+    gap = " ".join(c + "x" for c in R.choices(VOCAB, k=40_000))
+    find = lambda t: sorted(i for _, i, *_ in B.scan(ix, [t.encode()], 0.6, 0.8))
+    assert len(gap) > 150_000
+    assert find(f"{q} {gap} {a}") == find(f"{a}. {gap} {q}") == [1]
+    assert find(f"{q} {gap}") == [] and find(f"{gap} {a}") == []
+    assert find(f"{q} {gap} ka") == [2] and find(f"{gap} ka") == []
+
+
+def test_parts_do_not_mix_question_and_answer():
+    words = [f"w{i}".encode() for i in range(150)]
+    text = b" ".join(words[:70]) + b"? " + b" ".join(words[70:])
+    parts = list(B.item_parts(words, text))
+    assert [(s, c.total()) for s, c in parts] == [(0, 64), (0, 6), (1, 64), (1, 16)]
+    assert sum((c for _, c in parts), B.Counter()) == B.Counter(words)
