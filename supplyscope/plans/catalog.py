@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,11 @@ from supplyscope import config as K
 from supplyscope.functions import bands, scalars as S
 from supplyscope.operators import history as H
 from supplyscope.operators import merge as M
+from supplyscope.operators.forecast import forecast_ema, order_forecast
 from supplyscope.operators.reshape import unpivot_supplies
 from supplyscope.operators.series import STEP, ema_series, ema_weight, step_table_split
 from supplyscope.plans import forecast_jobs as FJ
+from supplyscope.plans import jobs as J
 from supplyscope.plans import refresh as R
 from supplyscope.plans import report as P
 from supplyscope.sources import buckets as B
@@ -238,6 +241,17 @@ def merge_bucketed(spark, d):
     return B.merge_bucketed(*stored, keys)
 
 
+def merge_fanout(spark, d):
+    """Every poll row of a key, as the original joins them."""
+    inv = X.inventory_raw(spark, d).withColumn("ip", S.format_ip("ip"))
+    return M.merge_left(inv, _poll(spark, d), keys=["device_class", "ip"], allow_fanout=True)
+
+
+def poll_no_key(spark, d):
+    """Poll rows of an inventory in which some keys hold no digit: these devices are never polled."""
+    return R.poll_results(X.poll_raw(spark, d), X.inventory_blank_keys(spark, d))
+
+
 _MERGE_COLS = ["toner_negro", "ui_negro", "estado", "marca_de_tiempo"]
 
 
@@ -273,6 +287,25 @@ def refresh_inventory_color(spark, d):
     return R.refresh_inventory_color11(X.inventory_raw(spark, d), _poll(spark, d, by_class=False, variant="v8"))
 
 
+def refresh_levels(spark, d):
+    """Eight classes with all their levels, refreshed by polls of as many."""
+    inv = reduce(DataFrame.unionByName, [V.conform(sheet.withColumn("device_class", F.lit(cls)), extras=None)
+                                         for cls, _, sheet in X.class_sheets(spark, d)])
+    return R.refresh_keyed(inv, X.class_polls(spark, d))
+
+
+def refresh_one_class(spark, d):
+    """The stored-table job for one class: its partition is replaced, its siblings stay."""
+    inv, poll, out = (scratch_path(spark, n) for n in ("job-inventory", "job-poll", "job-out"))
+    for path in (inv, out):
+        T.write_class_tables(X.inventory_raw(spark, d), path)
+    T.write_overwrite(_poll(spark, d), poll)
+    J.refresh_job(spark, inv, poll, out, classes=["HP Admin"])
+    for path in (inv, poll):
+        drop_path(spark, path)
+    return T.read_class_tables(spark, out)
+
+
 def severity_counts(spark, d):
     return P.severity_counts(refresh_inventory(spark, d))
 
@@ -395,6 +428,21 @@ def forecast_ema_alerts(spark, d):
     return FJ.fleet_forecast_ema(X.history_raw(spark, d))
 
 
+def forecast_blocked(spark, d):
+    """The same with a small bound: devices above it go in blocks, the others in one exchange."""
+    return FJ.fleet_forecast_ema(X.history_raw(spark, d), block_rows=66)
+
+
+def forecast_ties(spark, d):
+    """A log that is not deduped: readings of one instant, and pairs by position in the fallback."""
+    return forecast_ema(H.clean_history(X.history_raw(spark, d), dedupe=False), mode="off", ties=True)
+
+
+def forecast_report(spark, d):
+    """The forecast in report order under its display names."""
+    return J.with_display_names(order_forecast(FJ.fleet_forecast_ema(X.history_raw(spark, d))))
+
+
 def forecast_incremental(spark, d):
     path = scratch_path(spark, "log-batches")
     paths = []
@@ -484,6 +532,10 @@ def queries() -> dict[str, Query]:
         "classify_status": classify_status,
         "merge_left": merge_left,
         "merge_bucketed": merge_bucketed,
+        "merge_fanout": merge_fanout,
+        "poll_no_key": poll_no_key,
+        "refresh_levels": refresh_levels,
+        "refresh_one_class": refresh_one_class,
         "merge_overwrite": merge_overwrite,
         "merge_coalesce": merge_coalesce,
         "merge_masked": merge_masked,
@@ -514,6 +566,9 @@ def queries() -> dict[str, Query]:
         "project_date": project_date,
         "forecast_ema": forecast_ema_q,
         "forecast_ema_alerts": forecast_ema_alerts,
+        "forecast_blocked": forecast_blocked,
+        "forecast_ties": forecast_ties,
+        "forecast_report": forecast_report,
         "forecast_incremental": forecast_incremental,
         "forecast_linear": forecast_linear_q,
         "forecast_linear_alerts": forecast_linear_alerts,

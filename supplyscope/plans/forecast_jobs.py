@@ -54,13 +54,13 @@ def split_hot_devices(raw: DataFrame, limit: int, strip_status: bool) -> tuple[D
     return raw.join(hot, match, "left_semi"), raw.join(hot, match, "left_anti")
 
 
-def fleet_forecast_ema(raw: DataFrame, alerts: bool = True, **kw) -> DataFrame:
-    """EMA forecast (+ five-level alerts) of a raw history log.
+def fleet_forecast_ema(raw: DataFrame, alerts: bool = True, block_rows: int | None = None, **kw) -> DataFrame:
+    """EMA forecast (+ five-level alerts) of a raw history log; ``block_rows`` overrides the setting.
 
     The clean log is deduped by stamp text, and parsed stamps have one text
     per instant, so no series holds a timestamp tie and the probe proves
     nothing about them."""
-    limit = _limit(raw)
+    limit = block_rows or _limit(raw)
     probe = probe_log(raw, ties=False, limit=limit)
 
     def run(src: DataFrame, mode: str) -> DataFrame:

@@ -216,14 +216,14 @@ def _with(*ctes: str) -> str:
 
 
 # --------------------------------------------------------- shared CTEs
-def _poll_ctes(variant: str = "v13", by_class: bool = True, name: str = "poll_d") -> list[str]:
+def _poll_ctes(variant: str = "v13", by_class: bool = True, name: str = "poll_d", inv: str = "inventory_raw") -> list[str]:
     rule = rule_sql("device_class", ["toner_negro", "ui_negro"])
     zero = "(toner_negro = '0%' AND ui_negro = '0%')"
     blank = "'0%'" if variant in ("v10", "v10_normal", "v11", "v11_copy") else "''"
     part = "device_class, ip" if by_class else "ip"
     keys = "device_class, ip" if by_class else "ip"
     return [
-        f"""inv_keys_{name} AS (SELECT device_id, device_class, {fmt_ip('ip')} AS ip FROM inventory_raw
+        f"""inv_keys_{name} AS (SELECT device_id, device_class, {fmt_ip('ip')} AS ip FROM {inv}
             WHERE {fmt_ip('ip')} IS NOT NULL)""",
         f"""poll_j_{name} AS (SELECT p.device_id, k.device_class, k.ip,
               CASE WHEN k.ip = '' THEN 'no_key' ELSE p.outcome END AS outcome,
@@ -345,12 +345,12 @@ def _nd(a: str, b: str, cols=("ip", "modelo", "consumible")) -> str:
     return " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in cols)
 
 
-def _forecast_ema_sql(alerts: bool) -> str:
+def _forecast_ema_sql(alerts: bool, dedupe: bool = True) -> str:
     a = ema_alpha(K.EMA_SPAN)
     long = " UNION ALL ".join(
         f"SELECT seq, nombre, ip, modelo, fecha, {q(d)} AS consumible, {c} AS valor FROM clean"
         for d, c in SUPPLIES)
-    ctes = _clean_ctes() + [
+    ctes = (_clean_ctes() if dedupe else [*_clean_ctes()[:2], "clean AS (SELECT * FROM ch_c)"]) + [
         f"fl AS (SELECT * FROM ({long}) WHERE ip IS NOT NULL AND modelo IS NOT NULL)",
         "fv AS (SELECT * FROM fl WHERE fecha IS NOT NULL AND valor IS NOT NULL)",
     ] + _steps_ctes("fv", "ip, modelo, consumible", "fecha", "valor", "fe") + [
@@ -527,6 +527,29 @@ def _evolved_sql() -> str:
         FROM (SELECT *, {gen} AS g FROM customer)"""
 
 
+def _refresh_levels_sql() -> str:
+    """Old and new level of every class and position, merged by hand."""
+    inl = lambda xs: "(" + ", ".join(q(x) for x in xs) + ")"
+    zero = [k for k, v in K.CLEAN_FAILURE.items() if v == "0%"]
+    cols, k = [], "device_id"
+    for s, c in K.SUPPLY_COLUMNS.items():
+        owners = [cls for cls, names in K.GAUGE_MAP.items() if s in names]
+        place = class_case("device_class", {cls: str(K.GAUGE_MAP[cls].index(s)) for cls in owners})
+        text = f"(CASE WHEN {k} % 2 = 1 THEN '--' ELSE CAST(({k} * 11 + {place} * 17) % 103 AS VARCHAR) || '.4%' END)"
+        clean = (f"CASE WHEN device_class IN {inl(zero)} THEN {clean_pct_sql(text, '0%')} ELSE {clean_pct_sql(text, '')} END")
+        cols.append(f"CASE WHEN device_class IN {inl(owners)} THEN CASE WHEN ok THEN {clean} ELSE coalesce({c}, '') END ELSE {c} END AS {c}")
+    rest = ", ".join(K.IMAGING_COLUMNS.values())
+    # Two devices of a class may share an address: the poll with the smallest id counts for both.
+    return f"""WITH e AS ({_evolved_sql()}),
+        p AS (SELECT device_class, ip, min(device_id) AS polled FROM e WHERE device_id % 4 <> 3 GROUP BY device_class, ip),
+        j AS (SELECT e.* EXCLUDE (device_id), e.device_id AS own, p.polled AS device_id,
+                     p.polled IS NOT NULL AND p.polled % 5 <> 0 AS ok
+              FROM e LEFT JOIN p ON e.device_class = p.device_class AND e.ip = p.ip)
+        SELECT own AS device_id, nombre, device_class, ip, modelo, {", ".join(cols)}, {rest},
+          CASE WHEN device_id IS NULL THEN estado WHEN ok THEN 'OK' ELSE {q(K.STATUS_OFFLINE)} END AS estado,
+          CASE WHEN device_id IS NULL THEN marca_de_tiempo ELSE {q(X.RUN_STAMP)} END AS marca_de_tiempo FROM j"""
+
+
 def _split_sql() -> str:
     """Lines by their sequence: broken ones as text, the others cell by cell. An empty cell reads as NULL."""
     cols = ["seq", *K.HISTORY_COLUMNS.values()]
@@ -696,6 +719,21 @@ def oracle_sql() -> dict[str, str]:
         "forecast_ema": _forecast_ema_sql(False),
         "forecast_ema_alerts": _forecast_ema_sql(True),
         "forecast_incremental": _forecast_ema_sql(True),
+        "forecast_blocked": _forecast_ema_sql(True),
+        "forecast_ties": _forecast_ema_sql(False, dedupe=False),
+        "forecast_report": "SELECT " + ", ".join(f'{c} AS "{n}"' for n, c in K.FORECAST_COLUMNS.items())
+                           + f" FROM ({_forecast_ema_sql(True)})",
+        "merge_fanout": _with(*_merge_ctes()) + (
+            "SELECT i.*, p.toner_negro AS toner_negro_new, p.ui_negro AS ui_negro_new, p.estado AS estado_new, "
+            "p.marca_de_tiempo AS marca_de_tiempo_new FROM inv_n i LEFT JOIN poll_s_poll_d p "
+            "ON i.device_class = p.device_class AND i.ip = p.ip"),
+        "poll_no_key": _with(
+            "inv_blank AS (SELECT * REPLACE (CASE WHEN device_id % 29 = 5 THEN 'n/a' ELSE ip END AS ip) FROM inventory_raw)",
+            *_poll_ctes(inv="inv_blank")) + "SELECT device_class, ip, seq, toner_negro, ui_negro, estado, marca_de_tiempo FROM poll_s_poll_d",
+        "refresh_levels": _refresh_levels_sql(),
+        "refresh_one_class": _with(*_refresh_ctes()) + (
+            f"SELECT {_INV_COLS} FROM refreshed WHERE device_class = 'HP Admin' UNION ALL "
+            f"SELECT {_INV_COLS} FROM inventory_raw WHERE device_class <> 'HP Admin'"),
         "forecast_linear": _forecast_linear_sql(False),
         "forecast_linear_alerts": _forecast_linear_sql(True),
         "stream_dedupe": _with() + (

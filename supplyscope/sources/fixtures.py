@@ -17,6 +17,7 @@ sampled or capped: each adapter reads its whole source table.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,6 +112,12 @@ def inventory_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def inventory_blank_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inventory with keys that hold no digit on every 29th device."""
+    inv = inventory_raw(spark, sf_dir)
+    return inv.withColumn("ip", F.when(F.col("device_id") % 29 == 5, F.lit("n/a")).otherwise(F.col("ip")))
+
+
 def poll_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest order per customer (``max_by`` aggregate: partial aggregation,
     so a customer with a huge order history is reduced map-side)."""
@@ -231,3 +238,21 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = (F.when(seq % 29 == 0, F.concat_ws(",", cell["seq"], cell["nombre"])).when(seq % 31 == 0, F.concat(whole, F.lit(",more")))
             .otherwise(whole))
     return raw.select(line.alias("value"))
+
+
+def class_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polls of three quarters of the class sheets' devices with every logged level of the class:
+    each fifth was out of the net, each odd one's texts are no percentages."""
+    k = F.col("device_id")
+    parts = []
+    for cls, _, sheet in class_sheets(spark, sf_dir):
+        ip = " IP " if " IP " in sheet.columns else "ip"
+        out, bad = k % 5 == 0, k % 2 == 1
+        text = lambda j: F.when(out, "").when(bad, "--").otherwise(
+            F.concat(((k * 11 + j * 17) % 103).cast("string"), F.lit(".4%")))
+        levels = {K.SUPPLY_COLUMNS[n]: text(j) for j, n in enumerate(K.GAUGE_MAP[cls]) if n in K.SUPPLY_COLUMNS}
+        parts.append(sheet.select(k.cast("long").alias("device_id"), F.col(f"`{ip}`").alias("ip")).filter(k % 4 != 3).select(
+            F.lit(cls).alias("device_class"), "ip", k.alias("seq"),
+            *[levels.get(c, F.lit(None).cast("string")).alias(c) for c in K.supply_cols()],
+            F.when(out, K.STATUS_OFFLINE).otherwise(K.STATUS_OK).alias("estado"), F.lit(RUN_STAMP).alias("marca_de_tiempo")))
+    return reduce(DataFrame.unionByName, parts)
