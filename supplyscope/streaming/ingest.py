@@ -92,6 +92,34 @@ def run_complete(df: DataFrame, out: str, checkpoint: str) -> None:
     q.awaitTermination()
 
 
+def run_updates(df: DataFrame, out: str, checkpoint: str) -> None:
+    """Drain every available file; each trigger writes the series it changed, and only these,
+    into ``out/epoch=<batch id>``, so a repeated batch replaces itself."""
+    def sink(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    q = (df.writeStream.outputMode("update").foreachBatch(sink)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def read_updated(spark: SparkSession, out: str, schema: T.StructType, keys: list[str]) -> DataFrame:
+    """The newest row of every key among the triggers' folders: one grouped pass, partial aggregates first."""
+    stored = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
+    rest = [F.col(c) for c in schema.names if c not in keys]
+    newest = (spark.read.schema(stored).parquet(out).groupBy(*keys)
+              .agg(F.max_by(F.struct(*rest), "epoch").alias("_row")))
+    return newest.select(*keys, "_row.*").select(*schema.names)
+
+
+def compact_updates(spark: SparkSession, out: str, schema: T.StructType, keys: list[str], epoch: int) -> str:
+    """Write the newest rows as one folder of a new ``out`` (returned), as of ``epoch``; the
+    stream goes on there with its own later epochs."""
+    to = scratch_path(spark, "latest-compact")
+    read_updated(spark, out, schema, keys).write.parquet(f"{to}/epoch={epoch}")
+    return to
+
+
 def stream_dedupe_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the raw log as files, stream it through the dedupe, read the sink."""
     land, out, ck = (scratch_path(spark, n) for n in ("landing-log", "log", "ck-log"))
@@ -107,11 +135,12 @@ def stream_dedupe_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select(*names).unionByName(rest.select(*names))
 
 
-def stream_latest_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_latest_levels(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
+    """Readings land in several files, one a trigger; each trigger writes the series it changed."""
     land, out, ck = (scratch_path(spark, n) for n in ("landing-readings", "latest", "ck-latest"))
-    X.readings_long(spark, sf_dir).write.parquet(land)
-    stream = spark.readStream.schema(READING_SCHEMA).parquet(land)
-    run_complete(latest_stream(stream), out, ck)
+    X.readings_long(spark, sf_dir).repartition(files, F.xxhash64("seq")).write.parquet(land)
+    stream = latest_stream(spark.readStream.schema(READING_SCHEMA).option("maxFilesPerTrigger", 1).parquet(land))
+    run_updates(stream, out, ck)
     for path in (land, ck):
         drop_path(spark, path)
-    return spark.read.parquet(out)
+    return read_updated(spark, out, stream.schema, ["device", "supply"])

@@ -51,3 +51,31 @@ def test_latest_level_complete_mode(spark):
     S.run_complete(S.latest_stream(spark.readStream.schema(S.READING_SCHEMA).parquet(land)), out, ck)
     got = {(r.device, r.supply): (r.pct, r.n, r.severity) for r in spark.read.parquet(out).collect()}
     assert got == {(7, "click"): (40.0, 2, None), (8, "view"): (10.0, 1, "low")}
+
+
+def test_latest_level_updates_only_what_changed(spark):
+    import datetime as dt
+
+    land, out, ck = (scratch_path(spark, n) for n in ("u-land", "u-out", "u-ck"))
+    t = dt.datetime(2024, 1, 1)
+    days = lambda n: t + dt.timedelta(days=n)
+
+    def send(rows):
+        spark.createDataFrame(rows, S.READING_SCHEMA).coalesce(1).write.mode("append").parquet(land)
+
+    def run():
+        stream = S.latest_stream(spark.readStream.schema(S.READING_SCHEMA).option("maxFilesPerTrigger", 1).parquet(land))
+        S.run_updates(stream, out, ck)
+        return stream.schema
+
+    send([(1, 7, "click", days(0), 50.0), (2, 8, "view", days(0), 10.0)])
+    send([(3, 7, "click", days(2), 40.0), (4, 7, "click", days(1), 45.0)])
+    schema = run()
+    send([(5, 9, "view", days(0), 3.0)])
+    run()
+    keys = ["device", "supply"]
+    got = {(r.device, r.supply): (r.pct, r.n, r.severity) for r in S.read_updated(spark, out, schema, keys).collect()}
+    assert got == {(7, "click"): (40.0, 3, None), (8, "view"): (10.0, 1, "low"), (9, "view"): (3.0, 1, "low")}
+    assert [spark.read.parquet(f"{out}/epoch={e}").count() for e in range(3)] == [2, 1, 1]
+    small = S.compact_updates(spark, out, schema, keys, 2)
+    assert {(r.device, r.supply): (r.pct, r.n, r.severity) for r in S.read_updated(spark, small, schema, keys).collect()} == got
