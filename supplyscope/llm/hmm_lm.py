@@ -48,7 +48,7 @@ from supplyscope.session import drop_path
 STATES = 8                 # one byte each of a word's packed shares
 FREQUENT, RARE = 4096, 2048
 LEAST_SHARE = 1 / (1 << 17)   # of a block's tokens: a word below it in every block is in a rare class
-PARTS = 16                 # parts of the corpus, each followed by a maximization
+PARTS = 8                  # parts of the corpus, each followed by a maximization
 SEGMENT = 4096             # longest piece of a text that is run through at once
 SETTLED = 5e-4             # nats a token that another round must promise
 SMOOTH = 0.1               # added to each count of the base model
@@ -242,10 +242,12 @@ def edges(m: Model, obs: np.ndarray, at: np.ndarray, size: np.ndarray, on: np.nd
 
 
 def forward_backward(m: Model, cls: np.ndarray, ends: np.ndarray, into: np.ndarray | None = None, size_into: int = 0,
-                     ) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+                     run: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Expected counts (emissions by class, moves, starts) of texts laid end to end,
     and their log-likelihood; ``ends`` marks each text's last token. With
-    ``into``, emissions are counted by these numbers instead of the classes."""
+    ``into``, emissions are counted by these numbers instead of the classes.
+    About ``run`` tokens are in memory at once."""
+    run = run or _RUN
     into, size_into = (cls, len(m.emit)) if into is None else (into, size_into)
     stop = np.flatnonzero(ends) + 1
     first = np.concatenate(([0], stop[:-1]))
@@ -258,7 +260,7 @@ def forward_backward(m: Model, cls: np.ndarray, ends: np.ndarray, into: np.ndarr
     back_move, to_next = np.ascontiguousarray(move), np.ascontiguousarray(move.T)
     by, moves, starts, like = np.zeros((STATES, size_into)), np.zeros((STATES, STATES)), np.zeros(STATES), 0.0
     # Pieces are independent now; a very long text takes several runs. States are rows, so all steps run along memory.
-    for some in np.split(np.arange(len(at)), np.flatnonzero(np.diff((np.cumsum(size) - 1) // _RUN)) + 1):
+    for some in np.split(np.arange(len(at)), np.flatnonzero(np.diff((np.cumsum(size) - 1) // run)) + 1):
         some = some[np.argsort(-size[some], kind="stable")]
         p, prior, go = Pieces.of(at[some], size[some]), before[some].T.astype(np.float32), on[some]
         off = np.concatenate(([0], np.cumsum(p.live)))
@@ -393,7 +395,7 @@ def word_shares(read: DataFrame, m: Model, frequent: list[str]) -> DataFrame:
                 ids, _, cls = training_tokens(b, i, top)
                 words, tf = b.column("words")[i].values, b.column("tf")[i].values
                 code = cls[ids]
-                by = (forward_backward(shared.value, code, code == 0, ids, len(words))[0] if len(ids)
+                by = (forward_backward(shared.value, code, code == 0, ids, len(words), _RUN // 2)[0] if len(ids)
                       else np.zeros((len(words), STATES)))
                 some = pc.greater(tf, 0)
                 yield pa.RecordBatch.from_arrays([words.filter(some), tf.filter(some), pa.array(packed(by)).filter(some)],
@@ -506,6 +508,7 @@ def scored(read: DataFrame, table: DataFrame, w: Words, frequent: list[str]) ->
     shared, top = read.sparkSession.sparkContext.broadcast(w), pa.array(frequent, pa.string())
     known = dictionary(read).select(F.col("block").alias("of"), "id", "word").join(table.select("word", "c", "p"), "word").drop("word")
     texts = read.select("block", "key", "n", "held", "words", "ids")
+    tasks = 2 * max(1, read.count())                                # so that few tasks get several blocks
 
     def run(b: pa.Table, d: pa.Table) -> pa.Table:
         v = shared.value
@@ -526,7 +529,7 @@ def scored(read: DataFrame, table: DataFrame, w: Words, frequent: list[str]) ->
         return pa.concat_tables(out)
 
     names = ["key", "held", "n_tokens", "n_known", "base", "score"]
-    return texts.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(
+    return texts.repartition(tasks, "block").groupBy("block").cogroup(known.repartition(tasks, "of").groupBy("of")).applyInArrow(
         run, f"key {kind}, held boolean, n_tokens long, n_known long, base double, score double")
 
 
