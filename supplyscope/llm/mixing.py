@@ -123,11 +123,15 @@ def packed(sizes: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:
                                                      (F.col("_at") + F.col("_before")).alias("start"))
 
 
+def slot_tasks(plan: DataFrame) -> int:
+    """Tasks that make slots, of ``TASK_SLOTS`` each: what they make is much larger than what they read."""
+    return max(1, -(-(plan.agg(F.max("all_slots")).first()[0] or 0) // TASK_SLOTS))
+
+
 def drawn(plan: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """The draw: ``(shard, sid, count, from)``, how many of a shard's slots each source has
     and how many of the source's slots earlier shards have."""
-    total = plan.agg(F.max("all_slots")).first()[0] or 0
-    all_ = explode_range(plan.where("slots > 0"), F.lit(0), F.col("slots") - 1, "i", max(1, -(-total // TASK_SLOTS)))
+    all_ = explode_range(plan.where("slots > 0"), F.lit(0), F.col("slots") - 1, "i", slot_tasks(plan))
     at = permuted(F.col("first_slot") + F.col("i"), F.col("all_slots"), F.lit(seed), F.lit(-1))
     counts = reliable(all_.select("sid", F.floor(at / shard_slots).alias("shard")).groupBy("shard", "sid").agg(
         F.count(F.lit(1)).alias("count")))
@@ -140,7 +144,7 @@ def slots(plan: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS) -> Dat
     sources = Window.partitionBy("shard").orderBy("sid")                       # a shard's sources: at most its slots
     counts = counts.withColumn("ahead", F.sum("count").over(sources) - F.col("count"))
     counts = counts.withColumn("filled", F.sum("count").over(Window.partitionBy("shard")))
-    s = counts.join(plan.select("sid", "blocks"), "sid")
+    s = counts.join(plan.select("sid", "blocks"), "sid").repartition(slot_tasks(plan), "shard", "sid")
     s = s.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)))    # at most a shard's slots
     j = F.col("from") + F.col("k")
     s = s.withColumn("pass", F.floor(j / F.col("blocks")))
