@@ -29,6 +29,7 @@ WIDTH, STEP = 8, 2         # bytes of a filter, bytes between its positions
 EMBED, FILTERS = 8, 32
 SAMPLE = 1200              # labelled rows of each class
 EPOCHS, BATCH, RATE = 14, 48, 0.01
+GROUP_BYTES = 64 << 20     # text of the sample that the driver holds at once
 _RUN = 256                 # chunks convolved at once
 
 Model = dict[str, np.ndarray]
@@ -131,19 +132,24 @@ class Held:
 
 
 class Staged:
-    """Labelled texts ``(k, y, b)`` in a table: each epoch is a sort by another hash,
-    read partition by partition, so the driver holds a part of the sample at a time."""
+    """Labelled texts ``(k, y, b)`` in a table, read group by group: groups of about ``GROUP_BYTES``
+    of text by a hash of the key, in another order each epoch, so the driver holds one group at a time."""
 
     def __init__(self, rows: DataFrame):
-        self.rows = rows
+        total = rows.agg(F.sum(F.length("b"))).first()[0] or 0
+        self.groups = max(1, -(-total // GROUP_BYTES))
+        self.rows = rows.withColumn("g", F.pmod(F.xxhash64("k", "y"), F.lit(self.groups)))
 
     def count(self) -> dict[int, int]:
         got = {r["y"]: r["count"] for r in self.rows.groupBy("y").count().collect()}
         return {y: got.get(y, 0) for y in (0, 1)}
 
     def epoch(self, i: int) -> Iterator[tuple[bytes, int]]:
-        by = self.rows.orderBy(F.xxhash64(F.lit(i), "k", "y"), "k", "y")
-        return ((bytes(r["b"]), r["y"]) for r in by.select("b", "y").toLocalIterator())
+        rng = np.random.default_rng(i)
+        for g in rng.permutation(self.groups):
+            some = self.rows.where(F.col("g") == int(g)).select("k", "y", "b").collect()
+            some.sort(key=lambda r: (r["k"], r["y"]))
+            yield from ((bytes(some[j]["b"]), some[j]["y"]) for j in rng.permutation(len(some)))
 
 
 def batches(samples: Iterator[tuple[bytes, int]], size: int) -> Iterator[list[tuple[bytes, int]]]:

@@ -98,6 +98,18 @@ def test_a_repeated_id_is_one_row_of_the_sample(spark):
     assert got == take(docs(spark, rows[::-1]).repartition(5))
 
 
+def test_the_sample_is_read_in_groups(spark, monkeypatch):
+    """Every epoch has every text once, in another order, whatever the size of a group."""
+    rows = spark.createDataFrame([(i, i % 2, f"text {i}".encode()) for i in range(40)], "k long, y int, b binary")
+    for size in (1 << 20, 60):
+        monkeypatch.setattr(C, "GROUP_BYTES", size)
+        staged = C.Staged(rows.repartition(3))
+        one, two = list(staged.epoch(0)), list(staged.epoch(1))
+        assert (staged.groups > 3) == (size == 60) and staged.count() == {0: 20, 1: 20}
+        assert sorted(one) == sorted(two) == sorted((f"text {i}".encode(), i % 2) for i in range(40))
+        assert one != two and one == list(C.Staged(rows).epoch(0))
+
+
 def test_long_texts_teach_with_all_their_chunks():
     assert len(C.cut(b"x" * 100_000)) == len(C.chunk_starts(100_000)) > 200
 
