@@ -1,17 +1,19 @@
 """The history log as a stream, deduped by the batch's rule: the smallest sequence wins.
 
-Rows are grouped by device and time bucket (a day unless told otherwise).
-A group's keyed state holds the rows it has so far, one for each stamp, that
-with the smallest sequence; an event-time timer at the end of the bucket
-emits them once the watermark has passed it. So arrival order inside the
-lateness bound does not matter.
+Devices are dealt to a fixed number of slots by a hash of their ip; rows are
+grouped by slot and time bucket (a day unless told otherwise). So the number of
+groups, state entries and Python calls follows slots and buckets, not devices.
+A group's keyed state holds the rows it has so far, one for each device and
+stamp, that with the smallest sequence, as compressed Arrow; an event-time timer
+at the end of the bucket emits them once the watermark has passed it. So arrival
+order inside the lateness bound does not matter.
 
 Nothing vanishes. Spark drops rows behind the watermark before a stateful
 operator sees them, so the rows travel beside a *clock branch*: that branch
 carries no rows, only the event times that move the watermark, while the data
-branch's own time column is a constant that is never late. A row whose bucket
-is closed is emitted at once on the side output ``late``, a valid row whose
-stamp is no time on the side output ``untimed``. :func:`read_deduped` settles both against
+branch's own time column is a constant that is never late. A row whose group
+has been emitted goes at once to the side output ``late``, a valid row whose
+stamp is no time to the side output ``untimed``. :func:`read_deduped` settles both against
 the main output.
 
 The sink writes each trigger's rows into a folder of its own named by the
@@ -40,15 +42,18 @@ from supplyscope.streaming.ingest import LOG_SCHEMA
 MAIN, LATE, UNTIMED = "main", "late", "untimed"
 OUT_SCHEMA = T.StructType([*LOG_SCHEMA.fields, T.StructField("side", T.StringType())])
 KEY = ["ip", "marca_de_tiempo"]
+SLOTS = 32                 # groups a bucket's devices are dealt to; fixed as long as a checkpoint lives
 _COLUMNS = LOG_SCHEMA.names
+_STORED = pa.schema([(f.name, pa.int64() if f.name == "seq" else pa.string()) for f in LOG_SCHEMA])
 _NEVER_LATE = "2200-01-01 00:00:00"
 _NO_TIME = -1
+_WIDTH = "spark.sql.shuffle.partitions"
 
 
 def _packed(rows: pd.DataFrame) -> bytes:
     sink = pa.BufferOutputStream()
-    table = pa.Table.from_pandas(rows, preserve_index=False)
-    with pa.ipc.new_stream(sink, table.schema) as out:
+    table = pa.Table.from_pandas(rows, schema=_STORED, preserve_index=False)
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -58,12 +63,12 @@ def _unpacked(data: bytes) -> pd.DataFrame:
 
 
 def first_of_each(rows: pd.DataFrame) -> pd.DataFrame:
-    """One row per stamp: that with the smallest sequence."""
-    return rows.sort_values("seq", kind="stable").drop_duplicates("marca_de_tiempo")
+    """One row per device and stamp: that with the smallest sequence."""
+    return rows.sort_values("seq", kind="stable").drop_duplicates(KEY)
 
 
 def keep_first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Rows of one (device, bucket end in milliseconds): held until the bucket closes."""
+    """Rows of one (slot, bucket end in milliseconds): held until the bucket closes."""
     if state.hasTimedOut:
         (held,) = state.get
         state.remove()
@@ -88,12 +93,13 @@ def keep_first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) ->
         state.setTimeoutTimestamp(int(end))
 
 
-def ordered_dedupe(stream: DataFrame, late: str = "1 day", bucket_seconds: int = 86_400) -> DataFrame:
+def ordered_dedupe(stream: DataFrame, late: str = "1 day", bucket_seconds: int = 86_400, slots: int = SLOTS) -> DataFrame:
     """Log rows -> rows with a valid status and their ``side``: ``main`` (one per
     device and stamp, the smallest sequence of those in time), ``late`` or ``untimed``.
 
     A bucket closes when the newest time of earlier triggers is more than
-    ``late`` past its end. Sequences must not be null; a null ip is a device
+    ``late`` past its end. A bucket's rows of one slot are held and emitted by one
+    call: more ``slots`` or shorter buckets make that less. Sequences must not be null; a null ip is a device
     like any other. A failed poll moves the clock but hides no row; it is
     dropped inside the operator, so that every row counts in both branches (a
     branch without rows since a restart would hold the watermark back).
@@ -102,25 +108,38 @@ def ordered_dedupe(stream: DataFrame, late: str = "1 day", bucket_seconds: int =
     seconds = F.unix_timestamp(at)
     end = (F.floor(seconds / bucket_seconds) + 1) * bucket_seconds * 1000
     ok = F.coalesce(strip_ws(F.col("estado")) == F.lit(K.VALID_STATUS), F.lit(False))
-    data = (stream.select(*_COLUMNS, ok.alias("_ok"), F.coalesce(end, F.lit(_NO_TIME)).cast("long").alias("_end"),
+    data = (stream.select(*_COLUMNS, ok.alias("_ok"), F.pmod(F.xxhash64("ip"), F.lit(slots)).alias("_slot"),
+                          F.coalesce(end, F.lit(_NO_TIME)).cast("long").alias("_end"),
                           F.to_timestamp(F.lit(_NEVER_LATE)).alias("_time"))
             .withWatermark("_time", late))
     clock = stream.select(at.alias("_time")).where("_time is not null").withWatermark("_time", late)
     nothing = clock.where(F.col("_time") > F.to_timestamp(F.lit(_NEVER_LATE))).select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA], F.lit(False).alias("_ok"), F.lit(None).cast("long").alias("_end"), "_time")
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA], F.lit(False).alias("_ok"),
+        F.lit(None).cast("long").alias("_slot"), F.lit(None).cast("long").alias("_end"), "_time")
     both = nothing.unionByName(data)
-    return both.groupBy("ip", "_end").applyInPandasWithState(
+    return both.groupBy("_slot", "_end").applyInPandasWithState(
         keep_first, OUT_SCHEMA, T.StructType([T.StructField("rows", T.BinaryType())]), "append",
         GroupStateTimeout.EventTimeTimeout)
 
 
 def write_sides(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Drain every available file; a trigger's rows go to ``out/epoch=<batch id>/side=<side>``."""
+    """Drain every available file; a trigger's rows go to ``out/epoch=<batch id>/side=<side>``.
+
+    A new checkpoint gets two state partitions a core, or the session's number of shuffle
+    partitions if that is less: every trigger opens and commits each of them, even empty ones.
+    """
+    spark = rows.sparkSession
+    width = spark.conf.get(_WIDTH)
+
     def sink(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").partitionBy("side").parquet(f"{out}/epoch={epoch}")
 
-    q = (rows.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    spark.conf.set(_WIDTH, str(min(int(width), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        q = (rows.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(_WIDTH, width)
     q.awaitTermination()
     return q
 
@@ -163,13 +182,12 @@ def by_arrival(raw: DataFrame, files: int) -> list[DataFrame]:
 
 
 def stream_dedupe_ordered(spark: SparkSession, sf_dir: str, files: int = 6) -> DataFrame:
-    """Land the raw log as shuffled deliveries, one file a trigger; the clean log from the stream's outputs."""
+    """Land the raw log as shuffled deliveries, each drained in one trigger however many files it
+    has; the clean log from the stream's outputs."""
     land, out, ck = (scratch_path(spark, n) for n in ("landing-ordered", "log-ordered", "ck-ordered"))
-    for part in by_arrival(X.history_raw(spark, sf_dir), files):
+    for part in [*by_arrival(X.history_raw(spark, sf_dir), files), closing_row(spark, "2100-01-01 00:00:00")]:
         part.write.mode("append").parquet(land)
-    closing_row(spark, "2100-01-01 00:00:00").write.mode("append").parquet(land)
-    stream = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 1).parquet(land)
-    write_sides(ordered_dedupe(stream, late="8 days"), out, ck)
+        write_sides(ordered_dedupe(spark.readStream.schema(LOG_SCHEMA).parquet(land), late="8 days"), out, ck)
     for path in (land, ck):
         drop_path(spark, path)
     return read_deduped(spark, out)

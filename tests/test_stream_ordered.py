@@ -106,3 +106,31 @@ def test_deliveries_keep_every_row(spark, files):
 
     raw = X.history_raw(spark, "/root/testdata/sf0.001")
     assert sum(p.count() for p in O.by_arrival(raw, files)) == raw.count()
+
+
+def test_groups_follow_slots_and_buckets_not_devices(spark):
+    """Devices of a slot share a group; each keeps its own smallest sequence."""
+    sent = [row(1000 + i, f"d{i % 500}", f"2024-01-1{i % 2} 01:00:00") for i in range(2000)] + [row(3000, None, "2024-01-10 01:00:00")]
+    f = Feed(spark).send(sent).send([row(7, "d3", "2024-01-11 01:00:00"), row(8, None, "2024-01-10 01:00:00")]).run()
+    held = spark.read.format("statestore").load(f.ck)
+    assert 0 < held.count() <= 2 * O.SLOTS
+    f.close().run()
+    f.check()
+
+
+def test_a_delivery_of_many_files_is_one_trigger(spark, monkeypatch):
+    epochs = []
+    write = O.write_sides
+
+    def counted(rows, out, ck):
+        q = write(rows, out, ck)
+        epochs.append([p["batchId"] for p in q.recentProgress if p["numInputRows"]])
+        return q
+
+    monkeypatch.setattr(O, "write_sides", counted)
+    monkeypatch.setattr(O, "by_arrival", lambda raw, files: [raw.repartition(5)])
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    got = O.stream_dedupe_ordered(spark, "/root/testdata/sf0.001")
+    want = clean_history(O.X.history_raw(spark, "/root/testdata/sf0.001"))
+    assert [len(e) for e in epochs] == [1, 1] and spark.conf.get("spark.sql.shuffle.partitions") == width
+    assert sorted(map(tuple, got.select(want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
