@@ -478,7 +478,8 @@ def stream_latest(spark, d):
 
 
 def stream_refresh(spark, d):
-    """Poll rows land class by class, each class in two deliveries; every trigger rewrites its class only."""
+    """Poll rows land class by class, each class in two deliveries; a delivery is one trigger however
+    many files it has, and rewrites its class only."""
     land, root, ck, all_polls = (scratch_path(spark, n) for n in ("landing-poll", "inventory", "ck-poll", "polls"))
     _poll(spark, d).write.parquet(all_polls)
     poll = spark.read.parquet(all_polls)
@@ -488,8 +489,7 @@ def stream_refresh(spark, d):
     for cls in sorted(r[0] for r in poll.select("device_class").distinct().collect()):      # the fixed classes
         for i in range(2):
             poll.filter((F.col("device_class") == cls) & (half == i)).write.mode("append").parquet(land)
-    stream = spark.readStream.schema(poll.schema).option("maxFilesPerTrigger", 1).parquet(land)
-    run_upserts(stream, store, R.refresh_keyed, ck)
+            run_upserts(spark.readStream.schema(poll.schema).parquet(land), store, R.refresh_keyed, ck)
     store.vacuum(1)
     for path in (land, ck, all_polls):
         drop_path(spark, path)

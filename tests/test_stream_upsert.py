@@ -107,3 +107,15 @@ def test_empty_table(spark):
     t = ClassTable(spark, scratch_path(spark, "u-none"))
     t.start(inventory(spark).limit(0))
     assert t.read().collect() == [] and not t.upsert(poll(spark, []), 0, R.refresh_keyed)
+
+
+def test_a_delivery_of_many_files_is_one_version(spark, monkeypatch):
+    from supplyscope.plans import catalog
+
+    polled, versions, vacuum = catalog._poll, [], ClassTable.vacuum
+    monkeypatch.setattr(catalog, "_poll", lambda s, d: polled(s, d).repartition(7))
+    monkeypatch.setattr(ClassTable, "vacuum", lambda self, keep: versions.extend(self.versions()) or vacuum(self, keep))
+    got = catalog.stream_refresh(spark, "/root/testdata/sf0.001")
+    want = catalog.refresh_inventory(spark, "/root/testdata/sf0.001")
+    assert versions == list(range(7))                              # the inventory and two deliveries of three classes
+    assert sorted(map(tuple, got.select(want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
