@@ -8,7 +8,8 @@ join on a salt: a hash of the key, or of the whole row where the key has a
 NULL.  Such rows match nothing, and the salt spreads them over all tasks, so
 the inventory is read once and no group of keyless rows lands in one task.
 Tables bucketed by key and salt (:mod:`supplyscope.sources.buckets`) join
-without a shuffle.
+without a shuffle.  A fan-out join of a key with many rows on both sides is
+cut into blocks of row pairs, since its output grows with their product.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ from supplyscope.operators.history import dedupe_first
 
 NEW = "_new"
 SALT = "_salt"
+FANOUT_BLOCK = 2048        # rows of a key on either side that meet in one block
+_INV_BLOCK, _POLL_BLOCK, _HIT = "_inv_block", "_poll_block", "_hit"
+_CUT = "_cut"
 _NESTED = ("map", "array", "struct", "variant")
 
 
@@ -32,10 +36,13 @@ def has_key(keys: list[str]) -> Column:
     return reduce(and_, [F.col(k).isNotNull() for k in keys])
 
 
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[f"`{c}`" for c, t in df.dtypes if not t.startswith(_NESTED)])
+
+
 def salted(df: DataFrame, keys: list[str]) -> DataFrame:
     """``df`` with the salt of its rows: alike for equal keys, spread for rows without one."""
-    plain = [f"`{c}`" for c, t in df.dtypes if not t.startswith(_NESTED)]
-    return df.withColumn(SALT, F.when(has_key(keys), F.xxhash64(*keys)).otherwise(F.xxhash64(*plain)))
+    return df.withColumn(SALT, F.when(has_key(keys), F.xxhash64(*keys)).otherwise(_row_hash(df)))
 
 
 def require_columns(df: DataFrame, cols: list[str], what: str = "table") -> None:
@@ -45,6 +52,34 @@ def require_columns(df: DataFrame, cols: list[str], what: str = "table") -> None
         raise KeyError(f"{what} lacks column(s) {missing}")
 
 
+def _blocked(inv: DataFrame, poll: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with the block columns to join on beside ``by``, dealt over tasks by them.
+
+    A key with more than ``FANOUT_BLOCK`` rows on a side is cut: each inventory row goes to
+    one inventory block and meets every poll block, and the other way round, so each pair
+    meets once. ``_CUT`` marks inventory rows of such keys; all of these have polls. The
+    keys to cut are at most rows / ``FANOUT_BLOCK`` a side and are broadcast.
+    """
+    n = poll.groupBy(*by).agg(F.count(F.lit(1)).alias("_polls"))
+    m = inv.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    parts = lambda c: F.ceil(F.col(c) / FANOUT_BLOCK).cast("int")
+    cut = (n.join(m, by).filter(F.greatest("_polls", "_rows") > FANOUT_BLOCK)
+           .select(*by, parts("_rows").alias(_CUT), parts("_polls").alias("_polls")))
+
+    def dealt(df: DataFrame, own: str, own_parts: str, other: str, other_parts: str) -> DataFrame:
+        return (df.withColumn("_spread", _row_hash(df)).join(F.broadcast(cut), by, "left")
+                .withColumn(own, F.pmod("_spread", F.coalesce(F.col(own_parts), F.lit(1))).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other_parts), F.lit(1)) - 1)))
+                .drop("_spread", "_polls"))
+
+    both = [*by, _INV_BLOCK, _POLL_BLOCK]
+    inv = dealt(inv, _INV_BLOCK, _CUT, _POLL_BLOCK, "_polls")
+    poll = dealt(poll, _POLL_BLOCK, "_polls", _INV_BLOCK, _CUT).drop(_CUT).withColumn(_HIT, F.lit(True))
+    # A set number of partitions: coalescing goes by the bytes read, and the output is what counts.
+    width = int(inv.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return inv.repartition(width, *both), poll.repartition(width, *both), both
+
+
 def merge_left(inv: DataFrame, poll: DataFrame, keys: list[str] | None = None,
                dedupe_tie: str | None = "seq", allow_fanout: bool = False) -> DataFrame:
     """``inv LEFT JOIN poll`` on ``keys``; poll columns clashing with the
@@ -63,10 +98,15 @@ def merge_left(inv: DataFrame, poll: DataFrame, keys: list[str] | None = None,
     poll = (poll if SALT in poll.columns else salted(poll, keys)).filter(has_key(keys))
     if not allow_fanout and dedupe_tie and dedupe_tie in poll.columns:
         poll = dedupe_first(poll, by, tie=dedupe_tie)
+    if allow_fanout:
+        inv, poll, by = _blocked(inv, poll, by)
     if dedupe_tie and dedupe_tie in poll.columns:
         poll = poll.drop(dedupe_tie)
     renamed = [F.col(c).alias(c + NEW if c in columns else c) for c in poll.columns if c not in by]
-    return inv.join(poll.select(*by, *renamed), on=by, how="left").drop(SALT)
+    joined = inv.join(poll.select(*by, *renamed), on=by, how="left")
+    if allow_fanout:                  # a copy of a row in a block without polls is no row of the result
+        joined = joined.filter(F.col(_CUT).isNull() | F.col(_HIT).isNotNull())
+    return joined.drop(SALT, _INV_BLOCK, _POLL_BLOCK, _CUT, _HIT)
 
 
 def _new(c: str, j: DataFrame | None = None) -> Column:

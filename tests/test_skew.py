@@ -78,3 +78,24 @@ def test_step_table_split_equals_plain(spark):
     split = {r.seq: tuple(r) for r in step_table_split(df, ["device", "supply"], block_rows=500)
              .select(*cols).collect()}
     assert split == plain
+
+
+def test_fanout_of_a_hot_key_is_cut_into_blocks(spark, monkeypatch):
+    from collections import Counter
+
+    from supplyscope.operators import merge as M
+
+    monkeypatch.setattr(M, "FANOUT_BLOCK", 20)
+    ip = F.when(F.col("id") < 150, "hot").when(F.col("id") < 160, F.lit(None)).otherwise(F.concat(F.lit("k"), (F.col("id") % 30).cast("string")))
+    inv = spark.range(250).select(F.col("id").alias("device_id"), ip.alias("ip"), F.lit("10%").alias("toner"))
+    poll = spark.range(40, 220).select(ip.alias("ip"), F.col("id").alias("seq"), F.col("id").cast("string").alias("toner"))
+    got = M.merge_left(inv, poll, allow_fanout=True)
+    assert got.columns == ["ip", "device_id", "toner", "toner_new"]
+    polls = poll.select("ip", F.col("toner").alias("toner_new"))
+    want = inv.join(polls, "ip", "left").select(got.columns)
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    blocked = M._blocked(M.salted(inv, ["ip"]), M.salted(poll, ["ip"]).filter("ip is not null"), ["ip", M.SALT])
+    for side, replicas in zip(blocked[:2], (6, 8)):                 # 110 polls make 6 blocks, 150 devices 8
+        hot = side.filter("ip = 'hot'").groupBy(M._INV_BLOCK, M._POLL_BLOCK).count().collect()
+        assert max(r["count"] for r in hot) < 60
+        assert sum(r["count"] for r in hot) == replicas * side.filter("ip = 'hot'").select("device_id" if "device_id" in side.columns else "seq").distinct().count()
