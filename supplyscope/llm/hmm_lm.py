@@ -263,7 +263,7 @@ def forward_backward(m: Model, cls: np.ndarray, ends: np.ndarray, into: np.ndarr
         p, prior, go = Pieces.of(at[some], size[some]), before[some].T.astype(np.float32), on[some]
         off = np.concatenate(([0], np.cumsum(p.live)))
         place = np.concatenate([p.at[:n] + t for t, n in enumerate(p.live)])
-        see = emit[:, cls[place]]                      # what each state says to each token, then alpha, then gamma
+        see = emit.take(cls[place].astype(np.intp), axis=1)   # what each state says to each token, then alpha, then gamma
         scale = np.empty(len(place), np.float32)
         alpha = np.empty((STATES, len(place)), np.float32)
         x = np.where(go, to_next @ prior, prior)
@@ -293,7 +293,7 @@ def forward_backward(m: Model, cls: np.ndarray, ends: np.ndarray, into: np.ndarr
         moves += prior[:, go] @ first[:, go].T
         alpha[:, :len(some)] = gamma
         starts += gamma[:, ~go].sum(1)
-        seen = into[place]
+        seen = into[place].astype(np.intp)             # once, not once a state
         for s in range(STATES):
             by[s] += np.bincount(seen, alpha[s], size_into)
     return by.T, moves * m.move, starts, like
