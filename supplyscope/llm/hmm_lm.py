@@ -49,12 +49,14 @@ STATES = 8                 # one byte each of a word's packed shares
 FREQUENT, RARE = 4096, 2048
 LEAST_SHARE = 1 / (1 << 17)   # of a block's tokens: a word below it in every block is in a rare class
 PARTS = 16                 # parts of the corpus, each followed by a maximization
-SEGMENT = 4096             # longest piece of a text that is run through at once
+SEGMENT = 4096             # longest piece of a text that is run through at once,
+WHOLE = 3                  # unless no text of a batch is longer than so many pieces: then steps cost less than transfer matrices
 SETTLED = 5e-4             # nats a token that another round must promise
 SMOOTH = 0.1               # added to each count of the base model
 SHARE = 255                # a word's share of a state, in whole steps
 _SLICE = 16 << 20          # bytes of text of a block
 _RUN = 1 << 21             # tokens of a training batch
+_AT_ONCE = 1 << 15         # tokens whose figures are made at once, so that they stay in the cache
 
 
 # ---------------------------------------------------------------- tokens and counts
@@ -144,8 +146,11 @@ def training_tokens(b: pa.RecordBatch, i: int, frequent: pa.Array) -> tuple[np.n
 
 def coded_parts(read: DataFrame, frequent: list[str]) -> DataFrame:
     """``(part, cls)``: classes of training texts end to end, a row for each block and part.
-    Class 0 is the end mark and nothing else, so it tells the texts apart."""
+    Class 0 is the end mark and nothing else, so it tells the texts apart. Rows of a part are
+    brought together by about a batch's tokens, so that a part is few files however many blocks there are."""
     top = pa.array(frequent, pa.string())
+    tokens = read.agg(F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0] or 0
+    groups = 1 + tokens // (PARTS * _RUN * 3 // 4)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -156,7 +161,8 @@ def coded_parts(read: DataFrame, frequent: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(rows, pa.binary())],
                                                  names=["part", "cls"])
 
-    return read.select("held", "n", "ids", "words").mapInArrow(run, "part int, cls binary").where(F.length("cls") > 0)
+    rows = read.select("held", "n", "ids", "words").mapInArrow(run, "part int, cls binary").where(F.length("cls") > 0)
+    return rows.repartition(PARTS * groups, "part", F.pmod(F.xxhash64("cls"), F.lit(groups)))
 
 
 def class_counts(coded: DataFrame) -> np.ndarray:
@@ -207,6 +213,12 @@ class Pieces:
         return cls(at, size, np.searchsorted(-size, -np.arange(size[0]), side="left"))
 
 
+def spans(off: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of steps of about ``_AT_ONCE`` tokens; step ``t`` has the tokens from ``off[t]`` on."""
+    new = np.flatnonzero(np.diff(off[:-1] // _AT_ONCE, prepend=-1))
+    yield from zip(new.tolist(), [*new[1:].tolist(), len(off) - 1])
+
+
 def transfers(m: Model, obs: np.ndarray, p: Pieces, on: np.ndarray) -> np.ndarray:
     """Per piece the matrix that takes the state before it to the state at its end,
     up to a factor; the move into the piece is part of it where ``on``."""
@@ -249,53 +261,76 @@ def forward_backward(m: Model, cls: np.ndarray, ends: np.ndarray, into: np.ndarr
     into, size_into = (cls, len(m.emit)) if into is None else (into, size_into)
     stop = np.flatnonzero(ends) + 1
     first = np.concatenate(([0], stop[:-1]))
-    many = -(-(stop - first) // SEGMENT)
+    longest = int((stop - first).max())
+    piece = SEGMENT if longest > WHOLE * SEGMENT else longest
+    many = -(-(stop - first) // piece)
     j = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    at = np.repeat(first, many) + j * SEGMENT
-    size, on = np.minimum(SEGMENT, np.repeat(stop, many) - at), j > 0
+    at = np.repeat(first, many) + j * piece
+    size, on = np.minimum(piece, np.repeat(stop, many) - at), j > 0
     before, after = edges(m, cls, at, size, on)
-    emit, move = np.ascontiguousarray(m.emit.T, np.float32), m.move.astype(np.float32)
-    back_move, to_next = np.ascontiguousarray(move), np.ascontiguousarray(move.T)
+    emit, move, ones = m.emit.astype(np.float32), m.move.astype(np.float32), np.ones((STATES, STATES), np.float32)
+    # Both recursions in one product: from a piece's first token on, and from its last one back. Sums over states are
+    # products with ones, so that all arrays run along memory.
+    step, sums = np.zeros((2, 2, STATES, 2, STATES), np.float32)
+    step[0, :, 0], step[1, :, 1], sums[0, :, 0], sums[1, :, 1] = move, move.T, ones, ones
+    step, sums = step.reshape(2 * STATES, -1), sums.reshape(2 * STATES, -1)
     by, moves, starts, like = np.zeros((STATES, size_into)), np.zeros((STATES, STATES)), np.zeros(STATES), 0.0
-    # Pieces are independent now; a very long text takes several runs. States are rows, so all steps run along memory.
+    # Pieces are independent now; a very long text takes several runs.
     for some in np.split(np.arange(len(at)), np.flatnonzero(np.diff((np.cumsum(size) - 1) // _RUN)) + 1):
         some = some[np.argsort(-size[some], kind="stable")]
-        p, prior, go = Pieces.of(at[some], size[some]), before[some].T.astype(np.float32), on[some]
+        p, go = Pieces.of(at[some], size[some]), on[some]
+        prior, outlook = before[some].astype(np.float32), after[some].astype(np.float32)
         off = np.concatenate(([0], np.cumsum(p.live)))
-        place = np.concatenate([p.at[:n] + t for t, n in enumerate(p.live)])
-        see = emit.take(cls[place].astype(np.intp), axis=1)   # what each state says to each token, then alpha, then gamma
-        scale = np.empty(len(place), np.float32)
-        alpha = np.empty((STATES, len(place)), np.float32)
-        x = np.where(go, to_next @ prior, prior)
-        for t, n in enumerate(p.live):
-            here = slice(off[t], off[t + 1])
-            x = x if t == 0 else to_next @ x[:, :n]
-            x *= see[:, here]
-            scale[here] = x.sum(0)
-            x /= scale[here]
-            alpha[:, here] = x
-        like += float(np.log(scale, dtype=np.float64).sum())
-        last = alpha[:, off[p.size - 1] + np.arange(len(some))]
-        beta = after[some].T.astype(np.float32)
-        beta /= (last * beta).sum(0)
-        see /= scale
-        for t in range(len(p.live) - 1, -1, -1):
-            here = slice(off[t], off[t + 1])
-            if t < len(p.live) - 1:
-                n = p.live[t + 1]
-                nxt = slice(off[t + 1], off[t + 2])
-                ahead = beta[:, :n] * see[:, nxt]
-                moves += alpha[:, here][:, :n] @ ahead.T
-                beta[:, :n] = back_move @ ahead
-                alpha[:, nxt] = gamma
-            gamma = alpha[:, here] * beta[:, :p.live[t]]
-        first = beta * see[:, :len(some)]
-        moves += prior[:, go] @ first[:, go].T
-        alpha[:, :len(some)] = gamma
-        starts += gamma[:, ~go].sum(1)
-        seen = into[place].astype(np.intp)             # once, not once a state
-        for s in range(STATES):
-            by[s] += np.bincount(seen, alpha[s], size_into)
+        seen = np.empty(off[-1], np.intp)                  # what the tokens are counted by, once and not once a state
+        both = np.empty((off[-1], 2 * STATES), np.float32)
+        x = np.hstack([np.where(go[:, None], prior @ move, prior), outlook])
+        for a, b in spans(off):
+            t, i = np.repeat(np.arange(a, b), p.live[a:b]), np.arange(off[a], off[b])
+            i -= off[t]
+            place = p.at[i] + t
+            seen[off[a]:off[b]] = into[place]
+            pair = np.stack([cls[place], cls[2 * p.at[i] + p.size[i] - 1 - place]], axis=1).astype(np.intp)
+            see = emit.take(pair.ravel(), axis=0).reshape(-1, 2 * STATES)      # what each state says to each token
+            at_step, o = off[a:b + 1].tolist(), int(off[a])
+            for lo, hi in zip(at_step[:-1], at_step[1:]):
+                here = both[lo:hi]
+                if lo:
+                    x = x[:hi - lo]
+                    np.matmul(x, step, out=here)
+                    here /= x @ sums
+                    here *= see[lo - o:hi - o]
+                else:
+                    np.multiply(x, see[:hi], out=here)
+                x = here
+        halves, counted = both.reshape(-1, STATES), 0
+        for a, b in spans(off):
+            t, i = np.repeat(np.arange(a, b), p.live[a:b]), np.arange(off[a], off[b])
+            i -= off[t]
+            left = p.size[i] - 1 - t                       # tokens of the piece after this one
+            last = np.flatnonzero(left == 0)
+            ahead = halves.take(2 * (off[left - 1] + i) + 1, axis=0, mode="clip")   # the next token's, where there is one
+            ahead /= ahead @ ones
+            ahead[last] = 0
+            alpha = both[off[a]:off[b], :STATES].copy()
+            scale = alpha @ ones
+            like += float(np.log(scale[:, 0]).sum(dtype=np.float64))
+            alpha /= scale
+            gamma = ahead @ move.T
+            gamma[last] = outlook[i[last]]
+            gamma *= alpha
+            whole = gamma @ ones
+            gamma /= whole
+            alpha /= whole
+            moves += alpha.T @ ahead
+            both[off[a]:off[b], :STATES] = gamma
+            if off[b] - counted >= size_into or off[b] == off[-1]:
+                group, counted = slice(counted, off[b]), off[b]
+                for s in range(STATES):
+                    by[s] += np.bincount(seen[group], both[group, s], size_into)
+        cut = np.flatnonzero(go)
+        ahead = both[off[p.size[cut] - 1] + cut, STATES:]
+        moves += prior[cut].T @ (ahead / (prior[cut] @ move * ahead).sum(1, keepdims=True))
+        starts += both[:len(go), :STATES][~go].sum(0)
     return by.T, moves * m.move, starts, like
 
 
@@ -551,6 +586,7 @@ def score_documents(docs: DataFrame, held_out: Column, rounds: int | None = None
     read, read_path = stage_table(blocks(docs, held_out, key, text), "lm-blocks", compression="zstd")
     frequent = frequent_words(read)
     coded, coded_path = stage_table(coded_parts(read, frequent), "lm-classes", by="part", compression="zstd")
+    let_go(spark)
     m = fit(coded, class_counts(coded), rounds)
     drop_path(spark, coded_path)
     table, table_path = stage_table(word_table(word_shares(read, m, frequent), frequent), "lm-words", compression="zstd")
