@@ -21,8 +21,8 @@ outside the training texts, and only these, are scored by their class.
 The texts are read once, into blocks: rows of local word numbers with the
 block's dictionary. Dictionaries, not tokens, are shuffled to add up counts and
 to bring emissions back to the blocks. Expected counts are exact sums over
-texts: a text longer than ``SEGMENT`` tokens is cut into pieces that run abreast, and products
-of the pieces' transfer matrices carry the recursions over the cuts. Scores
+texts: where a text is longer than ``WHOLE`` times ``SEGMENT`` tokens, texts are cut into pieces that run
+abreast, and products of the pieces' transfer matrices carry the recursions over the cuts. Scores
 are exact: the scaled forward recursion runs over each whole text. A word's
 distribution over the states travels in eight bits a state.
 """
@@ -49,8 +49,8 @@ STATES = 8                 # one byte each of a word's packed shares
 FREQUENT, RARE = 4096, 2048
 LEAST_SHARE = 1 / (1 << 17)   # of a block's tokens: a word below it in every block is in a rare class
 PARTS = 16                 # parts of the corpus, each followed by a maximization
-SEGMENT = 4096             # longest piece of a text that is run through at once,
-WHOLE = 3                  # unless no text of a batch is longer than so many pieces: then steps cost less than transfer matrices
+SEGMENT = 4096             # longest piece of a text that is run through at once
+WHOLE = 3                  # texts of a batch without one longer than so many pieces are not cut: steps cost less than matrices
 SETTLED = 5e-4             # nats a token that another round must promise
 SMOOTH = 0.1               # added to each count of the base model
 SHARE = 255                # a word's share of a state, in whole steps
@@ -158,11 +158,12 @@ def coded_parts(read: DataFrame, frequent: list[str]) -> DataFrame:
                 ids, n, cls = training_tokens(b, i, top)
                 texts = np.split(cls[ids], np.cumsum(n)[:-1])
                 rows = [np.concatenate([np.zeros(0, np.uint16), *texts[p::PARTS]]).tobytes() for p in range(PARTS)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(rows, pa.binary())],
-                                                 names=["part", "cls"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(rows, pa.binary()),
+                                                  pa.array([b.column("block")[i].as_py()] * PARTS)], names=["part", "cls", "block"])
 
-    rows = read.select("held", "n", "ids", "words").mapInArrow(run, "part int, cls binary").where(F.length("cls") > 0)
-    return rows.repartition(PARTS * groups, "part", F.pmod(F.xxhash64("cls"), F.lit(groups)))
+    rows = read.select("block", "held", "n", "ids", "words").mapInArrow(run, "part int, cls binary, block long")
+    return (rows.where(F.length("cls") > 0).repartition(PARTS * groups, "part", F.pmod(F.xxhash64("block"), F.lit(groups)))
+            .drop("block"))
 
 
 def class_counts(coded: DataFrame) -> np.ndarray:
@@ -522,13 +523,18 @@ def log10_likelihoods(m: Model, texts: list[np.ndarray]) -> np.ndarray:
     size, flat = size[order], np.concatenate([texts[i] for i in order])
     at = np.cumsum(size) - size
     total = np.zeros(len(texts))
-    x = np.tile(m.start, (len(texts), 1))
-    live = np.searchsorted(-size, -np.arange(size[0]), side="left") if len(size) else []
-    for t, n in enumerate(live):                       # texts longer than t
-        x = (x[:n] @ m.move if t else x[:n]) * m.emit[flat[at[:n] + t]]
-        s = x.sum(1)
-        x /= s[:, None]
-        total[:n] += np.log(s)
+    p, ones, x = Pieces.of(at, size), np.ones((STATES, STATES)), np.tile(m.start, (len(texts), 1))
+    off = np.concatenate(([0], np.cumsum(p.live)))     # steps; each has a token of the texts longer than it
+    for a, b in spans(off):
+        t, i = np.repeat(np.arange(a, b), p.live[a:b]), np.arange(off[a], off[b])
+        i -= off[t]
+        see = m.emit.take(flat[at[i] + t].astype(np.intp), axis=0)
+        at_step = (off[a:b + 1] - off[a]).tolist()
+        for k, (lo, hi) in enumerate(zip(at_step[:-1], at_step[1:])):
+            here = see[lo:hi]                          # becomes alpha, whose sum is the token's probability
+            here *= x[:hi - lo] @ m.move / (x[:hi - lo] @ ones) if a + k else x
+            x = here
+        total += np.bincount(i, np.log(see @ ones[0]), len(texts))
     out = np.empty(len(texts))
     out[order] = total / np.log(10)
     return out

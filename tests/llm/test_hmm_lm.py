@@ -104,6 +104,46 @@ def test_expected_counts_do_not_depend_on_the_cuts(monkeypatch, segment):
     assert got[1].sum() == pytest.approx(len(cls) - len(texts), rel=1e-5)
 
 
+def test_texts_of_a_few_pieces_need_no_matrices(monkeypatch):
+    """Cutting them would cost more steps than it saves; counts are the same either way."""
+    m = small_model(monkeypatch, seed=4)
+    rng = np.random.default_rng(4)
+    cls = np.concatenate([np.append(rng.integers(1, 5, n), 0) for n in (29, 3, 20)]).astype(np.uint16)
+    want = H.forward_backward(m, cls, cls == 0)
+    monkeypatch.setattr(H, "SEGMENT", 10)
+    monkeypatch.setattr(H, "transfers", lambda *a: pytest.fail("a text of three pieces was cut"))
+    for a, b in zip(H.forward_backward(m, cls, cls == 0), want):
+        assert a == pytest.approx(b, rel=1e-5)
+
+
+def test_results_do_not_depend_on_how_many_tokens_are_made_at_once(monkeypatch):
+    m = small_model(monkeypatch, seed=5)
+    rng = np.random.default_rng(5)
+    texts = [np.append(rng.integers(1, 5, n), 0).astype(np.uint16) for n in (0, 40, 3, 3, 17, 1)]
+    cls = np.concatenate(texts)
+    want, like = H.forward_backward(m, cls, cls == 0, cls, 5), H.log10_likelihoods(m, texts)
+    assert like.sum() == pytest.approx(want[3] / math.log(10), rel=1e-5)
+    monkeypatch.setattr(H, "_AT_ONCE", 4)
+    for a, b in zip(H.forward_backward(m, cls, cls == 0, cls, 5), want):
+        assert a == pytest.approx(b, rel=1e-5)
+    assert H.log10_likelihoods(m, texts) == pytest.approx(like)
+
+
+def test_files_of_a_part_follow_its_tokens(spark, monkeypatch):
+    """Ten tasks write no more files than the part has batches, and no token is lost."""
+    rows = [(i, "a b c d e f g h i", "s") for i in range(200)]
+    read, _ = H.stage_table(H.blocks(docs(spark, rows).repartition(10), F.lit(False), "doc_id", "text"), "t-blocks")
+    assert read.count() == 10
+    for run, most in ((1 << 21, 1), (500, 2)):
+        monkeypatch.setattr(H, "_RUN", run)
+        coded, _ = H.stage_table(H.coded_parts(read, ["a", "b"]), "t-classes", by="part")
+        got = coded.withColumn("file", F.input_file_name()).groupBy("part").agg(
+            F.countDistinct("file").alias("files"), F.sum(F.length("cls")).alias("bytes")).collect()
+        assert len(got) == H.PARTS and all(r.files <= most for r in got)
+        assert sum(r.bytes for r in got) == 2 * 200 * 10
+        assert max(r.files for r in got) == most
+
+
 def test_counts_by_word_are_those_of_all_paths(monkeypatch):
     """The same posteriors, added up by other numbers than the classes that emit."""
     m = small_model(monkeypatch, seed=1)
