@@ -79,7 +79,8 @@ def split_block(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
 
 def blocks(docs: DataFrame, held_out: Column, key: str, text: str) -> DataFrame:
     """One row per block: its texts (keys, held out or not, tokens, word numbers end to
-    end) and its dictionary (words by number with their counts in training texts)."""
+    end), its dictionary (words by number with their counts in training texts) and, of
+    that, the words (the end mark apart) that make up ``LEAST_SHARE`` of its training tokens."""
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(held_out, F.lit(False)).alias("held"),
                        F.col(f"`{text}`").alias("text"))
@@ -92,14 +93,17 @@ def blocks(docs: DataFrame, held_out: Column, key: str, text: str) -> DataFrame:
                 ids, count, names = split_block(b.column("text"))
                 held = b.column("held").to_numpy(zero_copy_only=False).astype(bool)
                 tf = np.bincount(ids[np.repeat(~held, count)], minlength=len(names))
+                often = np.flatnonzero((tf > 0) & (tf >= tf.sum() * LEAST_SHARE))
+                often = often[[names[i] != "" for i in often]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block]), listed(pa.concat_arrays([b.column("key")])), listed(pa.array(held)),
                      listed(pa.array(count)), pa.array([ids.tobytes()], pa.binary()), listed(pa.array(names, pa.string())),
-                     listed(pa.array(tf))], names=["block", "key", "held", "n", "ids", "words", "tf"])
+                     listed(pa.array(tf)), listed(pa.array([names[i] for i in often], pa.string())), listed(pa.array(tf[often]))],
+                    names=["block", "key", "held", "n", "ids", "words", "tf", "often", "often_tf"])
                 block += 1
 
     return rows.mapInArrow(run, f"block long, key array<{kind}>, held array<boolean>, n array<long>, ids binary, "
-                                "words array<string>, tf array<long>")
+                                "words array<string>, tf array<long>, often array<string>, often_tf array<long>")
 
 
 def dictionary(read: DataFrame) -> DataFrame:
@@ -112,10 +116,7 @@ def frequent_words(read: DataFrame) -> list[str]:
     """The ``FREQUENT`` words (the end mark apart) with the highest counts over those blocks in
     which they make up ``LEAST_SHARE`` of the training tokens: at most 1 / ``LEAST_SHARE`` rows a
     block are shuffled. Ties go by the word."""
-    total = F.aggregate("tf", F.lit(0).cast("long"), lambda x, y: x + y)
-    often = read.select(F.filter(F.arrays_zip("words", "tf"), lambda w: (w["words"] != "") & (w["tf"] > 0)).alias("ws"),
-                        total.alias("n"))
-    often = often.select(F.explode(F.filter("ws", lambda w: w["tf"] >= F.col("n") * F.lit(LEAST_SHARE))).alias("w"))
+    often = read.select(F.explode(F.arrays_zip(F.col("often").alias("words"), F.col("often_tf").alias("tf"))).alias("w"))
     top = often.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.tf").alias("c")).orderBy(F.desc("c"), "word").limit(FREQUENT)
     return [r["word"] for r in top.collect()]
 
@@ -276,9 +277,9 @@ def forward_backward(m: Model, cls: np.ndarray, ends: np.ndarray, into: np.ndarr
     step[0, :, 0], step[1, :, 1], sums[0, :, 0], sums[1, :, 1] = move, move.T, ones, ones
     step, sums = step.reshape(2 * STATES, -1), sums.reshape(2 * STATES, -1)
     by, moves, starts, like = np.zeros((STATES, size_into)), np.zeros((STATES, STATES)), np.zeros(STATES), 0.0
-    # Pieces are independent now; a very long text takes several runs.
-    for some in np.split(np.arange(len(at)), np.flatnonzero(np.diff((np.cumsum(size) - 1) // _RUN)) + 1):
-        some = some[np.argsort(-size[some], kind="stable")]
+    # Pieces are independent now. Runs are of pieces of like size, so that only the first has many steps.
+    order = np.argsort(-size, kind="stable")
+    for some in np.split(order, np.flatnonzero(np.diff((np.cumsum(size[order]) - 1) // (_RUN // 4))) + 1):
         p, go = Pieces.of(at[some], size[some]), on[some]
         prior, outlook = before[some].astype(np.float32), after[some].astype(np.float32)
         off = np.concatenate(([0], np.cumsum(p.live)))
