@@ -147,8 +147,8 @@ def training_tokens(b: pa.RecordBatch, i: int, frequent: pa.Array) -> tuple[np.n
 
 def coded_parts(read: DataFrame, frequent: list[str]) -> DataFrame:
     """``(part, cls)``: classes of training texts end to end, a row for each block and part.
-    Class 0 is the end mark and nothing else, so it tells the texts apart. Rows of a part are
-    brought together by about a batch's tokens, so that a part is few files however many blocks there are."""
+    Class 0 is the end mark and nothing else, so it tells the texts apart. A task takes
+    blocks for about a batch of each part, so that a part is few files however many blocks there are."""
     top = pa.array(frequent, pa.string())
     tokens = read.agg(F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0] or 0
     groups = 1 + tokens // (PARTS * _RUN * 3 // 4)
@@ -159,12 +159,11 @@ def coded_parts(read: DataFrame, frequent: list[str]) -> DataFrame:
                 ids, n, cls = training_tokens(b, i, top)
                 texts = np.split(cls[ids], np.cumsum(n)[:-1])
                 rows = [np.concatenate([np.zeros(0, np.uint16), *texts[p::PARTS]]).tobytes() for p in range(PARTS)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(rows, pa.binary()),
-                                                  pa.array([b.column("block")[i].as_py()] * PARTS)], names=["part", "cls", "block"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(rows, pa.binary())],
+                                                 names=["part", "cls"])
 
-    rows = read.select("block", "held", "n", "ids", "words").mapInArrow(run, "part int, cls binary, block long")
-    return (rows.where(F.length("cls") > 0).repartition(PARTS * groups, "part", F.pmod(F.xxhash64("block"), F.lit(groups)))
-            .drop("block"))
+    few = read.select("held", "n", "ids", "words").coalesce(groups)
+    return few.mapInArrow(run, "part int, cls binary").where(F.length("cls") > 0)
 
 
 def class_counts(coded: DataFrame) -> np.ndarray:
@@ -593,7 +592,6 @@ def score_documents(docs: DataFrame, held_out: Column, rounds: int | None = None
     read, read_path = stage_table(blocks(docs, held_out, key, text), "lm-blocks", compression="zstd")
     frequent = frequent_words(read)
     coded, coded_path = stage_table(coded_parts(read, frequent), "lm-classes", by="part", compression="zstd")
-    let_go(spark)
     m = fit(coded, class_counts(coded), rounds)
     drop_path(spark, coded_path)
     table, table_path = stage_table(word_table(word_shares(read, m, frequent), frequent), "lm-words", compression="zstd")
