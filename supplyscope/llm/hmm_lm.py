@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyscope.llm.common import reliable, slices, stage_table
-from supplyscope.session import drop_path
+from supplyscope.session import drop_path, setting
 
 STATES = 8                 # one byte each of a word's packed shares
 FREQUENT, RARE = 4096, 2048
@@ -54,56 +54,86 @@ WHOLE = 3                  # texts of a batch without one longer than so many pi
 SETTLED = 5e-4             # nats a token that another round must promise
 SMOOTH = 0.1               # added to each count of the base model
 SHARE = 255                # a word's share of a state, in whole steps
-_SLICE = 16 << 20          # bytes of text of a block
+_SLICE = 16 << 20          # bytes of text of a block at most, but for a longer text
+_BATCH = 12 << 20          # bytes at which rows go on to Python, so that texts make a block and blocks come one by one
 _RUN = 1 << 21             # tokens of a training batch
 _AT_ONCE = 1 << 15         # tokens whose figures are made at once, so that they stay in the cache
 
 
 # ---------------------------------------------------------------- tokens and counts
-def split_block(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(local word numbers of all tokens, tokens per text, words by number), frequent
     words first; the end mark is the empty word."""
     parts = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
     off = parts.offsets.to_numpy().astype(np.int64)
-    words = parts.flatten()
-    real = pc.greater(pc.binary_length(words), 0)
-    before = np.concatenate(([0], np.cumsum(real.to_numpy(zero_copy_only=False))))[off - off[0]]
-    coded = words.filter(real).dictionary_encode()
-    names, code = [*coded.dictionary.to_pylist(), ""], coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
-    tokens = np.insert(code, before[1:], len(names) - 1)
-    order = np.argsort(-np.bincount(tokens, minlength=len(names)), kind="stable")
-    place = np.empty(len(names), np.int32)
-    place[order] = np.arange(len(names), dtype=np.int32)
-    return place[tokens], np.diff(before) + 1, [names[i] for i in order]
+    coded = parts.flatten().dictionary_encode()
+    del parts                                                  # here and below: what is large goes before more is made
+    words, code = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int32, copy=False)
+    del coded
+    end = pc.index(words, "").as_py()                          # white space around a text leaves empty words
+    if end < 0:
+        end, words = len(words), pa.concat_arrays([words, pa.array([""])])
+    real = code != end
+    before = np.concatenate(([0], np.cumsum(real)))[off - off[0]]
+    tokens = np.insert(code[real], before[1:], end)
+    del code, real
+    order = np.argsort(-np.bincount(tokens, minlength=len(words)), kind="stable")
+    place = np.empty(len(words), np.int32)
+    place[order] = np.arange(len(words), dtype=np.int32)
+    return place[tokens], np.diff(before) + 1, words.take(pa.array(order))
+
+
+def split_block(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """``numbered`` with the words as a list."""
+    ids, count, words = numbered(texts)
+    return ids, count, words.to_pylist()
+
+
+def squeezed(ids: np.ndarray) -> bytes:
+    """Word numbers as compressed bytes, all lowest bytes first: Spark holds and copies what it moves uncompressed."""
+    return pa.Codec("zstd", 1).compress(ids.astype(np.int32).view(np.uint8).reshape(-1, 4).T.tobytes(), asbytes=True)
+
+
+def ids_of(b: pa.RecordBatch | pa.Table, i: int, tokens: int) -> np.ndarray:
+    """The word numbers of block ``i``."""
+    raw = pa.Codec("zstd").decompress(b.column("ids")[i].as_py(), 4 * tokens)
+    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view(np.int32).ravel()
 
 
 def blocks(docs: DataFrame, held_out: Column, key: str, text: str) -> DataFrame:
     """One row per block: its texts (keys, held out or not, tokens, word numbers end to
-    end), its dictionary (words by number with their counts in training texts) and, of
-    that, the words (the end mark apart) that make up ``LEAST_SHARE`` of its training tokens."""
+    end), its dictionary (words by number with their counts in training texts, their classes
+    without the frequent ones) and, of that, the words (the end mark apart) that make up
+    ``LEAST_SHARE`` of its training tokens."""
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(held_out, F.lit(False)).alias("held"),
                        F.col(f"`{text}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 24
+        none = pa.array([], pa.string())
         listed = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
         for batch in batches:
             for b in slices(batch, "text", _SLICE):
-                ids, count, names = split_block(b.column("text"))
+                ids, count, words = numbered(b.column("text"))
                 held = b.column("held").to_numpy(zero_copy_only=False).astype(bool)
-                tf = np.bincount(ids[np.repeat(~held, count)], minlength=len(names))
+                tf = np.bincount(ids[np.repeat(~held, count)], minlength=len(words))
                 often = np.flatnonzero((tf > 0) & (tf >= tf.sum() * LEAST_SHARE))
-                often = often[[names[i] != "" for i in often]]
+                often = often[pc.not_equal(words.take(pa.array(often)), "").to_numpy(zero_copy_only=False)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block]), listed(pa.concat_arrays([b.column("key")])), listed(pa.array(held)),
-                     listed(pa.array(count)), pa.array([ids.tobytes()], pa.binary()), listed(pa.array(names, pa.string())),
-                     listed(pa.array(tf)), listed(pa.array([names[i] for i in often], pa.string())), listed(pa.array(tf[often]))],
-                    names=["block", "key", "held", "n", "ids", "words", "tf", "often", "often_tf"])
+                     listed(pa.array(count)), pa.array([squeezed(ids)], pa.binary()), listed(words), listed(pa.array(tf)),
+                     pa.array([classes_of(words, none).tobytes()], pa.binary()), listed(words.take(pa.array(often))), listed(pa.array(tf[often]))],
+                    names=["block", "key", "held", "n", "ids", "words", "tf", "tails", "often", "often_tf"])
                 block += 1
 
     return rows.mapInArrow(run, f"block long, key array<{kind}>, held array<boolean>, n array<long>, ids binary, "
-                                "words array<string>, tf array<long>, often array<string>, often_tf array<long>")
+                                "words array<string>, tf array<long>, tails binary, often array<string>, often_tf array<long>")
+
+
+def stage_blocks(found: DataFrame) -> tuple[DataFrame, str]:
+    """The blocks as a table. A row group is one block: Spark's writer holds, and its reader unpacks, a row group at once."""
+    return stage_table(found, "lm-blocks", compression="zstd", **{"parquet.block.row.count.limit": "1"})
 
 
 def dictionary(read: DataFrame) -> DataFrame:
@@ -141,7 +171,7 @@ def training_tokens(b: pa.RecordBatch, i: int, frequent: pa.Array) -> tuple[np.n
     """(word numbers of the block's training texts end to end, tokens per text, class of each word)."""
     held = b.column("held")[i].values.to_numpy(zero_copy_only=False).astype(bool)
     n = b.column("n")[i].values.to_numpy()
-    ids = np.frombuffer(b.column("ids")[i].as_py(), np.int32)[np.repeat(~held, n)]
+    ids = ids_of(b, i, n.sum())[np.repeat(~held, n)]
     return ids, n[~held], classes_of(b.column("words")[i].values, frequent)
 
 
@@ -414,9 +444,12 @@ def fit(coded: DataFrame, counts: np.ndarray, rounds: int | None = None, seed: i
 # ---------------------------------------------------------------- words
 def packed(expected: np.ndarray) -> np.ndarray:
     """Shares of the states in whole steps of 1 / ``SHARE``, one byte a state."""
-    total = expected.sum(1, keepdims=True)
-    steps = np.rint(expected / np.where(total > 0, total, 1) * SHARE)
-    return np.ascontiguousarray(steps, np.uint8).view(np.int64).ravel()
+    steps = np.empty(expected.shape, np.uint8)
+    for i in range(0, len(steps), _AT_ONCE):
+        some = expected[i:i + _AT_ONCE]
+        total = some.sum(1, keepdims=True)
+        steps[i:i + _AT_ONCE] = np.rint(some / np.where(total > 0, total, 1) * SHARE)
+    return steps.view(np.int64).ravel()
 
 
 def word_shares(read: DataFrame, m: Model, frequent: list[str]) -> DataFrame:
@@ -451,7 +484,8 @@ def word_table(shares: DataFrame, frequent: list[str]) -> DataFrame:
     p = F.lit(0).cast("long")
     for s in range(STATES):
         p = p.bitwiseOR(F.shiftleft(F.round(F.col(f"q{s}") * SHARE / F.greatest(total, F.lit(1))).cast("long"), 8 * s))
-    rank = spark.createDataFrame([(w, i + 1) for i, w in enumerate(frequent)], "word string, rank int")   # FREQUENT rows
+    # FREQUENT rows, from Arrow: a list would start Python workers of another kind, which stay beside those of the tasks.
+    rank = spark.createDataFrame(pa.table({"word": pa.array(frequent, pa.string()), "rank": np.arange(1, len(frequent) + 1, dtype=np.int32)}))
     tail = F.lit(1 + FREQUENT) + F.pmod(F.crc32(F.right("word", F.lit(3)).cast("binary")), F.lit(RARE))
     cls = F.when(F.col("word") == "", 0).otherwise(F.coalesce("rank", tail)).cast("int")
     return sums.join(F.broadcast(rank), "word", "left").select("word", "c", cls.alias("cls"), p.alias("p"))
@@ -473,6 +507,12 @@ class Words:
 
     def emissions(self, cls: np.ndarray, c: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Probability of each word in each state; a word with ``c`` 0 is its class's unknown word."""
+        out = np.empty((len(cls), STATES))
+        for i in range(0, len(cls), _AT_ONCE):
+            out[i:i + _AT_ONCE] = self._emissions(cls[i:i + _AT_ONCE], c[i:i + _AT_ONCE], p[i:i + _AT_ONCE])
+        return out
+
+    def _emissions(self, cls: np.ndarray, c: np.ndarray, p: np.ndarray) -> np.ndarray:
         out = self.model.emit[cls] * self.unknown[cls][:, None]
         known = np.flatnonzero(c > 0)
         k = cls[known]
@@ -540,27 +580,27 @@ def log10_likelihoods(m: Model, texts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def scored(read: DataFrame, table: DataFrame, w: Words, frequent: list[str]) -> DataFrame:
+def scored(read: DataFrame, table: DataFrame, w: Words) -> DataFrame:
     """A row per text. Each block's known words come back from the word table by
-    (block, number) and meet the block's texts."""
+    (block, number) and meet the block's texts. Frequent words are known, so the block
+    itself tells the classes of all others."""
     kind = read.schema["key"].dataType.elementType.simpleString()
-    shared, top = read.sparkSession.sparkContext.broadcast(w), pa.array(frequent, pa.string())
-    known = dictionary(read).select(F.col("block").alias("of"), "id", "word").join(table.select("word", "c", "p"), "word").drop("word")
-    texts = read.select("block", "key", "n", "held", "words", "ids")
+    shared = read.sparkSession.sparkContext.broadcast(w)
+    known = dictionary(read).select(F.col("block").alias("of"), "id", "word").join(table, "word").drop("word")
+    texts = read.select("block", "key", "n", "held", "tails", "ids")
 
     def run(b: pa.Table, d: pa.Table) -> pa.Table:
         v = shared.value
         out = []
         for i in range(b.num_rows):
-            words, n = b.column("words")[i].values, b.column("n")[i].values.to_numpy()
-            c, p = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+            n = b.column("n")[i].values.to_numpy()
+            cls = np.frombuffer(b.column("tails")[i].as_py(), np.uint16).copy()
+            c, p = np.zeros(len(cls), np.int64), np.zeros(len(cls), np.int64)
             at = d.column("id").to_numpy()
-            c[at], p[at] = d.column("c").to_numpy(), d.column("p").to_numpy()
-            emit = v.emissions(classes_of(words, top), c, p)
-            ids = np.frombuffer(b.column("ids")[i].as_py(), np.int32)
-            ends = np.cumsum(n)
+            cls[at], c[at], p[at] = d.column("cls").to_numpy(), d.column("c").to_numpy(), d.column("p").to_numpy()
+            ids, ends = ids_of(b, i, n.sum()), np.cumsum(n)
+            like = log10_likelihoods(replace(v.model, emit=v.emissions(cls, c, p)), np.split(ids, ends[:-1]))
             base = np.log10((c + SMOOTH) / (v.tokens + SMOOTH * (v.distinct + 1)))
-            like = log10_likelihoods(replace(v.model, emit=emit), np.split(ids, ends[:-1]))
             sums = lambda x: np.add.reduceat(x[ids], ends - n)
             out.append(pa.table([b.column("key")[i].values, b.column("held")[i].values, pa.array(n), pa.array(sums((c > 0).astype(np.int64))),
                                  pa.array(sums(base)), pa.array(like)], names=names))
@@ -589,15 +629,16 @@ def score_documents(docs: DataFrame, held_out: Column, rounds: int | None = None
     Other columns are not read.
     """
     spark = docs.sparkSession
-    read, read_path = stage_table(blocks(docs, held_out, key, text), "lm-blocks", compression="zstd")
-    frequent = frequent_words(read)
-    coded, coded_path = stage_table(coded_parts(read, frequent), "lm-classes", by="part", compression="zstd")
-    m = fit(coded, class_counts(coded), rounds)
-    drop_path(spark, coded_path)
-    table, table_path = stage_table(word_table(word_shares(read, m, frequent), frequent), "lm-words", compression="zstd")
-    w = word_model(table, m)
-    let_go(spark)
-    out = reliable(scored(read, table, w, frequent))
+    with setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(_BATCH)):
+        read, read_path = stage_blocks(blocks(docs, held_out, key, text))
+        frequent = frequent_words(read)
+        coded, coded_path = stage_table(coded_parts(read, frequent), "lm-classes", by="part", compression="zstd")
+        m = fit(coded, class_counts(coded), rounds)
+        drop_path(spark, coded_path)
+        table, table_path = stage_table(word_table(word_shares(read, m, frequent), frequent), "lm-words", compression="zstd")
+        w = word_model(table, m)
+        let_go(spark)
+        out = reliable(scored(read, table, w))
     for path in (read_path, table_path):
         drop_path(spark, path)
     return out.select(F.col("key").alias(key), "held", "n_tokens", "n_known", F.lit(w.tokens).cast("long").alias("train_tokens"),

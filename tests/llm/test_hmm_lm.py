@@ -273,3 +273,71 @@ def test_no_training_rows_and_no_rows(spark):
     got = H.score_documents(docs(spark, AWKWARD), F.lit(True)).collect()
     assert len(got) == len(AWKWARD) and all(r.n_known == 0 and r.train_tokens == 0 and r.base == 0 for r in got)
     assert H.score_documents(docs(spark, []), F.lit(False)).count() == 0
+
+
+def test_squeezed_numbers_come_back():
+    for ids in (np.arange(70000, dtype=np.int32) * 7 % 66000, np.zeros(1, np.int32)):
+        b = pa.RecordBatch.from_arrays([pa.array([b"", H.squeezed(ids)], pa.binary())], names=["ids"])
+        assert np.array_equal(H.ids_of(b, 1, len(ids)), ids)
+    assert len(H.squeezed(np.arange(70000) % 200)) < 70000
+
+
+def test_a_task_holds_one_block_at_a_time(spark, monkeypatch):
+    """However many blocks a file has: each is a row group of its own and goes to Python alone."""
+    import pyarrow.dataset as ds
+
+    found, real, tokens = [], H.drop_path, H.training_tokens
+    monkeypatch.setattr(H, "_SLICE", 2000)
+    monkeypatch.setattr(H, "_BATCH", 1, raising=False)
+
+    def look(spark, path):
+        if "lm-blocks" in path:
+            parts = [f.metadata for f in ds.dataset(path.removeprefix("file:"), format="parquet").get_fragments()]
+            found.append([[m.row_group(k).num_rows for k in range(m.num_row_groups)] for m in parts])
+        real(spark, path)
+
+    def alone(b, i, top):
+        assert b.num_rows == 1, f"{b.num_rows} blocks at once"
+        return tokens(b, i, top)
+
+    monkeypatch.setattr(H, "drop_path", look)
+    monkeypatch.setattr(H, "training_tokens", alone)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    got = H.score_documents(docs(spark, ROWS).coalesce(1), F.lit(False), rounds=1)
+    assert got.count() == len(ROWS)
+    assert len(found[0][0]) > 3 and set(found[0][0]) == {1}
+    assert spark.conf.get(key) == before
+
+
+def test_scores_are_those_of_the_emissions_of_all_words(spark, monkeypatch):
+    """Known words by their own figures, unknown ones and only these by the class that the block tells."""
+    rows = [(i, t, s) for i, t, s in ROWS if t != AWKWARD[5][1]] + [(900, "the never seen", "s"), (910, "unheard of und", "s")]
+    held = F.coalesce(F.pmod(F.col("doc_id"), F.lit(10)) == 0, F.lit(False))
+    read, _ = H.stage_blocks(H.blocks(docs(spark, rows).repartition(3), held, "doc_id", "text"))
+    frequent = H.frequent_words(read)[:4]
+    coded, _ = H.stage_table(H.coded_parts(read, frequent), "t-classes", by="part")
+    m = H.fit(coded, H.class_counts(coded), 1)
+    table, _ = H.stage_table(H.word_table(H.word_shares(read, m, frequent), frequent), "t-words")
+    w = H.word_model(table, m)
+    known = {r.word: (r.c, r.p) for r in table.collect()}
+    want = []
+    for i, t, _ in rows:
+        text = words(t)
+        c, p = (np.array([known.get(x, (0, 0))[k] for x in text]) for k in (0, 1))
+        emit = w.emissions(H.classes_of(pa.array(text), pa.array(frequent)), c, p)
+        like = H.log10_likelihoods(H.replace(w.model, emit=emit), [np.arange(len(text))])[0]
+        want.append((str(i), len(text), int((c > 0).sum()), round(like, 6)))
+    got = [(str(r.key), r.n_tokens, r.n_known, round(r.score, 6)) for r in H.scored(read, table, w).collect()]
+    assert sorted(got) == sorted(want) and any(n > k for _, n, k, _ in want)
+
+
+def test_emissions_and_shares_do_not_depend_on_how_many_words_are_made_at_once(spark, monkeypatch):
+    rows = [(i, t, s) for i, t, s in ROWS if t != AWKWARD[5][1]]
+    table, w, _, _, _ = word_figures(spark, monkeypatch, rows)
+    figures = table["cls"].to_numpy(), table["c"].to_numpy(), table["p"].to_numpy()
+    e = np.random.default_rng(1).random((50, 8))
+    want, shares = w.emissions(*figures), H.packed(e)
+    monkeypatch.setattr(H, "_AT_ONCE", 3)
+    assert np.array_equal(w.emissions(*figures), want) and np.array_equal(H.packed(e), shares)
+    assert len(H.packed(e[:0])) == 0 and w.emissions(*(x[:0] for x in figures)).shape == (0, 8)
