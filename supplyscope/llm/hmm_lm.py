@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyscope.llm.common import reliable, slices, stage_table
+from supplyscope.llm.common import give_back, reliable, slices, stage_table
 from supplyscope.session import drop_path, setting
 
 STATES = 8                 # one byte each of a word's packed shares
@@ -126,6 +126,7 @@ def blocks(docs: DataFrame, held_out: Column, key: str, text: str) -> DataFrame:
                      pa.array([classes_of(words, none).tobytes()], pa.binary()), listed(words.take(pa.array(often))), listed(pa.array(tf[often]))],
                     names=["block", "key", "held", "n", "ids", "words", "tf", "tails", "often", "often_tf"])
                 block += 1
+        give_back()
 
     return rows.mapInArrow(run, f"block long, key array<{kind}>, held array<boolean>, n array<long>, ids binary, "
                                 "words array<string>, tf array<long>, tails binary, often array<string>, often_tf array<long>")
@@ -137,9 +138,8 @@ def stage_blocks(found: DataFrame) -> tuple[DataFrame, str]:
 
 
 def dictionary(read: DataFrame) -> DataFrame:
-    """``(block, id, word, tf)``: the words of all blocks."""
-    pairs = F.posexplode(F.arrays_zip("words", "tf")).alias("id", "w")
-    return read.select("block", pairs).select("block", "id", F.col("w.words").alias("word"), F.col("w.tf").alias("tf"))
+    """``(block, id, word)``: the words of all blocks."""
+    return read.select("block", F.posexplode("words").alias("id", "word"))
 
 
 def frequent_words(read: DataFrame) -> list[str]:
@@ -191,6 +191,7 @@ def coded_parts(read: DataFrame, frequent: list[str]) -> DataFrame:
                 rows = [np.concatenate([np.zeros(0, np.uint16), *texts[p::PARTS]]).tobytes() for p in range(PARTS)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(rows, pa.binary())],
                                                  names=["part", "cls"])
+        give_back()
 
     few = read.select("held", "n", "ids", "words").coalesce(groups)
     return few.mapInArrow(run, "part int, cls binary").where(F.length("cls") > 0)
@@ -405,6 +406,7 @@ def baum_welch(train: DataFrame, m: Model) -> tuple[np.ndarray, float]:
         some = np.flatnonzero(total.any(axis=1))
         if len(some):
             yield pd.DataFrame({"k": some} | {f"s{i}": total[some, i] for i in range(STATES)})
+        give_back()
 
     names = [f"s{i}" for i in range(STATES)]
     sums = train.select("cls").mapInPandas(run, "k int, " + ", ".join(f"{s} double" for s in names))
@@ -467,6 +469,7 @@ def word_shares(read: DataFrame, m: Model, frequent: list[str]) -> DataFrame:
                 some = pc.greater(tf, 0)
                 yield pa.RecordBatch.from_arrays([words.filter(some), tf.filter(some), pa.array(packed(by)).filter(some)],
                                                  names=["word", "tf", "p"])
+        give_back()
 
     return read.select("held", "n", "ids", "words", "tf").mapInArrow(run, "word string, tf long, p long")
 
@@ -586,7 +589,7 @@ def scored(read: DataFrame, table: DataFrame, w: Words) -> DataFrame:
     itself tells the classes of all others."""
     kind = read.schema["key"].dataType.elementType.simpleString()
     shared = read.sparkSession.sparkContext.broadcast(w)
-    known = dictionary(read).select(F.col("block").alias("of"), "id", "word").join(table, "word").drop("word")
+    known = dictionary(read).withColumnRenamed("block", "of").join(table, "word").drop("word")
     texts = read.select("block", "key", "n", "held", "tails", "ids")
 
     def run(b: pa.Table, d: pa.Table) -> pa.Table:
@@ -604,6 +607,7 @@ def scored(read: DataFrame, table: DataFrame, w: Words) -> DataFrame:
             sums = lambda x: np.add.reduceat(x[ids], ends - n)
             out.append(pa.table([b.column("key")[i].values, b.column("held")[i].values, pa.array(n), pa.array(sums((c > 0).astype(np.int64))),
                                  pa.array(sums(base)), pa.array(like)], names=names))
+        give_back()
         return pa.concat_tables(out)
 
     names = ["key", "held", "n_tokens", "n_known", "base", "score"]

@@ -341,3 +341,21 @@ def test_emissions_and_shares_do_not_depend_on_how_many_words_are_made_at_once(s
     monkeypatch.setattr(H, "_AT_ONCE", 3)
     assert np.array_equal(w.emissions(*figures), want) and np.array_equal(H.packed(e), shares)
     assert len(H.packed(e[:0])) == 0 and w.emissions(*(x[:0] for x in figures)).shape == (0, 8)
+
+
+def test_a_worker_gives_memory_back():
+    """What a task has freed does not stay with its worker."""
+    import subprocess
+    import sys
+
+    code = """
+import re, numpy as np
+from supplyscope.llm.common import give_back
+now = lambda: int(re.search(r"VmRSS:\\s+(\\d+)", open("/proc/self/status").read())[1]) / 1024
+held = [np.ones(10000) for _ in range(2000)]
+last, held = held[-1], None                              # 160 MB freed below an array that stays
+high = now()
+give_back()
+assert high - now() > 100, (high, now())
+"""
+    subprocess.run([sys.executable, "-c", code], check=True)
